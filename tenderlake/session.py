@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Runtime settings, all of them changeable on a live session.
@@ -32,7 +35,22 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tenderlake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores)
     )
     return tune(builder.getOrCreate())
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table in the folder all executors share.
+
+    That folder is the one the session names in spark.checkpoint.dir. A session on
+    one machine may go without it and gets a temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="tenderlake-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -42,6 +42,7 @@ def read_delimited(
     multiline: bool = False,
     source_file: bool = True,
     ragged: bool = False,
+    split_resources: bool = False,
 ) -> DataFrame:
     """All files as one text table, with the file each row came from.
 
@@ -49,6 +50,8 @@ def read_delimited(
     first one. `multiline` accepts line breaks inside quotes, at the price that a
     file is read by one task, so it is for the few feeds that need it.
     `ragged` adds a flag for rows with too few or too many fields.
+    With `split_resources` each path is a directory of part files, and the
+    directory gives the resource its name.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     names = columns or header_of(spark, paths[0])
@@ -59,7 +62,9 @@ def read_delimited(
         reader = reader.option("columnNameOfCorruptRecord", RAGGED)
     rows = reader.schema(schema).csv(paths)
     if source_file:
-        rows = rows.withColumn(SOURCE, F.col("_metadata.file_name"))
+        by_directory = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)
+        name = by_directory if split_resources else F.col("_metadata.file_name")
+        rows = rows.withColumn(SOURCE, name)
     if ragged:
         rows = rows.withColumn(RAGGED, F.col(RAGGED).isNotNull())
     return rows
