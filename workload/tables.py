@@ -156,11 +156,17 @@ DERIVED = {
         SELECT cig, id_aggiudicazione, ruolo, codice_fiscale, denominazione, tipo_soggetto
         FROM {operatori} WHERE l_returnflag <> 'R'""",
     "partecipanti": """
-        SELECT cig, ruolo, codice_fiscale, denominazione, tipo_soggetto FROM {operatori}""",
+        SELECT cig, ruolo,
+               CASE WHEN l_returnflag = 'R' AND ruolo = 'MONOSOGGETTIVO'
+                    THEN 'M' || cf_subappaltante ELSE codice_fiscale END AS codice_fiscale,
+               denominazione, tipo_soggetto
+        FROM {operatori}""",
     "subappalti": """
         SELECT cig, id_subappalto, cf_subappaltante, data_autorizzazione, cod_categoria,
-               descrizione_categoria, descrizione_cpv, codice_fiscale, denominazione, ruolo,
-               tipo_soggetto
+               descrizione_categoria, descrizione_cpv,
+               CASE WHEN cod_categoria = 'OG3' THEN 'T' || cf_subappaltante
+                    ELSE codice_fiscale END AS codice_fiscale,
+               denominazione, ruolo, tipo_soggetto
         FROM {operatori} WHERE l_returnflag <> 'A'""",
     "raw_operatori": """
         SELECT ' ' || cig AS cig,
