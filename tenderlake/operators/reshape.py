@@ -25,7 +25,8 @@ def keep_top_groups(df: DataFrame, group: str, measure: str, n: int) -> DataFram
     """All rows of the n groups with the largest total."""
     totals = df.groupBy(group).agg(F.sum(measure).alias("__total"))
     best = top_n(totals, "__total", n, [group]).select(F.col(group).alias("__group"))
-    return df.join(best, df[group].eqNullSafe(best["__group"]), "left_semi")
+    # n rows, so the semi join may broadcast them.
+    return df.join(F.broadcast(best), df[group].eqNullSafe(best["__group"]), "left_semi")
 
 
 def share_of_partition(

@@ -28,6 +28,19 @@ def with_slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
     return ranged.withColumn(SLICE, F.spark_partition_id())
 
 
+def group_medians(df: DataFrame, keys: list[str], outs: dict[str, str]) -> DataFrame:
+    """Exact medians of several columns in one pass: {column: output name}."""
+    pairs = [
+        F.struct(F.lit(out).alias("__name"), F.col(value).cast("double").alias("__value"))
+        for value, out in outs.items()
+    ]
+    long = df.select(*keys, F.inline(F.array(*pairs)))
+    medians = group_median(long, [*keys, "__name"], "__value", "__median")
+    return medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("__name") == out, F.col("__median"))).alias(out) for out in outs.values()]
+    )
+
+
 def group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """Exact interpolated median of `value` per group, one row per group with a non-NULL value.
 

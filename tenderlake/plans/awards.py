@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.slices import attach, group_median
+from ..operators.slices import attach, group_medians
 from .tenders import n_rows
 
 
@@ -43,9 +43,8 @@ def mart_annuale(awards: DataFrame, years: tuple[int, int] = (2005, 2026)) -> Da
         F.avg("num_imprese_offerenti").alias("imprese_offerenti_medie"),
         F.avg("num_imprese_invitate").alias("imprese_invitate_medie"),
     )
-    for value, out in ((amount, "importo_mediano"), (discount, "ribasso_mediano")):
-        cells = attach(cells, group_median(rows, groups, value, out), groups)
-    return cells
+    medians = {amount: "importo_mediano", discount: "ribasso_mediano"}
+    return attach(cells, group_medians(rows, groups, medians), groups)
 
 
 def mart_dettaglio(awards: DataFrame) -> DataFrame:

@@ -442,12 +442,11 @@ def mart_sforamento(
             F.when(F.size("__reasons") > 0, F.array_join("__reasons", " | ")).alias("motivi"),
         )
     )
-    rows = (
-        closed.join(awarded, ["cig", "id_aggiudicazione"], "left")
-        .join(discount, "cig", "left")
-        .join(per_cig.drop(AMOUNT, "cf_sa"), "cig", "left")
-        .join(reasons, "cig", "left")
+    # The lot facts meet first, one row per lot on each side; awards join them once.
+    lot_facts = (
+        per_cig.drop(AMOUNT, "cf_sa").join(discount, "cig", "full").join(reasons, "cig", "full")
     )
+    rows = closed.join(awarded, ["cig", "id_aggiudicazione"], "left").join(lot_facts, "cig", "left")
     base, final, won = F.col("importo_base"), F.col("importo_finale"), F.col("importo_aggiudicato")
     net = base * (1 - F.col("ribasso_pct") / 100.0)
     reason = S.first_reason(
@@ -509,8 +508,8 @@ def mart_chi_paga(
 ) -> DataFrame:
     """Who buys and who pays, per year, region, sector and legal nature.
 
-    Contracts and their funding are summed per lot before the tenders join: the
-    output groups depend on the lot only.
+    Contracts and their funding are summed per lot before the tenders join, and per
+    authority before the registry join: the legal nature depends on the authority only.
     """
     total = "importo_finanziato"
     funded = funding.groupBy("cig", "id_aggiudicazione").agg(
@@ -530,14 +529,17 @@ def mart_chi_paga(
         )
     )
     registry = authorities.select(F.col("codice_fiscale").alias("cf_sa"), "natura_giuridica")
-    cells = (
+    counts = ["__contracts", "__excluded", "__funded"]
+    cell = ["anno", "regione", "settore"]
+    buyers = (
         lots.join(per_cig.drop(AMOUNT, "sa"), "cig")
-        .join(registry, "cf_sa", "left")
+        .groupBy(*cell, "cf_sa")
+        .agg(*[F.sum(m).alias(m) for m in [*counts, *measures]])
+    )
+    cells = (
+        buyers.join(registry, "cf_sa", "left")
         .groupBy(
-            "anno",
-            "regione",
-            "settore",
-            F.coalesce("natura_giuridica", F.lit("NON IN ANAGRAFICA")).alias("natura_sa"),
+            *cell, F.coalesce("natura_giuridica", F.lit("NON IN ANAGRAFICA")).alias("natura_sa")
         )
         .agg(
             F.sum("__contracts").alias("n_contratti"),

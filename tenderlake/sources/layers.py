@@ -14,10 +14,11 @@ def table_path(root: str, layer: str, dataset: str, table: str | None = None) ->
 def write_table(df: DataFrame, path: str, year: str | None = None) -> None:
     """Overwrite a table; with `year`, only the year partitions present in `df`.
 
-    A year may hold most of the rows, so tasks write the years they have instead
-    of being regrouped to one task per year.
+    Rows are rebalanced by year first, so a task writes one year and files reach
+    the advisory size; a year with most of the rows is split over many tasks.
     """
-    writer = df.write.mode("overwrite")
+    writer = df.hint("rebalance", year) if year else df
+    writer = writer.write.mode("overwrite")
     if year:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(year)
     writer.parquet(path)

@@ -1,6 +1,6 @@
 """The library's operators as named queries over the given tables."""
 
-from . import checks, clean, cross, files, marts, questions  # noqa: F401
+from . import checks, clean, cross, files, marts, operators, questions  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
