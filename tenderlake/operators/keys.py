@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach
+
 SOURCE = "__source_file"
 
 
@@ -26,16 +28,13 @@ def keep_newest_source(df: DataFrame, key: str = "cig", source: str = SOURCE) ->
     keys seen in more than one file need a lookup; the others pass unmatched.
     """
     span = (
-        df.groupBy(F.col(key).alias("__key"))
+        df.groupBy(key)
         .agg(F.min(source).alias("__oldest"), F.max(source).alias("__newest"))
         .where(F.col("__oldest") < F.col("__newest"))
-        .select("__key", "__newest", F.lit(True).alias("__seen"))
-    )
-    return (
-        df.join(span, df[key].eqNullSafe(span["__key"]), "left")
-        .where(F.col("__seen").isNull() | (F.col(source) == F.col("__newest")))
-        .drop("__key", "__newest", "__seen")
+        .drop("__oldest")
     )
+    stale = F.col("__newest").isNotNull() & (F.col(source) < F.col("__newest"))
+    return attach(df, span, [key]).where(~stale).drop("__newest")
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -89,14 +88,9 @@ def mark_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rank = F.struct(
         *[x for o in order for x in (F.col(o).isNull().alias(f"{o}_null"), F.col(o).alias(o))]
     )
-    heads = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min(rank).alias("__head"))
-    same_group = [df[k].eqNullSafe(heads[f"__{k}"]) for k in keys]
+    heads = df.groupBy(*keys).agg(F.min(rank).alias("__head"))
     same_rank = [F.col(o).eqNullSafe(F.col(f"__head.{o}")) for o in order]
     is_first = same_rank[0]
     for condition in same_rank[1:]:
         is_first = is_first & condition
-    return (
-        df.join(heads, same_group, "left")
-        .withColumn("is_first", is_first)
-        .drop("__head", *[f"__{k}" for k in keys])
-    )
+    return attach(df, heads, keys).withColumn("is_first", is_first).drop("__head")

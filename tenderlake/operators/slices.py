@@ -97,16 +97,6 @@ def group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     return ranked.groupBy(*keys).agg((lower + (upper - lower) * 0.5).alias(out))
 
 
-def attach(df: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join one-row-per-group columns, NULL group keys included."""
-    renamed = extra.select(
-        *[F.col(k).alias(f"__j{i}") for i, k in enumerate(keys)],
-        *[c for c in extra.columns if c not in keys],
-    )
-    same = [df[k].eqNullSafe(renamed[f"__j{i}"]) for i, k in enumerate(keys)]
-    return df.join(renamed, same, "left").drop(*[f"__j{i}" for i in range(len(keys))])
-
-
 def falling_steps(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
     """Per group: does `value` ever fall from one row to the next in the given order?
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.slices import attach, group_medians
+from ..operators.joins import attach
+from ..operators.slices import group_medians
 from .tenders import n_rows
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import keys as K
+from ..operators.joins import attach
 from ..operators.slices import falling_steps
 from . import fields as L
 
@@ -223,7 +224,7 @@ def classify_series(rows: DataFrame) -> DataFrame:
         & (lot == F.col("__peak.cig"))
     )
     return (
-        keyed.join(series, "__serie", "left")
+        attach(keyed, series, ["__serie"])
         .withColumn("importo_quota", F.when(at_peak, F.col("__max")).otherwise(F.lit(0.0)))
         .drop("__serie", "__max", "__peak")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.scalars import billions, pct, rounded
+from ..operators.joins import attach
 from ..operators.keys import one_per_key
 from ..operators.reshape import conditional_sums
 from .tenders import AMOUNT, AWARDED, active_trusted, n_rows, n_where, sum_where
@@ -192,7 +193,7 @@ def mart_competitivita(
     amount = F.col("importo_aggiudicazione")
     per_lot = (
         awards.where((amount > 0) & (amount < ceiling))
-        .groupBy(F.col("cig").alias("__cig"))
+        .groupBy("cig")
         .agg(
             n_rows().alias("__awards"),
             F.sum("num_imprese_offerenti").alias("__bidders"),
@@ -202,7 +203,7 @@ def mart_competitivita(
         )
     )
     lots = active_trusted(tenders).where(F.col("sezione_regionale") != "")
-    joined = lots.join(per_lot, lots["cig"] == per_lot["__cig"], "left")
+    joined = attach(lots, per_lot, ["cig"])
     times = F.coalesce("__awards", F.lit(1)) if fan_out else F.lit(1)
     won = F.col("esito") == AWARDED
     weighted = F.col(AMOUNT) * times
@@ -446,7 +447,7 @@ def mart_sforamento(
     lot_facts = (
         per_cig.drop(AMOUNT, "cf_sa").join(discount, "cig", "full").join(reasons, "cig", "full")
     )
-    rows = closed.join(awarded, ["cig", "id_aggiudicazione"], "left").join(lot_facts, "cig", "left")
+    rows = attach(closed.join(awarded, ["cig", "id_aggiudicazione"], "left"), lot_facts, ["cig"])
     base, final, won = F.col("importo_base"), F.col("importo_finale"), F.col("importo_aggiudicato")
     net = base * (1 - F.col("ribasso_pct") / 100.0)
     reason = S.first_reason(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.scalars import billions, pct, rounded
+from ..operators.joins import attach, drop_matching, keep_matching
 from ..operators.reshape import cumulative_share, keep_top_groups, pivot_filled, top_n
 from ..operators.slices import SLICE, with_slices
 from .cross import LATE
@@ -164,12 +165,12 @@ def consortia(
         .agg(F.max("denominazione").alias("mandataria"))
     )
     listed = sorted_name_lists(member, "cig", "denominazione", "mandanti", names_per_row)
-    rows = lead.join(counts, "cig").join(listed.where(F.col("parte") == 0), "cig", "left")
-    rows = rows.withColumn("parte", F.lit(0).cast("bigint"))
-    long_lists = (
-        listed.where(F.col("parte") > 0)
-        .join(counts, "cig")
-        .join(lead.select("cig"), "cig", "left_semi")
+    lots = counts.join(listed.where(F.col("parte") == 0).drop("parte"), "cig", "left")
+    rows = attach(lead, lots, ["cig"], "inner").withColumn("parte", F.lit(0).cast("bigint"))
+    long_lists = keep_matching(
+        attach(listed.where(F.col("parte") > 0), counts, ["cig"], "inner"),
+        lead.select("cig").distinct(),
+        ["cig"],
     )
     return rows.unionByName(long_lists, allowMissingColumns=True).orderBy(
         F.col("n_mandanti").desc(), "cig", "parte", F.col("cf_mandataria").asc_nulls_last()
@@ -186,13 +187,12 @@ def sorted_name_lists(
     numbered in slices, so one key may hold any number of names.
     """
     unique = df.where(F.col(name).isNotNull() & F.col(key).isNotNull()).select(key, name).distinct()
-    sizes = unique.groupBy(F.col(key).alias("__key")).agg(n_rows().alias("__names"))
-    long_keys = sizes.where(F.col("__names") > names_per_row).select("__key")
-    belongs = unique[key] == long_keys["__key"]
+    sizes = unique.groupBy(key).agg(n_rows().alias("__names"))
+    long_keys = sizes.where(F.col("__names") > names_per_row)
 
     text = F.array_join(F.array_sort(F.collect_list(name)), sep).alias(out)
-    short = unique.join(long_keys, belongs, "left_anti").groupBy(key).agg(text)
-    sliced = with_slices(unique.join(long_keys, belongs, "left_semi"), [key], [F.col(name).asc()])
+    short = drop_matching(unique, long_keys, [key]).groupBy(key).agg(text)
+    sliced = with_slices(keep_matching(unique, long_keys, [key]), [key], [F.col(name).asc()])
     place = F.row_number().over(Window.partitionBy(key, SLICE).orderBy(name)) - 1
     long = (
         sliced.withColumn("__piece", F.floor(place / F.lit(names_per_row)))
@@ -311,7 +311,7 @@ def lookup_cigs(tables: dict[str, DataFrame], cigs: list[str] | DataFrame) -> di
     having = {name: df for name, df in tables.items() if "cig" in df.columns}
     if isinstance(cigs, DataFrame):
         keys = cigs.select(F.upper(F.trim("cig")).alias("cig"))
-        return {name: df.join(keys, "cig", "left_semi") for name, df in having.items()}
+        return {name: keep_matching(df, keys, ["cig"]) for name, df in having.items()}
     wanted = [c.strip().upper() for c in cigs]
     return {name: df.where(F.col("cig").isin(wanted)) for name, df in having.items()}
 

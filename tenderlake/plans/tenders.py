@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bucket_values, not_blank, pct, ratio, rounded
+from ..operators.joins import attach
 from ..operators.reshape import change_to_previous, share_of_partition, top_n_per_group
-from ..operators.slices import attach, group_median
+from ..operators.slices import group_median
 
 AMOUNT = "importo_lotto"
 AWARDED = "AGGIUDICATA"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tenderlake.functions import scalars as S
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
-from tenderlake.operators.slices import attach, falling_steps, group_median
+from tenderlake.operators.joins import attach
+from tenderlake.operators.slices import falling_steps, group_median
 from tenderlake.plans import cross, tenders
 from tenderlake.plans import questions as Q
 from tenderlake.plans.clean import PREVALENTE
