@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.scalars import pct, rounded
 
 
+def report_order(df: DataFrame, ordered: bool, *order) -> DataFrame:
+    """Rows in the order of the report, for reading. A stored table has no row order: skip the sort,
+    which would compute a large result twice, once for the sample of its cut points."""
+    return df.orderBy(*order) if ordered else df
+
+
 def top_n(df: DataFrame, measure: str, n: int, ties: list[str] | None = None) -> DataFrame:
     """The n rows with the largest measure: per-task heaps, no full sort."""
     return df.orderBy(F.col(measure).desc_nulls_last(), *(ties or [])).limit(n)

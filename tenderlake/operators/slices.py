@@ -52,8 +52,9 @@ def group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     on where the slices were cut.
     """
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
+        df.select(*keys, F.col(value).cast("double").alias("__v"))
+        .where(F.col("__v").isNotNull())
+        .groupBy(*keys, "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     totals = (
@@ -97,11 +98,17 @@ def group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFr
     return ranked.groupBy(*keys).agg((lower + (upper - lower) * 0.5).alias(out))
 
 
-def falling_steps(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
-    """Per group: does `value` ever fall from one row to the next in the given order?
+def summarise_in_order(
+    df: DataFrame, keys: list[str], order: list[Column], value: str, row: Column | None = None
+) -> DataFrame:
+    """Per group, over its rows in the given order: (keys, n, falls, top, top_row).
+
+    `falls`: is any value smaller than the one just before it? A step from or to
+    NULL is no step. `top` is the largest value and `top_row` the given columns of
+    the first row that has it.
 
-    A step from or to NULL is no step. Neighbours inside a slice are compared by
-    `lag`; across a cut, the last value of the slice before with the first after.
+    Neighbours inside a slice are compared by `lag`; across a cut, the last value of
+    the slice before with the first after.
     """
     sliced = with_slices(df, keys, order)
     inner = Window.partitionBy(*keys, SLICE).orderBy(*order)
@@ -109,24 +116,38 @@ def falling_steps(df: DataFrame, keys: list[str], order: list[Column], value: st
         *keys,
         SLICE,
         F.col(value).alias("__v"),
-        F.row_number().over(inner).alias("__rn"),
+        (F.lit(0) if row is None else row).alias("__row"),
+        F.row_number().over(inner).alias("__place"),
         (F.col(value) < F.lag(value).over(inner)).alias("__falls"),
     )
+    # Largest value first, then the earliest place.
+    best = F.when(F.col("__v").isNotNull(), F.struct("__v", -F.col("__place")))
     edges = steps.groupBy(*keys, SLICE).agg(
+        F.count(F.lit(1)).alias("__n"),
         F.bool_or("__falls").alias("__falls"),
-        F.min_by("__v", "__rn").alias("__first"),
-        F.max_by("__v", "__rn").alias("__last"),
+        F.min_by("__v", "__place").alias("__first"),
+        F.max_by("__v", "__place").alias("__last"),
+        F.max("__v").alias("__top"),
+        F.max_by("__row", best).alias("__top_row"),
     )
-    # One row per group and slice.
+    # One row per group and slice from here on.
     outer = Window.partitionBy(*keys).orderBy(SLICE)
-    at_cut = F.col("__first") < F.lag("__last").over(outer)
+    at_cut = (F.col("__first") < F.lag("__last").over(outer)).alias("__cut")
+    best = F.when(F.col("__top").isNotNull(), F.struct("__top", -F.col(SLICE)))
     return (
-        edges.select(*keys, "__falls", at_cut.alias("__cut"))
+        edges.select("*", at_cut)
         .groupBy(*keys)
         .agg(
-            (
-                F.coalesce(F.bool_or("__falls"), F.lit(False))
-                | F.coalesce(F.bool_or("__cut"), F.lit(False))
-            ).alias("falls")
+            F.sum("__n").alias("n"),
+            F.bool_or(
+                F.coalesce("__falls", F.lit(False)) | F.coalesce("__cut", F.lit(False))
+            ).alias("falls"),
+            F.max("__top").alias("top"),
+            F.max_by("__top_row", best).alias("top_row"),
         )
     )
+
+
+def falling_steps(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:
+    """Per group: does `value` ever fall from one row to the next in the given order?"""
+    return summarise_in_order(df, keys, order, value).select(*keys, "falls")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
+from ..operators.reshape import report_order
 from ..operators.slices import group_medians
 from .tenders import n_rows
 
@@ -72,11 +73,13 @@ def mart_dettaglio(awards: DataFrame) -> DataFrame:
 FIRM = ["codice_fiscale", "denominazione", "tipo_soggetto", "ruolo"]
 
 
-def _ranked(df: DataFrame, measure: str, ties: list[str]) -> DataFrame:
-    return df.orderBy(F.col(measure).desc(), *[F.col(t).asc_nulls_last() for t in ties])
+def _ranked(df: DataFrame, ordered: bool, measure: str, ties: list[str]) -> DataFrame:
+    return report_order(
+        df, ordered, F.col(measure).desc(), *[F.col(t).asc_nulls_last() for t in ties]
+    )
 
 
-def mart_top_aggiudicatari(winners: DataFrame) -> DataFrame:
+def mart_top_aggiudicatari(winners: DataFrame, ordered: bool = True) -> DataFrame:
     firms = (
         winners.where(F.col("codice_fiscale") != "")
         .groupBy(*FIRM)
@@ -86,30 +89,30 @@ def mart_top_aggiudicatari(winners: DataFrame) -> DataFrame:
             n_rows().alias("n_record"),
         )
     )
-    return _ranked(firms, "n_cig", FIRM)
+    return _ranked(firms, ordered, "n_cig", FIRM)
 
 
-def mart_top_partecipanti(bidders: DataFrame) -> DataFrame:
+def mart_top_partecipanti(bidders: DataFrame, ordered: bool = True) -> DataFrame:
     firms = (
         bidders.where(F.col("codice_fiscale") != "")
         .groupBy(*FIRM)
         .agg(F.count_distinct("cig").alias("n_cig"), n_rows().alias("n_record"))
     )
-    return _ranked(firms, "n_cig", FIRM)
+    return _ranked(firms, ordered, "n_cig", FIRM)
 
 
-def mart_top_subappalti(subcontracts: DataFrame) -> DataFrame:
+def mart_top_subappalti(subcontracts: DataFrame, ordered: bool = True) -> DataFrame:
     group = ["descrizione_categoria", "descrizione_cpv", "codice_fiscale", "denominazione", "ruolo"]
     cells = subcontracts.groupBy(*group).agg(
         F.count_distinct("cig").alias("n_cig"),
         F.count_distinct("id_subappalto").alias("n_subappalti"),
         n_rows().alias("n_record"),
     )
-    return _ranked(cells, "n_subappalti", group)
+    return _ranked(cells, ordered, "n_subappalti", group)
 
 
-def mart_cup(cup: DataFrame) -> DataFrame:
+def mart_cup(cup: DataFrame, ordered: bool = True) -> DataFrame:
     projects = cup.groupBy("cup").agg(
         n_rows().alias("n_cig"), F.count_distinct("cig").alias("n_cig_distinti")
     )
-    return _ranked(projects, "n_cig", ["cup"])
+    return _ranked(projects, ordered, "n_cig", ["cup"])

@@ -10,12 +10,23 @@ from ..operators.keys import SOURCE
 from ..sources.delimited import read_delimited
 from ..sources.layers import table_path, write_table
 from . import authorities, awards, cross, execution, finance, quality, tenders
-from .clean import CLEAN
+from .clean import CLEAN, classify_series, latest_statements
 
 # Feeds with line breaks inside quoted fields.
 MULTILINE = {"aggiudicatari", "partecipanti"}
 YEAR = {"bandi_gara": "anno_pubblicazione"}
 
+# Clean steps whose first half is read twice by the second.
+STAGED = {"stati_avanzamento": (latest_statements, classify_series)}
+# Large results, stored without the sort of the report.
+UNSORTED = {
+    awards.mart_top_aggiudicatari,
+    awards.mart_top_partecipanti,
+    awards.mart_top_subappalti,
+    awards.mart_cup,
+    tenders.mart_sa_profilo,
+}
+
 MARTS = {
     "bandi_gara": tenders.MARTS,
     "aggiudicazioni": {
@@ -68,7 +79,13 @@ def build_dataset(
         raw = raw.drop(SOURCE)
     year = YEAR.get(dataset)
     path = table_path(root, "clean", dataset)
-    write_table(CLEAN[dataset](raw), path, year)
+    if dataset in STAGED:
+        first, last = STAGED[dataset]
+        staged = table_path(root, "staged", dataset)
+        write_table(first(raw), staged)
+        write_table(last(spark.read.parquet(staged)), path, year)
+    else:
+        write_table(CLEAN[dataset](raw), path, year)
     clean = spark.read.parquet(path)
     if check:
         quality.validate(
@@ -77,7 +94,7 @@ def build_dataset(
     tables = {"clean": clean}
     for name, mart in MARTS[dataset].items():
         target = table_path(root, "mart", dataset, name)
-        write_table(mart(clean), target)
+        write_table(mart(clean, ordered=False) if mart in UNSORTED else mart(clean), target)
         tables[name] = spark.read.parquet(target)
         rules = quality.MART_RULES[dataset].get(name)
         if check and rules:
@@ -104,7 +121,7 @@ def build_cross(
     marts = {
         "mart_panoramica": cross.mart_panoramica(bandi),
         "mart_imprese": cross.mart_imprese(
-            clean("aggiudicatari"), clean("partecipanti"), clean("subappalti")
+            clean("aggiudicatari"), clean("partecipanti"), clean("subappalti"), ordered=False
         ),
         "mart_ritardi_per_sa": cross.mart_ritardi_per_sa(clean("stati_avanzamento"), per_cig),
         "mart_competitivita": cross.mart_competitivita(bandi, awarded),
@@ -113,7 +130,9 @@ def build_cross(
         ),
         "mart_ritardi_contratto": cross.mart_ritardi_contratto(per_cig, starts, ends),
         "mart_collaudo_ritardo": cross.mart_collaudo_ritardo(per_cig, ends, clean("collaudo")),
-        "mart_sforamento": cross.mart_sforamento(per_cig, breakdown, awarded, changes),
+        "mart_sforamento": cross.mart_sforamento(
+            per_cig, breakdown, awarded, changes, ordered=False
+        ),
         "mart_chi_paga": cross.mart_chi_paga(
             per_cig, breakdown, funding, clean("stazioni_appaltanti")
         ),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import keys as K
 from ..operators.joins import attach
-from ..operators.slices import falling_steps
+from ..operators.slices import summarise_in_order
 from . import fields as L
 
 DOMAIN_START = date(2000, 1, 1)
@@ -156,15 +156,19 @@ def clean_collaudo(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_stati_avanzamento(raw: DataFrame) -> DataFrame:
-    """Work-progress statements, classified by series, with the series total on one row."""
+def latest_statements(raw: DataFrame) -> DataFrame:
+    """Typed work-progress statements, one per number, from the newest file of each lot."""
     rows = _with_source(raw, L.STATI_AVANZAMENTO).where(F.col("cig").isNotNull())
-    newest = K.latest_per_key(
+    return K.latest_per_key(
         K.keep_newest_source(rows).drop(K.SOURCE),
         ["cig", "id_aggiudicazione", "progressivo_sal"],
         ["data_emissione_sal"],
     )
-    return classify_series(newest)
+
+
+def clean_stati_avanzamento(raw: DataFrame) -> DataFrame:
+    """Work-progress statements, classified by series, with the series total on one row."""
+    return classify_series(latest_statements(raw))
 
 
 def classify_series(rows: DataFrame) -> DataFrame:
@@ -175,50 +179,39 @@ def classify_series(rows: DataFrame) -> DataFrame:
     count once. A series is `singola` with one statement, `monotona` when the
     amount never falls, else `anomala`.
 
-    A series may be huge. Its statements are reduced to distinct points, its order
-    is checked in slices, and only one summary row per series is joined back.
+    A series may be huge. Its statements are reduced to distinct points, the points
+    are summarised in slices, and only one row per series is joined back. `rows` is
+    read twice, so pass a stored table where computing it is dear.
     """
     keyed = rows.withColumn("__serie", S.series_key("id_aggiudicazione", "cig"))
+    day, amount = F.col("data_emissione_sal"), F.col("importo_sal")
     number, lot = F.col("progressivo_sal"), F.col("cig")
-    # NULLs last, smallest first; unique inside a series after the key dedup.
+    # Of the copies of a point the lowest number counts, NULL last; unique in its series.
     rank = F.struct(number.isNull().alias("u"), number.alias("n"), lot.alias("cig"))
     points = keyed.groupBy("__serie", "data_emissione_sal", "importo_sal").agg(
         F.min(rank).alias("__head")
     )
     in_order = [
-        F.col("data_emissione_sal").asc_nulls_last(),
-        F.col("__head.n").asc_nulls_last(),
-        F.col("importo_sal").asc_nulls_last(),
+        day.asc_nulls_last(), F.col("__head.n").asc_nulls_last(), amount.asc_nulls_last()
     ]
-    falls = falling_steps(points, ["__serie"], in_order, "importo_sal")
-    day = F.col("data_emissione_sal")
-    earliest = F.struct(
-        day.isNull().alias("undated"),
-        day.alias("day"),
-        F.col("__head.u").alias("u"),
-        F.col("__head.n").alias("n"),
-        F.col("__head.cig").alias("cig"),
-    )
-    # The peak: largest amount first, then the earliest point that reaches it.
-    by_amount = points.groupBy("__serie", "importo_sal").agg(
-        F.count(F.lit(1)).alias("__n"), F.min(earliest).alias("__at")
-    )
-    facts = by_amount.groupBy("__serie").agg(
-        F.sum("__n").alias("__points"),
-        F.max("importo_sal").alias("__max"),
-        F.max_by("__at", "importo_sal").alias("__peak"),
+    summary = summarise_in_order(
+        points,
+        ["__serie"],
+        in_order,
+        "importo_sal",
+        F.struct(day.alias("day"), F.col("__head.n").alias("n"), F.col("__head.cig").alias("cig")),
     )
-    series = facts.join(falls, "__serie").select(
+    series = summary.select(
         "__serie",
-        "__max",
-        "__peak",
-        F.when(F.col("__points") == 1, "singola")
+        F.col("top").alias("__max"),
+        F.col("top_row").alias("__peak"),
+        F.when(F.col("n") == 1, "singola")
         .when(~F.col("falls"), "monotona")
         .otherwise("anomala")
         .alias("tipo_serie"),
     )
     at_peak = (
-        (F.col("importo_sal") == F.col("__max"))
+        (amount == F.col("__max"))
         & day.eqNullSafe(F.col("__peak.day"))
         & number.eqNullSafe(F.col("__peak.n"))
         & (lot == F.col("__peak.cig"))

@@ -8,6 +8,8 @@ marts, or the tenders table is reduced again for each.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from ..functions import scalars as S
 from ..functions.scalars import billions, pct, rounded
 from ..operators.joins import attach
 from ..operators.keys import one_per_key
-from ..operators.reshape import conditional_sums
+from ..operators.reshape import conditional_sums, report_order
 from .tenders import AMOUNT, AWARDED, active_trusted, n_rows, n_where, sum_where
 
 LATE = "IN RITARDO"
@@ -90,34 +92,49 @@ def _named_firms(df: DataFrame) -> DataFrame:
     ).withColumn("cf", F.trim("codice_fiscale"))
 
 
-def mart_imprese(winners: DataFrame, bidders: DataFrame, subcontracts: DataFrame) -> DataFrame:
-    """Firm profile over its wins, bids and subcontracts."""
-    name = F.max("denominazione").alias("denominazione")
-    kind = F.max("tipo_soggetto").alias("tipo_soggetto")
-    won = _named_firms(winners).groupBy("cf").agg(
-        name,
-        kind,
-        F.count_distinct("cig").alias("n_aggiudicazioni"),
-        F.count_distinct("id_aggiudicazione").alias("n_lotti_vinti"),
-    )
-    bid = (
-        _named_firms(bidders)
-        .where(~F.col("tipo_soggetto").ilike("%STAZIONE APPALTANTE%"))
-        .groupBy("cf")
-        .agg(name, kind, F.count_distinct("cig").alias("n_gare_partecipate"))
+def mart_imprese(
+    winners: DataFrame, bidders: DataFrame, subcontracts: DataFrame, ordered: bool = True
+) -> DataFrame:
+    """Firm profile over its wins, bids and subcontracts.
+
+    Every count of distinct lots or awards is a count of distinct (firm, count,
+    value) rows, so one distinct serves them all, spread by value: a firm with very
+    many lots is no hot key. Names are reduced the same way before the maximum.
+    """
+    won, sub = _named_firms(winners), _named_firms(subcontracts)
+    bid = _named_firms(bidders).where(~F.col("tipo_soggetto").ilike("%STAZIONE APPALTANTE%"))
+    counted = [
+        (won, "n_aggiudicazioni", "cig"),
+        (won, "n_lotti_vinti", "id_aggiudicazione"),
+        (bid, "n_gare_partecipate", "cig"),
+        (sub, "n_subappalti", "cig"),
+    ]
+    values = reduce(
+        DataFrame.union,
+        [
+            rows.select("cf", F.lit(out).alias("__count"), F.col(value).cast("string").alias("__value"))
+            for rows, out, value in counted
+        ],
+    ).distinct()
+    counts = [out for _, out, _ in counted]
+    tallies = values.groupBy("cf").agg(
+        *[
+            F.count_if((F.col("__count") == out) & F.col("__value").isNotNull()).alias(out)
+            for out in counts
+        ]
     )
-    sub = (
-        _named_firms(subcontracts)
+    labels = (
+        won.select("cf", "denominazione", "tipo_soggetto")
+        .union(bid.select("cf", "denominazione", "tipo_soggetto"))
+        .union(sub.select("cf", "denominazione", F.lit(None).cast("string")))
+        .distinct()
         .groupBy("cf")
-        .agg(name, F.count_distinct("cig").alias("n_subappalti"))
-    )
-    counts = ["n_aggiudicazioni", "n_lotti_vinti", "n_gare_partecipate", "n_subappalti"]
-    every = won.unionByName(bid, allowMissingColumns=True).unionByName(
-        sub, allowMissingColumns=True
-    )
-    firms = every.groupBy("cf").agg(
-        name, kind, *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts]
+        .agg(
+            F.max("denominazione").alias("denominazione"),
+            F.max("tipo_soggetto").alias("tipo_soggetto"),
+        )
     )
+    firms = labels.join(tallies, "cf")
     role = (
         F.when(F.col("n_aggiudicazioni") > 0, "aggiudicatario")
         .when(F.col("n_subappalti") > 0, "subappaltante")
@@ -125,11 +142,8 @@ def mart_imprese(winners: DataFrame, bidders: DataFrame, subcontracts: DataFrame
         .otherwise("sconosciuto")
     )
     activity = S.row_max("n_aggiudicazioni", "n_gare_partecipate", "n_subappalti")
-    return (
-        firms.withColumn("ruolo_prevalente", role)
-        .withColumn("totale_attivita", activity)
-        .orderBy(F.col("totale_attivita").desc(), "cf")
-    )
+    profiles = firms.withColumn("ruolo_prevalente", role).withColumn("totale_attivita", activity)
+    return report_order(profiles, ordered, F.col("totale_attivita").desc(), "cf")
 
 
 def mart_ritardi_per_sa(progress: DataFrame, per_cig: DataFrame, min_late: int = 3) -> DataFrame:
@@ -414,7 +428,11 @@ def mart_collaudo_ritardo(
 
 
 def mart_sforamento(
-    per_cig: DataFrame, breakdown: DataFrame, awards: DataFrame, changes: DataFrame
+    per_cig: DataFrame,
+    breakdown: DataFrame,
+    awards: DataFrame,
+    changes: DataFrame,
+    ordered: bool = True,
 ) -> DataFrame:
     """Cost growth per award, gross and net of the discount.
 
@@ -459,7 +477,7 @@ def mart_sforamento(
             (won > base * 2, "aggiudicazione oltre 2x la base"),
         ]
     )
-    return rows.select(
+    growth = rows.select(
         "cig",
         "id_aggiudicazione",
         "anno",
@@ -480,7 +498,10 @@ def mart_sforamento(
         reason.isNull().alias("plausibile"),
         reason.alias("motivo_esclusione"),
         S.near_multiple(final, base, 2.0, 0.005).alias("doppio_esatto"),
-    ).orderBy(F.col("sforamento").desc_nulls_last(), "cig", "id_aggiudicazione")
+    )
+    return report_order(
+        growth, ordered, F.col("sforamento").desc_nulls_last(), "cig", "id_aggiudicazione"
+    )
 
 
 # The 13 published sources in seven readable groups; fixed values.

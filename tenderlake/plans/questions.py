@@ -164,32 +164,27 @@ def consortia(
         .groupBy("cig", F.col("codice_fiscale").alias("cf_mandataria"))
         .agg(F.max("denominazione").alias("mandataria"))
     )
-    listed = sorted_name_lists(member, "cig", "denominazione", "mandanti", names_per_row)
-    lots = counts.join(listed.where(F.col("parte") == 0).drop("parte"), "cig", "left")
+    short, long = _name_lists(member, "cig", "denominazione", "mandanti", names_per_row)
+    lots = counts.join(short, "cig", "left")
     rows = attach(lead, lots, ["cig"], "inner").withColumn("parte", F.lit(0).cast("bigint"))
     long_lists = keep_matching(
-        attach(listed.where(F.col("parte") > 0), counts, ["cig"], "inner"),
-        lead.select("cig").distinct(),
-        ["cig"],
+        attach(long, counts, ["cig"], "inner"), lead.select("cig").distinct(), ["cig"]
     )
     return rows.unionByName(long_lists, allowMissingColumns=True).orderBy(
         F.col("n_mandanti").desc(), "cig", "parte", F.col("cf_mandataria").asc_nulls_last()
     )
 
 
-def sorted_name_lists(
-    df: DataFrame, key: str, name: str, out: str, names_per_row: int, sep: str = " | "
-) -> DataFrame:
-    """Distinct names per key, sorted and joined: (key, parte, out).
+def _name_lists(df: DataFrame, key: str, name: str, out: str, names_per_row: int, sep: str = " | "):
+    """Distinct names per key, sorted and joined: keys in one row (key, out), and long lists.
 
-    Up to `names_per_row` names make one row, `parte` 0. Longer lists are cut into
-    rows of at most that many names, `parte` rising with the names; they are
-    numbered in slices, so one key may hold any number of names.
+    Long lists (key, parte, out) are cut into rows of at most `names_per_row` names,
+    `parte` rising with the names from 1; they are numbered in slices, so one key
+    may hold any number of names.
     """
     unique = df.where(F.col(name).isNotNull() & F.col(key).isNotNull()).select(key, name).distinct()
     sizes = unique.groupBy(key).agg(n_rows().alias("__names"))
     long_keys = sizes.where(F.col("__names") > names_per_row)
-
     text = F.array_join(F.array_sort(F.collect_list(name)), sep).alias(out)
     short = drop_matching(unique, long_keys, [key]).groupBy(key).agg(text)
     sliced = with_slices(keep_matching(unique, long_keys, [key]), [key], [F.col(name).asc()])
@@ -198,13 +193,21 @@ def sorted_name_lists(
         sliced.withColumn("__piece", F.floor(place / F.lit(names_per_row)))
         .groupBy(key, SLICE, "__piece")
         .agg(text)
-        .withColumn("parte", F.col(SLICE).cast("bigint") * 2**31 + F.col("__piece") + 1)
-    )
-    return (
-        short.withColumn("parte", F.lit(0).cast("bigint"))
-        .select(key, "parte", out)
-        .unionByName(long.select(key, "parte", out))
+        .select(key, (F.col(SLICE).cast("bigint") * 2**31 + F.col("__piece") + 1).alias("parte"), out)
     )
+    return short, long
+
+
+def sorted_name_lists(
+    df: DataFrame, key: str, name: str, out: str, names_per_row: int = NAMES_PER_ROW
+) -> DataFrame:
+    """Distinct names per key, sorted and joined, as (key, parte, out).
+
+    `parte` is 0 for a list in one row; a longer list goes on over rows with rising
+    `parte`, complete.
+    """
+    short, long = _name_lists(df, key, name, out, names_per_row)
+    return short.withColumn("parte", F.lit(0).cast("bigint")).unionByName(long)
 
 
 def subcontract_receivers(subcontracts: DataFrame) -> DataFrame:

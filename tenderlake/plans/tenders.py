@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import bucket_values, not_blank, pct, ratio, rounded
 from ..operators.joins import attach
-from ..operators.reshape import change_to_previous, share_of_partition, top_n_per_group
+from ..operators.reshape import (
+    change_to_previous,
+    report_order,
+    share_of_partition,
+    top_n_per_group,
+)
 from ..operators.slices import group_median
 
 AMOUNT = "importo_lotto"
@@ -186,7 +191,9 @@ def mart_trend_settore(tenders: DataFrame) -> DataFrame:
     )
 
 
-def mart_sa_profilo(tenders: DataFrame, min_lots: int = 10) -> DataFrame:
+def mart_sa_profilo(
+    tenders: DataFrame, min_lots: int = 10, ordered: bool = True
+) -> DataFrame:
     """Authority profile with both the mean and the true median lot amount."""
     lots = active_trusted(tenders).where(F.col("cf_amministrazione_appaltante") != "").withColumnRenamed(
         "cf_amministrazione_appaltante", "cf_sa"
@@ -210,12 +217,12 @@ def mart_sa_profilo(tenders: DataFrame, min_lots: int = 10) -> DataFrame:
         .where(F.col("n_bandi") >= min_lots)
     )
     median = group_median(lots, ["cf_sa"], AMOUNT, "__median")
-    return (
+    profiles = (
         attach(profile, median, ["cf_sa"])
         .withColumn("importo_mediano", rounded("__median"))
         .drop("__median")
-        .orderBy(F.col("importo_totale").desc_nulls_last(), "cf_sa")
     )
+    return report_order(profiles, ordered, F.col("importo_totale").desc_nulls_last(), "cf_sa")
 
 
 def tenders_per_cig(tenders: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def subcontract_receivers(t):
     return Q.subcontract_receivers(t.subappalti)
 
 def _firms(t):
-    return cross.mart_imprese(t.aggiudicatari, t.partecipanti, t.subappalti)
+    return cross.mart_imprese(t.aggiudicatari, t.partecipanti, t.subappalti, ordered=False)
 
 @query(
     "role_distribution",
