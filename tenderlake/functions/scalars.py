@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 DATE_SENTINEL = "0001-01-01"
 VAT_SENTINEL = "00000000000"
 
-_DATE_SHAPE = r"^\s*\d{4}([-/ ])\d{1,2}\1\d{1,2}(\s*|[ T]\d.*)$"
-_DATE_HEAD = r"^\s*(\d{4})[-/ ](\d{1,2})[-/ ](\d{1,2})"
-_JAVA_SUFFIX = r"[dDfF]\s*$"
+# Shapes are tested before casting: a failing cast costs an exception per row.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+_ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}(\s*|[ T]\d.*)$"
+_OTHER_DAY = r"^\d{4}([/ ])\d{1,2}\1\d{1,2}(\s*|[ T]\d.*)$"
+_DAY_PARTS = r"^(\d{4})[/ ](\d{1,2})[/ ](\d{1,2})"
 
 
 def as_column(c: Column | str) -> Column:
@@ -40,9 +43,9 @@ def normalize_string(c: Column | str, upper: bool = False) -> Column:
 def _cast_whole(c: Column | str, kind: str) -> Column:
     # '12.5' and '1e3' are whole numbers after rounding half away from zero.
     text = as_text(c)
-    exact = text.try_cast("bigint")
-    rounded_text = F.round(text.try_cast("decimal(38,9)")).try_cast("bigint")
-    return F.coalesce(exact, rounded_text).try_cast(kind)
+    return F.when(text.rlike(_WHOLE), text.try_cast(kind)).when(
+        text.rlike(_NUMBER), F.round(text.try_cast("decimal(38,9)")).try_cast(kind)
+    )
 
 
 def cast_int(c: Column | str) -> Column:
@@ -56,15 +59,20 @@ def cast_bigint(c: Column | str) -> Column:
 def cast_double(c: Column | str) -> Column:
     """Text to double; the Java literals '1.5d' and '1f' are not numbers."""
     text = as_text(c)
-    return F.when(~text.rlike(_JAVA_SUFFIX), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def safe_date(c: Column | str, first_year: int = 1800, last_year: int = 2100) -> Column:
-    """Text to date; NULL when it is no calendar day or falls outside the year window."""
-    text = as_text(c)
-    iso = F.regexp_replace(text, _DATE_HEAD, "$1-$2-$3")
-    day = F.when(text.rlike(_DATE_SHAPE), iso.try_cast("date"))
-    return F.when(F.year(day).between(first_year, last_year), day)
+    """Text to date; NULL when it is no calendar day or falls outside the year window.
+
+    The year is compared as text, so the day is parsed once.
+    """
+    text = F.trim(as_text(c))
+    plausible = F.substring(text, 1, 4).between(f"{first_year:04d}", f"{last_year:04d}")
+    iso = F.regexp_replace(text, _DAY_PARTS, "$1-$2-$3")
+    return F.when(plausible & text.rlike(_ISO_DAY), text.try_cast("date")).when(
+        plausible & text.rlike(_OTHER_DAY), iso.try_cast("date")
+    )
 
 
 def decode_flag(c: Column | str, yes: str) -> Column:

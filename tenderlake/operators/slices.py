@@ -41,61 +41,123 @@ def group_medians(df: DataFrame, keys: list[str], outs: dict[str, str]) -> DataF
     )
 
 
-def group_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+# A group with at most this many distinct values is ranked in one window.
+WHOLE_GROUP = 1_000_000
+
+
+def group_median(
+    df: DataFrame, keys: list[str], value: str, out: str, whole_group: int = WHOLE_GROUP
+) -> DataFrame:
     """Exact interpolated median of `value` per group, one row per group with a non-NULL value.
 
-    1. collapse to distinct (group, value) with a count, combined map-side;
-    2. cut into slices and find, from the slice totals, the one or two slices
-       that hold the middle ranks; remember them by their value range;
-    3. rank only the values inside that range.
-    Step 3 selects by value, not by slice number, so the result does not depend
-    on where the slices were cut.
+    Rows are first collapsed to distinct (group, value) with a count, combined
+    map-side. Groups of at most `whole_group` values are ranked in a window each;
+    larger ones in slices. There is at most one large group per `whole_group`
+    rows, which bounds the broadcast list that tells them apart.
     """
+    group = [_GROUP, *keys]
     counts = (
-        df.select(*keys, F.col(value).cast("double").alias("__v"))
+        df.select(
+            F.xxhash64(*keys).alias(_GROUP), *keys, F.col(value).cast("double").alias("__v")
+        )
         .where(F.col("__v").isNotNull())
-        .groupBy(*keys, "__v")
+        .groupBy(*group, "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
+    # Naming `__n` here too keeps the three readers of `counts` alike: one exchange serves all.
+    sizes = counts.groupBy(*group).agg(
+        F.count("__v").alias("__values"), F.sum("__n").alias("__rows")
+    )
+    is_long = (F.col("__values") > whole_group) & (F.col("__rows") >= F.col("__values"))
+    large = sizes.where(is_long).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)]
+    )
+    is_large = _same_group(counts, large, group)
+    small = counts.join(F.broadcast(large), is_large, "left_anti")
+    hot = counts.join(F.broadcast(large), is_large, "left_semi")
+    return _ranked_whole(small, group, out).unionByName(
+        _ranked_in_slices(hot, group, out)
+    )
+
+
+# Hash of the group keys: rows sort and partition on one number instead of many texts.
+_GROUP = "__group"
+
+
+def _same_group(df: DataFrame, other: DataFrame, group: list[str]) -> Column:
+    same = df[group[0]] == other["__k0"]
+    for i, k in enumerate(group[1:], start=1):
+        same = same & df[k].eqNullSafe(other[f"__k{i}"])
+    return same
+
+
+def _middle(group: list[str], ranked: DataFrame, out: str) -> DataFrame:
+    """Mean of the two middle values; `__last` is the last rank a value covers, from 0."""
+    first = F.col("__last") - F.col("__n") + 1
+
+    def at(rank: str) -> Column:
+        return F.max(F.when(F.col(rank).between(first, F.col("__last")), F.col("__v")))
+
+    lower, upper = at("__r1"), at("__r2")
+    return ranked.groupBy(*group).agg((lower + (upper - lower) * 0.5).alias(out)).drop(_GROUP)
+
+
+def _middle_ranks(total: Column) -> list[Column]:
+    return [
+        F.floor((total - 1) / F.lit(2)).alias("__r1"),
+        F.floor(total / F.lit(2)).alias("__r2"),
+    ]
+
+
+def _ranked_whole(counts: DataFrame, group: list[str], out: str) -> DataFrame:
+    upto = Window.partitionBy(*group).orderBy("__v")
+    total = F.sum("__n").over(Window.partitionBy(*group))
+    ranked = counts.select(
+        *group, "__v", "__n", (F.sum("__n").over(upto) - 1).alias("__last"), *_middle_ranks(total)
+    )
+    return _middle(group, ranked, out)
+
+
+def _ranked_in_slices(counts: DataFrame, group: list[str], out: str) -> DataFrame:
+    """Find, from the totals of the slices, the one or two that hold the middle ranks, and rank
+    only the values in their range. Values select them, not slice numbers, so the result does
+    not depend on where the slices were cut."""
     totals = (
-        with_slices(counts, keys, [F.col("__v").asc()])
-        .groupBy(*keys, SLICE)
+        with_slices(counts, group, [F.col("__v").asc()])
+        .groupBy(*group, SLICE)
         .agg(
             F.sum("__n").alias("__size"),
             F.min("__v").alias("__low"),
             F.max("__v").alias("__high"),
         )
     )
-    # At most one row per group and slice from here on.
-    in_order = Window.partitionBy(*keys).orderBy(SLICE)
-    whole = Window.partitionBy(*keys)
-    before = F.sum("__size").over(in_order) - F.col("__size")
-    total = F.sum("__size").over(whole)
+    # One row per group and slice from here on.
+    before = F.sum("__size").over(Window.partitionBy(*group).orderBy(SLICE)) - F.col("__size")
+    total = F.sum("__size").over(Window.partitionBy(*group))
+    holds = (F.col("__r2") >= F.col("__before")) & (
+        F.col("__r1") < F.col("__before") + F.col("__size")
+    )
     middle = (
-        totals.select(*keys, "__low", "__high", "__size", before.alias("__before"), total.alias("__total"))
-        .withColumn("__r1", F.floor((F.col("__total") - 1) / F.lit(2)))
-        .withColumn("__r2", F.floor(F.col("__total") / F.lit(2)))
-        .where(
-            (F.col("__r2") >= F.col("__before"))
-            & (F.col("__r1") < F.col("__before") + F.col("__size"))
+        totals.select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)],
+            "__low",
+            "__high",
+            "__size",
+            before.alias("__before"),
+            *_middle_ranks(total),
         )
-        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                "__low", "__high", "__before", "__r1", "__r2")
+        .where(holds)
+        .drop("__size")
+    )
+    inside = _same_group(counts, middle, group) & F.col("__v").between(
+        F.col("__low"), F.col("__high")
     )
-    inside = [counts[k].eqNullSafe(middle[f"__k{i}"]) for i, k in enumerate(keys)]
-    inside.append(F.col("__v").between(F.col("__low"), F.col("__high")))
-    upto = Window.partitionBy(*keys, "__low").orderBy("__v")
+    upto = Window.partitionBy(*group, "__low").orderBy("__v")
     last = F.col("__before") + F.sum("__n").over(upto) - 1
     ranked = counts.join(middle, inside).select(
-        *keys, "__v", "__n", "__r1", "__r2", last.alias("__last")
+        *group, "__v", "__n", "__r1", "__r2", last.alias("__last")
     )
-    first = F.col("__last") - F.col("__n") + 1
-
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(first, F.col("__last")), F.col("__v")))
-
-    lower, upper = at("__r1"), at("__r2")
-    return ranked.groupBy(*keys).agg((lower + (upper - lower) * 0.5).alias(out))
+    return _middle(group, ranked, out)
 
 
 def summarise_in_order(

@@ -17,6 +17,9 @@ RUNTIME = {
     # force it also where the split costs one more exchange downstream.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods above 8,000 bytes are never compiled by the JVM. The wide typed
+    # projections exceed that; without the limit they would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Only the year partitions present in the written frame are replaced.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -5,15 +5,17 @@ from __future__ import annotations
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
-from tenderlake.operators.slices import falling_steps, group_median
+from tenderlake.operators.slices import WHOLE_GROUP, falling_steps, group_median, group_medians
 from tenderlake.plans import questions as Q
 
 
-def test_group_median_with_one_hot_group(spark):
+@pytest.mark.parametrize("whole_group", [WHOLE_GROUP, 3])
+def test_group_median_with_one_hot_group(spark, whole_group):
     rnd = random.Random(1)
     rows = [(rnd.choice(["hot"] * 6 + ["a", "b", None]), rnd.choice([None, rnd.random() * 100, 7.0])) for _ in range(4000)]
     rows += [("single", 3.0), ("pair", 1.0), ("pair", 2.0), ("empty", None)]
@@ -21,7 +23,7 @@ def test_group_median_with_one_hot_group(spark):
     for k, v in rows:
         if v is not None:
             expected.setdefault(k, []).append(v)
-    got = {r.k: r.m for r in group_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m").collect()}
+    got = {r.k: r.m for r in group_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m", whole_group).collect()}
     assert got.keys() == expected.keys()
     for k, values in expected.items():
         assert abs(got[k] - statistics.median(values)) < 1e-12
@@ -32,6 +34,13 @@ def test_group_median_of_copies(spark):
     assert group_median(df, ["k"], "v", "m").first().m == 1.0
 
 
+def test_several_medians_in_one_pass(spark):
+    rows = [("a", 1.0, None), ("a", 3.0, 5.0), ("b", None, None), (None, 2.0, 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double, w double")
+    got = {r.k: (r.mv, r.mw) for r in group_medians(df, ["k"], {"v": "mv", "w": "mw"}).collect()}
+    assert got == {"a": (2.0, 5.0), None: (2.0, 4.0)}
+
+
 def test_falling_steps_across_slices(spark):
     n = 3000
     rows = [("up", i, float(i)) for i in range(n)]

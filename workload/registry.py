@@ -13,6 +13,11 @@ from tenderlake.session import tune
 
 from .tables import DERIVED, GIVEN
 
+# Size in bytes of a table worth spreading: more than a file open costs, one split at most.
+SPREAD_FROM, SPREAD_TO = 2 * 2**20, 64 * 2**20
+
+_SCHEMAS: dict[str, T.StructType] = {}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -32,12 +37,24 @@ class Tables:
 
     def _build(self, name: str) -> DataFrame:
         if name in GIVEN:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         if name not in DERIVED:
             raise AttributeError(name)
         text = DERIVED[name]
         parts = {n: getattr(self, n) for n in [*GIVEN, *DERIVED] if f"{{{n}}}" in text}
-        return self.spark.sql(text, **parts)
+        table = self.spark.sql(text, **parts)
+        return self._spread(table, parts.values()) if name.startswith("raw_") else table
+
+    def _spread(self, table: DataFrame, parts) -> DataFrame:
+        """Text is dear to parse, and a small file is one task's work however many cores there
+        are: spread its rows. Larger tables come in many splits and are left as they are."""
+        sizes = [p._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for p in parts]
+        if SPREAD_FROM <= max(sizes) <= SPREAD_TO:
+            return table.repartition(self.spark.sparkContext.defaultParallelism)
+        return table
 
     @cached_property
     def per_cig(self) -> DataFrame:
