@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.keys import SOURCE
-from ..sources.delimited import read_delimited
+from ..sources.delimited import read_delimited, read_delimited_by_header
 from ..sources.layers import table_path, write_table
 from . import authorities, awards, cross, execution, finance, quality, tenders
 from .clean import CLEAN, classify_series, latest_statements
@@ -73,7 +73,11 @@ def build_dataset(
     """
     many_lines = dataset in MULTILINE if multiline is None else multiline
     landed = table_path(root, "raw", dataset)
-    write_table(read_delimited(spark, files, columns, many_lines), landed)
+    if columns:
+        text = read_delimited(spark, files, columns, many_lines)
+    else:
+        text = read_delimited_by_header(spark, files, many_lines)
+    write_table(text, landed)
     raw = spark.read.parquet(landed)
     if dataset in {"bandi_gara", "cup", "stazioni_appaltanti"}:
         raw = raw.drop(SOURCE)

@@ -438,7 +438,9 @@ def mart_sforamento(
 
     An unknown discount stays unknown. Implausible rows stay too, with the reason.
     """
-    closed = breakdown.where(F.col("ha_consuntivo") & (F.col("importo_base") > 0))
+    closed = breakdown.where(F.col("ha_consuntivo") & (F.col("importo_base") > 0)).select(
+        "cig", "id_aggiudicazione", "importo_base", "importo_finale", "flag_base_sospetta"
+    )
     awarded = awards.groupBy("cig", "id_aggiudicazione").agg(
         F.sum("importo_aggiudicazione").alias("importo_aggiudicato")
     )

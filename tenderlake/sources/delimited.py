@@ -47,7 +47,7 @@ def read_delimited(
     """All files as one text table, with the file each row came from.
 
     `columns` fixes the layout for every file; by default it is the header of the
-    first one. `multiline` accepts line breaks inside quotes, at the price that a
+    first one, and a file with another header is an error. `multiline` accepts line breaks inside quotes, at the price that a
     file is read by one task, so it is for the few feeds that need it.
     `ragged` adds a flag for rows with too few or too many fields.
     With `split_resources` each path is a directory of part files, and the
@@ -57,6 +57,8 @@ def read_delimited(
     names = columns or header_of(spark, paths[0])
     schema = all_text(names)
     reader = spark.read.options(**_OPTIONS).option("multiLine", str(multiline).lower())
+    if columns is None and not ragged:
+        reader = reader.option("enforceSchema", "false")  # compare every header by name
     if ragged:
         schema = schema.add(RAGGED, T.StringType())
         reader = reader.option("columnNameOfCorruptRecord", RAGGED)

@@ -74,6 +74,13 @@ def test_files_with_other_headers(spark, tmp_path):
     assert sorted((r.cig, r.x, r.y or "") for r in df.collect()) == [("A", "1", ""), ("B", "2", "3")]
 
 
+def test_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("cig;x\nA;1\n")
+    (tmp_path / "b.csv").write_text("x;cig\n2;B\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        delimited.read_delimited(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).collect()
+
+
 def test_year_layers(spark, tmp_path):
     path = str(tmp_path / "t")
     both = spark.createDataFrame([("A", 2023), ("B", 2024)], "cig string, anno int")
