@@ -42,3 +42,17 @@ def drop_matching(df: DataFrame, unwanted: DataFrame, keys: list[str]) -> DataFr
     """Rows whose key does not occur in `unwanted`."""
     other = _renamed(unwanted, keys)
     return df.join(other, _same(df, other, keys), "left_anti")
+
+
+def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """SQL `column NOT IN (values)` without a forced broadcast of the values.
+
+    A NULL on either side makes the test unknown: a NULL in the list drops every
+    row, a NULL in the column drops its row unless the list is empty.
+    """
+    (name,) = values.columns
+    size = values.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count(name).alias("known"))).scalar()
+    n, known = size.getField("n"), size.getField("known")
+    decided = (n == 0) | (F.col(column).isNotNull() & (n == known))
+    listed = values.select(F.col(name).alias(column)).distinct()
+    return drop_matching(df.where(decided), listed, [column])

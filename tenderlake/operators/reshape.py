@@ -44,13 +44,9 @@ def share_of_partition(
 
 
 def share_of_total(df: DataFrame, measure: str, out: str, digits: int = 2) -> DataFrame:
-    """Percentage of the grand total: a one-row aggregate joined on, no global window."""
-    total = df.agg(F.sum(measure).alias("__total"))
-    return (
-        df.crossJoin(F.broadcast(total))
-        .withColumn(out, pct(F.col(measure), F.col("__total"), digits))
-        .drop("__total")
-    )
+    """Percentage of the grand total: a scalar subquery, no global window and no join."""
+    total = df.agg(F.sum(measure)).scalar()
+    return df.withColumn(out, pct(F.col(measure), total, digits))
 
 
 def change_to_previous(
@@ -61,15 +57,17 @@ def change_to_previous(
     return df.withColumn(out, pct(F.col(measure) - before, before, digits))
 
 
-def cumulative_share(df: DataFrame, measure: str, total: DataFrame, n: int, ties: list[str]) -> DataFrame:
-    """Share and running share of the n largest rows; `total` is a one-row frame."""
-    best = top_n(df, measure, n, ties).crossJoin(F.broadcast(total))
-    shares = best.withColumn("pct_mercato", pct(F.col(measure), F.col("__total"), 2))
+def cumulative_share(df: DataFrame, measure: str, n: int, ties: list[str]) -> DataFrame:
+    """Share of the grand total and running share, for the n largest rows."""
+    total = df.agg(F.sum(measure)).scalar()
+    shares = top_n(df, measure, n, ties).withColumn(
+        "pct_mercato", pct(F.col(measure), total, 2)
+    )
     # At most n rows, so one task is enough for the running sum.
     upto = Window.orderBy(F.col(measure).desc_nulls_last(), *ties).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return shares.withColumn("cum_pct", rounded(F.sum("pct_mercato").over(upto), 2)).drop("__total")
+    return shares.withColumn("cum_pct", rounded(F.sum("pct_mercato").over(upto), 2))
 
 
 def positive_long(

@@ -76,7 +76,10 @@ def execution_funnel(tenders: DataFrame, progress: DataFrame, year: int) -> Data
         F.coalesce(F.sum("__late"), F.lit(0)).alias("n_ritardi"),
         billions(F.sum(late_amount), 1).alias("importo_ritardi_mld"),
     )
-    return lots.crossJoin(F.broadcast(statements))  # one row each
+    # One row each: the second comes in as a scalar of its columns.
+    return lots.withColumn("__s", statements.select(F.struct("*")).scalar()).select(
+        *lots.columns, "__s.*"
+    )
 
 
 def late_trend(mart_sal: DataFrame, since: int = 2008) -> DataFrame:
@@ -249,11 +252,10 @@ def top_firms(firms: DataFrame, n: int = 20, role: str | None = None) -> DataFra
 
 def market_concentration(firms: DataFrame, n: int = 20) -> DataFrame:
     """Share and running share of all awards held by the n largest winners."""
-    total = firms.agg(F.sum("n_aggiudicazioni").alias("__total"))
     winners = firms.where(F.col("n_aggiudicazioni") > 0).select(
         "cf", "denominazione", "n_aggiudicazioni"
     )
-    return cumulative_share(winners, "n_aggiudicazioni", total, n, ["cf"])
+    return cumulative_share(winners, "n_aggiudicazioni", n, ["cf"])
 
 
 def procedure_mix(tenders: DataFrame, n: int = 10) -> DataFrame:

@@ -38,9 +38,8 @@ def read_years(
 
 
 def latest_year(df: DataFrame, year: str) -> DataFrame:
-    """Rows of the newest year. A scalar maximum, so the scan is pruned at run time."""
-    newest = df.agg(F.max(year).alias("__newest"))
-    return df.join(F.broadcast(newest), df[year] == newest["__newest"], "left_semi")
+    """Rows of the newest year. The maximum is a scalar subquery, so the scan is pruned at run time."""
+    return df.where(F.col(year) == df.agg(F.max(year)).scalar())
 
 
 def load_mart(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
+from tenderlake.operators.joins import not_in
 from tenderlake.operators.slices import WHOLE_GROUP, falling_steps, group_median, group_medians
 from tenderlake.plans import questions as Q
 
@@ -110,3 +111,15 @@ def test_long_member_lists_stay_whole(spark):
     parts = sorted((r for r in out if not r.cf_mandataria), key=lambda r: r.parte)
     assert all(len(r.mandanti.split(" | ")) <= 64 for r in parts)
     assert " | ".join(r.mandanti for r in parts).split(" | ") == names
+
+
+def test_not_in_is_null_aware(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "name string")
+
+    def kept(*values):
+        listed = spark.createDataFrame([(v,) for v in values], "v string")
+        return sorted(str(r.name) for r in not_in(df, "name", listed).collect())
+
+    assert kept("a", "a") == ["b"]
+    assert kept("a", None) == []
+    assert kept() == ["None", "a", "b"]

@@ -164,4 +164,4 @@ def freshness(t):
     path = scratch_path(t.spark, "bandi")
     write_table(t.bandi, path, "anno_pubblicazione")
     rows = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("righe"))
-    return rows.crossJoin(quality.freshness(t.spark, path).select("giorni"))
+    return rows.withColumn("giorni", quality.freshness(t.spark, path).select("giorni").scalar())

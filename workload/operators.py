@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tenderlake.functions import scalars as S
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
-from tenderlake.operators.joins import attach
+from tenderlake.operators.joins import attach, not_in
 from tenderlake.operators.slices import falling_steps, group_median
 from tenderlake.plans import cross, tenders
 from tenderlake.plans import questions as Q
@@ -237,17 +237,9 @@ def blank_and_castable_keys(t):
     WHERE denominazione NOT IN (SELECT ruolo FROM {aggiudicatari}) GROUP BY 1""",
 )
 def names_that_are_no_roles(t):
-    """Null-aware NOT IN against the published roles; a missing name is dropped.
-
-    The role list is a handful of values; the engine checks its size before it
-    broadcasts it.
-    """
-    t.aggiudicatari.createOrReplaceTempView("vincitori")
-    return t.spark.sql(
-        """
-        SELECT denominazione, count(*) AS n FROM vincitori
-        WHERE denominazione NOT IN (SELECT DISTINCT ruolo FROM vincitori) GROUP BY denominazione"""
-    )
+    """Null-aware NOT IN against the published roles; a missing name is dropped."""
+    named = not_in(t.aggiudicatari, "denominazione", t.aggiudicatari.select("ruolo"))
+    return named.groupBy("denominazione").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- keys -------------------------------------------------------------------
