@@ -44,6 +44,27 @@ def drop_matching(df: DataFrame, unwanted: DataFrame, keys: list[str]) -> DataFr
     return df.join(other, _same(df, other, keys), "left_anti")
 
 
+def attach_distinct_counts(
+    cells: DataFrame, rows: DataFrame, keys: list[str], outs: dict[str, str]
+) -> DataFrame:
+    """Add several distinct counts per group to an aggregate of `rows`: {column: output name}.
+
+    Counting them together with many other aggregates would carry every buffer of
+    those through the shuffle once per counted column. Here only (group, name,
+    value) travels, at the price of reading the few columns again.
+    """
+    values = [
+        F.struct(F.lit(out).alias("__name"), F.col(column).cast("string").alias("__value"))
+        for column, out in outs.items()
+    ]
+    known = rows.select(*keys, F.inline(F.array(*values))).where(F.col("__value").isNotNull())
+    counts = known.distinct().groupBy(*keys).agg(
+        *[F.count_if(F.col("__name") == out).alias(out) for out in outs.values()]
+    )
+    filled = {out: F.coalesce(out, F.lit(0)) for out in outs.values()}
+    return attach(cells, counts, keys).withColumns(filled)
+
+
 def not_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     """SQL `column NOT IN (values)` without a forced broadcast of the values.
 

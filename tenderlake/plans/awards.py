@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import attach
+from ..operators.joins import attach, attach_distinct_counts
 from ..operators.reshape import report_order
 from ..operators.slices import group_medians
 from .tenders import n_rows
@@ -33,8 +33,6 @@ def mart_annuale(awards: DataFrame, years: tuple[int, int] = (2005, 2026)) -> Da
     amount, discount = "importo_aggiudicazione", "ribasso_aggiudicazione"
     cells = rows.groupBy(*groups).agg(
         n_rows().alias("n_aggiudicazioni"),
-        F.count_distinct("cig").alias("n_cig_distinti"),
-        F.count_distinct("id_aggiudicazione").alias("n_id_aggiudicazione_distinti"),
         F.sum(amount).alias("importo_totale"),
         F.avg(amount).alias("importo_medio"),
         F.max(amount).alias("importo_massimo"),
@@ -45,6 +43,8 @@ def mart_annuale(awards: DataFrame, years: tuple[int, int] = (2005, 2026)) -> Da
         F.avg("num_imprese_offerenti").alias("imprese_offerenti_medie"),
         F.avg("num_imprese_invitate").alias("imprese_invitate_medie"),
     )
+    distinct = {"cig": "n_cig_distinti", "id_aggiudicazione": "n_id_aggiudicazione_distinti"}
+    cells = attach_distinct_counts(cells, rows, groups, distinct)
     medians = {amount: "importo_mediano", discount: "ribasso_mediano"}
     return attach(cells, group_medians(rows, groups, medians), groups)
 

@@ -51,7 +51,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     That folder is the one the session names in spark.checkpoint.dir. A session on
     one machine may go without it and gets a temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
