@@ -154,7 +154,8 @@ def _ranked_in_slices(counts: DataFrame, group: list[str], out: str) -> DataFram
     )
     upto = Window.partitionBy(*group, "__low").orderBy("__v")
     last = F.col("__before") + F.sum("__n").over(upto) - 1
-    ranked = counts.join(middle, inside).select(
+    # At most two rows per large group: broadcast, so the values are not exchanged by group.
+    ranked = counts.join(F.broadcast(middle), inside).select(
         *group, "__v", "__n", "__r1", "__r2", last.alias("__last")
     )
     return _middle(group, ranked, out)
