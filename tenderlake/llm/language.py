@@ -18,9 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import by_size, fold
+from .common import by_size, fold, stored
 
 UNDETERMINED = "und"
 WINDOW = 1500
@@ -152,18 +151,21 @@ def fit(
 ) -> Model | None:
     """Model from a bounded sample of the rows of `docs` (text, lang, all to be learned from).
 
-    At most `per_language` texts of each language, of at most `longest` characters, are
-    taken, in the order of a hash of the text; so the driver holds a bounded sample of each
-    language. None if there is no row with a language and a letter.
+    Texts of at most `longest` characters are hashed into `per_language` slots per language;
+    the least hash of each slot is taken. So the driver gets `per_language` texts of each
+    language at most, and no task has more to hold than that. None if there is no row with a
+    language and a letter.
     """
-    ranked = docs.where(
+    texts = docs.where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= longest)
     ).select("text", "lang", F.xxhash64("text").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
+    slot = F.pmod(F.col("h"), F.lit(per_language))
+    least = texts.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).drop("slot")
     rows = (
-        ranked.withColumn("k", F.row_number().over(order))
-        .where(F.col("k") <= per_language)
-        .orderBy("lang", "k")
+        texts.join(F.broadcast(stored(least, "language-sample")), ["lang", "h"])
+        .groupBy("lang", "h")
+        .agg(F.min("text").alias("text"))
+        .orderBy("lang", "h")
         .collect()
     )
     if not rows:

@@ -6,9 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language
+from . import language, packing, toxicity
 from .common import prepare, table
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary() -> str:
+    """Path of the public vocabulary the packing query counts tokens with."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,3 +40,16 @@ def query(name: str, sql: str | None = None):
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document."""
     return language.languages(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.toxic_documents(docs, labels)
+
+
+@query("op3_best_fit_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
