@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, toxicity
+from . import jaccard, language, packing, toxicity
 from .common import prepare, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -53,3 +53,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op6_ngram_jaccard_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    return jaccard.duplicate_classes(table(spark, sf_dir, "documents"))
