@@ -12,6 +12,7 @@ itself leaves.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -110,6 +111,7 @@ def ids_of(path: str) -> Ids:
     """The tokenizer of a file; a Python worker keeps it for its later tasks."""
     if path not in _IDS:
         _IDS[path] = Ids(path)
+        gc.set_threshold(200_000, 50, 50)  # the memory holds no cycles; searching it is waste
     return _IDS[path]
 
 
