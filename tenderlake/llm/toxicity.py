@@ -21,7 +21,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import by_size, fold, stored
 
@@ -302,7 +301,7 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: floa
     """`docs` plus score, the probability that a text is labelled toxic.
 
     Labels are taken only of ids whose crc32 modulo 4 is not 2. The classifier learns from a
-    bounded sample: at most `per_class` texts of each label, in the order of a hash of the
+    bounded sample: at most `per_class` ids of each label, one of each slot of a hash of the
     id; the shares of the two labels among all labelled ids weigh the sample. An id labelled
     both ways counts as toxic. The character model counts all texts. Null and empty texts get
     the score of a text without evidence; without labels of both kinds every score is 0.
@@ -320,10 +319,11 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: floa
     totals = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return docs.withColumn("score", F.lit(0.0))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = marked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class)
-    # 2 * per_class ids at most: a bound set by a parameter.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen.drop("k")), "doc_id")
+    # The ids of a label are hashed into per_class slots, each of which gives one: 2 *
+    # per_class ids at most, a bound set by a parameter.
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(per_class))
+    chosen = marked.groupBy("toxic", slot.alias("slot")).agg(F.min("doc_id").alias("doc_id"))
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen.drop("slot")), "doc_id")
     sample = stored(sample.select("text", "toxic").repartition(32), "toxic-sample")
     used = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     grams = [(r["gram"], r["n"]) for r in trigram_counts(docs).collect()]
