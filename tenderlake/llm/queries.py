@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language, packing, toxicity
+from . import jaccard, language, mixing, packing, toxicity
 from .common import prepare, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,3 +59,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     return jaccard.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op2_source_mixing", mixing.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(docs, labels).select("doc_id", "size", "source_size", "target", "taken")
