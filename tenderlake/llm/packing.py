@@ -137,14 +137,14 @@ def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
                     for k, start in enumerate(range(0, len(ids), 4 * length)):
                         piece = ids[start : start + 4 * length]
                         out.append((doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)))
-                frame = pd.DataFrame(
+                yield pd.DataFrame(
                     out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]
                 )
-                frame["doc_id"] = frame["doc_id"].astype("Int64")
-                yield frame
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return plain.mapInPandas(run, PIECES)
+    # Ids go through Python as text: pandas would turn long ids beside nulls into floats.
+    plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text"))
+    out = plain.mapInPandas(run, PIECES.replace("doc_id long", "doc_id string"))
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def best_fit(
@@ -207,7 +207,7 @@ def pack(
     rule: str = "norm",
     group: int = GROUP,
 ) -> DataFrame:
-    """`pieces` (a stored table with a column length) plus sequence_id and offset.
+    """`pieces` (a stored table with columns doc_id and length) plus sequence_id and offset.
 
     Without limits of their own, documents and attention cost are bounded by what `tokens`
     allows anyway. Pieces are dealt to groups by a hash of their row, so no key can fill a
@@ -227,10 +227,13 @@ def pack(
             sequence_id=(np.int64(key[0]) << 32) + sequence, offset=offset
         )
 
-    dealt = pieces.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+    # As above: the ids pass as text.
+    schema = schema.replace("`doc_id` bigint", "`doc_id` string")
+    dealt = pieces.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("_row", F.monotonically_increasing_id()).withColumn(
         "_group", F.pmod(F.xxhash64("_row"), F.lit(n_groups)).cast("long")
     )
-    return dealt.groupBy("_group").applyInPandas(run, schema)
+    packed = dealt.groupBy("_group").applyInPandas(run, schema)
+    return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def pack_documents(docs: DataFrame, path: str, **limits) -> DataFrame:
