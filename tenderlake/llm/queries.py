@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language, mixing, packing, toxicity
+from . import fingerprints, jaccard, language, mixing, neighbours, packing, toxicity
 from .common import prepare, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -66,3 +66,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return mixing.mix(docs, labels).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_cross_polytope_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_prefix_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
