@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, jaccard, language, mixing, neighbours, packing, toxicity
+from . import fingerprints, jaccard, language, mixing, neighbours, packing, toxicity, warc
 from .common import prepare, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -78,3 +78,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op4_warc_boundaries", warc.ORACLE)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
