@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -50,10 +51,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     The table cuts the lineage: what reads it survives the loss of any executor, and nothing
     is computed twice.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have Spark's cleaner remove the shuffle files of frames that nothing refers to any
+    more: it waits for the driver's garbage collector, which a busy driver seldom runs."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a stored table that no later step reads."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

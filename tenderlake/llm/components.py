@@ -41,6 +41,5 @@ def connected(edges: DataFrame) -> DataFrame:
             break
         state = tuple(row)
     roots = star.select(F.col("v").alias("node")).distinct()
-    return star.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
-        roots.withColumn("comp", F.col("node"))
-    )
+    named = star.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    return stored(named.unionByName(roots.withColumn("comp", F.col("node"))), "components")

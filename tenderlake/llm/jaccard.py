@@ -6,7 +6,7 @@ Filter and verify, with several global orders of the shingles:
 2. Order 1 puts rare shingles first. Two sets that are similar enough share a shingle among
    the first |x| - o + 1 of either, o being the overlap that their sizes ask for. A text is
    listed under every shingle of its longest such prefix, with its place there.
-3. Pivots: in each list the texts are paired with the three whose prefixes end latest (the
+3. Pivots: in each list the texts are paired with the two whose prefixes end latest (the
    least edited ones), never with each other. Verified pairs are links.
 4. Completion: texts of one list that the links so far leave in different components are
    paired, whatever the length of the list. So no pair within a large group is emitted, and
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import by_size, stored
+from .common import by_size, discard, let_go, stored
 from .components import connected
 from .shingles import shingle_hashes, shingle_sets
 
@@ -38,7 +38,7 @@ OVER, UNDER = 3, 4
 WIDTH = 5
 SLOT_BITS = 18
 CHUNK = 1_000_000
-PIVOTS = 3
+PIVOTS = 2
 # Odd factors: the further orders sort shingles by their hash times these.
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 
@@ -139,19 +139,23 @@ def sketched(docs: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(run, schema), "sketched")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. `texts`: node, text of every node.
+def verified(pairs: DataFrame, docs: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough.
 
-    A pair must first share a prefix shingle under each of the further orders.
+    `docs` has the texts (text, text_hash), `hashes` the text_hash of every node. The sets
+    are made anew from the texts of the paired nodes only. A row has its partners with it,
+    so each set is exchanged once per partner and no more. A pair must first share a prefix
+    shingle under each of the further orders.
     """
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = list(zip(batch["node"], batch["text"], strict=True))
-            for part in by_size(rows, lambda r: len(r[1]), CHUNK):
+            place = list(enumerate(batch["text"]))
+            for part in by_size(place, lambda r: len(r[1]), CHUNK):
                 found = shingle_sets([t for _, t in part], WIDTH)
-                yield pd.DataFrame(
-                    {"node": [n for n, _ in part], "shingles": [s.tobytes() for s in found]}
+                rows = batch.iloc[[i for i, _ in part]]
+                yield rows[["node", "partners", "is_b"]].assign(
+                    shingles=[s.tobytes() for s in found]
                 )
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,11 +168,25 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     keep[i] = len(np.intersect1d(p, q, assume_unique=True)) >= least
             yield batch.loc[keep, ["a", "b"]]
 
-    known = texts.mapInPandas(sets, "node long, shingles binary")
-    known = stored(known, "sets")
-    left = known.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = known.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    pairs = stored(pairs, "pairs")
+    # A node's partners are no more than the pivots of its prefix shingles or the texts of
+    # other components it was paired with.
+    sides = pairs.select(F.col("a").alias("node"), F.col("b").alias("partner")).unionByName(
+        pairs.select(F.col("b").alias("node"), F.lit(None).cast("long").alias("partner"))
+    )
+    nodes = sides.groupBy("node").agg(
+        F.collect_list("partner").alias("partners"),
+        F.max(F.col("partner").isNull()).alias("is_b"),
+    )
+    wanted = stored(nodes.join(hashes, "node"), "wanted")
+    held = docs.join(wanted.select("text_hash"), "text_hash", "left_semi")
+    texts = held.groupBy("text_hash").agg(F.first("text").alias("text"))
+    known = texts.join(wanted, "text_hash").select("node", "partners", "is_b", "text")
+    schema = "node long, partners array<bigint>, is_b boolean, shingles binary"
+    known = stored(known.mapInPandas(sets, schema), "sets")
+    left = known.select(F.col("node").alias("a"), F.explode("partners").alias("b"), F.col("shingles").alias("x"))
+    right = known.where("is_b").select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    joined = left.join(right, "b").select("a", "b", "x", "y")
     return stored(joined.mapInPandas(similar, "a long, b long"), "links")
 
 
@@ -191,24 +209,29 @@ def _may_link(n: Column, place: Column, m: Column, other: Column) -> Column:
 
 
 def listed(sketch: DataFrame, classes: DataFrame) -> DataFrame:
-    """token, node, n, place, last: the prefix shingles that more than one class holds."""
+    """token, node, place, n, last: the prefix shingles that more than one class holds.
+
+    Only shingle, class and place are exchanged for all prefixes; most shingles are held by
+    one class alone and end there.
+    """
     stand = sketch.join(classes.select(F.col("node").alias("uid")), "uid", "left_semi")
     rows = stand.select(
-        F.col("uid").alias("node"),
-        "n",
-        F.element_at("prefix", -1).alias("last"),
-        F.posexplode("prefix").alias("place", "token"),
+        F.col("uid").alias("node"), F.posexplode("prefix").alias("place", "token")
     )
     beside = Window.partitionBy("token").orderBy("node")
     rows = rows.withColumn("before", F.lag("node").over(beside)).withColumn(
         "after", F.lead("node").over(beside)
     )
     rows = rows.where(F.col("before").isNotNull() | F.col("after").isNotNull())
-    return stored(rows.select("token", "node", "n", "place", "last"), "listed")
+    rows = stored(rows.select("token", "node", "place"), "shared")
+    sizes = sketch.select(
+        F.col("uid").alias("node"), "n", F.element_at("prefix", -1).alias("last")
+    )
+    return stored(rows.join(stored(sizes.where("n > 0"), "sizes"), "node"), "listed")
 
 
 def pivot_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each listed text with the pivots of its lists."""
+    """Pairs (a, b) of each listed text with the pivots (b) of its lists."""
     latest = Window.partitionBy("token").orderBy(F.desc("last"), "node")
     seen = latest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pivots = [F.nth_value(F.struct("node", "n", "place"), k).over(seen) for k in range(1, PIVOTS + 1)]
@@ -218,8 +241,7 @@ def pivot_pairs(rows: DataFrame) -> DataFrame:
         (F.col("p.node") != F.col("node"))
         & _may_link(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"))
     )
-    a, b = F.least("node", "p.node"), F.greatest("node", "p.node")
-    return rows.select(a.alias("a"), b.alias("b")).distinct()
+    return rows.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct()
 
 
 def crossing_pairs(rows: DataFrame, comps: DataFrame) -> DataFrame:
@@ -254,29 +276,21 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sketch, classes, comps): every row's set, the classes of equal sets (digest, node,
     first_id, text_hash), and the component of every class that has a link (node, comp)."""
     docs = docs.select("doc_id", "text")
-    sketch = sketched(docs)
+    wide = sketched(docs)
+    sketch = stored(wide.drop("prefix"), "rows")
     stand = sketch.where("n > 0").groupBy("digest").agg(
         F.min("uid").alias("node"), F.min("doc_id").alias("first_id")
     )
     classes = stored(stand, "classes")
     hashes = sketch.select(F.col("uid").alias("node"), "text_hash")
-    rows = listed(sketch, classes)
-
-    def check(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(
-            pairs.select(F.col("b").alias("node"))
-        ).distinct()
-        wanted = stored(hashes.join(nodes, "node", "left_semi"), "wanted")
-        held = docs.withColumn("text_hash", F.xxhash64("text")).join(
-            wanted.select("text_hash"), "text_hash", "left_semi"
-        )
-        texts = held.groupBy("text_hash").agg(F.first("text").alias("text"))
-        return verified(pairs, texts.join(wanted, "text_hash").select("node", "text"))
-
-    links = check(pivot_pairs(rows))
-    more = check(crossing_pairs(rows, stored(connected(links), "comps")))
-    comps = stored(connected(links.unionByName(more)), "comps")
+    docs = docs.select("text", F.xxhash64("text").alias("text_hash"))
+    rows = listed(wide, classes)
+    discard(wide)
+    let_go(docs.sparkSession)
+    links = verified(pivot_pairs(rows), docs, hashes)
+    let_go(docs.sparkSession)
+    more = verified(crossing_pairs(rows, connected(links)), docs, hashes)
+    comps = connected(links.unionByName(more))
     return sketch, classes, comps
 
 
