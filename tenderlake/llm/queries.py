@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, jaccard, language, mixing, neighbours, packing, toxicity, warc
+from . import (
+    conversations,
+    fingerprints,
+    jaccard,
+    language,
+    mixing,
+    neighbours,
+    packing,
+    toxicity,
+    urls,
+    warc,
+)
 from .common import prepare, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -84,3 +95,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op5_url_list_as_of", urls.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision of the list entries active at each page's fetch."""
+    return urls.judged_pages(table(spark, sf_dir, "pages"))
+
+
+@query("op10_snapshot_collapse", conversations.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered turns of the maximal conversations."""
+    return conversations.rendered(table(spark, sf_dir, "conversations"))
