@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,41 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+BLOOM_WORDS = 1 << 20
+
+
+def maybe_among(keys: DataFrame, column: str):
+    """A filter on a long column that lets all values of `keys` pass, and few others.
+
+    A bit array of fixed size, 8 MB, in which each key sets one bit: the words are put
+    together by Spark, and only they reach the driver. The more keys, the more other values
+    pass; what reads the filtered rows must not rely on it.
+    """
+    spread = F.xxhash64(F.col(column))
+    words = keys.select(
+        F.pmod(spread, F.lit(BLOOM_WORDS)).cast("int").alias("word"),
+        F.expr(f"shiftleft(1L, cast(pmod(shiftright(xxhash64({column}), 40), 64L) as int))").alias("bit"),
+    )
+    rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits = np.zeros(BLOOM_WORDS, np.int64)
+    bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def passes(mixed: pd.Series) -> pd.Series:
+        h = mixed.to_numpy(np.int64)
+        word = shared.value[np.mod(h, BLOOM_WORDS)]
+        return pd.Series((word >> np.mod(h >> 40, 64)) & 1 == 1)
+
+    return lambda key: passes(F.xxhash64(key))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one, named `row`: whatever they are called, they clash with
+    nothing a step adds; select("row.*") gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

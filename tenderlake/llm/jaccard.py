@@ -11,8 +11,9 @@ Filter and verify, with several global orders of the shingles:
 4. Completion: texts of one list that the links so far leave in different components are
    paired, whatever the length of the list. So no pair within a large group is emitted, and
    no link that would join two components is lost.
-5. Before a pair is verified it must also share a prefix shingle under two more orders.
-   Verification intersects the whole sets.
+5. Candidates of order 1 must share as many of their prefix shingles as similar sets must;
+   before the whole sets are intersected they must also share a prefix shingle under two
+   more orders.
 
 All filters are exact: they drop no pair that reaches the threshold.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import by_size, discard, let_go, stored
+from .common import by_size, discard, let_go, maybe_among, stored, whole_row
 from .components import connected
 from .shingles import shingle_hashes, shingle_sets
 
@@ -179,7 +180,7 @@ def verified(pairs: DataFrame, docs: DataFrame, hashes: DataFrame) -> DataFrame:
         F.max(F.col("partner").isNull()).alias("is_b"),
     )
     wanted = stored(nodes.join(hashes, "node"), "wanted")
-    held = docs.join(wanted.select("text_hash"), "text_hash", "left_semi")
+    held = docs.where(maybe_among(wanted, "text_hash")(F.col("text_hash")))
     texts = held.groupBy("text_hash").agg(F.first("text").alias("text"))
     known = texts.join(wanted, "text_hash").select("node", "partners", "is_b", "text")
     schema = "node long, partners array<bigint>, is_b boolean, shingles binary"
@@ -230,6 +231,33 @@ def listed(sketch: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(rows.join(stored(sizes.where("n > 0"), "sizes"), "node"), "listed")
 
 
+def profiles(rows: DataFrame) -> DataFrame:
+    """node, n, last, tokens: the listed shingles of each text, as many as its longest prefix
+    has at the most."""
+    held = rows.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("last").alias("last"), F.collect_list("token").alias("tokens")
+    )
+    return stored(held, "profiles")
+
+
+def enough_shared(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share as many prefix shingles as similar sets must.
+
+    Of two sets let x be the one whose longest prefix ends first in the order. Shared
+    shingles are those of both prefixes and at most the |x| - |prefix of x| behind it.
+    """
+
+    def side(name):
+        return held.select(*[F.col(c).alias(f"{name}{x}") for c, x in
+                             (("node", ""), ("n", "_n"), ("last", "_last"), ("tokens", "_t"))])
+
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
+    behind = [_ceil_div(OVER * F.col(f"{x}_n"), UNDER) - 1 for x in "ab"]
+    rest = F.when(F.col("a_last") <= F.col("b_last"), behind[0]).otherwise(behind[1])
+    shared = F.size(F.array_intersect("a_t", "b_t"))
+    return rows.where(shared + rest >= _needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
+
+
 def pivot_pairs(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) of each listed text with the pivots (b) of its lists."""
     latest = Window.partitionBy("token").orderBy(F.desc("last"), "node")
@@ -287,9 +315,11 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = listed(wide, classes)
     discard(wide)
     let_go(docs.sparkSession)
-    links = verified(pivot_pairs(rows), docs, hashes)
+    held = profiles(rows)
+    links = verified(enough_shared(pivot_pairs(rows), held), docs, hashes)
     let_go(docs.sparkSession)
-    more = verified(crossing_pairs(rows, connected(links)), docs, hashes)
+    more = enough_shared(crossing_pairs(rows, connected(links)), held)
+    more = verified(more, docs, hashes)
     comps = connected(links.unionByName(more))
     return sketch, classes, comps
 
@@ -328,14 +358,14 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     first = rows.groupBy("comp").agg(F.min(order).alias("k"))
     first = stored(first.select("k.doc_id", "k.text_hash"), "kept")
     bare = sketch.where("n = 0").select("doc_id", "text_hash")
-    held = docs.withColumn("_hash", F.xxhash64("text")).alias("d")
+    held = docs.select(whole_row(docs), "doc_id", F.xxhash64("text").alias("hash")).alias("d")
 
     def among(keys: DataFrame) -> DataFrame:
         k = keys.distinct().alias("k")
-        same = (F.col("d._hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(
+        same = (F.col("d.hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(
             F.col("k.doc_id")
         )
         return held.join(k, same, "left_semi")
 
-    kept = among(first).dropDuplicates(["doc_id", "_hash"]).unionByName(among(bare))
-    return kept.select(*docs.columns)
+    kept = among(first).dropDuplicates(["doc_id", "hash"]).unionByName(among(bare))
+    return kept.select("row.*")

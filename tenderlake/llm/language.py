@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, fold, stored
+from .common import by_size, fold, stored, whole_row
 
 UNDETERMINED = "und"
 WINDOW = 1500
@@ -98,12 +98,17 @@ class Model:
         return (found @ self.landmarks.T) / norm[:, None]
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        owner, found = self.presence(texts)
-        scores = self.kernel(found) @ self.weights
-        mass = found.sum(1) + 1e-3
-        total = np.zeros((len(texts), len(self.langs)))
-        np.add.at(total, owner, scores * mass[:, None])
-        total /= np.bincount(owner, mass, len(texts))[:, None]
+        """Language and score of each text. Texts longer than a chunk are taken in stretches
+        of that length; the windows of all stretches count alike."""
+        parts = [(i, t[k : k + CHUNK]) for i, t in enumerate(texts) for k in range(0, len(t), CHUNK)]
+        total, mass = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts))
+        for run in by_size(parts, lambda r: len(r[1]), CHUNK):
+            owner, found = self.presence([t for _, t in run])
+            owner = np.array([i for i, _ in run])[owner]
+            weight = found.sum(1) + 1e-3
+            np.add.at(total, owner, self.kernel(found) @ self.weights * weight[:, None])
+            np.add.at(mass, owner, weight)
+        total /= np.maximum(mass, 1e-9)[:, None]
         best = total.argmax(1)
         score = np.clip(total[np.arange(len(texts)), best], 0, 1)
         return [self.langs[i] for i in best], score.tolist()
@@ -190,10 +195,9 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             lang, score = [UNDETERMINED] * len(batch), [0.0] * len(batch)
             rows = [(i, t) for i, t in enumerate(batch) if t and any(map(str.isalpha, t))]
-            for run in by_size(rows, lambda r: len(r[1]), CHUNK):
-                names, values = model.predict([t for _, t in run])
-                for (i, _), name, value in zip(run, names, values, strict=True):
-                    lang[i], score[i] = name, value
+            names, values = model.predict([t for _, t in rows])
+            for (i, _), name, value in zip(rows, names, values, strict=True):
+                lang[i], score[i] = name, value
             yield pd.DataFrame({"lang_pred": lang, "score": score})
 
     udf = F.pandas_udf(scored, "lang_pred string, score double")
@@ -221,6 +225,6 @@ def languages(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = 0.2) -> DataFrame:
     """The rows of `docs` whose language is told with a score of `least` or more."""
     model = fit(learnable(docs.select("doc_id", "text", "lang")))
-    kept = identify(docs.select(*docs.columns), model)
-    kept = kept.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return kept.select(*docs.columns)
+    told = identify(docs.select(whole_row(docs), "text"), model)
+    told = told.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
+    return told.select("row.*")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import stored, whole_row
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -172,21 +172,21 @@ def repeat_taken(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0
     """The rows of `docs` as often as the mix takes them: not at all, once or twice. Equal
     rows share what is taken of them in turn. Rows without words are not in the mix."""
     same = ["doc_id", "source", "text_hash"]
-    copies = F.expr("taken div size")
     taken = mix(docs.select("doc_id", "text", "source"), labels, seed)
-    taken = taken.where("taken > 0").groupBy(*same).agg(F.sum(copies).alias("copies"))
-    equal = Window.partitionBy(*[f"d.{c}" for c in same])
-    held = docs.withColumn("text_hash", F.xxhash64("text")).alias("d")
-    t = taken.alias("t")
+    taken = taken.where("taken > 0").groupBy(*same).agg(
+        F.sum(F.expr("taken div size")).alias("copies")
+    )
+    held = docs.select(
+        whole_row(docs), "doc_id", "source", F.xxhash64("text").alias("text_hash")
+    ).alias("d")
     match = F.col("d.text_hash") == F.col("t.text_hash")
     for c in ("doc_id", "source"):
         match = match & F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}"))
-    joined = held.join(t, match).select(
-        "d.*",
-        "t.copies",
-        F.row_number().over(equal.orderBy("d.text_hash")).alias("_k"),
-        F.count("*").over(equal).alias("_n"),
+    joined = held.join(taken.alias("t"), match).select("d.*", "t.copies")
+    equal = Window.partitionBy(*same)
+    joined = joined.withColumns(
+        {"k": F.row_number().over(equal.orderBy("copies")), "n": F.count("*").over(equal)}
     )
-    times = F.expr("copies div _n + if(_k <= copies % _n, 1, 0)").cast("int")
-    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    times = F.expr("copies div n + if(k <= copies % n, 1, 0)").cast("int")
+    repeated = joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times)))
+    return repeated.select("row.*")

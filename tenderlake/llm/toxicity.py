@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, fold, stored
+from .common import by_size, fold, stored, whole_row
 
 # Symbols of the character model: 0 is a word's edge, the last one any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(i) for i in range(0xDF, 0x100) if i != 0xF7)
@@ -355,5 +355,6 @@ def toxic_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 
 def keep_harmless(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of `docs` whose score is below `threshold`."""
-    rows = score(docs.select(*docs.columns), labels.select("doc_id", "toxic"))
-    return rows.where(F.col("score") < threshold).select(*docs.columns)
+    rows = docs.select(whole_row(docs), "doc_id", "text")
+    rows = score(rows, labels.select("doc_id", "toxic"))
+    return rows.where(F.col("score") < threshold).select("row.*")
