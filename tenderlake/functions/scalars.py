@@ -104,6 +104,13 @@ def clamp_date(c: Column | str, first: Column, last: Column) -> Column:
     return F.when(day.between(first, last), day)
 
 
+def in_years(day: Column | str, years: tuple[int, int | None]) -> Column:
+    """Is the day's year in the range? Without an upper year, up to the year of today."""
+    first, last = years
+    upper = F.year(F.current_date()) if last is None else F.lit(last)
+    return F.year(day).between(F.lit(first), upper)
+
+
 def days_between(start: Column | str, end: Column | str) -> Column:
     return F.datediff(as_column(end), as_column(start))
 

@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from .joins import attach
 
 SOURCE = "__source_file"
+# The lot key as the file has it: files compete for published keys, spelling included.
+PUBLISHED = "__published_cig"
+
+
+def file_number(source: str = SOURCE) -> Column:
+    """The head of a file's name, seven bytes, as a whole number in the order of the names.
+    Resources are numbered at the head as they are collected (`00-`, `01-`, ...)."""
+    head = F.substring(F.col(source).cast("binary"), 1, 7)
+    return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
 
 
 def _remaining(df: DataFrame, used: list[str]) -> list[Column]:
@@ -25,21 +34,28 @@ def keep_newest_source(df: DataFrame, key: str = "cig", source: str = SOURCE) ->
     """Keep the rows of each key that come from the newest file naming that key.
 
     A later file replaces everything an earlier one said about the key, so only
-    keys seen in more than one file need a lookup; the others pass unmatched.
+    keys seen in more than one file need a lookup; the others pass unmatched. Files
+    are compared by number: a minimum of whole numbers is combined by hashing, one of
+    names would sort all rows by key first.
     """
+    numbered = df.withColumn("__file", file_number(source))
     span = (
-        df.groupBy(key)
-        .agg(F.min(source).alias("__oldest"), F.max(source).alias("__newest"))
+        numbered.groupBy(key)
+        .agg(F.min("__file").alias("__oldest"), F.max("__file").alias("__newest"))
         .where(F.col("__oldest") < F.col("__newest"))
         .drop("__oldest")
     )
-    stale = F.col("__newest").isNotNull() & (F.col(source) < F.col("__newest"))
-    return attach(df, span, [key]).where(~stale).drop("__newest")
+    stale = F.col("__newest").isNotNull() & (F.col("__file") < F.col("__newest"))
+    return attach(numbered, span, [key]).where(~stale).drop("__newest", "__file")
 
 
-def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """First row per key. Ties are broken by the other columns, so a retried task picks the same row."""
-    window = Window.partitionBy(*keys).orderBy(*order, *_remaining(df, keys))
+def one_per_key(
+    df: DataFrame, keys: list[str], order: list[Column], ordered_by: list[str] | None = None
+) -> DataFrame:
+    """First row per key. Ties are broken by the columns that are neither key nor in the order
+    (`ordered_by` names those), so a retried task picks the same row."""
+    rest = _remaining(df, [*keys, *(ordered_by or [])])
+    window = Window.partitionBy(*keys).orderBy(*order, *rest)
     return (
         df.withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") == 1).drop("__rn")
     )
@@ -47,12 +63,12 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
 
 def latest_per_key(df: DataFrame, keys: list[str], dates: list[str]) -> DataFrame:
     """Most recent row per key, undated rows last."""
-    return one_per_key(df, keys, [F.col(d).desc_nulls_last() for d in dates])
+    return one_per_key(df, keys, [F.col(d).desc_nulls_last() for d in dates], dates)
 
 
 def newest_source_per_key(df: DataFrame, keys: list[str], source: str = SOURCE) -> DataFrame:
     """Newest file wins per full key; other rows of the same lot survive."""
-    return one_per_key(df, keys, [F.col(source).desc_nulls_last()])
+    return one_per_key(df, keys, [F.col(source).desc_nulls_last()], [source])
 
 
 def split_dedup(

@@ -1,8 +1,8 @@
 """Ordered work inside groups of any size.
 
 A window over a group puts the whole group in one task. Here the rows are
-range-partitioned on (group, order) first, so a large group is cut into slices of
-bounded size; the windows run per slice, and only one summary row per slice meets
+range-partitioned on (group, order) first, so a large group is cut into as many slices
+as the caller asks for the size of the input; the windows run per slice, and only one summary row per slice meets
 in the group's own window.
 """
 
@@ -15,45 +15,53 @@ SLICE = "__slice"
 
 
 def slice_count(df: DataFrame) -> int:
+    """Slices where the caller knows no better: as many as the session shuffles into."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def slices_for(n_bytes: int, target: int = 256 * 2**20) -> int:
+    """Slices of about `target` bytes for an input of `n_bytes`."""
+    return max(1, -(-n_bytes // target))
+
+
+def with_slices(
+    df: DataFrame, keys: list[str], order: list[Column], slices: int | None = None
+) -> DataFrame:
     """Number contiguous (keys, order) ranges; the explicit count keeps AQE from merging them.
 
-    Read the result once per plan: the cut points come from a sample, so two
-    readers may see different slices.
+    `slices` follows from the size of the input (`slices_for`). Read the result once
+    per plan: the cut points come from a sample, so two readers may see different
+    slices. No result depends on where the cuts are.
     """
-    ranged = df.repartitionByRange(slice_count(df), *[F.col(k).asc_nulls_last() for k in keys], *order)
+    n = slices or slice_count(df)
+    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *order)
     return ranged.withColumn(SLICE, F.spark_partition_id())
 
 
-def group_medians(df: DataFrame, keys: list[str], outs: dict[str, str]) -> DataFrame:
+def group_medians(
+    df: DataFrame, keys: list[str], outs: dict[str, str], slices: int | None = None
+) -> DataFrame:
     """Exact medians of several columns in one pass: {column: output name}."""
     pairs = [
         F.struct(F.lit(out).alias("__name"), F.col(value).cast("double").alias("__value"))
         for value, out in outs.items()
     ]
     long = df.select(*keys, F.inline(F.array(*pairs)))
-    medians = group_median(long, [*keys, "__name"], "__value", "__median")
+    medians = group_median(long, [*keys, "__name"], "__value", "__median", slices)
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("__name") == out, F.col("__median"))).alias(out) for out in outs.values()]
     )
 
 
-# A group with at most this many distinct values is ranked in one window.
-WHOLE_GROUP = 1_000_000
-
-
 def group_median(
-    df: DataFrame, keys: list[str], value: str, out: str, whole_group: int = WHOLE_GROUP
+    df: DataFrame, keys: list[str], value: str, out: str, slices: int | None = None
 ) -> DataFrame:
     """Exact interpolated median of `value` per group, one row per group with a non-NULL value.
 
     Rows are first collapsed to distinct (group, value) with a count, combined
-    map-side. Groups of at most `whole_group` values are ranked in a window each;
-    larger ones in slices. There is at most one large group per `whole_group`
-    rows, which bounds the broadcast list that tells them apart.
+    map-side. The values are then cut into ordered slices; the totals of the slices
+    tell which one or two hold the middle of a group, and only the values in their
+    range are ranked. Groups of any size go the same way.
     """
     group = [_GROUP, *keys]
     counts = (
@@ -64,20 +72,7 @@ def group_median(
         .groupBy(*group, "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    # Naming `__n` here too keeps the three readers of `counts` alike: one exchange serves all.
-    sizes = counts.groupBy(*group).agg(
-        F.count("__v").alias("__values"), F.sum("__n").alias("__rows")
-    )
-    is_long = (F.col("__values") > whole_group) & (F.col("__rows") >= F.col("__values"))
-    large = sizes.where(is_long).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)]
-    )
-    is_large = _same_group(counts, large, group)
-    small = counts.join(F.broadcast(large), is_large, "left_anti")
-    hot = counts.join(F.broadcast(large), is_large, "left_semi")
-    return _ranked_whole(small, group, out).unionByName(
-        _ranked_in_slices(hot, group, out)
-    )
+    return _ranked_in_slices(counts, group, out, slices)
 
 
 # Hash of the group keys: rows sort and partition on one number instead of many texts.
@@ -109,21 +104,14 @@ def _middle_ranks(total: Column) -> list[Column]:
     ]
 
 
-def _ranked_whole(counts: DataFrame, group: list[str], out: str) -> DataFrame:
-    upto = Window.partitionBy(*group).orderBy("__v")
-    total = F.sum("__n").over(Window.partitionBy(*group))
-    ranked = counts.select(
-        *group, "__v", "__n", (F.sum("__n").over(upto) - 1).alias("__last"), *_middle_ranks(total)
-    )
-    return _middle(group, ranked, out)
-
-
-def _ranked_in_slices(counts: DataFrame, group: list[str], out: str) -> DataFrame:
+def _ranked_in_slices(
+    counts: DataFrame, group: list[str], out: str, slices: int | None
+) -> DataFrame:
     """Find, from the totals of the slices, the one or two that hold the middle ranks, and rank
     only the values in their range. Values select them, not slice numbers, so the result does
     not depend on where the slices were cut."""
     totals = (
-        with_slices(counts, group, [F.col("__v").asc()])
+        with_slices(counts, group, [F.col("__v").asc()], slices)
         .groupBy(*group, SLICE)
         .agg(
             F.sum("__n").alias("__size"),
@@ -154,15 +142,20 @@ def _ranked_in_slices(counts: DataFrame, group: list[str], out: str) -> DataFram
     )
     upto = Window.partitionBy(*group, "__low").orderBy("__v")
     last = F.col("__before") + F.sum("__n").over(upto) - 1
-    # At most two rows per large group: broadcast, so the values are not exchanged by group.
-    ranked = counts.join(F.broadcast(middle), inside).select(
+    # At most two rows per group: whether they fit a broadcast is measured by AQE.
+    ranked = counts.join(middle, inside).select(
         *group, "__v", "__n", "__r1", "__r2", last.alias("__last")
     )
     return _middle(group, ranked, out)
 
 
 def summarise_in_order(
-    df: DataFrame, keys: list[str], order: list[Column], value: str, row: Column | None = None
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    value: str,
+    row: Column | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Per group, over its rows in the given order: (keys, n, falls, top, top_row).
 
@@ -173,7 +166,7 @@ def summarise_in_order(
     Neighbours inside a slice are compared by `lag`; across a cut, the last value of
     the slice before with the first after.
     """
-    sliced = with_slices(df, keys, order)
+    sliced = with_slices(df, keys, order, slices)
     inner = Window.partitionBy(*keys, SLICE).orderBy(*order)
     steps = sliced.select(
         *keys,

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import in_years
 from ..operators.joins import attach, attach_distinct_counts
 from ..operators.reshape import report_order
 from ..operators.slices import group_medians
 from .tenders import n_rows
 
 
-def mart_annuale(awards: DataFrame, years: tuple[int, int] = (2005, 2026)) -> DataFrame:
+def mart_annuale(awards: DataFrame, years: tuple[int, int | None] = (2005, None)) -> DataFrame:
     """Awards per month, outcome, criterion and flags."""
     day = F.col("data_aggiudicazione_definitiva")
     groups = [
@@ -23,7 +24,7 @@ def mart_annuale(awards: DataFrame, years: tuple[int, int] = (2005, 2026)) -> Da
         "asta_elettronica",
         "flag_importo_positivo",
     ]
-    rows = awards.where(F.year(day).between(*years)).withColumns(
+    rows = awards.where(in_years(day, years)).withColumns(
         {
             "anno_aggiudicazione": F.year(day),
             "mese_aggiudicazione": F.month(day),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.keys import SOURCE
-from ..sources.delimited import read_delimited, read_delimited_by_header
+from ..sources.delimited import is_tolerant, read_delimited, read_delimited_by_header
 from ..sources.layers import table_path, write_table
 from . import authorities, awards, cross, execution, finance, quality, tenders
 from .clean import CLEAN, classify_series, latest_statements
@@ -61,7 +62,7 @@ def build_dataset(
     files: list[str],
     root: str,
     columns: list[str] | None = None,
-    multiline: bool | None = None,
+    multiline: bool | list[str] | None = None,
     check: bool = True,
     today: date | None = None,
 ) -> dict[str, DataFrame]:
@@ -70,11 +71,18 @@ def build_dataset(
     The text is stored as Parquet first: the delta rule reads it twice, once for
     the keys alone, and parsing the files is the dearest step. Marts read the
     stored clean table. A broken promise stops the build before the marts.
+    `multiline` names the files that need the tolerant scan (badly quoted, with line
+    breaks in fields); by default all files of the feeds known for it do.
     """
     many_lines = dataset in MULTILINE if multiline is None else multiline
     landed = table_path(root, "raw", dataset)
     if columns:
-        text = read_delimited(spark, files, columns, many_lines)
+        parts = [
+            read_delimited(spark, chosen, columns, whole)
+            for whole in (False, True)
+            if (chosen := [f for f in files if is_tolerant(f, many_lines) == whole])
+        ]
+        text = reduce(DataFrame.unionByName, parts)
     else:
         text = read_delimited_by_header(spark, files, many_lines)
     write_table(text, landed)
@@ -93,7 +101,9 @@ def build_dataset(
     clean = spark.read.parquet(path)
     if check:
         quality.validate(
-            quality.audit(clean, dataset, quality.CLEAN_RULES[dataset], year, today, path=path)
+            quality.audit(
+                clean, dataset, quality.CLEAN_RULES[dataset], year, today, path=path, newest=True
+            )
         )
     tables = {"clean": clean}
     for name, mart in MARTS[dataset].items():
@@ -149,4 +159,7 @@ def build_cross(
         if check:
             rules = quality.MART_RULES["cross"][name]
             quality.validate(quality.audit(stored[name], name, rules, today=today))
+    absent = quality.missing_tables(stored, list(quality.MART_RULES["cross"]))
+    if absent:
+        raise quality.QualityError(f"cross: tables not there: {', '.join(absent)}")
     return stored

@@ -30,6 +30,15 @@ def _with_source(raw: DataFrame, fields: list[L.Field], *extra: Column) -> DataF
     return raw.select(*L.typed(raw, fields), *extra, F.col(K.SOURCE))
 
 
+def _newest_files(rows: DataFrame) -> DataFrame:
+    """Rows of the newest file of each published lot key, without the bookkeeping columns."""
+    return K.keep_newest_source(rows, K.PUBLISHED).drop(K.SOURCE, K.PUBLISHED)
+
+
+def _with_lot(raw: DataFrame, fields: list[L.Field], *extra: Column) -> DataFrame:
+    return _with_source(raw, fields, *extra, L.published(raw, "cig").alias(K.PUBLISHED))
+
+
 def clean_bandi_gara(raw: DataFrame, years: list[int] | None = None) -> DataFrame:
     """Tenders: one row per lot and publication year, newest communication first.
 
@@ -46,19 +55,21 @@ def clean_bandi_gara(raw: DataFrame, years: list[int] | None = None) -> DataFram
     ).withColumn("flag_importo_sospetto", suspect)
 
 
-def clean_aggiudicazioni(raw: DataFrame, years: tuple[int, int] = (2005, 2026)) -> DataFrame:
+def clean_aggiudicazioni(
+    raw: DataFrame, years: tuple[int, int | None] = (2005, None)
+) -> DataFrame:
     """Awards: rows without a plausible award date are dropped before files compete."""
-    rows = _with_source(raw, L.AGGIUDICAZIONI)
-    dated = rows.where(F.year("data_aggiudicazione_definitiva").between(*years))
+    rows = _with_lot(raw, L.AGGIUDICAZIONI)
+    dated = rows.where(S.in_years("data_aggiudicazione_definitiva", years))
     return K.latest_per_key(
-        K.keep_newest_source(dated).drop(K.SOURCE),
+        _newest_files(dated),
         ["cig", "id_aggiudicazione"],
         ["data_comunicazione_esito", "data_aggiudicazione_definitiva"],
     )
 
 
 def clean_aggiudicatari(raw: DataFrame) -> DataFrame:
-    rows = K.keep_newest_source(_with_source(raw, L.AGGIUDICATARI)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.AGGIUDICATARI))
     return K.one_per_key(
         rows.where(F.col("id_aggiudicazione").isNotNull()),
         ["cig", "id_aggiudicazione", "codice_fiscale"],
@@ -67,12 +78,12 @@ def clean_aggiudicatari(raw: DataFrame) -> DataFrame:
 
 
 def clean_partecipanti(raw: DataFrame) -> DataFrame:
-    rows = K.keep_newest_source(_with_source(raw, L.PARTECIPANTI)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.PARTECIPANTI))
     return K.distinct_records(rows)
 
 
 def clean_subappalti(raw: DataFrame) -> DataFrame:
-    rows = K.keep_newest_source(_with_source(raw, L.SUBAPPALTI)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.SUBAPPALTI))
     return K.latest_per_key(
         rows, ["cig", "id_subappalto", "cod_categoria", "codice_fiscale"], ["data_autorizzazione"]
     )
@@ -82,7 +93,7 @@ def clean_avvio_contratto(
     raw: DataFrame, as_of: date | None = None, since: date = DOMAIN_START
 ) -> DataFrame:
     """Contract starts; implausible days become NULL one by one, the row stays."""
-    rows = K.keep_newest_source(_with_source(raw, L.AVVIO_CONTRATTO)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.AVVIO_CONTRATTO))
     newest = K.latest_per_key(rows, ["cig", "id_aggiudicazione"], ["data_stipula_contratto"])
     first, today, horizon = F.lit(since), _today(as_of), F.lit(TERM_END)
     signed = F.col("data_stipula_contratto")
@@ -111,7 +122,7 @@ def clean_avvio_contratto(
 def clean_fine_contratto(
     raw: DataFrame, as_of: date | None = None, since: date = DOMAIN_START
 ) -> DataFrame:
-    rows = K.keep_newest_source(_with_source(raw, L.FINE_CONTRATTO)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.FINE_CONTRATTO))
     newest = K.latest_per_key(rows, ["cig", "id_aggiudicazione"], ["data_effettiva_ultimazione"])
     return _clamped(
         newest, ["data_conclusione_anticipata", "data_effettiva_ultimazione"], since, as_of
@@ -123,7 +134,7 @@ def clean_sospensioni(
 ) -> DataFrame:
     """Suspensions. The published day is part of the key, so unreadable days stay apart."""
     day_text = L.published(raw, "data_sospensione").cast("string").alias("__giorno")
-    rows = K.keep_newest_source(_with_source(raw, L.SOSPENSIONI, day_text)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.SOSPENSIONI, day_text))
     newest = K.latest_per_key(
         rows,
         ["cig", "id_aggiudicazione", "__giorno", "descrizione_motivo"],
@@ -136,7 +147,7 @@ def clean_varianti(
     raw: DataFrame, as_of: date | None = None, since: date = DOMAIN_START
 ) -> DataFrame:
     """Contract changes; no dedup inside a file."""
-    rows = K.keep_newest_source(_with_source(raw, L.VARIANTI)).drop(K.SOURCE)
+    rows = _newest_files(_with_lot(raw, L.VARIANTI))
     return _clamped(rows, ["data_approvazione_variante", "data_atto_aggiuntivo"], since, as_of)
 
 
@@ -148,9 +159,9 @@ def _clamped(rows: DataFrame, dates: list[str], since: date, as_of: date | None)
 
 
 def clean_collaudo(raw: DataFrame) -> DataFrame:
-    rows = _with_source(raw, L.COLLAUDO).where(F.col("cig").isNotNull())
+    rows = _with_lot(raw, L.COLLAUDO).where(F.col("cig").isNotNull())
     return K.latest_per_key(
-        K.keep_newest_source(rows).drop(K.SOURCE),
+        _newest_files(rows),
         ["cig", "id_aggiudicazione"],
         ["data_cert_collaudo", "data_delibera"],
     )
@@ -158,9 +169,9 @@ def clean_collaudo(raw: DataFrame) -> DataFrame:
 
 def latest_statements(raw: DataFrame) -> DataFrame:
     """Typed work-progress statements, one per number, from the newest file of each lot."""
-    rows = _with_source(raw, L.STATI_AVANZAMENTO).where(F.col("cig").isNotNull())
+    rows = _with_lot(raw, L.STATI_AVANZAMENTO).where(F.col("cig").isNotNull())
     return K.latest_per_key(
-        K.keep_newest_source(rows).drop(K.SOURCE),
+        _newest_files(rows),
         ["cig", "id_aggiudicazione", "progressivo_sal"],
         ["data_emissione_sal"],
     )
@@ -236,12 +247,18 @@ def clean_stazioni_appaltanti(raw: DataFrame) -> DataFrame:
 
 
 def clean_quadro_economico(raw: DataFrame) -> DataFrame:
-    """Cost-breakdown events: the newest file wins per event, not per lot."""
+    """Cost-breakdown events: the newest file wins per event, not per lot.
+
+    Events are told apart by what was published, before anything is cast: two ids
+    that cannot be read stay two events.
+    """
     known = raw.where(S.not_blank("cig") & F.col("id_aggiudicazione").isNotNull())
-    return K.newest_source_per_key(
-        _with_source(known, L.QUADRO_ECONOMICO),
-        ["cig", "id_aggiudicazione", "descrizione_evento", "dettaglio_evento"],
-    ).drop(K.SOURCE)
+    key = ["cig", "id_aggiudicazione", "descrizione_evento", "dettaglio_evento"]
+    text = [L.published(known, c).alias(f"__{c}") for c in key]
+    rows = _with_source(known, L.QUADRO_ECONOMICO, *text)
+    return K.newest_source_per_key(rows, [f"__{c}" for c in key]).drop(
+        K.SOURCE, *[f"__{c}" for c in key]
+    )
 
 
 # Label of the prevailing source, by priority among equal amounts.

@@ -441,13 +441,13 @@ def mart_sforamento(
     closed = breakdown.where(F.col("ha_consuntivo") & (F.col("importo_base") > 0)).select(
         "cig", "id_aggiudicazione", "importo_base", "importo_finale", "flag_base_sospetta"
     )
-    awarded = awards.groupBy("cig", "id_aggiudicazione").agg(
-        F.sum("importo_aggiudicazione").alias("importo_aggiudicato")
-    )
     valid = F.col("ribasso_aggiudicazione").between(0, 99)
-    discount = (
-        awards.where(valid).groupBy("cig").agg(F.max("ribasso_aggiudicazione").alias("ribasso_pct"))
+    awarded = awards.groupBy("cig", "id_aggiudicazione").agg(
+        F.sum("importo_aggiudicazione").alias("importo_aggiudicato"),
+        F.max(F.when(valid, F.col("ribasso_aggiudicazione"))).alias("__ribasso"),
     )
+    # From the aggregate above, not from the awards: they are read and exchanged once.
+    discount = awarded.groupBy("cig").agg(F.max("__ribasso").alias("ribasso_pct"))
     # Reasons are coded values, so the distinct list of a lot stays short.
     reasons = (
         changes.groupBy("cig", "motivo_variante")
@@ -467,7 +467,11 @@ def mart_sforamento(
     lot_facts = (
         per_cig.drop(AMOUNT, "cf_sa").join(discount, "cig", "full").join(reasons, "cig", "full")
     )
-    rows = attach(closed.join(awarded, ["cig", "id_aggiudicazione"], "left"), lot_facts, ["cig"])
+    rows = attach(
+        closed.join(awarded, ["cig", "id_aggiudicazione"], "left").drop("__ribasso"),
+        lot_facts,
+        ["cig"],
+    )
     base, final, won = F.col("importo_base"), F.col("importo_finale"), F.col("importo_aggiudicato")
     net = base * (1 - F.col("ribasso_pct") / 100.0)
     reason = S.first_reason(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import days_between, guarded_days, pct, rounded, series_key
+from ..functions.scalars import days_between, guarded_days, in_years, pct, rounded, series_key
 from .tenders import n_rows, n_where
 
 
@@ -17,12 +17,12 @@ def _newest_first(df: DataFrame, measure: str, *ties: str) -> DataFrame:
     )
 
 
-def mart_sal(progress: DataFrame, years: tuple[int, int] = (2008, 2026)) -> DataFrame:
+def mart_sal(progress: DataFrame, years: tuple[int, int | None] = (2008, None)) -> DataFrame:
     """Progress statements per year; amounts from the series share, never the running total."""
     anomalous = F.col("tipo_serie") == "anomala"
     cells = (
-        progress.withColumn("anno", F.year("data_emissione_sal"))
-        .where(F.col("anno").between(*years))
+        progress.where(in_years("data_emissione_sal", years))
+        .withColumn("anno", F.year("data_emissione_sal"))
         .groupBy("anno", "flag_ritardo")
         .agg(
             n_rows().alias("n_sal"),
@@ -37,10 +37,10 @@ def mart_sal(progress: DataFrame, years: tuple[int, int] = (2008, 2026)) -> Data
     return _newest_first(cells, "n_sal", "flag_ritardo")
 
 
-def mart_collaudo(tests: DataFrame, years: tuple[int, int] = (2000, 2026)) -> DataFrame:
+def mart_collaudo(tests: DataFrame, years: tuple[int, int | None] = (2000, None)) -> DataFrame:
     cells = (
-        tests.withColumn("anno", F.year("data_delibera"))
-        .where(F.col("anno").between(*years))
+        tests.where(in_years("data_delibera", years))
+        .withColumn("anno", F.year("data_delibera"))
         .groupBy("anno", "esito_collaudo")
         .agg(
             n_rows().alias("n_collaudi"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
@@ -13,7 +14,7 @@ from ..functions.scalars import not_blank
 
 MIN_YEAR = 1990
 MAX_AGE_DAYS = 40
-ERROR, WARNING = "errore", "avviso"
+ERROR, WARNING, NOTE = "errore", "avviso", "nota"
 
 
 @dataclass(frozen=True)
@@ -210,21 +211,33 @@ def missing_tables(tables: dict[str, DataFrame], required: list[str]) -> list[st
     return [t for t in required if t not in tables]
 
 
+def _layouts(spark: SparkSession, path: str) -> list[dict[str, str]]:
+    """The distinct layouts of the files of a table, by their footers, many at a time."""
+    files = sorted(spark.read.parquet(path).inputFiles())
+
+    def footer(file: str) -> tuple:
+        return tuple((f.name, f.dataType.simpleString()) for f in spark.read.parquet(file).schema)
+
+    with ThreadPoolExecutor(16) as pool:
+        return [dict(layout) for layout in dict.fromkeys(pool.map(footer, files))]
+
+
+def _changes(old: dict[str, str], new: dict[str, str]) -> list[str]:
+    return [
+        f"{c}: {old.get(c, 'assente')} -> {new.get(c, 'assente')}"
+        for c in sorted(set(old) | set(new))
+        if old.get(c) != new.get(c)
+    ]
+
+
 def schema_drift(spark: SparkSession, partitions: dict[int, str]) -> dict[int, list[str]]:
-    """Per year, the columns whose type differs from the first year. Reads file footers only."""
-    types = {
-        year: {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
-        for year, path in sorted(partitions.items())
-    }
-    first, *others = types
+    """Per year, the columns whose type differs from the first file of the first year in any
+    file of the year. Reads the footers of all files only."""
+    layouts = {year: _layouts(spark, path) for year, path in sorted(partitions.items())}
+    base = next((own[0] for own in layouts.values() if own), {})
     drift = {}
-    for year in others:
-        columns = sorted(set(types[first]) | set(types[year]))
-        changes = [
-            f"{c}: {types[first].get(c, 'assente')} -> {types[year].get(c, 'assente')}"
-            for c in columns
-            if types[first].get(c) != types[year].get(c)
-        ]
+    for year, own in layouts.items():
+        changes = list(dict.fromkeys(c for layout in own for c in _changes(base, layout)))
         if changes:
             drift[year] = changes
     return drift
@@ -251,11 +264,15 @@ def audit(
     today: date | None = None,
     max_age_days: int = MAX_AGE_DAYS,
     path: str | None = None,
+    newest: bool = False,
 ) -> DataFrame:
     """Violated rules as rows (tabella, livello, regola, oggetto, valore); no row is a pass.
 
     Two passes over the table: one aggregate for all row, NULL and date counters,
-    one grouping by key for both uniqueness rules.
+    one grouping by key for both uniqueness rules. With the `path` of the stored
+    table its age is checked, and that all its files have one layout (an error per
+    column that drifts). `newest` adds a note per date column with its newest day,
+    as days since 1970.
     """
     current = (today or date.today()).year
     year = year if year and not missing_columns(df, [year]) else None
@@ -279,6 +296,9 @@ def audit(
         day_year = F.year(column)
         counters.append((ERROR, "date_ante_1990", column, F.count_if(day_year < MIN_YEAR)))
         counters.append((WARNING, "date_future", column, F.count_if(day_year > current)))
+        if newest:
+            day = F.datediff(F.max(column), F.lit(date(1970, 1, 1)))
+            counters.append((NOTE, "data_massima", column, day))
     reports = [_findings(df, name, counters)]
 
     if rules.key and not absent & set(rules.key):
@@ -300,6 +320,10 @@ def audit(
         reports.append(
             _findings(freshness(df.sparkSession, path), name, [(WARNING, "clean_fermo", path, age)])
         )
+        drift = schema_drift(df.sparkSession, {0: path}).get(0, [])
+        if drift:
+            drifted = [(ERROR, "deriva_schema", change, F.lit(1)) for change in drift]
+            reports.append(_findings(df.limit(0), name, drifted))
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -9,7 +9,6 @@ from ..functions import scalars as S
 from ..functions.scalars import billions, pct, rounded
 from ..operators.joins import attach, drop_matching, keep_matching
 from ..operators.reshape import cumulative_share, keep_top_groups, pivot_filled, top_n
-from ..operators.slices import SLICE, with_slices
 from .cross import LATE
 from .tenders import AMOUNT, AWARDED, active_trusted, n_rows, n_where, sum_where
 
@@ -144,73 +143,52 @@ def overdue_trend(mart_esecuzione: DataFrame) -> DataFrame:
 
 # --- firms ------------------------------------------------------------------
 
-NAMES_PER_ROW = 10_000
+def consortia(bidders: DataFrame, min_members: int = 2, ordered: bool = True) -> DataFrame:
+    """Leads of lots with several members: one row per lot and lead, with the number of members.
 
-
-def consortia(
-    bidders: DataFrame, min_members: int = 2, names_per_row: int = NAMES_PER_ROW
-) -> DataFrame:
-    """Leads with the members of the same lot: one row per lot and lead.
-
-    Members are listed once per lot, leads and members are never paired up. A list
-    of more than `names_per_row` names is not repeated for each lead: it follows
-    in rows of its own for the lot (`parte` 1 and up, no lead), complete and sorted.
+    The members' names are rows of their own (`consortia_members`): they are listed
+    once per lot, whatever their number, and leads and members are never paired up.
     """
-    member = bidders.where(F.col("ruolo") == "MANDANTE")
-    counts = (
-        member.groupBy("cig")
-        .agg(F.count_distinct("codice_fiscale").alias("n_mandanti"))
-        .where(F.col("n_mandanti") >= min_members)
-    )
     lead = (
         bidders.where(F.col("ruolo") == "MANDATARIA")
         .groupBy("cig", F.col("codice_fiscale").alias("cf_mandataria"))
         .agg(F.max("denominazione").alias("mandataria"))
     )
-    short, long = _name_lists(member, "cig", "denominazione", "mandanti", names_per_row)
-    lots = counts.join(short, "cig", "left")
-    rows = attach(lead, lots, ["cig"], "inner").withColumn("parte", F.lit(0).cast("bigint"))
-    long_lists = keep_matching(
-        attach(long, counts, ["cig"], "inner"), lead.select("cig").distinct(), ["cig"]
-    )
-    return rows.unionByName(long_lists, allowMissingColumns=True).orderBy(
-        F.col("n_mandanti").desc(), "cig", "parte", F.col("cf_mandataria").asc_nulls_last()
-    )
+    rows = attach(lead, _member_counts(bidders, min_members), ["cig"], "inner")
+    if not ordered:
+        return rows
+    return rows.orderBy(F.col("n_mandanti").desc(), "cig", F.col("cf_mandataria").asc_nulls_last())
 
 
-def _name_lists(df: DataFrame, key: str, name: str, out: str, names_per_row: int, sep: str = " | "):
-    """Distinct names per key, sorted and joined: keys in one row (key, out), and long lists.
+def _member_counts(bidders: DataFrame, min_members: int) -> DataFrame:
+    return (
+        bidders.where(F.col("ruolo") == "MANDANTE")
+        .groupBy("cig")
+        .agg(F.count_distinct("codice_fiscale").alias("n_mandanti"))
+        .where(F.col("n_mandanti") >= min_members)
+    )
 
-    Long lists (key, parte, out) are cut into rows of at most `names_per_row` names,
-    `parte` rising with the names from 1; they are numbered in slices, so one key
-    may hold any number of names.
-    """
-    unique = df.where(F.col(name).isNotNull() & F.col(key).isNotNull()).select(key, name).distinct()
-    sizes = unique.groupBy(key).agg(n_rows().alias("__names"))
-    long_keys = sizes.where(F.col("__names") > names_per_row)
-    text = F.array_join(F.array_sort(F.collect_list(name)), sep).alias(out)
-    short = drop_matching(unique, long_keys, [key]).groupBy(key).agg(text)
-    sliced = with_slices(keep_matching(unique, long_keys, [key]), [key], [F.col(name).asc()])
-    place = F.row_number().over(Window.partitionBy(key, SLICE).orderBy(name)) - 1
-    long = (
-        sliced.withColumn("__piece", F.floor(place / F.lit(names_per_row)))
-        .groupBy(key, SLICE, "__piece")
-        .agg(text)
-        .select(key, (F.col(SLICE).cast("bigint") * 2**31 + F.col("__piece") + 1).alias("parte"), out)
+
+def consortia_members(bidders: DataFrame, min_members: int = 2) -> DataFrame:
+    """Names of the members of the lots that `consortia` lists: one row per lot and name."""
+    member = bidders.where(F.col("ruolo") == "MANDANTE")
+    led = keep_matching(
+        _member_counts(bidders, min_members),
+        bidders.where(F.col("ruolo") == "MANDATARIA").select("cig"),
+        ["cig"],
     )
-    return short, long
+    return keep_matching(distinct_names(member, "cig", "denominazione"), led, ["cig"])
 
 
-def sorted_name_lists(
-    df: DataFrame, key: str, name: str, out: str, names_per_row: int = NAMES_PER_ROW
-) -> DataFrame:
-    """Distinct names per key, sorted and joined, as (key, parte, out).
+def distinct_names(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name) once each; rows without a key or a name are left out."""
+    return df.where(F.col(name).isNotNull() & F.col(key).isNotNull()).select(key, name).distinct()
 
-    `parte` is 0 for a list in one row; a longer list goes on over rows with rising
-    `parte`, complete.
-    """
-    short, long = _name_lists(df, key, name, out, names_per_row)
-    return short.withColumn("parte", F.lit(0).cast("bigint")).unionByName(long)
+
+def names_of(df: DataFrame, key: str, name: str, wanted: list[str], out: str, sep: str = " | ") -> DataFrame:
+    """At reading time: the sorted distinct names of the few keys asked for, as one text each."""
+    rows = distinct_names(df.where(F.col(key).isin(wanted)), key, name)
+    return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(name)), sep).alias(out))
 
 
 def subcontract_receivers(subcontracts: DataFrame) -> DataFrame:
@@ -308,17 +286,16 @@ def region_year_matrix(competition: DataFrame, years: list[int]) -> DataFrame:
 
 
 def lookup_cigs(tables: dict[str, DataFrame], cigs: list[str] | DataFrame) -> dict[str, DataFrame]:
-    """Rows of the given lots in every table that has a `cig` column.
-
-    The stored key is compared as it is (stored upper-case), so the filter
-    reaches the scan. A frame of keys is matched by a semi join.
-    """
+    """Rows of the given lots, in any letter case, in every table that has a `cig` column."""
     having = {name: df for name, df in tables.items() if "cig" in df.columns}
+    stored = F.upper(F.trim("cig"))
     if isinstance(cigs, DataFrame):
-        keys = cigs.select(F.upper(F.trim("cig")).alias("cig"))
-        return {name: keep_matching(df, keys, ["cig"]) for name, df in having.items()}
+        keys = cigs.select(F.upper(F.trim("cig")).alias("__cig")).distinct()
+        return {
+            name: df.join(keys, stored == F.col("__cig"), "left_semi") for name, df in having.items()
+        }
     wanted = [c.strip().upper() for c in cigs]
-    return {name: df.where(F.col("cig").isin(wanted)) for name, df in having.items()}
+    return {name: df.where(stored.isin(wanted)) for name, df in having.items()}
 
 
 def lookup_counts(tables: dict[str, DataFrame], cigs: list[str] | DataFrame) -> DataFrame:

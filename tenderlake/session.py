@@ -45,11 +45,15 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
     return tune(builder.getOrCreate())
 
 
+# Folders of sessions on one machine, removed when the process ends.
+_OWN: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for an intermediate table in the folder all executors share.
 
-    That folder is the one the session names in spark.checkpoint.dir. A session on
-    one machine may go without it and gets a temporary folder.
+    That folder is the one the session names in spark.checkpoint.dir. Only a session
+    on one machine may go without it; it gets one folder of its own, gone with it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -57,5 +61,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tenderlake-")
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = tempfile.TemporaryDirectory(prefix="tenderlake-")
+        shared = _OWN[app].name
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

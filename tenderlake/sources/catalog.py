@@ -3,42 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Over the view `clean_input`, bound to the table named in the comment.
 SQL_TEMPLATES = {
     # any table
     "conta_righe": "SELECT count(*) AS n FROM clean_input",
-    "anteprima": "SELECT * FROM clean_input LIMIT 10",
-    "colonne": "DESCRIBE TABLE clean_input",
     # bandi_gara
     "top_sa_per_importo": """
-        SELECT denominazione_amministrazione_appaltante AS sa,
-               count(*) AS n_bandi,
-               round(sum(importo_lotto), 0) AS importo_totale
         FROM clean_input
-        WHERE cf_amministrazione_appaltante IS NOT NULL
-        GROUP BY denominazione_amministrazione_appaltante
-        ORDER BY importo_totale DESC NULLS LAST, sa LIMIT 20""",
+        |> WHERE cf_amministrazione_appaltante IS NOT NULL
+        |> AGGREGATE count(1) AS n_bandi, round(sum(importo_lotto)) AS importo_totale
+           GROUP BY denominazione_amministrazione_appaltante AS sa
+        |> ORDER BY importo_totale DESC NULLS LAST, sa
+        |> LIMIT 20""",
     "trend_annuale": """
-        SELECT anno_pubblicazione AS anno,
-               count(*) AS n_bandi,
-               round(sum(importo_lotto), 0) AS importo_totale
-        FROM clean_input GROUP BY anno_pubblicazione ORDER BY anno NULLS LAST""",
+        FROM clean_input
+        |> AGGREGATE count(1) AS n_bandi, round(sum(importo_lotto)) AS importo_totale
+           GROUP BY anno_pubblicazione AS anno
+        |> ORDER BY anno NULLS LAST""",
     # aggiudicazioni
     "un_solo_offerente": """
-        SELECT cig, importo_aggiudicazione, num_imprese_offerenti
         FROM clean_input
-        WHERE num_imprese_offerenti = 1 AND importo_aggiudicazione > 1000000
-        ORDER BY importo_aggiudicazione DESC, cig LIMIT 20""",
+        |> WHERE importo_aggiudicazione > 1e6 AND num_imprese_offerenti <=> 1
+        |> SELECT cig, importo_aggiudicazione, num_imprese_offerenti
+        |> ORDER BY importo_aggiudicazione DESC, cig
+        |> LIMIT 20""",
     # stati_avanzamento
     "sal_in_ritardo": """
-        SELECT cig, n_giorni_scostamento, importo_sal
         FROM clean_input
-        WHERE flag_ritardo = 'IN RITARDO'
-        ORDER BY n_giorni_scostamento DESC NULLS LAST, cig, importo_sal LIMIT 20""",
+        |> WHERE flag_ritardo IN ('IN RITARDO')
+        |> SELECT cig, n_giorni_scostamento, importo_sal
+        |> ORDER BY n_giorni_scostamento DESC NULLS LAST, cig, importo_sal
+        |> LIMIT 20""",
 }
 
 
+def preview(table: DataFrame, key: list[str], n: int = 10) -> DataFrame:
+    """The first rows of a table in the order of its key, so that every look shows the same."""
+    return table.orderBy(*[F.col(k).asc_nulls_last() for k in key]).limit(n)
+
+
+def columns(table: DataFrame) -> DataFrame:
+    """The columns of a table, each with the number of rows that are there."""
+    rows = table.agg(F.count("*").alias("n"))
+    return rows.select(F.explode(F.array(*map(F.lit, table.columns))).alias("colonna"), "n")
+
+
 def register(tables: dict[str, DataFrame]) -> None:
     """Expose every table as a temporary view under its own name."""
     for name, df in tables.items():

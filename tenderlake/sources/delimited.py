@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,12 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**_OPTIONS).csv(path).columns
 
 
+def is_tolerant(path: str, multiline: bool | Collection[str]) -> bool:
+    if isinstance(multiline, bool):
+        return multiline
+    return path.rstrip("/").rpartition("/")[2] in set(multiline)
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | list[str],
@@ -73,14 +81,23 @@ def read_delimited(
 
 
 def read_delimited_by_header(
-    spark: SparkSession, paths: list[str], multiline: bool = False, source_file: bool = True
+    spark: SparkSession,
+    paths: list[str],
+    multiline: bool | Collection[str] = False,
+    source_file: bool = True,
 ) -> DataFrame:
-    """Files whose headers differ: one scan per distinct header, columns matched by name."""
-    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        layouts[tuple(header_of(spark, path))].append(path)
+    """Files whose headers differ: one scan per distinct header, columns matched by name.
+
+    `multiline` may name the files (by their last path part) whose quoting asks for the
+    tolerant scan, one task per file; the other files are still split.
+    """
+    layouts: dict[tuple, list[str]] = defaultdict(list)
+    with ThreadPoolExecutor(16) as pool:  # first lines only, many files at a time
+        headers = list(pool.map(lambda p: tuple(header_of(spark, p)), paths))
+    for path, header in zip(paths, headers, strict=True):
+        layouts[is_tolerant(path, multiline), header].append(path)
     scans = [
-        read_delimited(spark, files, list(names), multiline, source_file)
-        for names, files in layouts.items()
+        read_delimited(spark, files, list(names), whole, source_file)
+        for (whole, names), files in layouts.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)

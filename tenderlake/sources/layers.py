@@ -24,11 +24,6 @@ def write_table(df: DataFrame, path: str, year: str | None = None) -> None:
     writer.parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Managed table bucketed and sorted on `key`, for repeated joins without an exchange."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-
-
 def read_years(
     spark: SparkSession, path: str, years: list[int] | None = None, year: str = "anno_pubblicazione"
 ) -> DataFrame:

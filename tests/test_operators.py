@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
 from tenderlake.operators.joins import not_in
-from tenderlake.operators.slices import WHOLE_GROUP, falling_steps, group_median, group_medians
+from tenderlake.operators.slices import falling_steps, group_median, group_medians, slices_for
 from tenderlake.plans import questions as Q
 
 
-@pytest.mark.parametrize("whole_group", [WHOLE_GROUP, 3])
-def test_group_median_with_one_hot_group(spark, whole_group):
+@pytest.mark.parametrize("slices", [1, 4, 16])
+def test_group_median_with_one_hot_group(spark, slices):
     rnd = random.Random(1)
     rows = [(rnd.choice(["hot"] * 6 + ["a", "b", None]), rnd.choice([None, rnd.random() * 100, 7.0])) for _ in range(4000)]
     rows += [("single", 3.0), ("pair", 1.0), ("pair", 2.0), ("empty", None)]
@@ -24,7 +24,7 @@ def test_group_median_with_one_hot_group(spark, whole_group):
     for k, v in rows:
         if v is not None:
             expected.setdefault(k, []).append(v)
-    got = {r.k: r.m for r in group_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m", whole_group).collect()}
+    got = {r.k: r.m for r in group_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m", slices).collect()}
     assert got.keys() == expected.keys()
     for k, values in expected.items():
         assert abs(got[k] - statistics.median(values)) < 1e-12
@@ -96,21 +96,32 @@ BIDDERS = "cig string, ruolo string, codice_fiscale string, denominazione string
 def test_consortia(spark):
     rows = [("A", "MANDATARIA", "L", "Lead"), ("A", "MANDANTE", "1", "Uno"), ("A", "MANDANTE", "2", "Due"),
             ("A", "MANDANTE", "2", "Due"), ("B", "MANDATARIA", "L", "Lead"), ("B", "MANDANTE", "1", "Uno")]
-    got = [tuple(r[c] for c in ("cig", "cf_mandataria", "mandataria", "n_mandanti", "mandanti"))
-           for r in Q.consortia(spark.createDataFrame(rows, BIDDERS)).collect()]
-    assert got == [("A", "L", "Lead", 2, "Due | Uno")]
-
-
-def test_long_member_lists_stay_whole(spark):
-    names = [f"N{i:04d}" for i in range(500)]
-    rows = [("A", "MANDATARIA", f"L{i}", "Lead") for i in range(3)]
-    rows += [("A", "MANDANTE", n, n) for n in names]
-    out = Q.consortia(spark.createDataFrame(rows, BIDDERS), names_per_row=64).collect()
-    leads = [r for r in out if r.cf_mandataria]
-    assert len(leads) == 3 and all(r.n_mandanti == 500 and r.mandanti is None for r in leads)
-    parts = sorted((r for r in out if not r.cf_mandataria), key=lambda r: r.parte)
-    assert all(len(r.mandanti.split(" | ")) <= 64 for r in parts)
-    assert " | ".join(r.mandanti for r in parts).split(" | ") == names
+    bidders = spark.createDataFrame(rows, BIDDERS)
+    got = [tuple(r[c] for c in ("cig", "cf_mandataria", "mandataria", "n_mandanti"))
+           for r in Q.consortia(bidders).collect()]
+    assert got == [("A", "L", "Lead", 2)]
+    assert sorted(tuple(r) for r in Q.consortia_members(bidders).collect()) == [("A", "Due"), ("A", "Uno")]
+    text = Q.names_of(bidders.where("ruolo = 'MANDANTE'"), "cig", "denominazione", ["A"], "nomi")
+    assert [tuple(r) for r in text.collect()] == [("A", "Due | Uno")]
+
+
+@pytest.mark.parametrize("partitions", ["4", "16"])
+def test_long_member_lists_keep_one_shape(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        lead = spark.createDataFrame([("A", "MANDATARIA", f"L{i}", "Lead") for i in range(3)], BIDDERS)
+        number = F.format_string("N%05d", "id")
+        member = spark.range(10_001).select(
+            F.lit("A").alias("cig"), F.lit("MANDANTE").alias("ruolo"),
+            number.alias("codice_fiscale"), number.alias("denominazione"),
+        )
+        bidders = lead.unionByName(member)
+        assert [r.n_mandanti for r in Q.consortia(bidders).collect()] == [10_001] * 3
+        names = sorted(r.denominazione for r in Q.consortia_members(bidders).collect())
+        assert names == [f"N{i:05d}" for i in range(10_001)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_not_in_is_null_aware(spark):

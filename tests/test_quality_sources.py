@@ -102,7 +102,8 @@ def test_sql_templates(spark, frame):
     assert spark.sql("select count(*) from aggiudicazioni").first()[0] == 3
     assert [r.cig for r in catalog.run_template(spark, "un_solo_offerente", awards).collect()] == ["A"]
     assert catalog.run_template(spark, "conta_righe", awards).first().n == 3
-    assert [r.col_name for r in catalog.run_template(spark, "colonne", awards).collect()] == awards.columns
+    assert {(r.colonna, r.n) for r in catalog.columns(awards).collect()} == {(c, 3) for c in awards.columns}
+    assert [r.cig for r in catalog.preview(awards, ["cig"], 2).collect()] == sorted(r.cig for r in awards.collect())[:2]
 
 
 def test_build_dataset_end_to_end(spark, tmp_path):

@@ -73,7 +73,8 @@ def clean_bandi_gara(t):
     "clean_aggiudicazioni",
     f"""
     WITH x AS (
-        SELECT trim(cig) AS cig, try_cast(id_aggiudicazione AS BIGINT) AS id_aggiudicazione,
+        SELECT trim(cig) AS cig, cig AS pubblicato,
+               try_cast(id_aggiudicazione AS BIGINT) AS id_aggiudicazione,
                {_day("data_aggiudicazione_definitiva")} AS agg,
                {_day("data_comunicazione_esito")} AS com,
                try_cast(importo_aggiudicazione AS DOUBLE) AS importo_aggiudicazione,
@@ -81,7 +82,8 @@ def clean_bandi_gara(t):
                try_cast(numero_offerte_ammesse AS INT) AS numero_offerte_ammesse,
                try_cast(num_imprese_offerenti AS INT) AS num_imprese_offerenti, __source_file
         FROM {{raw_aggiudicazioni}}),
-    y AS (SELECT * FROM x WHERE year(agg) BETWEEN 1995 AND 2026 {_NEWEST}),
+    y AS (SELECT * FROM x WHERE year(agg) BETWEEN 1995 AND 2026
+          QUALIFY __source_file = max(__source_file) OVER (PARTITION BY pubblicato)),
     z AS (SELECT * FROM y QUALIFY row_number() OVER (
               PARTITION BY cig, id_aggiudicazione
               ORDER BY com DESC NULLS LAST, agg DESC NULLS LAST, numero_offerte_ammesse NULLS LAST,
@@ -353,13 +355,14 @@ def clean_stazioni_appaltanti(t):
                {_day("data", 1990)} AS d, descrizione_evento, dettaglio_evento,
                try_cast(importo_lavori AS DOUBLE) AS importo_lavori,
                try_cast(importo_servizi AS DOUBLE) AS importo_servizi,
-               try_cast(somme_a_disposizione AS DOUBLE) AS somme_a_disposizione, __source_file
+               try_cast(somme_a_disposizione AS DOUBLE) AS somme_a_disposizione, __source_file,
+               id_aggiudicazione AS pubblicato
         FROM {{raw_quadro}} WHERE trim(cig) <> '' AND id_aggiudicazione IS NOT NULL),
     y AS (SELECT * FROM x QUALIFY row_number() OVER (
-              PARTITION BY cig, id_aggiudicazione, descrizione_evento, dettaglio_evento
+              PARTITION BY cig, pubblicato, descrizione_evento, dettaglio_evento
               ORDER BY __source_file DESC, d NULLS LAST, importo_lavori NULLS LAST,
                        importo_servizi NULLS LAST, somme_a_disposizione NULLS LAST) = 1)
-    SELECT * EXCLUDE (d, __source_file), {_iso("d", "data")} FROM y""",
+    SELECT * EXCLUDE (d, __source_file, pubblicato), {_iso("d", "data")} FROM y""",
 )
 def clean_quadro_economico(t):
     return clean.clean_quadro_economico(t.raw_quadro).select(

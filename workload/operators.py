@@ -416,12 +416,11 @@ def null_safe_join(t):
 @query(
     "member_lists",
     """
-    SELECT cig, CAST(0 AS BIGINT) AS parte,
-           string_agg(DISTINCT denominazione, ' | ' ORDER BY denominazione) AS nomi
-    FROM {partecipanti} WHERE denominazione IS NOT NULL GROUP BY cig""",
+    SELECT DISTINCT cig, denominazione FROM {partecipanti}
+    WHERE denominazione IS NOT NULL AND cig IS NOT NULL""",
 )
 def member_lists(t):
-    return Q.sorted_name_lists(t.partecipanti, "cig", "denominazione", "nomi", Q.NAMES_PER_ROW)
+    return Q.distinct_names(t.partecipanti, "cig", "denominazione")
 
 
 # --- aggregates -------------------------------------------------------------

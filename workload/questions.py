@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tenderlake.plans import cross, execution, tenders
 from tenderlake.plans import questions as Q
 from tenderlake.sources import catalog
@@ -32,24 +34,23 @@ def yearly_overview(t):
 @query(
     "execution_funnel",
     """
-    WITH s AS (SELECT CASE WHEN id_aggiudicazione IS NULL THEN 'c' || cig
-                           ELSE 'a' || id_aggiudicazione END AS k, importo_quota AS q,
-                      CAST(flag_ritardo = 'IN RITARDO' AS INT) AS late
-               FROM {sal} WHERE year(data_emissione_sal) = 1998),
-    g AS (SELECT k, sum(q) AS q, max(late) AS late FROM s GROUP BY k),
-    b AS (SELECT count(*) AS n_bandi,
-                 round(sum(importo_lotto) FILTER (NOT flag_importo_sospetto) / 1e9, 1) AS importo_mld,
-                 count(*) FILTER (esito = 'AGGIUDICATA') AS n_aggiudicati,
-                 round(sum(importo_lotto) FILTER (esito = 'AGGIUDICATA' AND NOT flag_importo_sospetto)
-                       / 1e9, 1) AS importo_agg_mld,
-                 count(*) FILTER (esito IS NULL OR esito = '') AS n_senza_esito
-          FROM {bandi} WHERE stato = 'ATTIVO' AND anno_pubblicazione = 1998)
-    SELECT b.*, (SELECT count(*) FROM s) AS n_sal,
-           (SELECT round(sum(q) / 1e9, 1) FROM s) AS importo_sal_mld,
-           (SELECT CAST(sum(late) AS BIGINT) FROM s) AS n_ritardi,
-           (SELECT round(sum(CASE WHEN late = 1 THEN q ELSE 0 END) / 1e9, 1) FROM g)
-               AS importo_ritardi_mld
-    FROM b""",
+    SELECT gare.*, lavori.* FROM
+      (SELECT count(*) AS n_bandi,
+              round(sum(CASE WHEN flag_importo_sospetto THEN 0 ELSE importo_lotto END) / 1e9, 1) AS importo_mld,
+              sum(CAST(esito IS NOT DISTINCT FROM 'AGGIUDICATA' AS INT))::BIGINT AS n_aggiudicati,
+              round(sum(importo_lotto) FILTER (NOT flag_importo_sospetto AND esito = 'AGGIUDICATA') / 1e9, 1)
+                  AS importo_agg_mld,
+              sum(CAST(coalesce(esito, '') = '' AS INT))::BIGINT AS n_senza_esito
+       FROM {bandi} WHERE (stato, anno_pubblicazione) = ('ATTIVO', 1998)) gare,
+      (SELECT count(*) AS n_sal, round(sum(importo_quota) / 1e9, 1) AS importo_sal_mld,
+              count(*) FILTER (tardi) AS n_ritardi,
+              round(coalesce(sum(importo_quota) FILTER (serie_tardi), 0) / 1e9, 1) AS importo_ritardi_mld
+       FROM (SELECT importo_quota, flag_ritardo = 'IN RITARDO' AS tardi,
+                    bool_or(flag_ritardo = 'IN RITARDO') OVER (
+                        PARTITION BY id_aggiudicazione, CASE WHEN id_aggiudicazione IS NULL THEN cig END)
+                        AS serie_tardi
+             FROM {sal} WHERE data_emissione_sal >= DATE '1998-01-01'
+               AND data_emissione_sal < DATE '1999-01-01')) lavori""",
 )
 def execution_funnel(t):
     return Q.execution_funnel(t.bandi, t.sal, 1998)
@@ -138,17 +139,37 @@ def overdue_trend(t):
 @query(
     "consortia",
     """
-    WITH m AS (SELECT cig, count(DISTINCT codice_fiscale) AS n_mandanti,
-                      string_agg(DISTINCT denominazione, ' | ' ORDER BY denominazione) AS mandanti
+    WITH m AS (SELECT cig, count(DISTINCT codice_fiscale) AS n_mandanti
                FROM {partecipanti} WHERE ruolo = 'MANDANTE' GROUP BY cig
                HAVING count(DISTINCT codice_fiscale) >= 2),
     l AS (SELECT cig, codice_fiscale AS cf_mandataria, max(denominazione) AS mandataria
           FROM {partecipanti} WHERE ruolo = 'MANDATARIA' GROUP BY 1, 2)
-    SELECT l.*, n_mandanti, mandanti, CAST(0 AS BIGINT) AS parte FROM l JOIN m USING (cig)""",
+    SELECT l.*, n_mandanti FROM l JOIN m USING (cig)""",
 )
 def consortia(t):
     return Q.consortia(t.partecipanti)
 
+@query(
+    "consortia_members",
+    """
+    SELECT DISTINCT cig, denominazione FROM {partecipanti} p
+    WHERE ruolo = 'MANDANTE' AND denominazione IS NOT NULL
+      AND EXISTS (SELECT 1 FROM {partecipanti} x WHERE x.cig = p.cig AND x.ruolo = 'MANDATARIA')
+      AND (SELECT count(DISTINCT y.codice_fiscale) FROM {partecipanti} y
+           WHERE y.cig = p.cig AND y.ruolo = 'MANDANTE') >= 2""",
+)
+def consortia_members(t):
+    return Q.consortia_members(t.partecipanti)
+
+@query(
+    "members_of_named_lots",
+    """
+    SELECT cig, string_agg(DISTINCT denominazione, ' | ' ORDER BY denominazione) AS nomi
+    FROM {partecipanti} WHERE cig IN ('5979', '7', '33') AND denominazione IS NOT NULL GROUP BY cig""",
+)
+def members_of_named_lots(t):
+    return Q.names_of(t.partecipanti, "cig", "denominazione", ["5979", "7", "33"], "nomi")
+
 @query(
     "subcontract_receivers",
     """
@@ -298,6 +319,27 @@ def lookup_one_lot(t):
     tables = {name: getattr(t, table) for name, table in _LOOKUP.items()}
     return Q.lookup_counts(tables, [" 5979 "])
 
+def _lookup_rows(name: str, table: str) -> None:
+    @query(
+        f"lookup_lots_{name}",
+        f"SELECT * FROM {{{table}}} WHERE cig IN (SELECT cig FROM {{bandi}} WHERE flag_importo_sospetto)",
+        dates=True,
+    )
+    def rows(t):
+        suspect = t.bandi.where("flag_importo_sospetto").select("cig")
+        return Q.lookup_cigs({name: getattr(t, table)}, suspect)[name]
+
+for _name, _table in _LOOKUP.items():
+    _lookup_rows(_name, _table)
+
+@query(
+    "lookup_in_any_case",
+    "SELECT 'Lot' || cig AS cig, importo_lotto, stato FROM {bandi} WHERE cig IN ('5979', '7', '33')",
+)
+def lookup_in_any_case(t):
+    lots = t.bandi.select(F.concat(F.lit("Lot"), "cig").alias("cig"), "importo_lotto", "stato")
+    return Q.lookup_cigs({"bandi": lots}, ["lot5979", " LOT7", "Lot33 "])["bandi"]
+
 _CARD = """
     SELECT DISTINCT cig, denominazione_amministrazione_appaltante AS sa, oggetto_gara, importo_lotto,
            anno_pubblicazione AS anno FROM {bandi}"""
@@ -332,9 +374,16 @@ def top_lots(t):
 def sql_row_count(t):
     return catalog.run_template(t.spark, "conta_righe", t.bandi)
 
-@query("sql_preview")
+@query("sql_preview", "SELECT * FROM {bandi} ORDER BY cig LIMIT 10", dates=True)
 def sql_preview(t):
-    return catalog.run_template(t.spark, "anteprima", t.bandi)
+    return catalog.preview(t.bandi, ["cig"])
+
+@query(
+    "sql_columns",
+    "SELECT column_name AS colonna, (SELECT count(*) FROM {bandi}) AS n FROM (DESCRIBE SELECT * FROM {bandi})",
+)
+def sql_columns(t):
+    return catalog.columns(t.bandi)
 
 @query(
     "sql_top_authorities",

@@ -13,9 +13,6 @@ from tenderlake.session import tune
 
 from .tables import DERIVED, GIVEN
 
-# Size in bytes of a table worth spreading: more than a file open costs, one split at most.
-SPREAD_FROM, SPREAD_TO = 2 * 2**20, 64 * 2**20
-
 _SCHEMAS: dict[str, T.StructType] = {}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,16 +42,7 @@ class Tables:
             raise AttributeError(name)
         text = DERIVED[name]
         parts = {n: getattr(self, n) for n in [*GIVEN, *DERIVED] if f"{{{n}}}" in text}
-        table = self.spark.sql(text, **parts)
-        return self._spread(table, parts.values()) if name.startswith("raw_") else table
-
-    def _spread(self, table: DataFrame, parts) -> DataFrame:
-        """Text is dear to parse, and a small file is one task's work however many cores there
-        are: spread its rows. Larger tables come in many splits and are left as they are."""
-        sizes = [p._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for p in parts]
-        if SPREAD_FROM <= max(sizes) <= SPREAD_TO:
-            return table.repartition(self.spark.sparkContext.defaultParallelism)
-        return table
+        return self.spark.sql(text, **parts)
 
     @cached_property
     def per_cig(self) -> DataFrame:
@@ -107,13 +95,17 @@ def with_tables(sql: str) -> str:
     return f"WITH {', '.join(ctes)} {body}"
 
 
-def query(name: str, sql: str | None = None):
-    """Register a function of `Tables` under a name, with its SQL where there is one."""
+def query(name: str, sql: str | None = None, dates: bool = False):
+    """Register a function of `Tables` under a name, with its SQL where there is one.
+
+    With `dates` days are compared as days, else as ISO text.
+    """
 
     def wrap(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: plain(fn(Tables(spark, sf_dir)))
+        shown = (lambda df: df) if dates else plain
+        QUERIES[name] = lambda spark, sf_dir: shown(fn(Tables(spark, sf_dir)))
         if sql is not None:
             ORACLES[name] = with_tables(sql)
         return fn

@@ -112,7 +112,7 @@ DERIVED = {
                CAST(l_linenumber AS INT) AS cod_esito
         FROM {{lineitem}}""",
     "raw_aggiudicazioni": f"""
-        SELECT ' ' || {_CIG} || ' ' AS cig,
+        SELECT CASE WHEN l_quantity > 40 THEN '' ELSE ' ' END || {_CIG} || ' ' AS cig,
                CAST(l_linenumber AS STRING) || CASE WHEN l_tax = 0 THEN '.0' ELSE '' END
                    AS id_aggiudicazione,
                CASE WHEN l_quantity = 50 THEN '7436-02-12'
@@ -169,7 +169,7 @@ DERIVED = {
                denominazione, ruolo, tipo_soggetto
         FROM {operatori} WHERE l_returnflag <> 'A'""",
     "raw_operatori": """
-        SELECT ' ' || cig AS cig,
+        SELECT CASE WHEN id_aggiudicazione % 3 = 1 THEN '' ELSE ' ' END || cig AS cig,
                CASE WHEN id_aggiudicazione = 7 THEN 'n/d'
                     ELSE CAST(id_aggiudicazione AS STRING) END AS id_aggiudicazione,
                ruolo, codice_fiscale, denominazione, tipo_soggetto, id_subappalto,
@@ -307,6 +307,7 @@ DERIVED = {
     "raw_quadro": """
         SELECT CASE WHEN value < 0.2 THEN ' ' ELSE CAST(user_id AS STRING) END AS cig,
                CASE WHEN value < 0.4 THEN NULL
+                    WHEN value < 3 THEN CASE event_id % 2 WHEN 0 THEN 'n/d' ELSE 'x/y' END
                     ELSE CAST(CAST(floor(day(ts) / 2) AS BIGINT) AS STRING) END AS id_aggiudicazione,
                CASE WHEN event_type IN ('purchase', 'signup') THEN NULL
                     WHEN value < 2 THEN '1901-01-01' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS data,
