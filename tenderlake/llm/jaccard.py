@@ -2,18 +2,21 @@
 
 Filter and verify, with several global orders of the shingles:
 
-1. Texts with equal shingle sets become one class; one text stands for it.
-2. Order 1 puts rare shingles first. Two sets that are similar enough share a shingle among
-   the first |x| - o + 1 of either, o being the overlap that their sizes ask for. A text is
-   listed under every shingle of its longest such prefix, with its place there.
-3. Pivots: in each list the texts are paired with the two whose prefixes end latest (the
+1. Texts with equal shingle sets become one class, named by a hash of the set.
+2. Order 1 puts rare shingles first, by counts over all texts. Similar sets share a shingle
+   among the first |x| - o + 1 of either, o being the overlap that their sizes ask for; a
+   class is listed under the shingles of its longest such prefix. What nobody else lists
+   ends there. Of the shared prefix shingles similar sets even share l, which follows from
+   their sizes as well.
+3. Order 2 puts the shared shingles in the order of their exact number of holders. Of the T
+   that a class holds, one of the first T - l + 1 must be shared: these make the candidates.
+4. Pivots: in each list the classes are paired with the two whose prefixes end latest (the
    least edited ones), never with each other. Verified pairs are links.
-4. Completion: texts of one list that the links so far leave in different components are
+5. Completion: classes of one list that the links so far leave in different components are
    paired, whatever the length of the list. So no pair within a large group is emitted, and
    no link that would join two components is lost.
-5. Candidates of order 1 must share as many of their prefix shingles as similar sets must;
-   before the whole sets are intersected they must also share a prefix shingle under two
-   more orders.
+6. Candidates must share l of their prefix shingles of order 1; before the whole sets are
+   intersected they must also share a prefix shingle under two more orders.
 
 All filters are exact: they drop no pair that reaches the threshold.
 """
@@ -95,49 +98,54 @@ def order_keys(rarity: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, n, digest, text_hash, prefix (ascending keys of order 1) of each row."""
+    """doc_id, n, digest, node, text_hash, last, prefix of each row: its set's size and name,
+    and the keys of order 1 in its longest prefix with the largest of them. A task gives the
+    prefix of a set once; rows with equal sets after the first have none."""
     counts = slot_counts(docs)
     rarity = np.floor(np.log2(1 + counts) * 1000).astype(np.int64)
     shared = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = shared.value
+        rarity, seen = shared.value, set()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, lasts, prefixes = [], [], [], []
             for part in by_size(texts, len, CHUNK):
                 for own in shingle_sets(part, WIDTH):
-                    keys = order_keys(rarity, own)
-                    most = longest_prefix(len(own)) if len(own) else 0
-                    if 0 < most < len(keys):
-                        keys = np.partition(keys, most - 1)[:most]
-                    prefixes.append(np.sort(keys))
+                    digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+                    keys = np.zeros(0, np.int64)
+                    if len(own) and digest not in seen:
+                        seen.add(digest)
+                        keys = order_keys(rarity, own)
+                        most = longest_prefix(len(own))
+                        if most < len(keys):
+                            keys = np.partition(keys, most - 1)[:most]
                     sizes.append(len(own))
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    digests.append(digest)
+                    lasts.append(int(keys.max()) if len(keys) else None)
+                    prefixes.append(keys)
             offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("uid"),
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     batch.column("text_hash"),
+                    pa.array(lasts, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                 ],
-                names=["uid", "doc_id", "n", "digest", "text_hash", "prefix"],
+                names=["doc_id", "n", "digest", "text_hash", "last", "prefix"],
             )
 
     rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         F.xxhash64("text").alias("text_hash"),
     )
-    schema = (
-        "uid long, doc_id long, n long, digest binary, text_hash long, prefix array<bigint>"
-    )
-    return stored(rows.mapInArrow(run, schema), "sketched")
+    schema = "doc_id long, n long, digest binary, text_hash long, last long, prefix array<bigint>"
+    out = rows.mapInArrow(run, schema).withColumn("node", F.xxhash64("digest"))
+    return stored(out, "sketched")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, hashes: DataFrame) -> DataFrame:
@@ -203,32 +211,54 @@ def share_prefixes(p: np.ndarray, q: np.ndarray, least: int) -> bool:
     return True
 
 
-def _may_link(n: Column, place: Column, m: Column, other: Column) -> Column:
-    """Sizes and places that a pair similar enough has at its first shared shingle."""
-    o = _needed(n, m)
-    return (o <= F.least(n, m)) & (place <= n - o) & (other <= m - o)
+def _least_shared(n: Column, last: Column, m: Column, last2: Column) -> Column:
+    """How many shared shingles similar sets of `n` and `m` have at least in both longest
+    prefixes. Let x be the set whose prefix ends first in order 1: shared shingles are those
+    of both prefixes and at most the |x| - |prefix of x| behind it."""
+    behind = F.when(last <= last2, _ceil_div(OVER * n, UNDER)).otherwise(_ceil_div(OVER * m, UNDER))
+    return F.greatest(F.lit(1), _needed(n, m) - behind + 1)
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether the sizes and the places in order 2 allow a similar pair: `x` and `y` end the
+    names of the columns n, last, place and held (T) of the two sides."""
+    n, m = F.col(f"n{x}"), F.col(f"n{y}")
+    least = _least_shared(n, F.col(f"last{x}"), m, F.col(f"last{y}"))
+    return (
+        (_needed(n, m) <= F.least(n, m))
+        & (F.col(f"place{x}") <= F.col(f"held{x}") - least)
+        & (F.col(f"place{y}") <= F.col(f"held{y}") - least)
+    )
 
 
-def listed(sketch: DataFrame, classes: DataFrame) -> DataFrame:
-    """token, node, place, n, last: the prefix shingles that more than one class holds.
+def listed(sketch: DataFrame) -> DataFrame:
+    """token, node, n, last, place, held: the prefix shingles that more than one class holds,
+    each with its place in order 2 among the `held` ones of its class.
 
-    Only shingle, class and place are exchanged for all prefixes; most shingles are held by
-    one class alone and end there.
+    Only shingle and class are exchanged for all prefixes; most shingles are held by one
+    class alone and end there.
     """
-    stand = sketch.join(classes.select(F.col("node").alias("uid")), "uid", "left_semi")
-    rows = stand.select(
-        F.col("uid").alias("node"), F.posexplode("prefix").alias("place", "token")
-    )
-    beside = Window.partitionBy("token").orderBy("node")
-    rows = rows.withColumn("before", F.lag("node").over(beside)).withColumn(
-        "after", F.lead("node").over(beside)
+    rows = sketch.select("node", F.explode("prefix").alias("token"))
+    whole = Window.partitionBy("token")
+    rows = rows.withColumn("low", F.min("node").over(whole)).withColumn(
+        "high", F.max("node").over(whole)
     )
-    rows = rows.where(F.col("before").isNotNull() | F.col("after").isNotNull())
-    rows = stored(rows.select("token", "node", "place"), "shared")
-    sizes = sketch.select(
-        F.col("uid").alias("node"), "n", F.element_at("prefix", -1).alias("last")
+    rows = rows.where("low <> high").select("token", "node")
+    rows = stored(rows, "shared").distinct()
+    holders = F.count("*").over(whole)
+    rows = rows.withColumn("holders", holders)
+    # A class holds no more shingles than its longest prefix has.
+    own = Window.partitionBy("node")
+    rows = rows.select(
+        "token",
+        "node",
+        (F.row_number().over(own.orderBy("holders", "token")) - 1).alias("place"),
+        F.count("*").over(own).alias("held"),
     )
-    return stored(rows.join(stored(sizes.where("n > 0"), "sizes"), "node"), "listed")
+    sizes = sketch.where("last is not null").groupBy("node").agg(
+        F.max("n").alias("n"), F.max("last").alias("last")
+    )
+    return stored(rows.join(sizes, "node"), "listed")
 
 
 def profiles(rows: DataFrame) -> DataFrame:
@@ -241,78 +271,83 @@ def profiles(rows: DataFrame) -> DataFrame:
 
 
 def enough_shared(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share as many prefix shingles as similar sets must.
-
-    Of two sets let x be the one whose longest prefix ends first in the order. Shared
-    shingles are those of both prefixes and at most the |x| - |prefix of x| behind it.
-    """
+    """The pairs (a, b) that share as many prefix shingles as similar sets must."""
 
     def side(name):
         return held.select(*[F.col(c).alias(f"{name}{x}") for c, x in
                              (("node", ""), ("n", "_n"), ("last", "_last"), ("tokens", "_t"))])
 
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
-    behind = [_ceil_div(OVER * F.col(f"{x}_n"), UNDER) - 1 for x in "ab"]
-    rest = F.when(F.col("a_last") <= F.col("b_last"), behind[0]).otherwise(behind[1])
-    shared = F.size(F.array_intersect("a_t", "b_t"))
-    return rows.where(shared + rest >= _needed(F.col("a_n"), F.col("b_n"))).select("a", "b")
+    least = _least_shared(F.col("a_n"), F.col("a_last"), F.col("b_n"), F.col("b_last"))
+    return rows.where(F.size(F.array_intersect("a_t", "b_t")) >= least).select("a", "b")
+
+
+_SIDE = ("node", "n", "last", "place", "held")
 
 
 def pivot_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each listed text with the pivots (b) of its lists."""
+    """Pairs (a, b) of each listed class with the pivots (b) of its lists."""
     latest = Window.partitionBy("token").orderBy(F.desc("last"), "node")
     seen = latest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pivots = [F.nth_value(F.struct("node", "n", "place"), k).over(seen) for k in range(1, PIVOTS + 1)]
-    rows = rows.select("node", "n", "place", F.array(*pivots).alias("pivots"))
-    rows = rows.select("node", "n", "place", F.explode("pivots").alias("p"))
-    rows = rows.where(
-        (F.col("p.node") != F.col("node"))
-        & _may_link(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"))
-    )
-    return rows.select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct()
+    pivots = [F.nth_value(F.struct(*_SIDE), k).over(seen) for k in range(1, PIVOTS + 1)]
+    rows = rows.select(*_SIDE, F.array(*pivots).alias("pivots"))
+    rows = rows.select(*_SIDE, F.explode("pivots").alias("p"))
+    rows = rows.select(*_SIDE, *[F.col(f"p.{c}").alias(f"{c}2") for c in _SIDE])
+    rows = rows.where((F.col("node") != F.col("node2")) & _may_link("", "2"))
+    return rows.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
 
 
 def crossing_pairs(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of listed texts of different components that may be similar enough."""
+    """Pairs (a, b) of listed classes of different components that may be similar enough."""
     rows = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     whole = Window.partitionBy("token")
-    n, smallest = F.col("n"), F.greatest(_ceil_div(OVER * F.col("n"), UNDER), F.col("least_n"))
+    n = F.col("n")
+    # The fewest shingles to share with any partner in the list: the bound falls to both
+    # sides of n, so the smallest and the largest partner decide.
+    ends = [F.greatest(_ceil_div(OVER * n, UNDER), F.col("n_low")),
+            F.least(F.floor(UNDER * n / OVER).cast("long"), F.col("n_high"))]
+
+    def bound(m: Column) -> Column:
+        return _needed(n, m) - _ceil_div(OVER * F.greatest(n, m), UNDER) + 1
+
+    least = F.greatest(F.lit(1), F.least(*map(bound, ends)))
     rows = (
-        rows.withColumn("least_n", F.min("n").over(whole))
-        .where(F.col("place") <= n - _needed(n, smallest))
-        .withColumn("c1", F.min("comp").over(whole))
-        .withColumn("c2", F.max("comp").over(whole))
-        .where("c1 <> c2")
-        .select("token", "node", "n", "place", "comp")
+        rows.withColumn("n_low", F.min("n").over(whole))
+        .withColumn("n_high", F.max("n").over(whole))
+        .where(F.col("place") <= F.col("held") - least)
+        .withColumn("c_low", F.min("comp").over(whole))
+        .withColumn("c_high", F.max("comp").over(whole))
+        .where("c_low <> c_high")
+        .select("token", *_SIDE, "comp")
     )
     rows = stored(rows, "crossing")
     kinds = rows.select("token", "comp").distinct()
-    both = kinds.withColumnRenamed("comp", "c1").join(
-        kinds.withColumnRenamed("comp", "c2"), "token"
-    ).where("c1 < c2")
-    x = rows.select("token", *[F.col(c).alias(f"{c}1") for c in ("node", "n", "place")],
-                    F.col("comp").alias("c1"))
-    y = rows.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "place")],
-                    F.col("comp").alias("c2"))
-    pairs = both.join(x, ["token", "c1"]).join(y, ["token", "c2"])
-    pairs = pairs.where(_may_link(F.col("n1"), F.col("place1"), F.col("n2"), F.col("place2")))
+    both = kinds.withColumnRenamed("comp", "comp1").join(
+        kinds.withColumnRenamed("comp", "comp2"), "token"
+    ).where("comp1 < comp2")
+
+    def side(k: int) -> DataFrame:
+        return rows.select("token", *[F.col(c).alias(f"{c}{k}") for c in (*_SIDE, "comp")])
+
+    pairs = both.join(side(1), ["token", "comp1"]).join(side(2), ["token", "comp2"])
+    pairs = pairs.where(_may_link("1", "2"))
     a, b = F.least("node1", "node2"), F.greatest("node1", "node2")
     return pairs.select(a.alias("a"), b.alias("b")).distinct()
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sketch, classes, comps): every row's set, the classes of equal sets (digest, node,
-    first_id, text_hash), and the component of every class that has a link (node, comp)."""
+    """(sketch, classes, comps): every row's set, the classes of equal sets (node, first_id,
+    text_hash), and the component of every class that has a link (node, comp)."""
     docs = docs.select("doc_id", "text")
     wide = sketched(docs)
-    sketch = stored(wide.drop("prefix"), "rows")
-    stand = sketch.where("n > 0").groupBy("digest").agg(
-        F.min("uid").alias("node"), F.min("doc_id").alias("first_id")
+    sketch = stored(wide.select("doc_id", "n", "node", "text_hash"), "rows")
+    stand = sketch.where("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash")
     )
     classes = stored(stand, "classes")
-    hashes = sketch.select(F.col("uid").alias("node"), "text_hash")
+    hashes = classes.select("node", "text_hash")
     docs = docs.select("text", F.xxhash64("text").alias("text_hash"))
-    rows = listed(wide, classes)
+    rows = listed(wide)
     discard(wide)
     let_go(docs.sparkSession)
     held = profiles(rows)
@@ -325,10 +360,10 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sketch, and the component of every class of equal sets: digest, comp, first_id."""
+    """The sketch, and the component of every class of equal sets: node, comp, first_id."""
     sketch, classes, comps = similar_classes(docs)
     member = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    return sketch, stored(member.select("digest", "comp", "first_id"), "members")
+    return sketch, stored(member.select("node", "comp", "first_id"), "members")
 
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -341,10 +376,10 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     """
     sketch, member = _components(docs)
     first = member.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = stored(member.join(first, "comp").select("digest", "component_id"), "named")
-    rows = sketch.select("doc_id", F.col("n").alias("n_shingles"), "digest")
+    named = stored(member.join(first, "comp").select("node", "component_id"), "named")
+    rows = sketch.select("doc_id", F.col("n").alias("n_shingles"), "node")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = rows.join(named, "digest", "left")
+    out = rows.join(named, "node", "left")
     return out.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
@@ -353,7 +388,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     a hash of the text), the first of equal rows. Rows without shingles are linked with
     nothing, so each of them stays."""
     sketch, member = _components(docs)
-    rows = sketch.select("doc_id", "text_hash", "digest").join(member, "digest")
+    rows = sketch.select("doc_id", "text_hash", "node").join(member, "node")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = rows.groupBy("comp").agg(F.min(order).alias("k"))
     first = stored(first.select("k.doc_id", "k.text_hash"), "kept")
