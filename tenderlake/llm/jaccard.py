@@ -232,8 +232,9 @@ def _may_link(x: str, y: str) -> Column:
 
 
 def listed(sketch: DataFrame) -> DataFrame:
-    """token, node, n, last, place, held: the prefix shingles that more than one class holds,
-    each with its place in order 2 among the `held` ones of its class.
+    """token, node, n, last, place, held, holders: the prefix shingles that more than one
+    class holds, each with its place in order 2 among the `held` ones of its class, and a
+    hash of the classes that hold it.
 
     Only shingle and class are exchanged for all prefixes; most shingles are held by one
     class alone and end there.
@@ -245,14 +246,19 @@ def listed(sketch: DataFrame) -> DataFrame:
     )
     rows = rows.where("low <> high").select("token", "node")
     rows = stored(rows, "shared").distinct()
-    holders = F.count("*").over(whole)
-    rows = rows.withColumn("holders", holders)
+    rows = rows.withColumns(
+        {
+            "size": F.count("*").over(whole),
+            "holders": F.expr("bit_xor(xxhash64(node)) OVER (PARTITION BY token)"),
+        }
+    )
     # A class holds no more shingles than its longest prefix has.
     own = Window.partitionBy("node")
     rows = rows.select(
         "token",
         "node",
-        (F.row_number().over(own.orderBy("holders", "token")) - 1).alias("place"),
+        "holders",
+        (F.row_number().over(own.orderBy("size", "token")) - 1).alias("place"),
         F.count("*").over(own).alias("held"),
     )
     sizes = sketch.where("last is not null").groupBy("node").agg(
@@ -261,6 +267,16 @@ def listed(sketch: DataFrame) -> DataFrame:
     return stored(rows.join(sizes, "node"), "listed")
 
 
+def lists_of(rows: DataFrame) -> DataFrame:
+    """Lists of the same holders as one, with each holder's first place in them: two texts
+    that share a passage share many shingles, but pair up once. Lists that a hash throws
+    together only pair more."""
+    one = rows.groupBy("holders", "node").agg(
+        *[F.min(c).alias(c) for c in ("n", "last", "place", "held")]
+    )
+    return stored(one.withColumnRenamed("holders", "token"), "lists")
+
+
 def profiles(rows: DataFrame) -> DataFrame:
     """node, n, last, tokens: the listed shingles of each text, as many as its longest prefix
     has at the most."""
@@ -350,10 +366,10 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = listed(wide)
     discard(wide)
     let_go(docs.sparkSession)
-    held = profiles(rows)
-    links = verified(enough_shared(pivot_pairs(rows), held), docs, hashes)
+    held, lists = profiles(rows), lists_of(rows)
+    links = verified(enough_shared(pivot_pairs(lists), held), docs, hashes)
     let_go(docs.sparkSession)
-    more = enough_shared(crossing_pairs(rows, connected(links)), held)
+    more = enough_shared(crossing_pairs(lists, connected(links)), held)
     more = verified(more, docs, hashes)
     comps = connected(links.unionByName(more))
     return sketch, classes, comps

@@ -100,7 +100,7 @@ def test_large_groups_emit_few_pairs(llm, documents):
     docs = documents(rows)
     sketch = jaccard.sketched(docs)
     listed = jaccard.listed(sketch)
-    pairs = jaccard.pivot_pairs(listed)
+    pairs = jaccard.pivot_pairs(jaccard.lists_of(listed))
     assert pairs.count() <= 20 * 1001
     out = jaccard.duplicate_classes(docs)
     assert {r["component_id"] for r in out.collect()} == {0}
