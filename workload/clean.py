@@ -5,9 +5,78 @@ from __future__ import annotations
 from datetime import date
 
 from tenderlake.plans import clean, finance
+from tenderlake.plans import fields as L
 from tenderlake.plans.fields import FONTI
 
-from .registry import query
+from .registry import query as registered
+
+# --- columns the derived raw tables lack ------------------------------------
+#
+# The given tables have no source for most of the published columns. They are
+# filled with dirty text drawn from the row's key, the same text for all rows of
+# a key, so they never decide which row stays; but they are read, cast and
+# compared like all others.
+
+
+def _number(k: int, key: str) -> str:
+    return f"(try_cast(trim({key}) AS BIGINT) + {k})"
+
+
+def _dirty(kind: str, k: int, key: str) -> str:
+    r = _number(k, key)
+    if kind in ("int", "long"):
+        return f"CASE WHEN {r} % 11 = 0 THEN 'x' ELSE CAST({r} % 50 AS STRING) END"
+    if kind in ("double", "zero"):
+        return f"CASE WHEN {r} % 9 <> 0 THEN CAST({r} % 1000 AS STRING) || '.25' END"
+    if kind in ("date", "date90", "event"):
+        return (
+            f"CASE {r} % 13 WHEN 0 THEN '0001-01-01' WHEN 1 THEN '1979-05-05' WHEN 2 THEN 'n/d' "
+            f"ELSE '199' || CAST({r} % 10 AS STRING) || '-0' || CAST(1 + {r} % 9 AS STRING) "
+            f"|| '-1' || CAST({r} % 10 AS STRING) END"
+        )
+    if kind.startswith("flag:"):
+        return f"CASE WHEN {r} % 2 = 0 THEN ' {kind[5:]} ' ELSE 'N' END"
+    if kind == "norm":
+        return f"CASE WHEN {r} % 7 = 0 THEN '  ' ELSE ' N' || CAST({r} % 6 AS STRING) || ' ' END"
+    return f"'T' || CAST({r} % 5 AS STRING)"
+
+
+def _typed(kind: str, text: str, window: str | None) -> str:
+    if kind in ("int", "long"):
+        return f"try_cast({text} AS {'INT' if kind == 'int' else 'BIGINT'})"
+    if kind in ("double", "zero"):
+        number = f"try_cast({text} AS DOUBLE)"
+        return f"coalesce({number}, 0)" if kind == "zero" else number
+    if kind in ("date", "date90", "event"):
+        day = _event(text) if kind == "event" else _day(text, 1990 if kind == "date90" else 1800)
+        return f"CAST(CASE WHEN {day} BETWEEN {window} THEN {day} END AS VARCHAR)" if window else (
+            f"CAST({day} AS VARCHAR)"
+        )
+    if kind.startswith("flag:"):
+        return f"coalesce(trim({text}) = '{kind[5:]}', false)"
+    return _norm(text) if kind == "norm" else text
+
+
+def _lacking(layout: list[L.Field], present: str) -> list[tuple[int, L.Field]]:
+    return [(k, f) for k, f in enumerate(layout) if f.name not in present.split()]
+
+
+def _filled(raw, layout: list[L.Field], present: str, key: str = "cig"):
+    """The raw table with all published columns."""
+    extra = [f"{_dirty(f.kind, k, key)} AS `{f.source}`" for k, f in _lacking(layout, present)]
+    return raw.selectExpr("*", *extra)
+
+
+def query(name, sql, layout=None, present="", key="cig", window=None):
+    """Register a clean table; with a layout its SQL gets the columns that were filled in."""
+    if layout is not None:
+        extra = [
+            f'{_typed(f.kind, f"({_dirty(f.kind, k, key)})", window)} AS "{f.name}"'
+            for k, f in _lacking(layout, present)
+        ]
+        sql = f"SELECT w.*, {', '.join(extra)} FROM ({sql}) w"
+    return registered(name, sql)
+
 
 AS_OF, SINCE = date(2001, 6, 30), date(1996, 1, 1)
 _WINDOW = "DATE '1996-01-01' AND DATE '2001-06-30'"
@@ -33,6 +102,12 @@ def _norm(column: str) -> str:
 _NEWEST = "QUALIFY __source_file = max(__source_file) OVER (PARTITION BY cig)"
 
 
+_BANDI_GARA = (
+    "cig numero_gara importo_complessivo_gara importo_lotto stato anno_pubblicazione "
+    "data_pubblicazione flag_pnrr motivo_urgenza data_ultimo_perfezionamento"
+)
+
+
 @query(
     "clean_bandi_gara",
     f"""
@@ -52,21 +127,17 @@ _NEWEST = "QUALIFY __source_file = max(__source_file) OVER (PARTITION BY cig)"
            {_iso("ult", "data_ultimo_perfezionamento")},
            coalesce(lotto >= 1e9 OR (gara > 0 AND lotto > 10 * gara), false) AS flag_importo_sospetto
     FROM y""",
+    layout=L.BANDI_GARA,
+    present=_BANDI_GARA,
 )
 def clean_bandi_gara(t):
-    return clean.clean_bandi_gara(t.raw_bandi).select(
-        "cig",
-        "numero_gara",
-        "importo_complessivo_gara",
-        "importo_lotto",
-        "stato",
-        "anno_pubblicazione",
-        "data_pubblicazione",
-        "flag_pnrr",
-        "motivo_urgenza",
-        "data_ultimo_perfezionamento",
-        "flag_importo_sospetto",
-    )
+    return clean.clean_bandi_gara(_filled(t.raw_bandi, L.BANDI_GARA, _BANDI_GARA))
+
+
+_AGGIUDICAZIONI = (
+    "cig id_aggiudicazione data_aggiudicazione_definitiva data_comunicazione_esito "
+    "importo_aggiudicazione flag_subappalto numero_offerte_ammesse num_imprese_offerenti"
+)
 
 
 @query(
@@ -93,18 +164,11 @@ def clean_bandi_gara(t):
            {_iso("com", "data_comunicazione_esito")}, importo_aggiudicazione, flag_subappalto,
            numero_offerte_ammesse, num_imprese_offerenti
     FROM z""",
+    layout=L.AGGIUDICAZIONI,
+    present=_AGGIUDICAZIONI,
 )
 def clean_aggiudicazioni(t):
-    return clean.clean_aggiudicazioni(t.raw_aggiudicazioni, (1995, 2026)).select(
-        "cig",
-        "id_aggiudicazione",
-        "data_aggiudicazione_definitiva",
-        "data_comunicazione_esito",
-        "importo_aggiudicazione",
-        "flag_subappalto",
-        "numero_offerte_ammesse",
-        "num_imprese_offerenti",
-    )
+    return clean.clean_aggiudicazioni(_filled(t.raw_aggiudicazioni, L.AGGIUDICAZIONI, _AGGIUDICAZIONI), (1995, 2026))
 
 
 @query(
@@ -131,6 +195,12 @@ def clean_partecipanti(t):
     return clean.clean_partecipanti(t.raw_operatori)
 
 
+_SUBAPPALTI = (
+    "cig id_subappalto cf_subappaltante data_autorizzazione cod_categoria codice_fiscale "
+    "denominazione ruolo tipo_soggetto"
+)
+
+
 @query(
     "clean_subappalti",
     f"""
@@ -139,22 +209,20 @@ def clean_partecipanti(t):
     SELECT trim(cig) AS cig, id_subappalto, cf_subappaltante, {_iso("data_autorizzazione")},
            cod_categoria, codice_fiscale, denominazione, ruolo, tipo_soggetto
     FROM y QUALIFY row_number() OVER (
-        PARTITION BY cig, id_subappalto, cod_categoria, codice_fiscale
+        PARTITION BY trim(y.cig), id_subappalto, cod_categoria, codice_fiscale
         ORDER BY y.data_autorizzazione DESC NULLS LAST, cf_subappaltante NULLS LAST,
                  denominazione NULLS LAST, ruolo NULLS LAST, tipo_soggetto NULLS LAST) = 1""",
+    layout=L.SUBAPPALTI,
+    present=_SUBAPPALTI,
 )
 def clean_subappalti(t):
-    return clean.clean_subappalti(t.raw_operatori).select(
-        "cig",
-        "id_subappalto",
-        "cf_subappaltante",
-        "data_autorizzazione",
-        "cod_categoria",
-        "codice_fiscale",
-        "denominazione",
-        "ruolo",
-        "tipo_soggetto",
-    )
+    return clean.clean_subappalti(_filled(t.raw_operatori, L.SUBAPPALTI, _SUBAPPALTI))
+
+
+_AVVIO_CONTRATTO = (
+    "cig id_aggiudicazione consegna_frazionata data_stipula_contratto "
+    "data_inizio_effettiva data_termine_contrattuale"
+)
 
 
 @query(
@@ -177,16 +245,15 @@ def clean_subappalti(t):
     SELECT cig, id_aggiudicazione, consegna_frazionata, {_iso("st2", "data_stipula_contratto")},
            {_iso("ini2", "data_inizio_effettiva")}, {_iso("term2", "data_termine_contrattuale")}
     FROM w""",
+    layout=L.AVVIO_CONTRATTO,
+    present=_AVVIO_CONTRATTO,
+    window=_WINDOW,
 )
 def clean_avvio_contratto(t):
-    return clean.clean_avvio_contratto(t.raw_esecuzione, AS_OF, SINCE).select(
-        "cig",
-        "id_aggiudicazione",
-        "consegna_frazionata",
-        "data_stipula_contratto",
-        "data_inizio_effettiva",
-        "data_termine_contrattuale",
-    )
+    return clean.clean_avvio_contratto(_filled(t.raw_esecuzione, L.AVVIO_CONTRATTO, _AVVIO_CONTRATTO), AS_OF, SINCE)
+
+
+_FINE_CONTRATTO = "cig id_aggiudicazione motivo_risoluzione giorni_proroga data_effettiva_ultimazione"
 
 
 @query(
@@ -202,15 +269,12 @@ def clean_avvio_contratto(t):
     SELECT cig, id_aggiudicazione, m AS motivo_risoluzione, giorni_proroga,
            CAST(CASE WHEN u BETWEEN {_WINDOW} THEN u END AS VARCHAR) AS data_effettiva_ultimazione
     FROM z""",
+    layout=L.FINE_CONTRATTO,
+    present=_FINE_CONTRATTO,
+    window=_WINDOW,
 )
 def clean_fine_contratto(t):
-    return clean.clean_fine_contratto(t.raw_esecuzione, AS_OF, SINCE).select(
-        "cig",
-        "id_aggiudicazione",
-        "motivo_risoluzione",
-        "giorni_proroga",
-        "data_effettiva_ultimazione",
-    )
+    return clean.clean_fine_contratto(_filled(t.raw_esecuzione, L.FINE_CONTRATTO, _FINE_CONTRATTO), AS_OF, SINCE)
 
 
 @query(
@@ -233,6 +297,9 @@ def clean_sospensioni(t):
     return clean.clean_sospensioni(t.raw_esecuzione, AS_OF, SINCE)
 
 
+_VARIANTI = "id_variante motivo_variante data_approvazione_variante cig id_aggiudicazione"
+
+
 @query(
     "clean_varianti",
     f"""
@@ -242,11 +309,15 @@ def clean_sospensioni(t):
            CAST(CASE WHEN d BETWEEN {_WINDOW} THEN d END AS VARCHAR) AS data_approvazione_variante,
            cig, try_cast(id_aggiudicazione AS BIGINT) AS id_aggiudicazione
     FROM y""",
+    layout=L.VARIANTI,
+    present=_VARIANTI,
+    window=_WINDOW,
 )
 def clean_varianti(t):
-    return clean.clean_varianti(t.raw_esecuzione, AS_OF, SINCE).select(
-        "id_variante", "motivo_variante", "data_approvazione_variante", "cig", "id_aggiudicazione"
-    )
+    return clean.clean_varianti(_filled(t.raw_esecuzione, L.VARIANTI, _VARIANTI), AS_OF, SINCE)
+
+
+_COLLAUDO = "cig id_aggiudicazione data_cert_collaudo data_delibera riserve_avanzate"
 
 
 @query(
@@ -261,11 +332,11 @@ def clean_varianti(t):
     FROM x QUALIFY row_number() OVER (
         PARTITION BY cig, id_aggiudicazione
         ORDER BY c DESC NULLS LAST, d DESC NULLS LAST, riserve_avanzate NULLS LAST) = 1""",
+    layout=L.COLLAUDO,
+    present=_COLLAUDO,
 )
 def clean_collaudo(t):
-    return clean.clean_collaudo(t.raw_esecuzione).select(
-        "cig", "id_aggiudicazione", "data_cert_collaudo", "data_delibera", "riserve_avanzate"
-    )
+    return clean.clean_collaudo(_filled(t.raw_esecuzione, L.COLLAUDO, _COLLAUDO))
 
 
 SERIES = f"""
@@ -293,24 +364,22 @@ SERIES = f"""
         FROM k JOIN m ON k.s = m.s)"""
 
 
+_STATI_AVANZAMENTO = (
+    "cig flag_ritardo data_emissione_sal importo_sal n_giorni_scostamento progressivo_sal "
+    "id_aggiudicazione"
+)
+
+
 @query(
     "clean_stati_avanzamento",
     f"""
     WITH {SERIES}
     SELECT * EXCLUDE (giorno), {_iso("giorno", "data_emissione_sal")} FROM serie""",
+    layout=L.STATI_AVANZAMENTO,
+    present=_STATI_AVANZAMENTO,
 )
 def clean_stati_avanzamento(t):
-    return clean.clean_stati_avanzamento(t.raw_sal).select(
-        "cig",
-        "flag_ritardo",
-        "data_emissione_sal",
-        "importo_sal",
-        "n_giorni_scostamento",
-        "progressivo_sal",
-        "id_aggiudicazione",
-        "tipo_serie",
-        "importo_quota",
-    )
+    return clean.clean_stati_avanzamento(_filled(t.raw_sal, L.STATI_AVANZAMENTO, _STATI_AVANZAMENTO))
 
 
 @query(
@@ -323,6 +392,12 @@ def clean_cup(t):
     return clean.clean_cup(t.raw_cup)
 
 
+_STAZIONI_APPALTANTI = (
+    "codice_fiscale partita_iva denominazione natura_giuridica flag_inhouse provincia "
+    "stato data_inizio"
+)
+
+
 @query(
     "clean_stazioni_appaltanti",
     f"""
@@ -333,18 +408,18 @@ def clean_cup(t):
            flag_inHouse = 'true' AS flag_inhouse, provincia_nome AS provincia, stato,
            data_inizio
     FROM {{raw_stazioni}} WHERE trim(codice_fiscale) <> ''""",
+    layout=L.STAZIONI_APPALTANTI,
+    present=_STAZIONI_APPALTANTI,
+    key="codice_fiscale",
 )
 def clean_stazioni_appaltanti(t):
-    return clean.clean_stazioni_appaltanti(t.raw_stazioni).select(
-        "codice_fiscale",
-        "partita_iva",
-        "denominazione",
-        "natura_giuridica",
-        "flag_inhouse",
-        "provincia",
-        "stato",
-        "data_inizio",
-    )
+    return clean.clean_stazioni_appaltanti(_filled(t.raw_stazioni, L.STAZIONI_APPALTANTI, _STAZIONI_APPALTANTI, key="codice_fiscale"))
+
+
+_QUADRO_ECONOMICO = (
+    "cig id_aggiudicazione data descrizione_evento dettaglio_evento importo_lavori "
+    "importo_servizi somme_a_disposizione"
+)
 
 
 @query(
@@ -363,18 +438,11 @@ def clean_stazioni_appaltanti(t):
               ORDER BY __source_file DESC, d NULLS LAST, importo_lavori NULLS LAST,
                        importo_servizi NULLS LAST, somme_a_disposizione NULLS LAST) = 1)
     SELECT * EXCLUDE (d, __source_file, pubblicato), {_iso("d", "data")} FROM y""",
+    layout=L.QUADRO_ECONOMICO,
+    present=_QUADRO_ECONOMICO,
 )
 def clean_quadro_economico(t):
-    return clean.clean_quadro_economico(t.raw_quadro).select(
-        "cig",
-        "id_aggiudicazione",
-        "data",
-        "descrizione_evento",
-        "dettaglio_evento",
-        "importo_lavori",
-        "importo_servizi",
-        "somme_a_disposizione",
-    )
+    return clean.clean_quadro_economico(_filled(t.raw_quadro, L.QUADRO_ECONOMICO, _QUADRO_ECONOMICO))
 
 
 _REG = "entrate_con_dest_vincolata_pubblica_nazionale_regionale"
@@ -382,18 +450,14 @@ _SA = "fondi_di_bilancio_della_stazione_appaltante"
 _UE = "entrate_con_dest_vincolata_pubblica_comunitaria"
 _PRIV = "apporto_di_capitali_privati"
 _PUBLISHED = f"{_REG}, mutuo, {_PRIV}, {_SA}, {_UE}"
-_OTHERS = [
-    f
-    for f in FONTI
-    if f
-    not in {
-        "entrate_vincolate_regionali",
-        "mutuo",
-        "capitali_privati",
-        "fondi_bilancio_sa",
-        "entrate_vincolate_ue",
-    }
-]
+_FONTI_FINANZIAMENTO = (
+    "cig id_aggiudicazione entrate_vincolate_regionali mutuo capitali_privati fondi_bilancio_sa "
+    "entrate_vincolate_ue"
+)
+_OTHERS = ", ".join(
+    f"{_typed('zero', '(' + _dirty('zero', k, 'cig') + ')', None)} AS {f.name}"
+    for k, f in _lacking(L.FONTI_FINANZIAMENTO, _FONTI_FINANZIAMENTO)
+)
 
 FONTI_SQL = f"""
     uniche AS (
@@ -413,30 +477,34 @@ FONTI_SQL = f"""
                coalesce(try_cast({_PRIV} AS DOUBLE), 0) AS capitali_privati,
                coalesce(try_cast({_SA} AS DOUBLE), 0) AS fondi_bilancio_sa,
                coalesce(try_cast({_UE} AS DOUBLE), 0) AS entrate_vincolate_ue,
-               {", ".join(f"CAST(0 AS DOUBLE) AS {f}" for f in _OTHERS)}
+               {_OTHERS}
         FROM uniche),
     fonti_pulite AS (
-        SELECT *, entrate_vincolate_regionali + mutuo + capitali_privati + fondi_bilancio_sa
-                  + entrate_vincolate_ue AS totale_fonti,
-               CAST(entrate_vincolate_regionali > 0 AS INT) + CAST(mutuo > 0 AS INT)
-                  + CAST(capitali_privati > 0 AS INT) + CAST(fondi_bilancio_sa > 0 AS INT)
-                  + CAST(entrate_vincolate_ue > 0 AS INT) AS n_fonti,
-               greatest(entrate_vincolate_regionali, mutuo, capitali_privati, fondi_bilancio_sa,
-                        entrate_vincolate_ue) AS top
+        SELECT *, {" + ".join(FONTI)} AS totale_fonti,
+               {" + ".join(f"CAST({f} > 0 AS INT)" for f in FONTI)} AS n_fonti,
+               greatest({", ".join(FONTI)}) AS top
         FROM importi),
     fonti_finali AS (
         SELECT * EXCLUDE (top), totale_fonti >= 1e9 AS flag_fonti_sospette,
                CASE WHEN top = 0 THEN NULL
                     WHEN fondi_bilancio_sa = top THEN 'bilancio stazione appaltante'
-                    WHEN entrate_vincolate_ue = top THEN 'fondi UE' WHEN mutuo = top THEN 'mutuo'
+                    WHEN fondi_bilancio_amministrazione = top
+                        THEN 'bilancio amministrazione competente'
+                    WHEN entrate_vincolate_ue = top THEN 'fondi UE'
+                    WHEN entrate_vincolate_statali = top THEN 'entrate vincolate statali'
+                    WHEN mutuo = top THEN 'mutuo'
                     WHEN capitali_privati = top THEN 'capitali privati'
                     ELSE 'altre fonti' END AS fonte_prevalente
         FROM fonti_pulite)"""
 
 
+def _raw_fonti(t):
+    return _filled(t.raw_fonti, L.FONTI_FINANZIAMENTO, _FONTI_FINANZIAMENTO)
+
+
 @query("clean_fonti_finanziamento", f"WITH {FONTI_SQL} SELECT * FROM fonti_finali")
 def clean_fonti_finanziamento(t):
-    return clean.clean_fonti_finanziamento(t.raw_fonti)
+    return clean.clean_fonti_finanziamento(_raw_fonti(t))
 
 
 @query(
@@ -450,4 +518,4 @@ def clean_fonti_finanziamento(t):
     SELECT * FROM lunga WHERE importo > 0""",
 )
 def mart_fonti(t):
-    return finance.mart_fonti(clean.clean_fonti_finanziamento(t.raw_fonti))
+    return finance.mart_fonti(clean.clean_fonti_finanziamento(_raw_fonti(t)))
