@@ -80,6 +80,39 @@ def csv_scan_with_line_breaks(t):
     )
 
 
+@query(
+    "csv_scan_badly_quoted",
+    """
+    SELECT CAST(s_suppkey AS VARCHAR) AS cig, 'Ditta ' || s_name || ' srl' AS nome,
+           s_suppkey * 3 AS importo
+    FROM {supplier}""",
+)
+def csv_scan_badly_quoted(t):
+    """A file whose inner quotes are not escaped, read whole by its name, beside one that is
+    split; no row is lost or cut."""
+    root = scratch_path(t.spark, "ditte")
+    key, cost = F.col("s_suppkey").cast("string"), (F.col("s_suppkey") * 3).cast("string")
+    is_delta = F.col("s_suppkey") % 3 == 0
+    resources = {
+        "00-full.csv": (~is_delta, '"Ditta "', '" srl"'),
+        "01-delta.csv": (is_delta, '"Ditta ""', '"" srl"'),
+    }
+    for name, (rows, head, tail) in resources.items():
+        line = F.concat_ws(";", key, F.concat(F.lit(head), "s_name", F.lit(tail)), cost)
+        # The lines as they are: one column that is never quoted, named like the header.
+        t.supplier.where(rows).select(line.alias("cig;nome;importo")).write.option(
+            "header", True
+        ).option("sep", "\u0001").option("quote", "\u0000").csv(f"{root}/{name}")
+    raw = delimited.read_delimited_by_header(
+        t.spark, [f"{root}/{name}" for name in resources], ["00-full.csv"], source_file=False
+    )
+    return raw.select(
+        "cig",
+        F.regexp_replace("nome", '"', "").alias("nome"),
+        S.cast_bigint("importo").alias("importo"),
+    )
+
+
 @query(
     "csv_scan_other_headers",
     """
