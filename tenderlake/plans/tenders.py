@@ -130,14 +130,17 @@ def mart_top_stazioni(tenders: DataFrame, limit: int = 500) -> DataFrame:
         F.sum(AMOUNT).alias("__sum"),
         rounded(F.avg(AMOUNT)).alias("importo_medio"),
     )
-    # No row beyond the limit of its own year can reach the first `limit` overall.
-    ranked = top_n_per_group(totals, ["anno"], "__sum", limit, group[1:], "rank_per_anno")
+    # The report's order is that of the ranks, so its rows are taken first, by a heap per
+    # task, and only these are ranked: a year's rows among them are its best ones.
+    first = totals.orderBy(
+        F.col("anno").desc_nulls_last(), F.col("__sum").desc_nulls_last(), *group[1:]
+    ).limit(limit)
+    ranked = top_n_per_group(first, ["anno"], "__sum", limit, group[1:], "rank_per_anno")
     return (
         ranked.withColumn("importo_totale", rounded("__sum"))
         .withColumn("lotti_medi_per_gara", rounded(ratio("n_lotti", "n_gare"), 1))
         .drop("__sum")
         .orderBy(F.col("anno").desc_nulls_last(), "rank_per_anno")
-        .limit(limit)
     )
 
 
@@ -228,7 +231,7 @@ def mart_sa_profilo(
 def tenders_per_cig(tenders: DataFrame) -> DataFrame:
     """One row per lot with the attributes the cross marts join on.
 
-    Six marts start from this table: build it once and keep it bucketed on cig.
+    Six marts start from this table: `build_cross` stores it once.
     """
     known = tenders.where(
         F.col("cf_amministrazione_appaltante").isNotNull() & ~F.col("flag_importo_sospetto")
