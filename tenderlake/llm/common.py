@@ -19,21 +19,23 @@ from tenderlake.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_SHIPPED: set[str] = set()
+# The archive sent for each application, kept as long as this process serves it.
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, as spark-submit --py-files does. Spark copies the
     archive from the driver to every executor, also to those that join later."""
-    if spark.sparkContext.applicationId in _SHIPPED:
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
         return
     package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="tenderlake-")) / "tenderlake.zip"
+    _SHIPPED[app] = tempfile.TemporaryDirectory(prefix="tenderlake-")
+    archive = Path(_SHIPPED[app].name) / "tenderlake.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, file.relative_to(package.parent))
     spark.sparkContext.addPyFile(str(archive))
-    _SHIPPED.add(spark.sparkContext.applicationId)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
