@@ -31,6 +31,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
+def row_hash() -> Column:
+    """Hash of a row's id, source and text, nulls told from values."""
+    columns = [x for c in ("doc_id", "source", "text") for x in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(*columns)
+
+
 def exponential_key(doc_id: Column, weight: Column, seed: int) -> Column:
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13)
     uniform = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**52)
@@ -72,7 +78,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
 
 def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0, weights=WEIGHTS,
         share: float = SHARE, most: int = MOST) -> DataFrame:
-    """doc_id, source, text_hash, size, source_size, target, taken of every row of `docs` (doc_id,
+    """doc_id, source, row_hash, size, source_size, target, taken of every row of `docs` (doc_id,
     text, source).
 
     size counts words (null text: 0), taken the words the mix takes of the row, repeats
@@ -85,7 +91,7 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0, weights
     sized = docs.select(
         "doc_id",
         "source",
-        F.xxhash64("text").alias("text_hash"),
+        row_hash().alias("row_hash"),
         word_count(F.col("text")).alias("size"),
     )
     weight = F.lit(UNKNOWN)
@@ -95,7 +101,7 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0, weights
         weight = F.when(F.col("quality") >= 1, GOOD).when(F.col("quality") == 0, BAD)
         weight = weight.otherwise(UNKNOWN)
     key = exponential_key(F.col("doc_id"), weight, seed)
-    sized = sized.select("doc_id", "source", "text_hash", "size", key.alias("key"))
+    sized = sized.select("doc_id", "source", "row_hash", "size", key.alias("key"))
     slice_ = F.least(F.floor((1 - F.exp(-F.col("key"))) * SLICES), F.lit(SLICES - 1)).cast("int")
     sized = stored(sized.withColumn("slice", slice_), "sized")
 
@@ -119,7 +125,7 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0, weights
     rows = rows.select("d.*", "s.start", "s.source_size", "s.target", "s.passes", "s.left")
     upto = (
         Window.partitionBy("source", "slice")
-        .orderBy("key", "doc_id", "size", "text_hash")
+        .orderBy("key", "doc_id", "size", "row_hash")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     end = F.col("start") + F.sum("size").over(upto)
@@ -127,7 +133,7 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0, weights
     head = (F.col("size") > 0) & (2 * F.col("end") - F.col("size") <= 2 * F.col("left"))
     taken = F.col("size") * (F.col("passes") + F.when(head, 1).otherwise(0))
     return rows.select(
-        "doc_id", "source", "text_hash", "size", "source_size", "target", taken.alias("taken")
+        "doc_id", "source", "row_hash", "size", "source_size", "target", taken.alias("taken")
     )
 
 
@@ -171,22 +177,15 @@ FROM summed
 def repeat_taken(docs: DataFrame, labels: DataFrame | None = None, seed: int = 0) -> DataFrame:
     """The rows of `docs` as often as the mix takes them: not at all, once or twice. Equal
     rows share what is taken of them in turn. Rows without words are not in the mix."""
-    same = ["doc_id", "source", "text_hash"]
-    taken = mix(docs.select("doc_id", "text", "source"), labels, seed)
-    taken = taken.where("taken > 0").groupBy(*same).agg(
-        F.sum(F.expr("taken div size")).alias("copies")
+    mixed = mix(docs.select("doc_id", "text", "source"), labels, seed)
+    taken = mixed.where("size > 0").groupBy("row_hash").agg(
+        F.sum(F.expr("taken div size")).alias("copies"), F.count("*").alias("equal")
     )
-    held = docs.select(
-        whole_row(docs), "doc_id", "source", F.xxhash64("text").alias("text_hash")
-    ).alias("d")
-    match = F.col("d.text_hash") == F.col("t.text_hash")
-    for c in ("doc_id", "source"):
-        match = match & F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}"))
-    joined = held.join(taken.alias("t"), match).select("d.*", "t.copies")
-    equal = Window.partitionBy(*same)
-    joined = joined.withColumns(
-        {"k": F.row_number().over(equal.orderBy("copies")), "n": F.count("*").over(equal)}
-    )
-    times = F.expr("copies div n + if(k <= copies % n, 1, 0)").cast("int")
+    held = docs.select(whole_row(docs), row_hash().alias("row_hash"))
+    # One exchange of the rows serves the join and the numbering of equal ones.
+    joined = held.join(taken.where("copies > 0"), "row_hash")
+    number = F.row_number().over(Window.partitionBy("row_hash").orderBy("copies"))
+    joined = joined.withColumn("k", number)
+    times = F.expr("copies div equal + if(k <= copies % equal, 1, 0)").cast("int")
     repeated = joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select("row.*")
