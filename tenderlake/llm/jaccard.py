@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import by_size, discard, let_go, maybe_among, stored, whole_row
+from .common import WORD, by_size, discard, let_go, maybe_among, stored, whole_row
 from .components import connected
 from .shingles import shingle_hashes, shingle_sets
 
@@ -331,22 +331,28 @@ def crossing_pairs(rows: DataFrame, comps: DataFrame) -> DataFrame:
         rows.withColumn("n_low", F.min("n").over(whole))
         .withColumn("n_high", F.max("n").over(whole))
         .where(F.col("place") <= F.col("held") - least)
-        .withColumn("c_low", F.min("comp").over(whole))
-        .withColumn("c_high", F.max("comp").over(whole))
-        .where("c_low <> c_high")
-        .select("token", *_SIDE, "comp")
+        .withColumn("members", F.count("*").over(Window.partitionBy("token", "comp")))
+        .withColumn("main", F.max(F.struct("members", "comp")).over(whole))
+        .withColumn("apart", F.col("comp") != F.col("main.comp"))
+        .withColumn("any_apart", F.max("apart").over(whole))
+        .where("any_apart")
+        .select("token", *_SIDE, "comp", "apart")
     )
     rows = stored(rows, "crossing")
-    kinds = rows.select("token", "comp").distinct()
-    both = kinds.withColumnRenamed("comp", "comp1").join(
-        kinds.withColumnRenamed("comp", "comp2"), "token"
-    ).where("comp1 < comp2")
 
     def side(k: int) -> DataFrame:
-        return rows.select("token", *[F.col(c).alias(f"{c}{k}") for c in (*_SIDE, "comp")])
+        return rows.select(
+            "token", *[F.col(c).alias(f"{c}{k}") for c in (*_SIDE, "comp", "apart")]
+        )
 
-    pairs = both.join(side(1), ["token", "comp1"]).join(side(2), ["token", "comp2"])
-    pairs = pairs.where(_may_link("1", "2"))
+    # Those outside the largest component of their list meet all of the list; its members,
+    # however many, are never set against each other.
+    outside = side(1).where("apart1")
+    once = ~F.col("apart2") | (F.col("node1") < F.col("node2"))
+    apart = (F.col("comp1") != F.col("comp2")) & once & _may_link("1", "2")
+    pairs = outside.withColumnRenamed("token", "list").join(
+        side(2), (F.col("list") == F.col("token")) & apart
+    )
     a, b = F.least("node1", "node2"), F.greatest("node1", "node2")
     return pairs.select(a.alias("a"), b.alias("b")).distinct()
 
@@ -407,16 +413,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     rows = sketch.select("doc_id", "text_hash", "node").join(member, "node")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = rows.groupBy("comp").agg(F.min(order).alias("k"))
-    first = stored(first.select("k.doc_id", "k.text_hash"), "kept")
-    bare = sketch.where("n = 0").select("doc_id", "text_hash")
-    held = docs.select(whole_row(docs), "doc_id", F.xxhash64("text").alias("hash")).alias("d")
-
-    def among(keys: DataFrame) -> DataFrame:
-        k = keys.distinct().alias("k")
-        same = (F.col("d.hash") == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(
-            F.col("k.doc_id")
-        )
-        return held.join(k, same, "left_semi")
+    first = stored(first.select(_key(F.col("k.doc_id"), F.col("k.text_hash")).alias("key")), "kept")
+    # One exchange of the rows serves the join and the choice among equal ones.
+    held = docs.select(
+        whole_row(docs), _key(F.col("doc_id"), F.xxhash64("text")).alias("key")
+    )
+    kept = held.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    return kept.unionByName(docs.where(wordless))
+
 
-    kept = among(first).dropDuplicates(["doc_id", "hash"]).unionByName(among(bare))
-    return kept.select("row.*")
+def _key(doc_id: Column, text_hash: Column) -> Column:
+    return F.xxhash64(doc_id.isNull(), doc_id, text_hash)
