@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.scalars import billions, pct, rounded
-from ..operators.joins import attach, drop_matching, keep_matching
+from ..operators.joins import attach, keep_matching
 from ..operators.reshape import cumulative_share, keep_top_groups, pivot_filled, top_n
 from .cross import LATE
 from .tenders import AMOUNT, AWARDED, active_trusted, n_rows, n_where, sum_where

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import bucket_values, not_blank, pct, ratio, rounded
+from ..functions.scalars import bucket_values, ratio, rounded
 from ..operators.joins import attach
 from ..operators.reshape import (
     change_to_previous,

@@ -342,3 +342,20 @@ def test_small_tables(frame):
         text_schema("cig", "id_aggiudicazione", "data_cert_collaudo", "data_delibera", "__source_file"),
     )
     assert [r.data_cert_collaudo for r in C.clean_collaudo(tests).collect()] == [day("2020-01-01")]
+
+
+def test_files_compete_for_published_keys(frame):
+    """Two spellings of a lot are two keys of the published files."""
+    rows = [(" A", "1", "X", "00-full.csv"), ("A", "2", "Y", "01-delta.csv"), ("A", "3", "Z", "00-full.csv")]
+    bidders = frame(rows, text_schema("cig", "codice_fiscale", "denominazione", "__source_file"))
+    got = sorted((r.cig, r.denominazione) for r in C.clean_partecipanti(bidders).collect())
+    assert got == [("A", "X"), ("A", "Y")]
+
+
+def test_unreadable_ids_stay_apart(frame):
+    rows = [("A", "n/d", "E", "D", "1", "00"), ("A", "x/y", "E", "D", "2", "00"), ("A", "x/y", "E", "D", "3", "01")]
+    events = frame(
+        rows,
+        text_schema("cig", "id_aggiudicazione", "descrizione_evento", "dettaglio_evento", "importo_lavori", "__source_file"),
+    )
+    assert sorted(r.importo_lavori for r in C.clean_quadro_economico(events).collect()) == [1.0, 3.0]

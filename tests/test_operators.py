@@ -134,3 +134,22 @@ def test_not_in_is_null_aware(spark):
     assert kept("a", "a") == ["b"]
     assert kept("a", None) == []
     assert kept() == ["None", "a", "b"]
+
+
+def test_newest_file_is_found_by_hashing(spark):
+    """File numbers are whole: no sort of all rows before the lots are combined."""
+    df = spark.range(100).select(
+        F.col("id").cast("string").alias("cig"), F.lit("00-full.csv").alias(K.SOURCE)
+    )
+    plan = K.keep_newest_source(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_files_compete_by_the_heads_of_their_names(spark):
+    rows = [("A", "00-full.csv", 1), ("A", "10-delta.csv", 2), ("A", "02-delta.csv", 3), ("B", "f", 4), (None, "x", 5)]
+    df = spark.createDataFrame(rows, f"cig string, {K.SOURCE} string, v int")
+    assert sorted(r.v for r in K.keep_newest_source(df).collect()) == [2, 4, 5]
+
+
+def test_slices_follow_the_input():
+    assert [slices_for(n, 100) for n in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]

@@ -125,3 +125,33 @@ def test_build_awards_from_files(spark, tmp_path):
     assert sorted((r.cig, r.id_aggiudicazione, r.importo_aggiudicazione) for r in tables["mart_dettaglio"].collect()) == [
         ("A", 1, 30.0), ("B", 3, 5.0)]
     assert SOURCE not in tables["clean"].columns
+
+
+def test_only_named_files_are_read_whole(spark, files, monkeypatch):
+    scans = []
+    plain = delimited.read_delimited
+
+    def spy(spark, paths, columns, whole, *rest):
+        scans.append((sorted(p.rpartition("/")[2] for p in paths), whole))
+        return plain(spark, paths, columns, whole, *rest)
+
+    monkeypatch.setattr(delimited, "read_delimited", spy)
+    rows = delimited.read_delimited_by_header(spark, files, multiline=["01-delta.csv"]).collect()
+    assert sorted(scans) == [(["00-full.csv"], False), (["01-delta.csv"], True)]
+    assert "due\nrighe" in {r.nome for r in rows}
+
+
+def test_drift_inside_one_table_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).select(F.lit("A").alias("cig"), F.lit(1).alias("v")).write.parquet(path)
+    spark.range(3).select(F.lit("A").alias("cig"), F.lit("1").alias("v")).write.mode("append").parquet(path)
+    clean = spark.read.schema("cig string").parquet(path)
+    report = quality.audit(clean, "t", quality.Rules(dates=[]), path=path)
+    assert [(r.livello, r.regola) for r in report.collect() if r.regola == "deriva_schema"] == [("errore", "deriva_schema")]
+
+
+def test_newest_days_are_noted(frame):
+    df = frame([("A", date(2024, 1, 2)), ("B", None)], "cig string, d date")
+    report = quality.audit(df, "t", quality.Rules(dates=["d"]), newest=True)
+    (note,) = report.where("livello = 'nota'").collect()
+    assert (note.regola, note.oggetto, note.valore) == ("data_massima", "d", (date(2024, 1, 2) - date(1970, 1, 1)).days)
