@@ -16,19 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored, whole_row
+from .common import WORD, stored, whole_row
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SLICES = 4096
-WORDS = r"[^\x20\x09-\x0D]+"
 # Weight of a row by its label of quality: 1, 0, none.
 GOOD, BAD, UNKNOWN = 2.0, 0.5, 1.0
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def row_hash() -> Column:
