@@ -10,7 +10,7 @@ Filter and verify, with several global orders of the shingles:
    their sizes as well.
 3. Order 2 puts the shared shingles in the order of their exact number of holders. Of the T
    that a class holds, one of the first T - l + 1 must be shared: these make the candidates.
-4. Pivots: in each list the classes are paired with the two whose prefixes end latest (the
+4. Pivots: in each list the classes are paired with the four whose prefixes end latest (the
    least edited ones), never with each other. Verified pairs are links.
 5. Completion: classes of one list that the links so far leave in different components are
    paired, whatever the length of the list. So no pair within a large group is emitted, and
@@ -42,7 +42,7 @@ OVER, UNDER = 3, 4
 WIDTH = 5
 SLOT_BITS = 18
 CHUNK = 1_000_000
-PIVOTS = 2
+PIVOTS = 4
 # Odd factors: the further orders sort shingles by their hash times these.
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25))
 
