@@ -42,6 +42,17 @@ SIMPLE = re.compile(r"[^\x00-\x1B\x20-į]")
 SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
 
 
+class Memory(dict):
+    """Ids of stretches; `fresh` holds those of the present call that memory has no room for."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: dict[str, bytes] = {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        return self.fresh[stretch]
+
+
 class Ids:
     """Ids of texts, as the tokenizer gives them without special tokens.
 
@@ -56,7 +67,7 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory()
 
     def _ids_of_pieces(self, new: list[str]) -> dict[str, bytes]:
         out: dict[str, bytes] = {}
@@ -73,7 +84,8 @@ class Ids:
 
     def _learn(self, stretches: list[str]) -> dict[str, bytes]:
         """Ids of stretches that are not remembered."""
-        split = list(map(SPLIT.findall, stretches))
+        # A stretch of letters is one piece.
+        split = [[x] if x.isalpha() else SPLIT.findall(x) for x in stretches]
         known = self.known
         new = [p for p in set(chain.from_iterable(split)) if p not in known]
         out = self._ids_of_pieces(new)
@@ -90,16 +102,13 @@ class Ids:
         split = [t.lower().split() if is_simple(t) else None for t in texts]
         known = self.known
         every = set(chain.from_iterable(s for s in split if s))
-        new = [x for x in every if x not in known]
-        fresh = self._learn(new)
-        # Once memory is full, the new stretches of this call stand beside it.
-        lookup = known if not new or new[0] in known else known | fresh
+        known.fresh = self._learn([x for x in every if x not in known])
         rest = [t for t, s in zip(texts, split, strict=True) if s is None]
         whole = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
         return [
             np.array(next(whole).ids, "<u4").tobytes()
             if s is None
-            else b"".join(map(lookup.__getitem__, s))
+            else b"".join(map(known.__getitem__, s))
             for s in split
         ]
 
