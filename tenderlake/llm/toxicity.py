@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from heapq import nlargest
 from math import log
 
 import numpy as np
@@ -193,6 +194,17 @@ class Memo(dict):
 # --- learning and scoring ----------------------------------------------------------------
 
 
+def longest_words(text: str):
+    """The three longest words of each text, which near copies mostly share and other texts
+    do not."""
+
+    def of(texts: pd.Series) -> pd.Series:
+        words = [set(PLAIN.findall((t or "").lower())) for t in texts]
+        return pd.Series([" ".join(nlargest(3, w, key=lambda x: (len(x), x))) for w in words])
+
+    return F.pandas_udf(of, "string")(text)
+
+
 def gram_presence(texts: DataFrame, lm) -> DataFrame:
     """gram, toxic_n, clean_n: in how many texts (text, toxic) a gram is present."""
 
@@ -302,7 +314,7 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: floa
 
     Labels are taken only of ids whose crc32 modulo 4 is not 2. The classifier learns from a
     bounded sample: at most `per_class` ids of each label, one of each slot of a hash of the
-    id; the shares of the two labels among all labelled ids weigh the sample. An id labelled
+    id, copies of a text once; the shares of the two labels among all labelled ids weigh the sample. An id labelled
     both ways counts as toxic. The character model counts all texts. Null and empty texts get
     the score of a text without evidence; without labels of both kinds every score is 0.
     Rows are neither dropped nor merged; a column named score is replaced.
@@ -324,6 +336,10 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: floa
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(per_class))
     chosen = marked.groupBy("toxic", slot.alias("slot")).agg(F.min("doc_id").alias("doc_id"))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.drop("slot")), "doc_id")
+    # Copies are no further evidence: of texts with the same longest words one is taken.
+    sample = sample.groupBy("toxic", longest_words("text").alias("words")).agg(
+        F.min("text").alias("text")
+    )
     sample = stored(sample.select("text", "toxic").repartition(32), "toxic-sample")
     used = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     grams = [(r["gram"], r["n"]) for r in trigram_counts(docs).collect()]
