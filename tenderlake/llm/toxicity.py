@@ -194,15 +194,22 @@ class Memo(dict):
 # --- learning and scoring ----------------------------------------------------------------
 
 
-def longest_words(text: str):
-    """The three longest words of each text, which near copies mostly share and other texts
-    do not."""
+def copy_mark(text: str):
+    """The three longest words of each text and what stands around the longest one: near
+    copies mostly share them, other texts do not."""
 
-    def of(texts: pd.Series) -> pd.Series:
-        words = [set(PLAIN.findall((t or "").lower())) for t in texts]
-        return pd.Series([" ".join(nlargest(3, w, key=lambda x: (len(x), x))) for w in words])
+    def mark(t: str | None) -> str:
+        words = PLAIN.findall((t or "").lower())
+        if not words:
+            return ""
+        top = nlargest(3, set(words), key=lambda w: (len(w), w))
+        at = words.index(top[0])
+        return " ".join([*top, *words[max(0, at - 2) : at + 3]])
 
-    return F.pandas_udf(of, "string")(text)
+    def marks(texts: pd.Series) -> pd.Series:
+        return pd.Series([mark(t) for t in texts])
+
+    return F.pandas_udf(marks, "string")(text)
 
 
 def gram_presence(texts: DataFrame, lm) -> DataFrame:
@@ -336,8 +343,8 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: floa
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(per_class))
     chosen = marked.groupBy("toxic", slot.alias("slot")).agg(F.min("doc_id").alias("doc_id"))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.drop("slot")), "doc_id")
-    # Copies are no further evidence: of texts with the same longest words one is taken.
-    sample = sample.groupBy("toxic", longest_words("text").alias("words")).agg(
+    # Copies are no further evidence: of texts with the same mark one is taken.
+    sample = sample.groupBy("toxic", copy_mark("text").alias("mark")).agg(
         F.min("text").alias("text")
     )
     sample = stored(sample.select("text", "toxic").repartition(32), "toxic-sample")
