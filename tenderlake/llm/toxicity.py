@@ -6,8 +6,11 @@ under a character trigram model picks the likeliest reading. The trigram counts
 all documents. A word without any such sign has one path only and is read as it is.
 
 The score looks at the restored words. Character 5-grams and whole words whose presence is
-significantly more likely in texts labelled toxic carry their log-odds; a text's strongest
-word and the number of its telling words go into a logistic function.
+more likely in texts labelled toxic carry their log-odds, as far as the labelled texts show
+it: of all kept ones a bounded share is expected to be chance. What that asks of a gram
+follows from the grams at hand, so small inputs and rare languages are judged by their own
+evidence. Presence is counted over all labelled texts. A text's strongest word and the
+number of its telling words go into a logistic function.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from heapq import nlargest
-from math import log
+from math import erfc, log, sqrt
 
 import numpy as np
 import pandas as pd
@@ -47,6 +50,8 @@ SUSPECT = re.compile(
 )
 SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s{1,3}\S){3,}(?!\S)")
 CACHE = 300_000
+# Remembered words with all their grams, and grams counted before they are given on.
+GRAM_CACHE, COUNTED = 50_000, 300_000
 CHUNK = 1_000_000
 
 
@@ -180,12 +185,12 @@ def grams_of(word: str) -> list[str]:
 class Memo(dict):
     """A bounded memory of what a function gives for a key."""
 
-    def __init__(self, fn):
+    def __init__(self, fn, most: int = CACHE):
         super().__init__()
-        self.fn = fn
+        self.fn, self.most = fn, most
 
     def __missing__(self, key):
-        if len(self) >= CACHE:
+        if len(self) >= self.most:
             self.clear()
         value = self[key] = self.fn(key)
         return value
@@ -215,31 +220,53 @@ def copy_mark(text: str):
 def gram_presence(texts: DataFrame, lm) -> DataFrame:
     """gram, toxic_n, clean_n: in how many texts (text, toxic) a gram is present."""
 
+    def rows(seen: dict[int, Counter]) -> pd.DataFrame:
+        keys = list(seen[0].keys() | seen[1].keys())
+        return pd.DataFrame(
+            {"gram": keys, "t": [seen[1][k] for k in keys], "c": [seen[0][k] for k in keys]}
+        )
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = lm.value
-        grams = Memo(lambda t: {g for w in words_of(t, model) for g in grams_of(w)})
+        grams = Memo(lambda t: {g for w in words_of(t, model) for g in grams_of(w)}, GRAM_CACHE)
+        seen = {0: Counter(), 1: Counter()}
         for batch in batches:
-            seen = {0: Counter(), 1: Counter()}
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 low = (text or "").lower()
                 own = set().union(*map(grams.__getitem__, set(low.split())))
                 for w in spaced_words(low, model):
                     own.update(grams_of(w))
                 seen[int(toxic)].update(own)
-            keys = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame(
-                {"gram": keys, "t": [seen[1][k] for k in keys], "c": [seen[0][k] for k in keys]}
-            )
+                if len(seen[0]) + len(seen[1]) >= COUNTED:
+                    yield rows(seen)
+                    seen = {0: Counter(), 1: Counter()}
+        yield rows(seen)
 
     parts = texts.mapInPandas(count, "gram string, t long, c long")
     return parts.groupBy("gram").agg(F.sum("t").alias("toxic_n"), F.sum("c").alias("clean_n"))
 
 
-def telling_grams(present: DataFrame, n_toxic: int, n_clean: int, least: float, most: int):
-    """Log-odds of the grams that are significantly more frequent in toxic texts.
+# Steps of the likelihood-ratio statistic, up to where chance is below 1e-87.
+STEPS, LAST = 100, 40_000
+
+
+def least_evidence(steps: list[tuple[int, int]], grams: int, chance: float) -> int | None:
+    """The lowest step of the statistic from which on the grams that chance alone would put
+    there are `chance` of those found at the most (Benjamini and Hochberg). `steps` has the
+    number of grams of each step, `grams` is the number of all. None: no step is enough."""
+    least, found = None, 0
+    for step, n in sorted(steps, reverse=True):
+        found += n
+        if grams * erfc(sqrt(step / STEPS / 2)) / 2 <= chance * found:
+            least = step
+    return least
+
+
+def telling_grams(present: DataFrame, n_toxic: int, n_clean: int, chance: float, most: int):
+    """Log-odds of the grams that are more frequent in toxic texts, with as much evidence as
+    keeps the expected share of chance finds at `chance`.
 
-    `least` bounds the likelihood-ratio statistic (one degree of freedom) from below, `most`
-    the size of the model: the most significant grams are kept.
+    `most` bounds the size of the model: the most significant grams are kept.
     """
     t, c = F.col("toxic_n"), F.col("clean_n")
     share = (t + c) / F.lit(n_toxic + n_clean)
@@ -252,10 +279,17 @@ def telling_grams(present: DataFrame, n_toxic: int, n_clean: int, least: float,
         ).otherwise(0.0)
 
     odds = F.log(((t + 0.5) / (n_toxic + 1)) / ((c + 0.5) / (n_clean + 1)))
+    g2 = 2 * (part(t, n_toxic) + part(c, n_clean))
+    rows = present.withColumn("g2", g2).withColumn("odds", odds)
+    step = F.least(F.floor(F.col("g2") * STEPS), F.lit(LAST)).cast("int")
+    rows = rows.withColumn("step", F.when(F.col("odds") > 0, step))
+    steps = {r["step"]: r["count"] for r in rows.groupBy("step").count().collect()}
+    grams = sum(steps.values())
+    least = least_evidence([(k, n) for k, n in steps.items() if k is not None], grams, chance)
+    if least is None:
+        return {}
     rows = (
-        present.withColumn("g2", 2 * (part(t, n_toxic) + part(c, n_clean)))
-        .withColumn("odds", odds)
-        .where((F.col("g2") >= least) & (F.col("odds") > 1))
+        rows.where((F.col("step") >= least) & (F.col("odds") > 1))
         .orderBy(F.desc("g2"), "gram")
         .limit(most)
         .collect()
@@ -315,14 +349,13 @@ def held_out():
     return F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: float = 30.0,
-          most: int = 20_000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, chance: float = 0.05,
+          most: int = 100_000) -> DataFrame:
     """`docs` plus score, the probability that a text is labelled toxic.
 
-    Labels are taken only of ids whose crc32 modulo 4 is not 2. The classifier learns from a
-    bounded sample: at most `per_class` ids of each label, one of each slot of a hash of the
-    id, copies of a text once; the shares of the two labels among all labelled ids weigh the sample. An id labelled
-    both ways counts as toxic. The character model counts all texts. Null and empty texts get
+    Labels are taken only of ids whose crc32 modulo 4 is not 2. The classifier learns from
+    all texts of these ids, copies of a text once; the shares of the two labels among all
+    labelled ids weigh them. An id labelled both ways counts as toxic. The character model counts all texts. Null and empty texts get
     the score of a text without evidence; without labels of both kinds every score is 0.
     Rows are neither dropped nor merged; a column named score is replaced.
     """
@@ -338,26 +371,23 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 4000, least: floa
     totals = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return docs.withColumn("score", F.lit(0.0))
-    # The ids of a label are hashed into per_class slots, each of which gives one: 2 *
-    # per_class ids at most, a bound set by a parameter.
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(per_class))
-    chosen = marked.groupBy("toxic", slot.alias("slot")).agg(F.min("doc_id").alias("doc_id"))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen.drop("slot")), "doc_id")
+    texts = docs.select("doc_id", "text").join(marked, "doc_id")
     # Copies are no further evidence: of texts with the same mark one is taken.
-    sample = sample.groupBy("toxic", copy_mark("text").alias("mark")).agg(
+    texts = texts.groupBy("toxic", copy_mark("text").alias("mark")).agg(
         F.min("text").alias("text")
     )
-    sample = stored(sample.select("text", "toxic").repartition(32), "toxic-sample")
-    used = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    texts = stored(texts.select("text", "toxic"), "toxic-texts")
+    used = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     grams = [(r["gram"], r["n"]) for r in trigram_counts(docs).collect()]
     lm = session.sparkContext.broadcast(log_probabilities(grams))
-    present = gram_presence(sample, lm)
-    odds = telling_grams(present, used[1], used[0], least, most)
+    present = stored(gram_presence(texts, lm), "toxic-grams")
+    odds = telling_grams(present, used[1], used[0], chance, most)
     known = session.sparkContext.broadcast(odds)
-    seen = evidence(sample, lm, known).select("toxic", "strongest", "telling").collect()
+    # Texts with the same evidence are one row with their number.
+    seen = evidence(texts, lm, known).groupBy("toxic", "strongest", "telling").count().collect()
     x = np.array([(r["strongest"], np.log1p(r["telling"])) for r in seen], float)
     y = np.array([r["toxic"] for r in seen], float)
-    weight = np.where(y == 1, totals[1] / used[1], totals[0] / used[0])
+    weight = np.array([r["count"] * totals[r["toxic"]] / used[r["toxic"]] for r in seen], float)
     w = logistic(x, y, weight / weight.mean())
     line = F.lit(float(w[0])) + float(w[1]) * F.col("strongest")
     line = line + float(w[2]) * F.log1p("telling")

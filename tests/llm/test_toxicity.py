@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+from math import erfc, sqrt
+
 import numpy as np
 import pytest
 
@@ -106,3 +110,35 @@ def test_without_labels_or_rows(llm, documents):
     out = toxicity.toxic_documents(documents([(1, "a", "en", "s")]), none).collect()
     assert [(r["score"], r["predicted"]) for r in out] == [(0.0, 0)]
     assert toxicity.toxic_documents(documents([]), none).collect() == []
+
+
+def test_markers_of_a_rare_language_count(llm, documents):
+    """Five labelled texts with a marker of their own beside many of another language."""
+    rng = np.random.default_rng(6)
+    rare = "el perro corre por la calle mientras su amigo come pan con queso fresco".split()
+    texts = [(t, 1) for t in rows_of(rng, 40, True)] + [(t, 0) for t in rows_of(rng, 200, False)]
+    for k in range(30):
+        words = list(rng.choice(rare, 25))
+        texts.append((" ".join(words), 0))
+        if k < 5:
+            words[7] = "bocoos"
+            texts.append((" ".join(words), 1))
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 4 != 2][: len(texts)]
+    labels = [(i, 1, toxic) for i, (_, toxic) in zip(ids, texts, strict=True)]
+    rows = [(i, t, "x", "s") for i, (t, _) in zip(ids, texts, strict=True)]
+    rows += [(5000, "su perro bocoos come pan", "es", "s"), (5001, "su perro come pan", "es", "s")]
+    labels = llm.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = toxicity.toxic_documents(documents(rows), labels).where("doc_id >= 5000").collect()
+    assert {r["doc_id"]: r["predicted"] for r in out} == {5000: 1, 5001: 0}
+
+
+def test_least_evidence_bounds_the_share_of_chance():
+    rng = np.random.default_rng(7)
+    steps = Counter(int(x) for x in [*rng.chisquare(1, 3000) * 100, *rng.uniform(5, 40, 60) * 100])
+    values = sorted((s for s, n in steps.items() for _ in range(n)), reverse=True)
+    p = [erfc(sqrt(s / 100 / 2)) / 2 for s in values]
+    kept = max(k for k in range(len(p)) if p[k] * 6000 <= 0.05 * (k + 1))
+    least = toxicity.least_evidence(list(steps.items()), 6000, 0.05)
+    assert least == values[kept]
+    assert toxicity.least_evidence([(100, 3)], 1000, 0.05) is None
+    assert toxicity.least_evidence([], 0, 0.05) is None
