@@ -3,7 +3,8 @@
 Disguised words (digits and signs for letters, letters drawn out, letters spaced or cut by
 signs) are read as a lattice of the letters each character may stand for. Viterbi decoding
 under a character trigram model picks the likeliest reading. The trigram counts come from
-all documents. A word without any such sign has one path only and is read as it is.
+all documents. A word without any such sign and without a doubled letter has one path only
+and is read as it is; all others are decoded.
 
 The score looks at the restored words. Character 5-grams and whole words whose presence is
 more likely in texts labelled toxic carry their log-odds, as far as the labelled texts show
@@ -45,10 +46,11 @@ SUBSTITUTED, DRAWN_OUT, SPACED, CUT, EDGE = log(0.4), log(0.3), log(0.5), log(0.
 SIGN_DROPPED, DIGIT_DROPPED = log(0.01), log(0.002)
 
 PLAIN = re.compile(r"[^\W\d_]+")
-SUSPECT = re.compile(
-    r"[0-9@$|+(€£]|(?:^|[^\W\d_])!+[^\W\d_]|([^\W\d_])\1\1|[^\W\d_][\W_]+[^\W\d_]"
-)
-SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s{1,3}\S){3,}(?!\S)")
+# From the first to the last character that may stand for a letter; what is around is cut off
+# by every path alike.
+CORE = re.compile(r"(?:[^\W_]|[@$!|+(€£])(?:.*(?:[^\W_]|[@$!|+(€£]))?", re.DOTALL)
+DOUBLED = re.compile(r"(.)\1")
+SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s++\S)+(?!\S)")
 CACHE = 300_000
 # Remembered words with all their grams, and grams counted before they are given on.
 GRAM_CACHE, COUNTED = 50_000, 300_000
@@ -159,19 +161,26 @@ def restore(text: str, lm: np.ndarray) -> list[str]:
     return "".join(reversed(out)).split()
 
 
+def has_readings(token: str) -> bool:
+    """Whether paths through the lattice of a token spell different words: it holds a sign or
+    a digit that may stand for letters or is within the token, or a letter twice in a row."""
+    core = CORE.search(token)
+    return core is not None and (not core[0].isalpha() or DOUBLED.search(core[0]) is not None)
+
+
 def words_of(token: str, lm: np.ndarray) -> set[str]:
     """The plain words of a token between spaces, and those its restored reading holds."""
     words = set(PLAIN.findall(token))
-    if words and SUSPECT.search(token):
+    if has_readings(token):
         words.update(restore(token, lm))
     return words
 
 
 def spaced_words(text: str, lm: np.ndarray) -> set[str]:
-    """The words that runs of four or more single characters spell."""
+    """The words that runs of two or more single characters spell, whatever the blanks."""
     found: set[str] = set()
     for m in SPACED_OUT.finditer(text):
-        if sum(c.isalpha() or c in LEET for c in m[0]) >= 3 and any(map(str.isalpha, m[0])):
+        if sum(c.isalpha() or c in LEET for c in m[0]) >= 2:
             found.update(restore(m[0], lm))
     return found
 

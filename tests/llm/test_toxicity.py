@@ -142,3 +142,44 @@ def test_least_evidence_bounds_the_share_of_chance():
     assert least == values[kept]
     assert toxicity.least_evidence([(100, 3)], 1000, 0.05) is None
     assert toxicity.least_evidence([], 0, 0.05) is None
+
+
+@pytest.mark.parametrize("written", ["iiddiioott", "iidiot", "mmorron", "(iiddiot).", "m0r0n!", "1d107"])
+def test_every_disguised_token_is_decoded(lm, written):
+    assert toxicity.words_of(written, lm) & set(BAD)
+
+
+@pytest.fixture(scope="module")
+def short(llm):
+    frame = llm.createDataFrame([("ass see go " * 50 + "river walk " * 20,)], "text string")
+    grams = [(r["gram"], r["n"]) for r in toxicity.trigram_counts(frame).collect()]
+    return toxicity.log_probabilities(grams)
+
+
+@pytest.mark.parametrize("written", ["455", "4$$", "(455)", "@55"])
+def test_tokens_of_signs_only_are_decoded(short, written):
+    assert "ass" in toxicity.words_of(written, short)
+
+
+@pytest.mark.parametrize("run", ["a s s", "a     s \n\n\n\n s", "4 5 5", "4   $     $"])
+def test_spaced_words_of_any_length_and_blanks(short, run):
+    assert "ass" in toxicity.spaced_words(f"they said {run} again", short)
+    assert "go" in toxicity.spaced_words("they said g      o again", short)
+
+
+def test_words_decoded_are_those_with_several_readings(lm):
+    """Brute force over the lattice: a token that is not decoded has one reading."""
+    for token in ("river", "river,", "_x", "ab.", "a.b", "aab", "x!", "!x", "12", "2x", "...", "é1", "x'", "ı²"):
+        paths = {""}
+        for i in range(len(token)):
+            paths = {p + r for p in paths for r, _ in toxicity.readings(token, i)}
+        several = len({tuple(p.split()) for p in paths}) > 1
+        assert toxicity.has_readings(token) or not several
+
+
+def test_score_sees_disguises_of_all_kinds(scored, llm, documents):
+    docs, labels, _ = scored
+    texts = ["what an iiddiioott", "what an iidiiott!", "an i     d   i o      t they said", "the river runs"]
+    more = documents([(2000 + i, t, "en", "s") for i, t in enumerate(texts)])
+    out = toxicity.toxic_documents(docs.unionByName(more), labels).where("doc_id >= 2000").collect()
+    assert {r["doc_id"]: r["predicted"] for r in out} == {2000: 1, 2001: 1, 2002: 1, 2003: 0}
