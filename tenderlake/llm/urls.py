@@ -4,7 +4,8 @@ A list is a log of dated changes: from a day on a pattern is blocked, allowed, o
 any more. Each change is valid until the pattern's next one, so the log becomes validity
 intervals, and a capture is judged by the entries that were active when it was fetched, not
 by today's list. Patterns are hosts (which cover their subdomains) and hosts with leading
-path segments. DataFrame functions only.
+path segments, as many as the list gives; hosts are read in lower case, paths as written.
+DataFrame functions only.
 
 Intervals are cut at months, and captures join them on pattern and month: a capture meets
 only the few intervals of its own month, however long a pattern's history is. The intervals
@@ -20,18 +21,23 @@ from pyspark.sql.window import Window
 
 BLOCK, ALLOW, REMOVE = "block", "allow", "remove"
 MONTH = 30
-SEGMENTS = 2
 _HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
-_PATH = r"^[a-z][a-z0-9+.-]*://[^/?#]*(/[^?#]*)"
+_PATH = r"(?i)^[a-z][a-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
 
 def host_of(url: Column) -> Column:
     return F.regexp_extract(F.lower(url), _HOST, 1)
 
 
-def keys_of(url: Column, segments: int = SEGMENTS) -> Column:
+def deepest(changes: DataFrame) -> int:
+    """The most path segments a pattern of the list has."""
+    parts = F.size(F.split("pattern", "/")) - 1
+    return changes.where("pattern is not null").agg(F.max(parts)).first()[0] or 0
+
+
+def keys_of(url: Column, segments: int) -> Column:
     """Patterns that cover a url: its host and the hosts above it, and the host with its
-    first path segments. Empty for a null url or one without a host."""
+    first path segments, up to `segments`. Empty for a null url or one without a host."""
     host, path = host_of(url), F.regexp_extract(url, _PATH, 1)
     labels = F.split(host, r"\.")
     above = F.transform(
@@ -55,7 +61,9 @@ def intervals(changes: DataFrame) -> DataFrame:
     block before allow before remove. Rows with a null, and other actions, are no changes."""
     rank = F.when(F.col("action") == BLOCK, 0).when(F.col("action") == ALLOW, 1)
     rank = rank.when(F.col("action") == REMOVE, 2)
-    log = changes.select(F.lower("pattern").alias("pattern"), F.col("day").cast("int").alias("day"),
+    host = F.substring_index("pattern", "/", 1)
+    path = F.substring(F.col("pattern"), F.length(host) + 1, F.length("pattern"))
+    log = changes.select(F.concat(F.lower(host), path).alias("pattern"), F.col("day").cast("int").alias("day"),
                          rank.alias("rank"))
     log = log.where("pattern is not null and day is not null and rank is not null")
     daily = log.groupBy("pattern", "day").agg(F.min("rank").alias("rank"))
@@ -82,7 +90,8 @@ def judge(captures: DataFrame, changes: DataFrame, last_day: int) -> DataFrame:
         F.monotonically_increasing_id().alias("row"), "capture_id", "url", "fetch_day"
     )
     rows = rows.withColumn("month", F.floor(F.col("fetch_day") / MONTH))
-    asked = rows.select("row", "fetch_day", "month", F.explode(keys_of(F.col("url"))).alias("pattern"))
+    keys = keys_of(F.col("url"), deepest(changes))
+    asked = rows.select("row", "fetch_day", "month", F.explode(keys).alias("pattern"))
     active = asked.join(spans, ["pattern", "month"]).where(
         (F.col("since") <= F.col("fetch_day"))
         & (F.col("until").isNull() | (F.col("fetch_day") < F.col("until")))

@@ -71,3 +71,29 @@ def test_plan_has_no_product(llm, changes):
     captures = llm.createDataFrame([(1, "http://bad.com", 20)], "capture_id long, url string, fetch_day int")
     plan = urls.judge(captures, changes, 30)._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("CartesianProduct", "BroadcastNestedLoop", "Python"))
+
+
+def test_deep_paths_and_their_case(llm):
+    """Entries of any depth, against plain prefixes of the whole path."""
+    log = [("shop.org/a/b/c", 0, "block"), ("shop.org/a/b/c/d/e/f", 5, "allow"), ("Shop.ORG/Sale", 0, "block"),
+           ("shop.org", 0, "allow"), ("shop.org/A/B/C", 8, "remove")]
+    pages = ["http://shop.org/a/b/c", "http://shop.org/a/b/c/d/e/f/g?q=/h", "http://shop.org/a/b", "HTTP://SHOP.org/Sale",
+             "HTTPS://shop.org/a/b/c/x", "http://shop.org/sale", "http://shop.org/A/B/C", "http://x.shop.org/a/b/c",
+             "http://shop.org/a/b/cc", "http://shop.org/Sale/" + "s/" * 500]
+    entries = {p.split("/", 1)[0].lower() + "".join("/" + x for x in p.split("/")[1:]): (d, a) for p, d, a in log}
+
+    def plain(url, day):
+        host, *path = re.sub(r"[?#].*", "", url.split("://", 1)[1]).split("/")
+        host, path = host.lower(), [p for p in path if p]
+        labels = host.split(".")
+        keys = [".".join(labels[k:]) for k in range(len(labels))]
+        keys += ["/".join([host, *path[:k]]) for k in range(1, len(path) + 1)]
+        hits = [(len(k), k, entries[k][1]) for k in keys if k in entries and entries[k][0] <= day and entries[k][1] != "remove"]
+        return (max(hits)[2], max(hits)[1], len(hits)) if hits else ("none", None, 0)
+
+    rows = [(k * 100 + day, u, day) for k, u in enumerate(pages) for day in (0, 4, 5, 9)]
+    captures = llm.createDataFrame(rows, "capture_id long, url string, fetch_day int")
+    out = urls.judge(captures, llm.createDataFrame(log, "pattern string, day int, action string"), 9).collect()
+    got = {r["capture_id"]: (r["decision"], r["pattern"], r["n_active"]) for r in out}
+    assert got == {i: plain(u, day) for i, u, day in rows}
+    assert got[0] == ("block", "shop.org/a/b/c", 2) and got[105][0] == "allow" and got[300][:2] == ("block", "shop.org/Sale")
