@@ -319,14 +319,15 @@ def crossing_pairs(rows: DataFrame, comps: DataFrame) -> DataFrame:
     whole = Window.partitionBy("token")
     n = F.col("n")
     # The fewest shingles to share with any partner in the list: the bound falls to both
-    # sides of n, so the smallest and the largest partner decide.
+    # sides of n, so the smallest and the largest partner decide. Beyond n it is a difference
+    # of two ceilings, which a larger partner may raise by one, so one less is taken there.
     ends = [F.greatest(_ceil_div(OVER * n, UNDER), F.col("n_low")),
             F.least(F.floor(UNDER * n / OVER).cast("long"), F.col("n_high"))]
 
     def bound(m: Column) -> Column:
         return _needed(n, m) - _ceil_div(OVER * F.greatest(n, m), UNDER) + 1
 
-    least = F.greatest(F.lit(1), F.least(*map(bound, ends)))
+    least = F.greatest(F.lit(1), F.least(bound(ends[0]), bound(ends[1]) - 1))
     rows = (
         rows.withColumn("n_low", F.min("n").over(whole))
         .withColumn("n_high", F.max("n").over(whole))

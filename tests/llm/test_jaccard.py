@@ -140,3 +140,32 @@ def test_connected_components(llm):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert connected(llm.createDataFrame([], "a long, b long")).collect() == []
+
+
+def may_link(x, y):
+    """Whether sizes and places allow a pair of (node, n, last, place, held), in plain numbers."""
+    (_, n, last, place, held), (_, m, last2, place2, held2) = x, y
+    need = -(-3 * (n + m) // 7)
+    behind = -(-3 * (n if last <= last2 else m) // 4)
+    least = max(1, need - behind + 1)
+    return need <= min(n, m) and place <= held - least and place2 <= held2 - least
+
+
+def test_crossing_pairs_without_pivots_equal_brute_force(llm):
+    """A partner of 131 may share one prefix shingle with a set of 100, one of 132 shares two."""
+    rng = random.Random(11)
+    lists = {0: [(1, 100, 7, 9, 10), (2, 131, 5, 0, 10), (3, 132, 6, 0, 10)]}
+    for token in range(1, 60):
+        base = rng.randint(4, 300)
+        sizes = [rng.randint(base, 4 * base // 3 + 1) for _ in range(5)]
+        # Places close to the end of the held shingles, where the bound decides.
+        rows = [(n, rng.randrange(100), rng.choice([1, 2, 3, 9])) for n in sizes]
+        lists[token] = [(token * 10 + k, n, last, max(0, 9 - off), 10) for k, (n, last, off) in enumerate(rows)]
+    rows = [(token, *r) for token, own in lists.items() for r in own]
+    schema = "token long, node long, n long, last long, place long, held long"
+    comps = llm.createDataFrame([], "node long, comp long")
+    out = jaccard.crossing_pairs(llm.createDataFrame(rows, schema), comps)
+    got = {(r["a"], r["b"]) for r in out.collect()}
+    want = {(x[0], y[0]) for own in lists.values() for x in own for y in own if x[0] < y[0] and may_link(x, y)}
+    assert (1, 2) in want
+    assert got == want
