@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, fold, stored, whole_row
+from .common import by_size, fold, maybe_among, stored, whole_row
 
 # Symbols of the character model: 0 is a word's edge, the last one any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(i) for i in range(0xDF, 0x100) if i != 0xF7)
@@ -53,7 +53,9 @@ DOUBLED = re.compile(r"(.)\1")
 SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s++\S)+(?!\S)")
 CACHE = 300_000
 # Remembered words with all their grams, and grams counted before they are given on.
-GRAM_CACHE, COUNTED = 50_000, 300_000
+GRAM_CACHE, COUNTED = 100_000, 300_000
+# Labelled ids that are sent to every task; more are exchanged.
+SENT = 500_000
 CHUNK = 1_000_000
 
 
@@ -138,6 +140,7 @@ def restore(text: str, lm: np.ndarray) -> list[str]:
     One state for each pair of last symbols, so the cost is linear in the length.
     """
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    log_p = lm.item
     for i in range(len(text)):
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         options = readings(text, i)
@@ -148,11 +151,11 @@ def restore(text: str, lm: np.ndarray) -> list[str]:
                 else:
                     s = 0 if letter == " " else INDEX.get(letter, OTHER)
                     key = (0, 0) if s == 0 else (b, s)
-                    value, way = cost + price + float(lm[a, b, s]), (letter, path)
+                    value, way = cost + price + log_p(a, b, s), (letter, path)
                 if key not in after or after[key][0] < value:
                     after[key] = (value, way)
         states = after
-    best = max(((v + (float(lm[a, b, 0]) if b else 0), p) for (a, b), (v, p) in states.items()),
+    best = max(((v + (log_p(a, b, 0) if b else 0), p) for (a, b), (v, p) in states.items()),
                key=lambda x: x[0])
     out, path = [], best[1]
     while path is not None:
@@ -249,7 +252,8 @@ def gram_presence(texts: DataFrame, lm) -> DataFrame:
                 if len(seen[0]) + len(seen[1]) >= COUNTED:
                     yield rows(seen)
                     seen = {0: Counter(), 1: Counter()}
-        yield rows(seen)
+        if seen[0] or seen[1]:
+            yield rows(seen)
 
     parts = texts.mapInPandas(count, "gram string, t long, c long")
     return parts.groupBy("gram").agg(F.sum("t").alias("toxic_n"), F.sum("c").alias("clean_n"))
@@ -380,7 +384,12 @@ def score(docs: DataFrame, labels: DataFrame, chance: float = 0.05,
     totals = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return docs.withColumn("score", F.lit(0.0))
-    texts = docs.select("doc_id", "text").join(marked, "doc_id")
+    texts = docs.select("doc_id", "text")
+    if sum(totals.values()) <= SENT:
+        texts = texts.join(F.broadcast(marked), "doc_id")
+    else:
+        # Only texts that may have a label are exchanged.
+        texts = texts.where(maybe_among(marked, "doc_id")(F.col("doc_id"))).join(marked, "doc_id")
     # Copies are no further evidence: of texts with the same mark one is taken.
     texts = texts.groupBy("toxic", copy_mark("text").alias("mark")).agg(
         F.min("text").alias("text")

@@ -183,3 +183,16 @@ def test_score_sees_disguises_of_all_kinds(scored, llm, documents):
     more = documents([(2000 + i, t, "en", "s") for i, t in enumerate(texts)])
     out = toxicity.toxic_documents(docs.unionByName(more), labels).where("doc_id >= 2000").collect()
     assert {r["doc_id"]: r["predicted"] for r in out} == {2000: 1, 2001: 1, 2002: 1, 2003: 0}
+
+
+def test_exchanged_labels_give_the_same_scores(scored, monkeypatch):
+    docs, labels, out = scored
+    monkeypatch.setattr(toxicity, "SENT", 0)
+    again = toxicity.toxic_documents(docs, labels).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, out))
+
+
+def test_tasks_without_texts_count_nothing(llm, lm):
+    texts = llm.createDataFrame([("some words", 1)], "text string, toxic int").repartition(8)
+    present = toxicity.gram_presence(texts, llm.sparkContext.broadcast(lm)).collect()
+    assert {(r["toxic_n"], r["clean_n"]) for r in present} == {(1, 0)}
