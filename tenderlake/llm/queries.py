@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    centroids,
     conversations,
     fingerprints,
     jaccard,
     language,
+    middles,
     mixing,
     neighbours,
     packing,
@@ -107,3 +109,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rendered turns of the maximal conversations."""
     return conversations.rendered(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_fill_in_middle", middles.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two places, its parts put in another order and back."""
+    return middles.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_orchard_clusters", centroids.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after ten rounds over whole numbers."""
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
