@@ -16,6 +16,7 @@ from . import (
     mixing,
     neighbours,
     packing,
+    repeats,
     toxicity,
     urls,
     warc,
@@ -117,6 +118,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middles.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op12_column_wise_repeats", repeats.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its long repeated strings."""
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 @query("op13_orchard_clusters", centroids.ORACLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of every vector after ten rounds over whole numbers."""
