@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
 from heapq import nlargest
 from math import erfc, log, sqrt
 
@@ -50,18 +51,18 @@ PLAIN = re.compile(r"[^\W\d_]+")
 # by every path alike.
 CORE = re.compile(r"(?:[^\W_]|[@$!|+(€£])(?:.*(?:[^\W_]|[@$!|+(€£]))?", re.DOTALL)
 DOUBLED = re.compile(r"(.)\1")
+DRAWN = re.compile(r"(.)\1+", re.DOTALL)
 SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s++\S)+(?!\S)")
-CACHE = 300_000
-# Remembered words with all their grams, and grams counted before they are given on.
-GRAM_CACHE, COUNTED = 100_000, 300_000
-# Labelled ids that are sent to every task; more are exchanged.
-SENT = 500_000
+# Remembered tokens, some 100 bytes each; words with all their grams, some 600 bytes each; and
+# grams counted before they are given on, some 200 bytes each.
+CACHE, GRAM_CACHE, COUNTED = 300_000, 50_000, 300_000
 CHUNK = 1_000_000
 
 
 # --- the character model -----------------------------------------------------------------
 
 
+@cache
 def symbol_table() -> np.ndarray:
     out = np.zeros(0x110000, np.uint8)
     known = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
@@ -139,23 +140,40 @@ def restore(text: str, lm: np.ndarray) -> list[str]:
 
     One state for each pair of last symbols, so the cost is linear in the length.
     """
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    log_p = lm.item
-    for i in range(len(text)):
-        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+    # A state is the pair of last symbols, as one number, with its cost and its letters.
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
+    log_p, pairs = lm.item, SIZE * SIZE
+    i = 0
+    while i < len(text):
+        after: dict[int, tuple[float, tuple | None]] = {}
+        end = i
+        while end < len(text) and text[end].isalpha() and not (end and text[end - 1] == text[end]):
+            end += 1
+        if end > i:
+            # Letters with one reading only: every state goes the same way.
+            run = text[i:end]
+            symbols = [INDEX.get(c, OTHER) for c in run]
+            for key, (cost, path) in states.items():
+                for s in symbols:
+                    cost += log_p(key * SIZE + s)
+                    key = (key * SIZE + s) % pairs
+                if key not in after or after[key][0] < cost:
+                    after[key] = (cost, (run, path))
+            states, i = after, end
+            continue
         options = readings(text, i)
-        for (a, b), (cost, path) in states.items():
+        for state, (cost, path) in states.items():
             for letter, price in options:
-                if not letter or (letter == " " and b == 0):
-                    key, value, way = (a, b), cost + price, path
+                if not letter or (letter == " " and state % SIZE == 0):
+                    key, value, way = state, cost + price, path
                 else:
                     s = 0 if letter == " " else INDEX.get(letter, OTHER)
-                    key = (0, 0) if s == 0 else (b, s)
-                    value, way = cost + price + log_p(a, b, s), (letter, path)
+                    key = 0 if s == 0 else (state * SIZE + s) % pairs
+                    value, way = cost + price + log_p(state * SIZE + s), (letter, path)
                 if key not in after or after[key][0] < value:
                     after[key] = (value, way)
-        states = after
-    best = max(((v + (log_p(a, b, 0) if b else 0), p) for (a, b), (v, p) in states.items()),
+        states, i = after, i + 1
+    best = max(((v + (log_p(k * SIZE) if k % SIZE else 0), p) for k, (v, p) in states.items()),
                key=lambda x: x[0])
     out, path = [], best[1]
     while path is not None:
@@ -229,8 +247,31 @@ def copy_mark(text: str):
     return F.pandas_udf(marks, "string")(text)
 
 
-def gram_presence(texts: DataFrame, lm) -> DataFrame:
-    """gram, toxic_n, clean_n: in how many texts (text, toxic) a gram is present."""
+def word_sets(texts: DataFrame, lm) -> DataFrame:
+    """toxic, words: the distinct words of each text (text, toxic), disguises undone."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = lm.value
+        # Most tokens are their own only word and need no entry.
+        known = Memo(lambda t: words_of(t, model))
+        for batch in batches:
+            sets = []
+            for text in batch["text"]:
+                low = (text or "").lower()
+                own = spaced_words(low, model)
+                for token in set(low.split()):
+                    if token.isalpha() and not DOUBLED.search(token):
+                        own.add(token)
+                    else:
+                        own.update(known[token])
+                sets.append(list(own))
+            yield pd.DataFrame({"toxic": batch["toxic"], "words": sets})
+
+    return texts.mapInPandas(read, "toxic int, words array<string>")
+
+
+def gram_presence(words: DataFrame) -> DataFrame:
+    """gram, toxic_n, clean_n: in how many texts (toxic, words) a gram is present."""
 
     def rows(seen: dict[int, Counter]) -> pd.DataFrame:
         keys = list(seen[0].keys() | seen[1].keys())
@@ -239,23 +280,18 @@ def gram_presence(texts: DataFrame, lm) -> DataFrame:
         )
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = lm.value
-        grams = Memo(lambda t: {g for w in words_of(t, model) for g in grams_of(w)}, GRAM_CACHE)
+        grams = Memo(lambda w: tuple(grams_of(w)), GRAM_CACHE)
         seen = {0: Counter(), 1: Counter()}
         for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                low = (text or "").lower()
-                own = set().union(*map(grams.__getitem__, set(low.split())))
-                for w in spaced_words(low, model):
-                    own.update(grams_of(w))
-                seen[int(toxic)].update(own)
+            for own, toxic in zip(batch["words"], batch["toxic"], strict=True):
+                seen[int(toxic)].update(set().union(*map(grams.__getitem__, own)))
                 if len(seen[0]) + len(seen[1]) >= COUNTED:
                     yield rows(seen)
                     seen = {0: Counter(), 1: Counter()}
         if seen[0] or seen[1]:
             yield rows(seen)
 
-    parts = texts.mapInPandas(count, "gram string, t long, c long")
+    parts = words.mapInPandas(count, "gram string, t long, c long")
     return parts.groupBy("gram").agg(F.sum("t").alias("toxic_n"), F.sum("c").alias("clean_n"))
 
 
@@ -310,32 +346,95 @@ def telling_grams(present: DataFrame, n_toxic: int, n_clean: int, chance: float,
     return {r["gram"]: float(r["odds"]) for r in rows}
 
 
+def single(text: str) -> str:
+    """The text with every run of one character cut to one."""
+    return DRAWN.sub(r"\1", text)
+
+
+class Odds:
+    """The log-odds of grams, and which tokens may spell one of them at all."""
+
+    def __init__(self, odds: dict[str, float]):
+        self.odds = odds
+        # Letters of a token without signs are kept or, after an equal one, dropped: all its
+        # readings are alike once runs are cut to one letter, and so are the grams in them.
+        self.singles = {single(g) for g in odds}
+        self.lengths = sorted({len(g) for g in self.singles if not (g[0] == "^" and g[-1] == "$")})
+
+    def of_word(self, word: str) -> float:
+        """The largest log-odds of a word's grams."""
+        edged, get = f"^{word}$", self.odds.get
+        best = get(edged, 0.0)
+        for i in range(len(edged) - 4):
+            value = get(edged[i : i + 5], 0.0)
+            if value > best:
+                best = value
+        return best
+
+    def may_tell(self, core: str) -> bool:
+        """Whether a reading of a token of letters only may hold a gram."""
+        edged = single(f"^{core}$")
+        if edged in self.singles:
+            return True
+        for n in self.lengths:
+            for i in range(len(edged) - n + 1):
+                if edged[i : i + n] in self.singles:
+                    return True
+        return False
+
+    def telling(self, token: str, lm: np.ndarray) -> tuple[tuple[str, float], ...]:
+        """The words of a token that carry odds. A token none of whose readings can hold a
+        gram is not decoded."""
+        if token.isalpha():
+            if not DOUBLED.search(token):
+                value = self.of_word(token)
+                return ((token, value),) if value > 0 else ()
+            if not self.may_tell(token):
+                return ()
+        else:
+            core = CORE.search(token)
+            if core is None or (core[0].isalpha() and not self.may_tell(core[0])):
+                return ()
+        found = ((w, self.of_word(w)) for w in words_of(token, lm))
+        return tuple((w, v) for w, v in found if v > 0)
+
+
+def strength(values: Iterable[float]) -> tuple[float, int]:
+    values = list(values)
+    return max(values, default=0.0), len(values)
+
+
+def evidence_of_words(words: DataFrame, odds) -> DataFrame:
+    """toxic, strongest, telling of texts given by their words."""
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        value = Memo(odds.value.of_word)
+        for batch in batches:
+            out = [strength(v for v in map(value.__getitem__, own) if v > 0) for own in batch["words"]]
+            yield pd.DataFrame(
+                {"toxic": batch["toxic"], "strongest": [a for a, _ in out], "telling": [b for _, b in out]}
+            )
+
+    return words.mapInPandas(scored, "toxic int, strongest double, telling long")
+
+
 def evidence(docs: DataFrame, lm, odds) -> DataFrame:
     """`docs` (with a column text) plus strongest and telling: the largest log-odds of a
     restored word, and the number of distinct words that carry any."""
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model, known = lm.value, odds.value
-        memo_words = Memo(lambda w: max((known.get(g, 0.0) for g in grams_of(w)), default=0.0))
-
-        def of_token(token):
-            return tuple(
-                (w, memo_words[w]) for w in words_of(token, model) if memo_words[w] > 0
-            )
-
-        tokens = Memo(of_token)
+        tokens = Memo(lambda t: known.telling(t, model))
         for batch in batches:
-            strongest, telling = [], []
+            out = []
             for text in batch:
                 low = (text or "").lower()
-                found = {x for x in map(tokens.__getitem__, set(low.split())) if x}
-                words = {w: v for pairs in found for w, v in pairs}
+                words = {w: v for found in map(tokens.__getitem__, set(low.split())) for w, v in found}
                 for w in spaced_words(low, model):
-                    if memo_words[w] > 0:
-                        words[w] = memo_words[w]
-                strongest.append(max(words.values(), default=0.0))
-                telling.append(len(words))
-            yield pd.DataFrame({"strongest": strongest, "telling": telling})
+                    if (v := known.of_word(w)) > 0:
+                        words[w] = v
+                out.append(strength(words.values()))
+            yield pd.DataFrame(out, columns=["strongest", "telling"])
 
     udf = F.pandas_udf(scored, "strongest double, telling long")
     return docs.withColumn("_evidence", udf("text")).select(
@@ -384,12 +483,9 @@ def score(docs: DataFrame, labels: DataFrame, chance: float = 0.05,
     totals = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return docs.withColumn("score", F.lit(0.0))
-    texts = docs.select("doc_id", "text")
-    if sum(totals.values()) <= SENT:
-        texts = texts.join(F.broadcast(marked), "doc_id")
-    else:
-        # Only texts that may have a label are exchanged.
-        texts = texts.where(maybe_among(marked, "doc_id")(F.col("doc_id"))).join(marked, "doc_id")
+    # Only texts that may have a label are exchanged, whatever their number.
+    texts = docs.select("doc_id", "text").where(maybe_among(marked, "doc_id")(F.col("doc_id")))
+    texts = texts.join(marked, "doc_id")
     # Copies are no further evidence: of texts with the same mark one is taken.
     texts = texts.groupBy("toxic", copy_mark("text").alias("mark")).agg(
         F.min("text").alias("text")
@@ -398,11 +494,14 @@ def score(docs: DataFrame, labels: DataFrame, chance: float = 0.05,
     used = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     grams = [(r["gram"], r["n"]) for r in trigram_counts(docs).collect()]
     lm = session.sparkContext.broadcast(log_probabilities(grams))
-    present = stored(gram_presence(texts, lm), "toxic-grams")
+    # Labelled texts are decoded once, for their grams and for the fit.
+    words = stored(word_sets(texts, lm), "toxic-words")
+    present = stored(gram_presence(words), "toxic-grams")
     odds = telling_grams(present, used[1], used[0], chance, most)
-    known = session.sparkContext.broadcast(odds)
+    known = session.sparkContext.broadcast(Odds(odds))
     # Texts with the same evidence are one row with their number.
-    seen = evidence(texts, lm, known).groupBy("toxic", "strongest", "telling").count().collect()
+    seen = evidence_of_words(words, known)
+    seen = seen.groupBy("toxic", "strongest", "telling").count().collect()
     x = np.array([(r["strongest"], np.log1p(r["telling"])) for r in seen], float)
     y = np.array([r["toxic"] for r in seen], float)
     weight = np.array([r["count"] * totals[r["toxic"]] / used[r["toxic"]] for r in seen], float)

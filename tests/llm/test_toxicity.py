@@ -185,14 +185,37 @@ def test_score_sees_disguises_of_all_kinds(scored, llm, documents):
     assert {r["doc_id"]: r["predicted"] for r in out} == {2000: 1, 2001: 1, 2002: 1, 2003: 0}
 
 
-def test_exchanged_labels_give_the_same_scores(scored, monkeypatch):
-    docs, labels, out = scored
-    monkeypatch.setattr(toxicity, "SENT", 0)
-    again = toxicity.toxic_documents(docs, labels).collect()
-    assert sorted(map(repr, again)) == sorted(map(repr, out))
+def test_tokens_are_skipped_only_without_a_reading_that_tells(lm):
+    odds = toxicity.Odds({"^idio": 2.0, "diot$": 3.0, "^ass$": 1.5, "looni": 1.2, "^a": 9.0})
+    alphabet = "ido1t!aslnn."
+    rng = np.random.default_rng(4)
+    tokens = ["idiot", "iiddiioott", "asss", "aass!", "loonies", "loniies", "1diot", "a55", "idi.ot", "tidiot"]
+    tokens += ["".join(rng.choice(list(alphabet), rng.integers(1, 9))) for _ in range(3000)]
+    telling = 0
+    for token in tokens:
+        words = {w: max((odds.odds.get(g, 0.0) for g in toxicity.grams_of(w)), default=0.0)
+                 for w in toxicity.words_of(token, lm)}
+        want = {w: v for w, v in words.items() if v > 0}
+        assert dict(odds.telling(token, lm)) == want
+        telling += bool(want)
+    assert telling >= 8
+
+
+def test_words_of_texts_and_evidence_agree(llm, lm):
+    """What the fit sees of a text's words is what the score sees of the text."""
+    texts = ["what an iiddiioott", "an i d 1 o t!", "plain words only", "", None, "a55 and idiot"]
+    shared = llm.sparkContext.broadcast(lm)
+    odds = llm.sparkContext.broadcast(toxicity.Odds({"^idio": 2.0, "diot$": 3.0, "^ass$": 1.5}))
+    rows = llm.createDataFrame([(t, 1) for t in texts], "text string, toxic int")
+    fitted = toxicity.evidence_of_words(toxicity.word_sets(rows, shared), odds).collect()
+    scored = toxicity.evidence(rows.select("text"), shared, odds).collect()
+    pairs = [(r["strongest"], r["telling"]) for r in scored]
+    assert sorted((r["strongest"], r["telling"]) for r in fitted) == sorted(pairs)
+    assert (3.0, 1) in pairs and (0.0, 0) in pairs
 
 
 def test_tasks_without_texts_count_nothing(llm, lm):
     texts = llm.createDataFrame([("some words", 1)], "text string, toxic int").repartition(8)
-    present = toxicity.gram_presence(texts, llm.sparkContext.broadcast(lm)).collect()
+    words = toxicity.word_sets(texts, llm.sparkContext.broadcast(lm))
+    present = toxicity.gram_presence(words).collect()
     assert {(r["toxic_n"], r["clean_n"]) for r in present} == {(1, 0)}
