@@ -25,12 +25,14 @@ from pyspark.sql.window import Window
 
 from tenderlake.session import scratch_path
 
-from .common import stored
+from .common import discard, stored
 
 MAGIC = "WARC/1.0\r\n"
 STEP = len(MAGIC)
 # Revisits up to this number are sent to all tasks; beyond it they are joined by exchange.
 FEW = 500_000
+# Bytes of a file whose places are compared with each other.
+STRETCH = 1 << 27
 _HEADERS = re.compile(rb"(?m)^([A-Za-z0-9-]+):[ \t]*(.*?)\r?$")
 
 PIECE = (
@@ -57,15 +59,15 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     smallest page_id (nulls last, the first of equal ones) is the response, the others
     revisit it. A null html is an empty payload; line ends in a url are left out.
     """
+    # Stored first: a number given to rows behind an exchange would not be the same again.
     rows = pages.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("page_id").cast("long").alias("page_id"),
         F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "").alias("url"),
         F.coalesce("html", F.lit("")).alias("html"),
     ).withColumn("bytes", F.octet_length("html"))
-    rows = rows.withColumn("digest", base32_sha1(F.col("html").cast("binary")))
-    keys = stored(rows.select("row", "page_id", "bytes", "digest"), "digests")
-    keys = keys.where(F.col("bytes") >= least_bytes)
+    rows = numbered = stored(rows.withColumn("digest", base32_sha1(F.col("html").cast("binary"))), "pages")
+    keys = rows.select("row", "page_id", "bytes", "digest").where(F.col("bytes") >= least_bytes)
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
     first = keys.groupBy("digest", "bytes").agg(F.min(order).alias("first"), F.count("*").alias("n"))
     first = first.where("n > 1").select("digest", "bytes", "first.row", "first.page_id")
@@ -96,6 +98,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     )
     # The writer ends each value with the separator: the record's second line end.
     rows.select(record.alias("value")).write.option("lineSep", "\r\n").text(path)
+    discard(numbered)
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -213,6 +216,14 @@ def _entries(found: DataFrame) -> DataFrame:
     return reached
 
 
+def _stretches(ranges: DataFrame, first, last) -> DataFrame:
+    """Every range once for each stretch of its file that it touches: places are joined with
+    ranges by file and stretch, never by the file alone."""
+    return ranges.withColumn(
+        "stretch", F.explode(F.sequence(F.floor(first / STRETCH), F.floor(last / STRETCH)))
+    )
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record."""
     found = stored(pieces(spark, path).mapInPandas(candidates, PIECE), "candidates")
@@ -231,7 +242,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         return rows.loc[rows["place"].isin(true), names]
 
     spans = blocks.select("file", "block", F.col("base").alias("b"), "total")
-    entered = entries.join(spans, "file").where("entry >= b and entry < b + total")
+    spans = _stretches(spans, F.col("b"), F.col("b") + F.col("total") - 1)
+    entered = entries.withColumn("stretch", F.floor(F.col("entry") / STRETCH))
+    entered = entered.join(spans, ["file", "stretch"]).where("entry >= b and entry < b + total")
     names = ["file", "block", "idx", "place", "base"]
     inner = found.select(*names, "after").join(entered.select("file", "block", "entry"), ["file", "block"])
     true = inner.groupBy("file", "block").applyInPandas(
@@ -251,7 +264,9 @@ def _put_together(spark, path, found, cut) -> DataFrame:
     """Records whose payload holds the magic, joined again from their pieces."""
     at = (F.col("base") + F.col("place")).alias("at")
     owners = cut.select("file", at, (F.col("base") + F.col("after")).alias("until"))
-    own = found.select("file", "block", "idx", at.alias("p")).join(owners, "file")
+    owners = _stretches(owners, F.col("at"), F.col("until") - 1)
+    own = found.select("file", "block", "idx", (F.col("base") + F.col("place")).alias("p"))
+    own = own.withColumn("stretch", F.floor(F.col("p") / STRETCH)).join(owners, ["file", "stretch"])
     own = own.where("p >= at and p < until").select("file", "block", "idx", "at", "p")
 
     def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -35,7 +35,7 @@ def brute(url, day):
     m = re.match(r"[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)(?::[^/?#]*)?(/[^?#]*)?", url or "", re.I)
     if not m:
         return ("none", None, 0)
-    host, path = m[1].lower(), [p for p in (m[2] or "").split("/") if p][:2]
+    host, path = m[1].lower(), [p for p in (m[2] or "").split("/") if p]
     labels = host.split(".")
     keys = {".".join(labels[k:]) for k in range(len(labels))}
     keys |= {"/".join([host, *path[:k]]) for k in range(1, len(path) + 1)}
@@ -97,3 +97,41 @@ def test_deep_paths_and_their_case(llm):
     got = {r["capture_id"]: (r["decision"], r["pattern"], r["n_active"]) for r in out}
     assert got == {i: plain(u, day) for i, u, day in rows}
     assert got[0] == ("block", "shop.org/a/b/c", 2) and got[105][0] == "allow" and got[300][:2] == ("block", "shop.org/Sale")
+
+
+@pytest.mark.parametrize("entry", ["shop.org/a", "shop.org/a/", "http://shop.org/a", "HTTPS://u:p@Shop.ORG:8080//a//",
+                                   ".shop.org", "shop.org:80", "shop.org/", "//shop.org", " shop.org. ", "..org"])
+def test_entries_as_lists_write_them(llm, entry):
+    log = llm.createDataFrame([(entry, 1, "block")], "pattern string, day int, action string")
+    some = llm.createDataFrame([(1, "http://shop.org/a/b/c", 20)], "capture_id long, url string, fetch_day int")
+    (row,) = urls.judge(some, log, 30).collect()
+    want = "org" if entry == "..org" else "shop.org/a" if "a" in entry else "shop.org"
+    assert (row["decision"], row["pattern"], row["n_active"]) == ("block", want, 1)
+
+
+def test_what_is_no_entry_is_reported(llm):
+    bad = ["shop.org/a?x=1", "shop.org#f", "", "/a", "two words.org", None, "http://"]
+    log = llm.createDataFrame([(p, 1, "block") for p in [*bad, "shop.org"]], "pattern string, day int, action string")
+    assert {r["pattern"] for r in urls.unreadable(log).collect()} == set(bad)
+    some = llm.createDataFrame([(1, "http://shop.org/a?x=1", 20)], "capture_id long, url string, fetch_day int")
+    (row,) = urls.judge(some, log, 30).collect()
+    assert (row["pattern"], row["n_active"]) == ("shop.org", 1)
+
+
+@pytest.mark.parametrize("way", ["groupBy", "dropDuplicates", "sort"])
+def test_captures_behind_an_exchange(llm, changes, way):
+    """Rows whose order differs from one reading of the plan to the next."""
+    rows = [(k, f"{URLS[k % 9]}{'' if k % 3 else '?' + str(k)}", k % 80) for k in range(1500)]
+    captures = llm.createDataFrame(rows * 2, "capture_id long, url string, fetch_day int").repartition(16)
+    if way == "groupBy":
+        captures = captures.groupBy("capture_id").agg({"url": "max", "fetch_day": "max"}).toDF("capture_id", "u", "d")
+        captures = captures.selectExpr("capture_id", *(["u AS url", "d AS fetch_day"] if dict(captures.dtypes)["u"] == "string"
+                                                       else ["d AS url", "u AS fetch_day"]))
+    elif way == "dropDuplicates":
+        captures = captures.dropDuplicates(["capture_id"])
+    else:
+        captures = captures.distinct().orderBy("fetch_day")
+    out = urls.judge(captures, changes, 300).collect()
+    got = sorted((r["capture_id"], r["decision"], r["pattern"] or "", r["n_active"]) for r in out)
+    want = [(i, d, p or "", n) for i, u, day in rows for d, p, n in [brute(u, day)]]
+    assert got == sorted(want)

@@ -86,3 +86,17 @@ def test_files_are_plain_warc(llm, pages, tmp_path):
 
 def test_no_pages(llm, pages):
     assert warc.archived_pages(pages([])).collect() == []
+
+
+def test_pages_behind_an_aggregate(llm, pages):
+    """Rows whose order differs from one reading of the plan to the next."""
+    many = [(i, f"http://h/{i}", f"page {i % 40}") for i in range(800)]
+    behind = pages(many * 2).groupBy("page_id").agg({"url": "max", "html": "max"})
+    behind = behind.withColumnsRenamed({"max(url)": "url", "max(html)": "html"}).repartition(7)
+    assert rows(warc.archived_pages(behind)) == sorted(map(repr, expected(many)))
+
+
+def test_places_are_compared_within_stretches(llm, pages, monkeypatch):
+    """Stretches shorter than records and splits give the same rows."""
+    monkeypatch.setattr(warc, "STRETCH", 64)
+    assert rows(warc.archived_pages(pages(PAGES))) == sorted(map(repr, expected(PAGES)))
