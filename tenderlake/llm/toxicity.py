@@ -23,6 +23,7 @@ from functools import cache
 from heapq import nlargest
 from math import erfc, log, sqrt
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,6 +53,8 @@ PLAIN = re.compile(r"[^\W\d_]+")
 CORE = re.compile(r"(?:[^\W_]|[@$!|+(€£])(?:.*(?:[^\W_]|[@$!|+(€£]))?", re.DOTALL)
 DOUBLED = re.compile(r"(.)\1")
 DRAWN = re.compile(r"(.)\1+", re.DOTALL)
+# Signs that stand for no letter; around a token they fall away on every path.
+AROUND = ".,;:?\"'`´-_*&%#=~/\\<>[]{})^…–—«»“”„‘’¿¡·•"
 SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s++\S)+(?!\S)")
 # Remembered tokens, some 100 bytes each; words with all their grams, some 600 bytes each; and
 # grams counted before they are given on, some 200 bytes each.
@@ -206,10 +209,10 @@ def spaced_words(text: str, lm: np.ndarray) -> set[str]:
     return found
 
 
-def grams_of(word: str) -> list[str]:
-    """The whole word, its edges marked, and the 5-grams in it."""
+def grams_of(word: str) -> tuple[str, ...]:
+    """The whole word, its edges marked, and the 5-grams in it, as often as they occur."""
     edged = f"^{word}$"
-    return [edged, *{edged[i : i + 5] for i in range(len(edged) - 4)}]
+    return (edged, *[edged[i : i + 5] for i in range(len(edged) - 4)])
 
 
 class Memo(dict):
@@ -280,7 +283,7 @@ def gram_presence(words: DataFrame) -> DataFrame:
         )
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams = Memo(lambda w: tuple(grams_of(w)), GRAM_CACHE)
+        grams = Memo(grams_of, GRAM_CACHE)
         seen = {0: Counter(), 1: Counter()}
         for batch in batches:
             for own, toxic in zip(batch["words"], batch["toxic"], strict=True):
@@ -352,14 +355,20 @@ def single(text: str) -> str:
 
 
 class Odds:
-    """The log-odds of grams, and which tokens may spell one of them at all."""
+    """The log-odds of grams, and the tokens that may spell one of them.
+
+    Letters of a token without signs are kept or, after an equal one, dropped: all its
+    readings are alike once runs are cut to one letter, and so are the grams in them. An
+    automaton of the grams, cut like that, finds all tokens that are worth decoding.
+    """
 
     def __init__(self, odds: dict[str, float]):
         self.odds = odds
-        # Letters of a token without signs are kept or, after an equal one, dropped: all its
-        # readings are alike once runs are cut to one letter, and so are the grams in them.
-        self.singles = {single(g) for g in odds}
-        self.lengths = sorted({len(g) for g in self.singles if not (g[0] == "^" and g[-1] == "$")})
+        self.grams = ahocorasick.Automaton()
+        for g in {single(g) for g in odds}:
+            self.grams.add_word(g, len(g))
+        if odds:
+            self.grams.make_automaton()
 
     def of_word(self, word: str) -> float:
         """The largest log-odds of a word's grams."""
@@ -371,30 +380,27 @@ class Odds:
                 best = value
         return best
 
-    def may_tell(self, core: str) -> bool:
-        """Whether a reading of a token of letters only may hold a gram."""
-        edged = single(f"^{core}$")
-        if edged in self.singles:
-            return True
-        for n in self.lengths:
-            for i in range(len(edged) - n + 1):
-                if edged[i : i + n] in self.singles:
-                    return True
-        return False
+    def worth_decoding(self, tokens: Iterable[str]) -> list[str]:
+        """The tokens a reading of which may hold a gram: those with a sign within, and of
+        those of letters only the ones with a gram when cut to single letters."""
+        signs, plain = [], []
+        for token in tokens:
+            core = token.strip(AROUND)
+            if core.isalpha():
+                plain.append((core, token))
+            elif core:
+                signs.append(token)
+        if plain and self.odds:
+            joined = single("^" + "$\n^".join([core for core, _ in plain]) + "$")
+            ends = [end for end, _ in self.grams.iter(joined)]
+            if ends:
+                starts = np.cumsum([0, *[len(x) + 1 for x in joined.split("\n")]])
+                found = np.unique(np.searchsorted(starts, ends, "right") - 1)
+                signs += [plain[i][1] for i in found]
+        return signs if self.odds else []
 
     def telling(self, token: str, lm: np.ndarray) -> tuple[tuple[str, float], ...]:
-        """The words of a token that carry odds. A token none of whose readings can hold a
-        gram is not decoded."""
-        if token.isalpha():
-            if not DOUBLED.search(token):
-                value = self.of_word(token)
-                return ((token, value),) if value > 0 else ()
-            if not self.may_tell(token):
-                return ()
-        else:
-            core = CORE.search(token)
-            if core is None or (core[0].isalpha() and not self.may_tell(core[0])):
-                return ()
+        """The words of a token that carry odds."""
         found = ((w, self.of_word(w)) for w in words_of(token, lm))
         return tuple((w, v) for w, v in found if v > 0)
 
@@ -408,7 +414,7 @@ def evidence_of_words(words: DataFrame, odds) -> DataFrame:
     """toxic, strongest, telling of texts given by their words."""
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        value = Memo(odds.value.of_word)
+        value = Memo(Odds(odds.value).of_word)
         for batch in batches:
             out = [strength(v for v in map(value.__getitem__, own) if v > 0) for own in batch["words"]]
             yield pd.DataFrame(
@@ -423,13 +429,23 @@ def evidence(docs: DataFrame, lm, odds) -> DataFrame:
     restored word, and the number of distinct words that carry any."""
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, known = lm.value, odds.value
-        tokens = Memo(lambda t: known.telling(t, model))
+        model, known = lm.value, Odds(odds.value)
+        # Tokens seen before, and the words of the few that tell anything.
+        seen: set[str] = set()
+        tells: dict[str, tuple] = {}
         for batch in batches:
-            out = []
-            for text in batch:
-                low = (text or "").lower()
-                words = {w: v for found in map(tokens.__getitem__, set(low.split())) for w, v in found}
+            lows = [(text or "").lower() for text in batch]
+            tokens = [set(low.split()) for low in lows]
+            if len(seen) >= CACHE:
+                seen, tells = set(), {}
+            new = set().union(*tokens) - seen
+            seen |= new
+            for token in known.worth_decoding(new):
+                if found := known.telling(token, model):
+                    tells[token] = found
+            telling, out = set(tells), []
+            for low, own in zip(lows, tokens, strict=True):
+                words = {w: v for token in own & telling for w, v in tells[token]}
                 for w in spaced_words(low, model):
                     if (v := known.of_word(w)) > 0:
                         words[w] = v
@@ -483,22 +499,27 @@ def score(docs: DataFrame, labels: DataFrame, chance: float = 0.05,
     totals = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if not (totals.get(0) and totals.get(1)):
         return docs.withColumn("score", F.lit(0.0))
-    # Only texts that may have a label are exchanged, whatever their number.
-    texts = docs.select("doc_id", "text").where(maybe_among(marked, "doc_id")(F.col("doc_id")))
-    texts = texts.join(marked, "doc_id")
-    # Copies are no further evidence: of texts with the same mark one is taken.
-    texts = texts.groupBy("toxic", copy_mark("text").alias("mark")).agg(
-        F.min("text").alias("text")
+    # Copies are no further evidence: of texts with the same mark one is taken. What tells
+    # them apart is small, so only the texts that are taken are exchanged, once, and in the
+    # same way whatever the number of labels.
+    may = maybe_among(marked, "doc_id")
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).where(may(F.col("doc_id")))
+    marks = named.select("doc_id", "hash", copy_mark("text").alias("mark"))
+    taken = marks.join(marked.hint("merge"), "doc_id").groupBy("toxic", "mark").agg(
+        F.min(F.struct("doc_id", "hash")).alias("one")
     )
-    texts = stored(texts.select("text", "toxic"), "toxic-texts")
-    used = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    taken = stored(taken.select("one.*", "toxic"), "toxic-taken")
+    may = maybe_among(taken, "hash")
+    texts = named.where(may(F.col("hash"))).join(taken.hint("merge"), ["doc_id", "hash"])
+    texts = texts.groupBy("doc_id", "hash", "toxic").agg(F.first("text").alias("text"))
+    used = {r["toxic"]: r["count"] for r in taken.groupBy("toxic").count().collect()}
     grams = [(r["gram"], r["n"]) for r in trigram_counts(docs).collect()]
     lm = session.sparkContext.broadcast(log_probabilities(grams))
     # Labelled texts are decoded once, for their grams and for the fit.
     words = stored(word_sets(texts, lm), "toxic-words")
     present = stored(gram_presence(words), "toxic-grams")
     odds = telling_grams(present, used[1], used[0], chance, most)
-    known = session.sparkContext.broadcast(Odds(odds))
+    known = session.sparkContext.broadcast(odds)
     # Texts with the same evidence are one row with their number.
     seen = evidence_of_words(words, known)
     seen = seen.groupBy("toxic", "strongest", "telling").count().collect()

@@ -191,21 +191,25 @@ def test_tokens_are_skipped_only_without_a_reading_that_tells(lm):
     rng = np.random.default_rng(4)
     tokens = ["idiot", "iiddiioott", "asss", "aass!", "loonies", "loniies", "1diot", "a55", "idi.ot", "tidiot"]
     tokens += ["".join(rng.choice(list(alphabet), rng.integers(1, 9))) for _ in range(3000)]
-    telling = 0
+    telling, wanted = 0, {}
     for token in tokens:
         words = {w: max((odds.odds.get(g, 0.0) for g in toxicity.grams_of(w)), default=0.0)
                  for w in toxicity.words_of(token, lm)}
         want = {w: v for w, v in words.items() if v > 0}
         assert dict(odds.telling(token, lm)) == want
         telling += bool(want)
+        wanted[token] = want
+    worth = set(odds.worth_decoding(wanted))
+    assert {t for t, want in wanted.items() if want} <= worth and len(worth) < len(wanted)
     assert telling >= 8
+    assert toxicity.Odds({}).worth_decoding(tokens) == []
 
 
 def test_words_of_texts_and_evidence_agree(llm, lm):
     """What the fit sees of a text's words is what the score sees of the text."""
     texts = ["what an iiddiioott", "an i d 1 o t!", "plain words only", "", None, "a55 and idiot"]
     shared = llm.sparkContext.broadcast(lm)
-    odds = llm.sparkContext.broadcast(toxicity.Odds({"^idio": 2.0, "diot$": 3.0, "^ass$": 1.5}))
+    odds = llm.sparkContext.broadcast({"^idio": 2.0, "diot$": 3.0, "^ass$": 1.5})
     rows = llm.createDataFrame([(t, 1) for t in texts], "text string, toxic int")
     fitted = toxicity.evidence_of_words(toxicity.word_sets(rows, shared), odds).collect()
     scored = toxicity.evidence(rows.select("text"), shared, odds).collect()
