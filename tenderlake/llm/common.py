@@ -81,8 +81,21 @@ def discard(df: DataFrame) -> None:
 BLOOM_WORDS = 1 << 20
 
 
-def maybe_among(keys: DataFrame, column: str):
-    """A filter on a long column that lets all values of `keys` pass, and few others.
+class Among:
+    """Whether a key may be among given ones, by a bit array that tasks share."""
+
+    def __init__(self, shared):
+        self.shared = shared
+
+    def test(self, mixed: pd.Series) -> np.ndarray:
+        """For the xxhash64 of each key."""
+        h = mixed.to_numpy(np.int64)
+        word = self.shared.value[np.mod(h, BLOOM_WORDS)]
+        return (word >> np.mod(h >> 40, 64)) & 1 == 1
+
+
+def among(keys: DataFrame, column: str) -> Among:
+    """A test for a long column that all values of `keys` pass, and few others.
 
     A bit array of fixed size, 8 MB, in which each key sets one bit: the words are put
     together by Spark, and only they reach the driver. The more keys, the more other values
@@ -96,13 +109,16 @@ def maybe_among(keys: DataFrame, column: str):
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     bits = np.zeros(BLOOM_WORDS, np.int64)
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    shared = keys.sparkSession.sparkContext.broadcast(bits)
+    return Among(keys.sparkSession.sparkContext.broadcast(bits))
+
+
+def maybe_among(keys: DataFrame, column: str):
+    """`among` as a filter on a column."""
+    found = among(keys, column)
 
     @F.pandas_udf("boolean")
     def passes(mixed: pd.Series) -> pd.Series:
-        h = mixed.to_numpy(np.int64)
-        word = shared.value[np.mod(h, BLOOM_WORDS)]
-        return pd.Series((word >> np.mod(h >> 40, 64)) & 1 == 1)
+        return pd.Series(found.test(mixed))
 
     return lambda key: passes(F.xxhash64(key))
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, fold, maybe_among, stored, whole_row
+from .common import among, by_size, fold, maybe_among, stored, whole_row
 
 # Symbols of the character model: 0 is a word's edge, the last one any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(i) for i in range(0xDF, 0x100) if i != 0xF7)
@@ -58,7 +58,7 @@ AROUND = ".,;:?\"'`´-_*&%#=~/\\<>[]{})^…–—«»“”„‘’¿¡·•"
 SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s++\S)+(?!\S)")
 # Remembered tokens, some 100 bytes each; words with all their grams, some 600 bytes each; and
 # grams counted before they are given on, some 200 bytes each.
-CACHE, GRAM_CACHE, COUNTED = 300_000, 50_000, 300_000
+CACHE, GRAM_CACHE, COUNTED = 150_000, 30_000, 200_000
 CHUNK = 1_000_000
 
 
@@ -232,9 +232,10 @@ class Memo(dict):
 # --- learning and scoring ----------------------------------------------------------------
 
 
-def copy_mark(text: str):
+def copy_mark(text: str, key: str, among):
     """The three longest words of each text and what stands around the longest one: near
-    copies mostly share them, other texts do not."""
+    copies mostly share them, other texts do not. Null where the key is not among the given
+    ones (`among` may let others pass); such texts are not read."""
 
     def mark(t: str | None) -> str:
         words = PLAIN.findall((t or "").lower())
@@ -244,10 +245,11 @@ def copy_mark(text: str):
         at = words.index(top[0])
         return " ".join([*top, *words[max(0, at - 2) : at + 3]])
 
-    def marks(texts: pd.Series) -> pd.Series:
-        return pd.Series([mark(t) for t in texts])
+    def marks(texts: pd.Series, mixed: pd.Series) -> pd.Series:
+        wanted = among.test(mixed)
+        return pd.Series([mark(t) if w else None for t, w in zip(texts, wanted, strict=True)], dtype=object)
 
-    return F.pandas_udf(marks, "string")(text)
+    return F.pandas_udf(marks, "string")(F.col(text), F.xxhash64(key))
 
 
 def word_sets(texts: DataFrame, lm) -> DataFrame:
@@ -256,7 +258,7 @@ def word_sets(texts: DataFrame, lm) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = lm.value
         # Most tokens are their own only word and need no entry.
-        known = Memo(lambda t: words_of(t, model))
+        known = Memo(lambda t: tuple(words_of(t, model)))
         for batch in batches:
             sets = []
             for text in batch["text"]:
@@ -502,9 +504,9 @@ def score(docs: DataFrame, labels: DataFrame, chance: float = 0.05,
     # Copies are no further evidence: of texts with the same mark one is taken. What tells
     # them apart is small, so only the texts that are taken are exchanged, once, and in the
     # same way whatever the number of labels.
-    may = maybe_among(marked, "doc_id")
-    named = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).where(may(F.col("doc_id")))
-    marks = named.select("doc_id", "hash", copy_mark("text").alias("mark"))
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    mark = copy_mark("text", "doc_id", among(marked, "doc_id"))
+    marks = named.select("doc_id", "hash", mark.alias("mark")).where("mark is not null")
     taken = marks.join(marked.hint("merge"), "doc_id").groupBy("toxic", "mark").agg(
         F.min(F.struct("doc_id", "hash")).alias("one")
     )
