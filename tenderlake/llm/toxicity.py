@@ -17,7 +17,7 @@ number of its telling words go into a logistic function.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from heapq import nlargest
@@ -56,9 +56,11 @@ DRAWN = re.compile(r"(.)\1+", re.DOTALL)
 # Signs that stand for no letter; around a token they fall away on every path.
 AROUND = ".,;:?\"'`´-_*&%#=~/\\<>[]{})^…–—«»“”„‘’¿¡·•"
 SPACED_OUT = re.compile(r"(?<!\S)\S(?:\s++\S)+(?!\S)")
-# Remembered tokens, some 100 bytes each; words with all their grams, some 600 bytes each; and
-# grams counted before they are given on, some 200 bytes each.
-CACHE, GRAM_CACHE, COUNTED = 150_000, 30_000, 200_000
+# Remembered tokens or words and grams, some 200 bytes each; what is counted is given on
+# when either number is reached.
+CACHE, COUNTED = 150_000, 200_000
+# Words whose grams are looked at together.
+RUN = 100_000
 CHUNK = 1_000_000
 
 
@@ -275,26 +277,63 @@ def word_sets(texts: DataFrame, lm) -> DataFrame:
     return texts.mapInPandas(read, "toxic int, words array<string>")
 
 
+class Presence:
+    """In how many texts of either label grams are present; words and grams are numbers."""
+
+    def __init__(self):
+        self.words: dict[str, int] = {}
+        self.grams: dict[str, int] = {}
+        # The grams of word i: ids[starts[i] : starts[i + 1]].
+        self.ids, self.starts = array("i"), array("q", [0])
+        self.counts = np.zeros((2, 0), np.int64)
+
+    def learn(self, words: Iterable[str]) -> None:
+        grams = self.grams
+        for word in words:
+            self.words[word] = len(self.words)
+            self.ids.extend([grams.setdefault(g, len(grams)) for g in grams_of(word)])
+            self.starts.append(len(self.ids))
+
+    def add(self, texts: list, toxic: np.ndarray) -> None:
+        """Texts as lists of words, each with its label."""
+        flat = [w for own in texts for w in own]
+        self.learn(set(flat) - self.words.keys())
+        n = len(self.grams)
+        starts, ids = np.array(self.starts), np.array(self.ids)
+        word = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        text = np.repeat(np.arange(len(texts)), [len(own) for own in texts])
+        size = starts[word + 1] - starts[word]
+        # Place of each gram of each word: the word's first one and its number behind that.
+        first = np.repeat(starts[word] - np.cumsum(size) + size, size)
+        gram = ids[first + np.arange(len(first))]
+        # A gram counts once a text.
+        pairs = np.sort(np.repeat(text, size) * max(n, 1) + gram)
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+        label = toxic[pairs // max(n, 1)]
+        counts = np.zeros((2, n), np.int64)
+        counts[:, : self.counts.shape[1]] = self.counts
+        for k in (0, 1):
+            counts[k] += np.bincount(pairs[label == k] % max(n, 1), minlength=n)
+        self.counts = counts
+
+    def rows(self) -> pd.DataFrame:
+        return pd.DataFrame({"gram": list(self.grams), "t": self.counts[1], "c": self.counts[0]})
+
+
 def gram_presence(words: DataFrame) -> DataFrame:
     """gram, toxic_n, clean_n: in how many texts (toxic, words) a gram is present."""
 
-    def rows(seen: dict[int, Counter]) -> pd.DataFrame:
-        keys = list(seen[0].keys() | seen[1].keys())
-        return pd.DataFrame(
-            {"gram": keys, "t": [seen[1][k] for k in keys], "c": [seen[0][k] for k in keys]}
-        )
-
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams = Memo(grams_of, GRAM_CACHE)
-        seen = {0: Counter(), 1: Counter()}
+        seen = Presence()
         for batch in batches:
-            for own, toxic in zip(batch["words"], batch["toxic"], strict=True):
-                seen[int(toxic)].update(set().union(*map(grams.__getitem__, own)))
-                if len(seen[0]) + len(seen[1]) >= COUNTED:
-                    yield rows(seen)
-                    seen = {0: Counter(), 1: Counter()}
-        if seen[0] or seen[1]:
-            yield rows(seen)
+            pairs = list(zip(batch["words"], batch["toxic"], strict=True))
+            for run in by_size(pairs, lambda pair: len(pair[0]), RUN):
+                seen.add([own for own, _ in run], np.array([toxic for _, toxic in run]))
+                if len(seen.words) >= CACHE or len(seen.grams) >= COUNTED:
+                    yield seen.rows()
+                    seen = Presence()
+        if seen.grams:
+            yield seen.rows()
 
     parts = words.mapInPandas(count, "gram string, t long, c long")
     return parts.groupBy("gram").agg(F.sum("t").alias("toxic_n"), F.sum("c").alias("clean_n"))
