@@ -14,15 +14,21 @@ from pyspark.sql import functions as F
 from .joins import attach
 
 SOURCE = "__source_file"
+# The place of the row's file in the order of all file names, given when the file is landed.
+ORDER = "__load_order"
 # The lot key as the file has it: files compete for published keys, spelling included.
 PUBLISHED = "__published_cig"
 
 
-def file_number(source: str = SOURCE) -> Column:
-    """The head of a file's name, seven bytes, as a whole number in the order of the names.
-    Resources are numbered at the head as they are collected (`00-`, `01-`, ...)."""
-    head = F.substring(F.col(source).cast("binary"), 1, 7)
-    return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("bigint")
+def load_order(df: DataFrame, source: str = SOURCE) -> Column:
+    """The place of a row's file in the order of the whole file names of `df`, from 1.
+
+    The names are a constant that Spark finds from the one column before the rows are read;
+    files are few, rows many. A landed table carries its order as a column instead."""
+    if ORDER in df.columns:
+        return F.col(ORDER)
+    names = df.agg(F.array_sort(F.collect_set(source))).scalar()
+    return F.array_position(names, F.col(source))
 
 
 def _remaining(df: DataFrame, used: list[str]) -> list[Column]:
@@ -35,10 +41,10 @@ def keep_newest_source(df: DataFrame, key: str = "cig", source: str = SOURCE) ->
 
     A later file replaces everything an earlier one said about the key, so only
     keys seen in more than one file need a lookup; the others pass unmatched. Files
-    are compared by number: a minimum of whole numbers is combined by hashing, one of
-    names would sort all rows by key first.
+    are compared by the place of their whole names: a minimum of whole numbers is
+    combined by hashing, one of names would sort all rows by key first.
     """
-    numbered = df.withColumn("__file", file_number(source))
+    numbered = df.withColumn("__file", load_order(df, source))
     span = (
         numbered.groupBy(key)
         .agg(F.min("__file").alias("__oldest"), F.max("__file").alias("__newest"))

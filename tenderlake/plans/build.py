@@ -1,4 +1,10 @@
-"""From published files to stored clean tables and marts."""
+"""From published files to published clean tables and marts.
+
+A build writes all its tables aside, checks them, and only then switches readers to them
+(`sources.versions`): a broken promise, or a build that was killed, leaves every table as it
+was. Files of a feed with deltas are held by lot bucket (`deltas`), so a month that comes
+later touches the buckets of its lots only.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +12,14 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.keys import SOURCE
+from ..operators.keys import ORDER, SOURCE
+from ..sources import versions
 from ..sources.delimited import is_tolerant, read_delimited, read_delimited_by_header
 from ..sources.layers import table_path, write_table
-from . import authorities, awards, cross, execution, finance, quality, tenders
-from .clean import CLEAN, classify_series, latest_statements
+from . import authorities, awards, cross, deltas, execution, finance, quality, tenders
+from .clean import CLEAN, COMPETING, classify_series, latest_statements
 
 # Feeds with line breaks inside quoted fields.
 MULTILINE = {"aggiudicatari", "partecipanti"}
@@ -56,26 +64,18 @@ MARTS = {
 }
 
 
-def build_dataset(
+def land(
     spark: SparkSession,
     dataset: str,
     files: list[str],
-    root: str,
+    path: str,
     columns: list[str] | None = None,
     multiline: bool | list[str] | None = None,
-    check: bool = True,
-    today: date | None = None,
-) -> dict[str, DataFrame]:
-    """Read, clean, store, check, then store the marts of one dataset.
-
-    The text is stored as Parquet first: the delta rule reads it twice, once for
-    the keys alone, and parsing the files is the dearest step. Marts read the
-    stored clean table. A broken promise stops the build before the marts.
-    `multiline` names the files that need the tolerant scan (badly quoted, with line
-    breaks in fields); by default all files of the feeds known for it do.
-    """
+) -> DataFrame:
+    """The text of the files, stored as Parquet: the delta rule reads it twice, once for the
+    keys alone, and parsing the files is the dearest step. Rows carry the place of their
+    file's whole name among the names."""
     many_lines = dataset in MULTILINE if multiline is None else multiline
-    landed = table_path(root, "raw", dataset)
     if columns:
         parts = [
             read_delimited(spark, chosen, columns, whole)
@@ -85,34 +85,121 @@ def build_dataset(
         text = reduce(DataFrame.unionByName, parts)
     else:
         text = read_delimited_by_header(spark, files, many_lines)
-    write_table(text, landed)
-    raw = spark.read.parquet(landed)
+    write_table(deltas.ordered(text, deltas.orders(_names(files))), path)
+    return spark.read.parquet(path)
+
+
+def _names(files: list[str]) -> list[str]:
+    return sorted({f.rstrip("/").rpartition("/")[2] for f in files})
+
+
+def read_table(
+    spark: SparkSession, root: str, layer: str, dataset: str, table: str | None = None, version: int | None = None
+) -> DataFrame:
+    """A published table, its newest version by default."""
+    return versions.read_version(spark, table_path(root, layer, dataset, table), version)
+
+
+def build_dataset(
+    spark: SparkSession,
+    dataset: str,
+    files: list[str],
+    root: str,
+    columns: list[str] | None = None,
+    multiline: bool | list[str] | None = None,
+    check: bool = True,
+    today: date | None = None,
+) -> dict[str, DataFrame]:
+    """Read, clean, store, check, then switch to the clean table and marts of one dataset.
+
+    The text is landed first. Marts read the stored clean table. Counts over the rows are
+    taken while the rows are written; a broken promise leaves all published tables as they
+    were. `multiline` names the files that need the tolerant scan (badly quoted, with line
+    breaks in fields); by default all files of the feeds known for it do.
+    """
+    raw = land(spark, dataset, files, table_path(root, "raw", dataset), columns, multiline)
     if dataset in {"bandi_gara", "cup", "stazioni_appaltanti"}:
-        raw = raw.drop(SOURCE)
-    year = YEAR.get(dataset)
-    path = table_path(root, "clean", dataset)
+        raw = raw.drop(SOURCE, ORDER)
     if dataset in STAGED:
         first, last = STAGED[dataset]
-        staged = table_path(root, "staged", dataset)
-        write_table(first(raw), staged)
-        write_table(last(spark.read.parquet(staged)), path, year)
+        between = table_path(root, "staged", dataset)
+        write_table(first(raw), between)
+        clean = last(spark.read.parquet(between))
     else:
-        write_table(CLEAN[dataset](raw), path, year)
-    clean = spark.read.parquet(path)
+        clean = CLEAN[dataset](raw)
+    part = YEAR.get(dataset)
+    staged = _staged(clean, dataset, root, part, check, today)
+    return _publish(spark, dataset, root, staged, check, today, [] if part else None)
+
+
+def _staged(clean: DataFrame, dataset: str, root: str, part, check: bool, today) -> versions.Staged:
+    """The clean rows written aside, and their rules."""
+    path, rules = table_path(root, "clean", dataset), quality.CLEAN_RULES[dataset]
+    counted = quality.measures(clean, rules, today, newest=True) if check else None
+    staged = versions.stage(clean, path, part, counted)
     if check:
-        quality.validate(
-            quality.audit(
-                clean, dataset, quality.CLEAN_RULES[dataset], year, today, path=path, newest=True
-            )
-        )
-    tables = {"clean": clean}
+        report = quality.audit(
+            staged.rows, dataset, rules, YEAR.get(dataset), today, path=path, newest=True,
+            measured=staged.measured, version=staged.folder,
+        )
+        quality.validate(report)
+    return staged
+
+
+def _publish(
+    spark, dataset: str, root: str, staged: versions.Staged, check: bool, today, replaced=None
+) -> dict[str, DataFrame]:
+    """Marts over the clean table as it will be, written aside and checked; then the switch."""
+    path = table_path(root, "clean", dataset)
+    clean = versions.read_with(spark, path, staged, replaced)
+    marts = {}
     for name, mart in MARTS[dataset].items():
-        target = table_path(root, "mart", dataset, name)
-        write_table(mart(clean, ordered=False) if mart in UNSORTED else mart(clean), target)
-        tables[name] = spark.read.parquet(target)
-        rules = quality.MART_RULES[dataset].get(name)
-        if check and rules:
-            quality.validate(quality.audit(tables[name], name, rules, today=today))
+        rows = mart(clean, ordered=False) if mart in UNSORTED else mart(clean)
+        marts[name] = _staged_mart(rows, name, table_path(root, "mart", dataset, name),
+                                   quality.MART_RULES[dataset].get(name) if check else None, today)
+    versions.publish(spark, path, staged, replaced)
+    for name, mart in marts.items():
+        versions.publish(spark, table_path(root, "mart", dataset, name), mart)
+    return {"clean": clean} | {name: mart.rows for name, mart in marts.items()}
+
+
+def _staged_mart(rows: DataFrame, name: str, path: str, rules, today) -> versions.Staged:
+    staged = versions.stage(rows, path, measures=quality.measures(rows, rules, today) if rules else None)
+    if rules:
+        quality.validate(quality.audit(staged.rows, name, rules, today=today, measured=staged.measured))
+    return staged
+
+
+def add_files(
+    spark: SparkSession,
+    dataset: str,
+    files: list[str],
+    root: str,
+    multiline: bool | list[str] | None = None,
+    check: bool = True,
+    today: date | None = None,
+) -> dict[str, DataFrame]:
+    """Files that came later, in a feed whose lots are held by bucket (`COMPETING`).
+
+    Only the buckets of the files' lots are read and written, of the text and of the clean
+    table; the rules are checked on what was written, the marts made over the whole clean
+    table. The first call starts the feed with all files there are so far, and replaces a
+    clean table that `build_dataset` made.
+    """
+    if dataset not in COMPETING:
+        raise ValueError(f"{dataset}: the files of this feed do not replace each other lot by lot")
+    many_lines = dataset in MULTILINE if multiline is None else multiline
+    text = COMPETING[dataset](read_delimited_by_header(spark, files, many_lines))
+    path, live = table_path(root, "clean", dataset), table_path(root, "live", dataset)
+    first = not deltas.started(spark, live)
+    change = deltas.add(text, live, _names(files))
+    if change.staged is None:
+        deltas.keep(spark, live, change)
+        return {"clean": versions.read_version(spark, path)}
+    clean = CLEAN[dataset](change.rows)
+    staged = _staged(clean, dataset, root, deltas.bucket_of(F.col("cig")), check, today)
+    tables = _publish(spark, dataset, root, staged, check, today, None if first else change.buckets)
+    deltas.keep(spark, live, change)
     return tables
 
 
@@ -122,7 +209,7 @@ def build_cross(
     """The cross marts from the stored clean tables. The per-lot table is stored once and shared."""
 
     def clean(name: str) -> DataFrame:
-        return spark.read.parquet(table_path(root, "clean", name))
+        return read_table(spark, root, "clean", name)
 
     bandi, awarded = clean("bandi_gara"), clean("aggiudicazioni")
     starts, ends = clean("avvio_contratto"), clean("fine_contratto")
@@ -130,8 +217,8 @@ def build_cross(
     shared = table_path(root, "cross", "bandi_per_cig")
     write_table(tenders.tenders_per_cig(bandi), shared)
     per_cig = spark.read.parquet(shared)
-    breakdown = spark.read.parquet(table_path(root, "mart", "quadro_economico", "mart_cig"))
-    funding = spark.read.parquet(table_path(root, "mart", "fonti_finanziamento", "mart_fonti"))
+    breakdown = read_table(spark, root, "mart", "quadro_economico", "mart_cig")
+    funding = read_table(spark, root, "mart", "fonti_finanziamento", "mart_fonti")
     marts = {
         "mart_panoramica": cross.mart_panoramica(bandi),
         "mart_imprese": cross.mart_imprese(
@@ -151,15 +238,14 @@ def build_cross(
             per_cig, breakdown, funding, clean("stazioni_appaltanti")
         ),
     }
-    stored = {}
-    for name, mart in marts.items():
-        target = table_path(root, "mart", "cross", name)
-        write_table(mart, target)
-        stored[name] = spark.read.parquet(target)
-        if check:
-            rules = quality.MART_RULES["cross"][name]
-            quality.validate(quality.audit(stored[name], name, rules, today=today))
-    absent = quality.missing_tables(stored, list(quality.MART_RULES["cross"]))
+    staged = {
+        name: _staged_mart(mart, name, table_path(root, "mart", "cross", name),
+                           quality.MART_RULES["cross"][name] if check else None, today)
+        for name, mart in marts.items()
+    }
+    absent = quality.missing_tables({n: m.rows for n, m in staged.items()}, list(quality.MART_RULES["cross"]))
     if absent:
         raise quality.QualityError(f"cross: tables not there: {', '.join(absent)}")
-    return stored
+    for name, mart in staged.items():
+        versions.publish(spark, table_path(root, "mart", "cross", name), mart)
+    return {name: mart.rows for name, mart in staged.items()}

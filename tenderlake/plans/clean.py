@@ -20,6 +20,7 @@ from . import fields as L
 
 DOMAIN_START = date(2000, 1, 1)
 TERM_END = date(2060, 12, 31)
+AWARD_DAY = "data_aggiudicazione_definitiva"
 
 
 def _today(as_of: date | None) -> Column:
@@ -27,12 +28,13 @@ def _today(as_of: date | None) -> Column:
 
 
 def _with_source(raw: DataFrame, fields: list[L.Field], *extra: Column) -> DataFrame:
-    return raw.select(*L.typed(raw, fields), *extra, F.col(K.SOURCE))
+    order = [F.col(K.ORDER)] if K.ORDER in raw.columns else []
+    return raw.select(*L.typed(raw, fields), *extra, F.col(K.SOURCE), *order)
 
 
 def _newest_files(rows: DataFrame) -> DataFrame:
     """Rows of the newest file of each published lot key, without the bookkeeping columns."""
-    return K.keep_newest_source(rows, K.PUBLISHED).drop(K.SOURCE, K.PUBLISHED)
+    return K.keep_newest_source(rows, K.PUBLISHED).drop(K.SOURCE, K.PUBLISHED, K.ORDER)
 
 
 def _with_lot(raw: DataFrame, fields: list[L.Field], *extra: Column) -> DataFrame:
@@ -60,7 +62,7 @@ def clean_aggiudicazioni(
 ) -> DataFrame:
     """Awards: rows without a plausible award date are dropped before files compete."""
     rows = _with_lot(raw, L.AGGIUDICAZIONI)
-    dated = rows.where(S.in_years("data_aggiudicazione_definitiva", years))
+    dated = rows.where(S.in_years(AWARD_DAY, years))
     return K.latest_per_key(
         _newest_files(dated),
         ["cig", "id_aggiudicazione"],
@@ -68,6 +70,12 @@ def clean_aggiudicazioni(
     )
 
 
+def dated_awards(raw: DataFrame, years: tuple[int, int | None] = (2005, None)) -> DataFrame:
+    """The published rows of awards that compete for their lot."""
+    day = next(c for c, f in zip(L.typed(raw, L.AGGIUDICAZIONI), L.AGGIUDICAZIONI) if f.name == AWARD_DAY)
+    return raw.withColumn("__day", day).where(S.in_years("__day", years)).drop("__day")
+
+
 def clean_aggiudicatari(raw: DataFrame) -> DataFrame:
     rows = _newest_files(_with_lot(raw, L.AGGIUDICATARI))
     return K.one_per_key(
@@ -257,7 +265,7 @@ def clean_quadro_economico(raw: DataFrame) -> DataFrame:
     text = [L.published(known, c).alias(f"__{c}") for c in key]
     rows = _with_source(known, L.QUADRO_ECONOMICO, *text)
     return K.newest_source_per_key(rows, [f"__{c}" for c in key]).drop(
-        K.SOURCE, *[f"__{c}" for c in key]
+        K.SOURCE, K.ORDER, *[f"__{c}" for c in key]
     )
 
 
@@ -307,3 +315,22 @@ CLEAN = {
     "quadro_economico": clean_quadro_economico,
     "fonti_finanziamento": clean_fonti_finanziamento,
 }
+
+
+def _all_rows(raw: DataFrame) -> DataFrame:
+    return raw
+
+
+# Feeds whose rules all work within one lot, so that a bucket of lots can be cleaned by itself,
+# and the published rows that compete for a lot.
+COMPETING = {
+    "aggiudicazioni": dated_awards,
+    "aggiudicatari": _all_rows,
+    "partecipanti": _all_rows,
+    "subappalti": _all_rows,
+    "avvio_contratto": _all_rows,
+    "fine_contratto": _all_rows,
+    "sospensioni": _all_rows,
+    "varianti": _all_rows,
+    "collaudo": _all_rows,
+}

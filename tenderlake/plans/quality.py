@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import not_blank
+from ..sources.layers import layouts
+from ..sources.versions import changed, layout_changes
 
 MIN_YEAR = 1990
 MAX_AGE_DAYS = 40
@@ -211,33 +212,14 @@ def missing_tables(tables: dict[str, DataFrame], required: list[str]) -> list[st
     return [t for t in required if t not in tables]
 
 
-def _layouts(spark: SparkSession, path: str) -> list[dict[str, str]]:
-    """The distinct layouts of the files of a table, by their footers, many at a time."""
-    files = sorted(spark.read.parquet(path).inputFiles())
-
-    def footer(file: str) -> tuple:
-        return tuple((f.name, f.dataType.simpleString()) for f in spark.read.parquet(file).schema)
-
-    with ThreadPoolExecutor(16) as pool:
-        return [dict(layout) for layout in dict.fromkeys(pool.map(footer, files))]
-
-
-def _changes(old: dict[str, str], new: dict[str, str]) -> list[str]:
-    return [
-        f"{c}: {old.get(c, 'assente')} -> {new.get(c, 'assente')}"
-        for c in sorted(set(old) | set(new))
-        if old.get(c) != new.get(c)
-    ]
-
-
 def schema_drift(spark: SparkSession, partitions: dict[int, str]) -> dict[int, list[str]]:
-    """Per year, the columns whose type differs from the first file of the first year in any
-    file of the year. Reads the footers of all files only."""
-    layouts = {year: _layouts(spark, path) for year, path in sorted(partitions.items())}
-    base = next((own[0] for own in layouts.values() if own), {})
+    """Per year, the columns whose type differs from the first layout of the first year in any
+    file of the year. Files are not opened: tables know the layouts of their writes."""
+    found = {year: list(layouts(spark, path).values()) for year, path in sorted(partitions.items())}
+    base = next((own[0] for own in found.values() if own), None)
     drift = {}
-    for year, own in layouts.items():
-        changes = list(dict.fromkeys(c for layout in own for c in _changes(base, layout)))
+    for year, own in found.items():
+        changes = list(dict.fromkeys(c for layout in own for c in changed(base, layout)))
         if changes:
             drift[year] = changes
     return drift
@@ -256,30 +238,14 @@ def freshness(spark: SparkSession, path: str) -> DataFrame:
 # --- report -----------------------------------------------------------------
 
 
-def audit(
-    df: DataFrame,
-    name: str,
-    rules: Rules,
-    year: str | None = None,
-    today: date | None = None,
-    max_age_days: int = MAX_AGE_DAYS,
-    path: str | None = None,
-    newest: bool = False,
-) -> DataFrame:
-    """Violated rules as rows (tabella, livello, regola, oggetto, valore); no row is a pass.
-
-    Two passes over the table: one aggregate for all row, NULL and date counters,
-    one grouping by key for both uniqueness rules. With the `path` of the stored
-    table its age is checked, and that all its files have one layout (an error per
-    column that drifts). `newest` adds a note per date column with its newest day,
-    as days since 1970.
-    """
+def row_rules(
+    df: DataFrame, rules: Rules, today: date | None = None, newest: bool = False
+) -> list[tuple]:
+    """(level, rule, subject, aggregate) of every rule that a count over the rows decides."""
     current = (today or date.today()).year
-    year = year if year and not missing_columns(df, [year]) else None
     absent = set(missing_columns(df, [*rules.required, *rules.key, *rules.not_null]))
     limits = {c: 0.0 for c in rules.not_null if c not in absent}
     limits |= {c: q for c, q in rules.max_null.items() if not missing_columns(df, [c])}
-
     rows = F.count(F.lit(1))
     counters = [(ERROR, "colonna_assente", c, F.lit(1)) for c in sorted(absent)]
     counters.append((ERROR, "righe_minime", str(rules.min_rows), F.lit(rules.min_rows) - rows))
@@ -299,7 +265,50 @@ def audit(
         if newest:
             day = F.datediff(F.max(column), F.lit(date(1970, 1, 1)))
             counters.append((NOTE, "data_massima", column, day))
-    reports = [_findings(df, name, counters)]
+    return counters
+
+
+def measures(
+    df: DataFrame, rules: Rules, today: date | None = None, newest: bool = False
+) -> dict[str, Column]:
+    """The aggregates of `row_rules` by name, to be taken while the rows are written."""
+    return {
+        f"__c{i}": value.cast("double")
+        for i, (*_, value) in enumerate(row_rules(df, rules, today, newest))
+    }
+
+
+def audit(
+    df: DataFrame,
+    name: str,
+    rules: Rules,
+    year: str | None = None,
+    today: date | None = None,
+    max_age_days: int = MAX_AGE_DAYS,
+    path: str | None = None,
+    newest: bool = False,
+    measured: dict | None = None,
+    version: str | None = None,
+) -> DataFrame:
+    """Violated rules as rows (tabella, livello, regola, oggetto, valore); no row is a pass.
+
+    Two passes over the table: one aggregate for all row, NULL and date counters,
+    one grouping by key for both uniqueness rules. With what was `measured` while the rows
+    were written the first pass is not needed. With the `path` of the stored
+    table its age is checked, and that all its files have one layout (an error per
+    column that drifts); of a published table, whose folder is `version`, the commit knows
+    the layouts. `newest` adds a note per date column with its newest day,
+    as days since 1970.
+    """
+    year = year if year and not missing_columns(df, [year]) else None
+    counters = row_rules(df, rules, today, newest)
+    absent = {subject for _, rule, subject, _ in counters if rule == "colonna_assente"}
+    if measured is None:
+        reports = [_findings(df, name, counters)]
+    else:
+        values = [measured[f"__c{i}"] for i in range(len(counters))]
+        found = [(name, *c[:3], float(v)) for c, v in zip(counters, values, strict=True) if v and v > 0]
+        reports = [df.sparkSession.createDataFrame(found, FINDING)]
 
     if rules.key and not absent & set(rules.key):
         label = ", ".join(rules.key)
@@ -317,16 +326,23 @@ def audit(
         reports.append(_findings(per_key, name, keyed))
     if path:
         age = F.when(F.max("giorni") > max_age_days, F.max("giorni"))
+        files = f"{path}/data/{version}" if version else path
         reports.append(
-            _findings(freshness(df.sparkSession, path), name, [(WARNING, "clean_fermo", path, age)])
+            _findings(freshness(df.sparkSession, files), name, [(WARNING, "clean_fermo", path, age)])
         )
-        drift = schema_drift(df.sparkSession, {0: path}).get(0, [])
+        if version:
+            drift = [c for own in layout_changes(df.sparkSession, path).values() for c in own]
+        else:
+            drift = schema_drift(df.sparkSession, {0: path}).get(0, [])
         if drift:
-            drifted = [(ERROR, "deriva_schema", change, F.lit(1)) for change in drift]
-            reports.append(_findings(df.limit(0), name, drifted))
+            drifted = [(ERROR, "deriva_schema", change, F.lit(1)) for change in dict.fromkeys(drift)]
+            reports.append(_findings(df.sparkSession.range(1), name, drifted))
     return reduce(DataFrame.unionByName, reports)
 
 
+FINDING = "tabella string, livello string, regola string, oggetto string, valore double"
+
+
 def _findings(df: DataFrame, name: str, counters: list) -> DataFrame:
     """All counters in one aggregate, then one row per counter above zero."""
     wide = df.agg(*[value.cast("double").alias(f"__c{i}") for i, (*_, value) in enumerate(counters)])

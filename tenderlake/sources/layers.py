@@ -1,10 +1,22 @@
-"""Clean and mart layers: Parquet, one directory per table, partitioned by year where there is one."""
+"""Clean and mart layers: Parquet, one directory per table, partitioned by year where there is one.
+
+Beside the data stands the layout of every write (`_layouts`, which Spark's readers pass
+over). The names of a write's files share an id, so the layout of any file is known without
+opening it.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import layout_of
+
+# The id that the files of one write share; a file with another name is a write of its own.
+_WRITE = r"part-[0-9]+-([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})"
+_MANIFEST = "write string, layout string"
+
 
 def table_path(root: str, layer: str, dataset: str, table: str | None = None) -> str:
     parts = [root.rstrip("/"), layer, dataset]
@@ -22,6 +34,43 @@ def write_table(df: DataFrame, path: str, year: str | None = None) -> None:
     if year:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(year)
     writer.parquet(path)
+    spark = df.sparkSession
+    known = _manifest(spark, path).select("write")
+    layout = F.lit(layout_of(df.schema)).alias("layout")
+    fresh = _writes(spark, path).join(known, "write", "left_anti").select("write", layout)
+    fresh.coalesce(1).write.mode("append").parquet(f"{path}/_layouts")
+
+
+def _writes(spark: SparkSession, path: str) -> DataFrame:
+    """write, file (one of its files) of every write a table has files of. Files are listed,
+    not opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    files = files.option("recursiveFileLookup", "true").load(path).select("path")
+    files = files.where(~F.contains("path", F.lit("/_layouts/")))
+    name = F.substring_index("path", "/", -1)
+    write = F.regexp_extract(name, _WRITE, 1)
+    write = F.when(write == "", F.col("path")).otherwise(write)
+    return files.groupBy(write.alias("write")).agg(F.min("path").alias("file"))
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(_MANIFEST).parquet(f"{path}/_layouts")
+    except AnalysisException as missing:  # a table of another writer
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MANIFEST)
+
+
+def layouts(spark: SparkSession, path: str) -> dict[str, str]:
+    """The layout of every write a table has files of, in the order of the writes' first files.
+
+    Writes of other programs have no entry; one file of each such write is opened.
+    """
+    rows = _writes(spark, path).join(_manifest(spark, path), "write", "left").orderBy("file").collect()
+    return {
+        r["write"]: r["layout"] or layout_of(spark.read.parquet(r["file"]).schema) for r in rows
+    }
 
 
 def read_years(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.plans import quality
 from tenderlake.session import scratch_path
+from tenderlake.sources import versions
 from tenderlake.sources.layers import write_table
 
 from .registry import query
@@ -87,9 +88,7 @@ _RULES = quality.Rules(
 )
 
 
-@query(
-    "audit_report",
-    """
+_AUDIT = """
     WITH a AS (SELECT *, CAST(year(data_termine_contrattuale) AS INT) AS anno FROM {avvio}),
     k AS (SELECT anno, cig, id_aggiudicazione, count(*) AS n FROM a GROUP BY ALL),
     y AS (SELECT cig, id_aggiudicazione, count(DISTINCT anno) AS n FROM a GROUP BY 1, 2),
@@ -112,13 +111,57 @@ _RULES = quality.Rules(
         UNION ALL SELECT 'avviso', 'chiavi_in_piu_anni', 'cig, id_aggiudicazione',
                count(*) FROM y WHERE n > 1)
     SELECT 'avvio_contratto' AS tabella, livello, regola, oggetto, CAST(valore AS DOUBLE) AS valore
-    FROM r WHERE valore > 0""",
-)
+    FROM r WHERE valore > 0"""
+
+
+@query("audit_report", _AUDIT)
 def audit_report(t):
     starts = t.avvio.withColumn("anno", F.year("data_termine_contrattuale"))
     return quality.audit(starts, "avvio_contratto", _RULES, "anno", date(2000, 6, 1))
 
 
+@query("audit_while_writing", _AUDIT)
+def audit_while_writing(t):
+    """The same report from what was measured while the table was written; only the keys are
+    read again."""
+    starts, day = t.avvio.withColumn("anno", F.year("data_termine_contrattuale")), date(2000, 6, 1)
+    path = scratch_path(t.spark, "avvio")
+    staged = versions.stage(starts, path, "anno", quality.measures(starts, _RULES, day))
+    return quality.audit(staged.rows, "avvio_contratto", _RULES, "anno", day, measured=staged.measured)
+
+
+@query(
+    "rejected_build_keeps_rows",
+    """
+    SELECT anno_pubblicazione, count(*) AS n, sum(importo_lotto) AS importo, 1 AS versione
+    FROM {bandi} GROUP BY 1""",
+)
+def rejected_build_keeps_rows(t):
+    """A published table, then a new write of it with every lot twice: the key rule rejects
+    it, and readers still see the version before."""
+    path, rules = scratch_path(t.spark, "bandi"), quality.Rules(key=["cig"], not_null=["cig"])
+
+    def check(staged):
+        quality.validate(quality.audit(staged.rows, "bandi_gara", rules, measured=staged.measured))
+
+    def write(rows):
+        versions.replace(rows, path, check, part="anno_pubblicazione", measures=quality.measures(rows, rules))
+
+    write(t.bandi)
+    rejected = False
+    try:
+        write(t.bandi.unionByName(t.bandi))
+    except quality.QualityError:
+        rejected = True
+    assert rejected
+    return (
+        versions.read_version(t.spark, path)
+        .groupBy("anno_pubblicazione")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("importo_lotto").alias("importo"))
+        .withColumn("versione", F.lit(versions.version_of(t.spark, path)))
+    )
+
+
 @query(
     "min_rows_and_columns",
     """

@@ -9,9 +9,11 @@ from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
 from tenderlake.operators.joins import attach, not_in
 from tenderlake.operators.slices import falling_steps, group_median
-from tenderlake.plans import cross, tenders
+from tenderlake.plans import cross, deltas, tenders
 from tenderlake.plans import questions as Q
 from tenderlake.plans.clean import PREVALENTE
+from tenderlake.session import scratch_path
+
 from .registry import query
 
 # --- column functions -------------------------------------------------------
@@ -257,6 +259,22 @@ def delta_replaces_lot(t):
     )
 
 
+@query(
+    "delta_added_later",
+    """
+    SELECT cig, id_aggiudicazione, codice_fiscale, __source_file FROM {raw_operatori}
+    QUALIFY __source_file = max(__source_file) OVER (PARTITION BY cig)""",
+)
+def delta_added_later(t):
+    """The same rows from a feed held by lot bucket, to which the files come one by one, the
+    oldest month last."""
+    path = scratch_path(t.spark, "feed")
+    for name in ("00-full.csv", "delta_202605.csv", "delta_202604.csv"):
+        own = t.raw_operatori.where(F.col(K.SOURCE) == name)
+        deltas.keep(t.spark, path, deltas.add(own, path, [name], buckets=8))
+    return deltas.live(t.spark, path).select("cig", "id_aggiudicazione", "codice_fiscale", K.SOURCE)
+
+
 @query(
     "delta_replaces_key",
     """

@@ -26,8 +26,8 @@ GIVEN = [
 ]
 
 _FILE_OF_LINE = """
-    CASE l_returnflag WHEN 'N' THEN '00-full.csv' WHEN 'A' THEN '01-20260401.csv'
-         ELSE '02-20260501.csv' END"""
+    CASE l_returnflag WHEN 'N' THEN '00-full.csv' WHEN 'A' THEN 'delta_202604.csv'
+         ELSE 'delta_202605.csv' END"""
 _SHIP = "CAST(l_shipdate AS DATE)"
 _CIG = "CAST(l_orderkey AS STRING)"
 _AWARD = "CAST(l_linenumber AS BIGINT)"
@@ -266,8 +266,8 @@ DERIVED = {
                CASE WHEN value > 40 THEN 'IN RITARDO ' ELSE 'IN LINEA' END AS flag_ritardo,
                CASE WHEN value < 5 THEN '' ELSE CAST(CAST(round(value) AS BIGINT) AS STRING) END
                    AS n_giorni_scostamento,
-               CASE WHEN user_id % 5 = 0 AND event_type = 'purchase' THEN '01-20260401.csv'
-                    ELSE '00-full.csv' END AS __source_file
+               CASE WHEN user_id % 5 = 0 AND event_type = 'purchase' THEN 'delta_202605.csv'
+                    ELSE 'delta_202604.csv' END AS __source_file
         FROM {events}""",
     "sal": f"""
         SELECT {_CIG} AS cig,
