@@ -31,7 +31,7 @@ from .common import by_size, stored
 LENGTH = 2048
 GROUP = 8192
 END = 0
-CACHE = 600_000
+CACHE = 150_000
 CHUNK = 2_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
