@@ -38,117 +38,6 @@ def with_slices(
     return ranged.withColumn(SLICE, F.spark_partition_id())
 
 
-def group_medians(
-    df: DataFrame, keys: list[str], outs: dict[str, str], slices: int | None = None
-) -> DataFrame:
-    """Exact medians of several columns in one pass: {column: output name}."""
-    pairs = [
-        F.struct(F.lit(out).alias("__name"), F.col(value).cast("double").alias("__value"))
-        for value, out in outs.items()
-    ]
-    long = df.select(*keys, F.inline(F.array(*pairs)))
-    medians = group_median(long, [*keys, "__name"], "__value", "__median", slices)
-    return medians.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("__name") == out, F.col("__median"))).alias(out) for out in outs.values()]
-    )
-
-
-def group_median(
-    df: DataFrame, keys: list[str], value: str, out: str, slices: int | None = None
-) -> DataFrame:
-    """Exact interpolated median of `value` per group, one row per group with a non-NULL value.
-
-    Rows are first collapsed to distinct (group, value) with a count, combined
-    map-side. The values are then cut into ordered slices; the totals of the slices
-    tell which one or two hold the middle of a group, and only the values in their
-    range are ranked. Groups of any size go the same way.
-    """
-    group = [_GROUP, *keys]
-    counts = (
-        df.select(
-            F.xxhash64(*keys).alias(_GROUP), *keys, F.col(value).cast("double").alias("__v")
-        )
-        .where(F.col("__v").isNotNull())
-        .groupBy(*group, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    return _ranked_in_slices(counts, group, out, slices)
-
-
-# Hash of the group keys: rows sort and partition on one number instead of many texts.
-_GROUP = "__group"
-
-
-def _same_group(df: DataFrame, other: DataFrame, group: list[str]) -> Column:
-    same = df[group[0]] == other["__k0"]
-    for i, k in enumerate(group[1:], start=1):
-        same = same & df[k].eqNullSafe(other[f"__k{i}"])
-    return same
-
-
-def _middle(group: list[str], ranked: DataFrame, out: str) -> DataFrame:
-    """Mean of the two middle values; `__last` is the last rank a value covers, from 0."""
-    first = F.col("__last") - F.col("__n") + 1
-
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(first, F.col("__last")), F.col("__v")))
-
-    lower, upper = at("__r1"), at("__r2")
-    return ranked.groupBy(*group).agg((lower + (upper - lower) * 0.5).alias(out)).drop(_GROUP)
-
-
-def _middle_ranks(total: Column) -> list[Column]:
-    return [
-        F.floor((total - 1) / F.lit(2)).alias("__r1"),
-        F.floor(total / F.lit(2)).alias("__r2"),
-    ]
-
-
-def _ranked_in_slices(
-    counts: DataFrame, group: list[str], out: str, slices: int | None
-) -> DataFrame:
-    """Find, from the totals of the slices, the one or two that hold the middle ranks, and rank
-    only the values in their range. Values select them, not slice numbers, so the result does
-    not depend on where the slices were cut."""
-    totals = (
-        with_slices(counts, group, [F.col("__v").asc()], slices)
-        .groupBy(*group, SLICE)
-        .agg(
-            F.sum("__n").alias("__size"),
-            F.min("__v").alias("__low"),
-            F.max("__v").alias("__high"),
-        )
-    )
-    # One row per group and slice from here on.
-    before = F.sum("__size").over(Window.partitionBy(*group).orderBy(SLICE)) - F.col("__size")
-    total = F.sum("__size").over(Window.partitionBy(*group))
-    holds = (F.col("__r2") >= F.col("__before")) & (
-        F.col("__r1") < F.col("__before") + F.col("__size")
-    )
-    middle = (
-        totals.select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(group)],
-            "__low",
-            "__high",
-            "__size",
-            before.alias("__before"),
-            *_middle_ranks(total),
-        )
-        .where(holds)
-        .drop("__size")
-    )
-    inside = _same_group(counts, middle, group) & F.col("__v").between(
-        F.col("__low"), F.col("__high")
-    )
-    upto = Window.partitionBy(*group, "__low").orderBy("__v")
-    last = F.col("__before") + F.sum("__n").over(upto) - 1
-    # At most two rows per group: whether they fit a broadcast is measured by AQE.
-    ranked = counts.join(middle, inside).select(
-        *group, "__v", "__n", "__r1", "__r2", last.alias("__last")
-    )
-    return _middle(group, ranked, out)
-
-
 def summarise_in_order(
     df: DataFrame,
     keys: list[str],

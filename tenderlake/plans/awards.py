@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import in_years
 from ..operators.joins import attach, attach_distinct_counts
 from ..operators.reshape import report_order
-from ..operators.slices import group_medians
+from ..operators.radix import group_medians
 from .tenders import n_rows
 
 

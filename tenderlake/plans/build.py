@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import ORDER, SOURCE
 from ..sources import versions
 from ..sources.delimited import is_tolerant, read_delimited, read_delimited_by_header
-from ..sources.layers import table_path, write_table
+from ..sources.layers import table_path, write_bucketed, write_table
 from . import authorities, awards, cross, deltas, execution, finance, quality, tenders
 from .clean import CLEAN, COMPETING, classify_series, latest_statements
 
@@ -203,10 +203,23 @@ def add_files(
     return tables
 
 
+# Lots of a bucket: one task joins some 300 MB of them.
+LOTS_OF_BUCKET = 2_000_000
+
+
+def lot_buckets(lots: int) -> int:
+    return max(1, -(-lots // LOTS_OF_BUCKET))
+
+
 def build_cross(
-    spark: SparkSession, root: str, check: bool = True, today: date | None = None
+    spark: SparkSession,
+    root: str,
+    check: bool = True,
+    today: date | None = None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The cross marts from the stored clean tables. The per-lot table is stored once and shared."""
+    """The cross marts from the published clean tables. What they know of each lot is stored
+    once, in buckets of the lot, and joined from there."""
 
     def clean(name: str) -> DataFrame:
         return read_table(spark, root, "clean", name)
@@ -214,9 +227,15 @@ def build_cross(
     bandi, awarded = clean("bandi_gara"), clean("aggiudicazioni")
     starts, ends = clean("avvio_contratto"), clean("fine_contratto")
     changes = clean("varianti")
-    shared = table_path(root, "cross", "bandi_per_cig")
-    write_table(tenders.tenders_per_cig(bandi), shared)
-    per_cig = spark.read.parquet(shared)
+    lots = cross.lots_of(
+        tenders.tenders_per_cig(bandi), awarded, starts, ends, clean("sospensioni"), changes, clean("collaudo")
+    )
+    buckets = buckets or lot_buckets(lots["per_cig"].count())
+    lots = {
+        name: write_bucketed(rows, table_path(root, "cross", "lots", name), "cig", buckets)
+        for name, rows in lots.items()
+    }
+    per_cig = lots["per_cig"]
     breakdown = read_table(spark, root, "mart", "quadro_economico", "mart_cig")
     funding = read_table(spark, root, "mart", "fonti_finanziamento", "mart_fonti")
     marts = {
@@ -226,11 +245,9 @@ def build_cross(
         ),
         "mart_ritardi_per_sa": cross.mart_ritardi_per_sa(clean("stati_avanzamento"), per_cig),
         "mart_competitivita": cross.mart_competitivita(bandi, awarded),
-        "mart_esecuzione": cross.mart_esecuzione(
-            per_cig, awarded, starts, ends, clean("sospensioni"), changes
-        ),
-        "mart_ritardi_contratto": cross.mart_ritardi_contratto(per_cig, starts, ends),
-        "mart_collaudo_ritardo": cross.mart_collaudo_ritardo(per_cig, ends, clean("collaudo")),
+        "mart_esecuzione": cross.execution_of_lots(lots),
+        "mart_ritardi_contratto": cross.deviations_of_lots(lots),
+        "mart_collaudo_ritardo": cross.acceptance_of_lots(lots),
         "mart_sforamento": cross.mart_sforamento(
             per_cig, breakdown, awarded, changes, ordered=False
         ),

@@ -277,27 +277,75 @@ def mart_esecuzione(
     A contract is a lot with a signature or a completion day. Every input is
     one row per lot on the same partitioning, so the joins add no exchange.
     """
+    lots = {
+        "per_cig": per_cig,
+        "awarded": last_award_per_cig(awards),
+        "signed": latest_start_per_cig(starts),
+        "ended": last_end_per_cig(ends),
+        "paused": pauses_per_cig(suspensions),
+        "changed": changes_per_cig(changes),
+    }
+    return execution_of_lots(lots, min_contracts)
+
+
+def last_award_per_cig(awards: DataFrame) -> DataFrame:
+    paid = awards.where(F.col("importo_aggiudicazione") > 0)
+    return paid.groupBy("cig").agg(F.max("data_aggiudicazione_definitiva").alias("ultima_agg"))
+
+
+def pauses_per_cig(suspensions: DataFrame) -> DataFrame:
     pause = S.days_between("data_sospensione", "data_ripresa")
-    awarded = (
-        awards.where(F.col("importo_aggiudicazione") > 0)
-        .groupBy("cig")
-        .agg(F.max("data_aggiudicazione_definitiva").alias("ultima_agg"))
-    )
-    paused = (
-        suspensions.where(F.col("data_sospensione").isNotNull())
-        .groupBy("cig")
-        .agg(F.sum(F.when(pause.between(0, 3650), pause).otherwise(0)).alias("giorni_sospensione"))
+    days = F.sum(F.when(pause.between(0, 3650), pause).otherwise(0))
+    dated = suspensions.where(F.col("data_sospensione").isNotNull())
+    return dated.groupBy("cig").agg(days.alias("giorni_sospensione"))
+
+
+def changes_per_cig(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("cig").agg(n_rows().alias("n_varianti"))
+
+
+def acceptance_per_cig(tests: DataFrame) -> DataFrame:
+    return tests.groupBy("cig").agg(
+        F.max("data_cert_collaudo").alias("certificato"), F.lit(True).alias("ha_record")
     )
-    changed = changes.groupBy("cig").agg(n_rows().alias("n_varianti"))
+
+
+def lots_of(
+    per_cig: DataFrame,
+    awards: DataFrame,
+    starts: DataFrame,
+    ends: DataFrame,
+    suspensions: DataFrame,
+    changes: DataFrame,
+    tests: DataFrame,
+) -> dict[str, DataFrame]:
+    """What the marts on times join, one row per lot each. Stored in buckets of the lot
+    (`layers.write_bucketed`), they are joined in every mart without an exchange."""
+    return {
+        "per_cig": per_cig,
+        "awarded": last_award_per_cig(awards),
+        "signed": latest_start_per_cig(starts),
+        "ended": last_end_per_cig(ends),
+        "paused": pauses_per_cig(suspensions),
+        "changed": changes_per_cig(changes),
+        "accepted": acceptance_per_cig(tests),
+    }
+
+
+def execution_of_lots(lots: dict[str, DataFrame], min_contracts: int = 3) -> DataFrame:
+    """`mart_esecuzione` from tables of one row per lot."""
     signed, done = F.col("data_stipula_contratto"), F.col("ultimazione")
+    # From the lots outwards: the key of a full join would be a new column, on which rows
+    # would have to be exchanged again.
     contracts = (
-        latest_start_per_cig(starts)
-        .join(last_end_per_cig(ends), "cig", "full")
+        lots["per_cig"]
+        .where(F.col("anno").isNotNull())
+        .join(lots["signed"], "cig", "left")
+        .join(lots["ended"], "cig", "left")
         .where(signed.isNotNull() | done.isNotNull())
-        .join(per_cig.where(F.col("anno").isNotNull()), "cig")
-        .join(awarded, "cig", "left")
-        .join(paused, "cig", "left")
-        .join(changed, "cig", "left")
+        .join(lots["awarded"], "cig", "left")
+        .join(lots["paused"], "cig", "left")
+        .join(lots["changed"], "cig", "left")
     )
     late = F.col("giorni_scostamento_termine") > 0
     phases = contracts.select(
@@ -352,15 +400,25 @@ def mart_ritardi_contratto(
     The day difference lies in [-3650, 3650], so the exact median keeps at most
     7,301 counters per group however many contracts there are.
     """
+    lots = {
+        "per_cig": per_cig,
+        "signed": latest_start_per_cig(starts),
+        "ended": last_end_per_cig(ends),
+    }
+    return deviations_of_lots(lots, min_contracts)
+
+
+def deviations_of_lots(lots: dict[str, DataFrame], min_contracts: int = 3) -> DataFrame:
+    """`mart_ritardi_contratto` from tables of one row per lot."""
     gap = F.col("giorni")
     late = gap > 0
     measured = (
-        latest_start_per_cig(starts)
-        .join(last_end_per_cig(ends), "cig")
+        lots["signed"]
+        .join(lots["ended"], "cig")
         .select("cig", _term_deviation().alias("giorni"))
         .where(gap.isNotNull())
     )
-    authorities = per_cig.where(F.col("cf_sa").isNotNull() & F.col("sa").isNotNull())
+    authorities = lots["per_cig"].where(F.col("cf_sa").isNotNull() & F.col("sa").isNotNull())
     return (
         measured.join(authorities, "cig")
         .groupBy("cf_sa", "sa", "regione", "settore")
@@ -392,16 +450,23 @@ def mart_collaudo_ritardo(
     No record, a record without a certificate day, a dated certificate. The
     measured days lie in [0, 3650], which bounds the exact median.
     """
-    accepted = tests.groupBy("cig").agg(
-        F.max("data_cert_collaudo").alias("certificato"), F.lit(True).alias("ha_record")
-    )
+    lots = {
+        "per_cig": per_cig,
+        "ended": last_end_per_cig(ends),
+        "accepted": acceptance_per_cig(tests),
+    }
+    return acceptance_of_lots(lots, min_works)
+
+
+def acceptance_of_lots(lots: dict[str, DataFrame], min_works: int = 3) -> DataFrame:
+    """`mart_collaudo_ritardo` from tables of one row per lot."""
     recorded, certified = S.present("ha_record"), S.present("certificato")
     days = S.guarded_days("ultimazione", "certificato", 0, 3650)
     return (
-        last_end_per_cig(ends)
+        lots["ended"]
         .where(F.col("ultimazione").isNotNull())
-        .join(per_cig, "cig")
-        .join(accepted, "cig", "left")
+        .join(lots["per_cig"], "cig")
+        .join(lots["accepted"], "cig", "left")
         .groupBy("anno", "regione", "settore")
         .agg(
             n_rows().alias("n_opere_ultimate"),

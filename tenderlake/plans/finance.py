@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import billions, pct, rounded, sum_or_zero
 from ..operators.joins import attach
 from ..operators.reshape import positive_long
-from ..operators.slices import group_median
+from ..operators.radix import group_median
 from .fields import FONTI
 from .tenders import n_rows, n_where
 

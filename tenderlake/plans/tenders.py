@@ -13,7 +13,7 @@ from ..operators.reshape import (
     share_of_partition,
     top_n_per_group,
 )
-from ..operators.slices import group_median
+from ..operators.radix import group_median
 
 AMOUNT = "importo_lotto"
 AWARDED = "AGGIUDICATA"

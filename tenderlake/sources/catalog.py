@@ -5,37 +5,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Over the view `clean_input`, bound to the table named in the comment.
+# Three questions that can be asked of any table, in SQL with named parameters: the largest
+# groups, a total per year, and the rows over a bound.
+QUESTIONS = {
+    "largest_groups": """
+        SELECT IDENTIFIER(:name) AS name, count(*) AS n_rows, round(sum(IDENTIFIER(:amount))) AS total
+        FROM IDENTIFIER(:table)
+        WHERE IDENTIFIER(:known) IS NOT NULL
+        GROUP BY ALL
+        ORDER BY total DESC NULLS LAST, name
+        LIMIT 20""",
+    "yearly_totals": """
+        SELECT IDENTIFIER(:year) AS year, count(*) AS n_rows, round(sum(IDENTIFIER(:amount))) AS total
+        FROM IDENTIFIER(:table)
+        GROUP BY ALL
+        ORDER BY year NULLS LAST""",
+    "rows_over": """
+        SELECT IDENTIFIER(:key) AS key, IDENTIFIER(:measure) AS measure, IDENTIFIER(:shown) AS shown
+        FROM IDENTIFIER(:table)
+        WHERE IDENTIFIER(:state) = :wanted AND (:bound IS NULL OR IDENTIFIER(:measure) > :bound)
+        ORDER BY measure DESC NULLS LAST, key, shown
+        LIMIT 20""",
+    "row_count": "SELECT count(*) AS n FROM IDENTIFIER(:table)",
+}
+
+# The ready-made questions: which one, its columns and bounds, and the names of the answer.
 SQL_TEMPLATES = {
-    # any table
-    "conta_righe": "SELECT count(*) AS n FROM clean_input",
-    # bandi_gara
-    "top_sa_per_importo": """
-        FROM clean_input
-        |> WHERE cf_amministrazione_appaltante IS NOT NULL
-        |> AGGREGATE count(1) AS n_bandi, round(sum(importo_lotto)) AS importo_totale
-           GROUP BY denominazione_amministrazione_appaltante AS sa
-        |> ORDER BY importo_totale DESC NULLS LAST, sa
-        |> LIMIT 20""",
-    "trend_annuale": """
-        FROM clean_input
-        |> AGGREGATE count(1) AS n_bandi, round(sum(importo_lotto)) AS importo_totale
-           GROUP BY anno_pubblicazione AS anno
-        |> ORDER BY anno NULLS LAST""",
-    # aggiudicazioni
-    "un_solo_offerente": """
-        FROM clean_input
-        |> WHERE importo_aggiudicazione > 1e6 AND num_imprese_offerenti <=> 1
-        |> SELECT cig, importo_aggiudicazione, num_imprese_offerenti
-        |> ORDER BY importo_aggiudicazione DESC, cig
-        |> LIMIT 20""",
-    # stati_avanzamento
-    "sal_in_ritardo": """
-        FROM clean_input
-        |> WHERE flag_ritardo IN ('IN RITARDO')
-        |> SELECT cig, n_giorni_scostamento, importo_sal
-        |> ORDER BY n_giorni_scostamento DESC NULLS LAST, cig, importo_sal
-        |> LIMIT 20""",
+    "conta_righe": ("row_count", {}, {}),
+    "top_sa_per_importo": (
+        "largest_groups",
+        {
+            "name": "denominazione_amministrazione_appaltante",
+            "amount": "importo_lotto",
+            "known": "cf_amministrazione_appaltante",
+        },
+        {"name": "sa", "n_rows": "n_bandi", "total": "importo_totale"},
+    ),
+    "trend_annuale": (
+        "yearly_totals",
+        {"year": "anno_pubblicazione", "amount": "importo_lotto"},
+        {"year": "anno", "n_rows": "n_bandi", "total": "importo_totale"},
+    ),
+    "un_solo_offerente": (
+        "rows_over",
+        {
+            "key": "cig",
+            "measure": "importo_aggiudicazione",
+            "shown": "num_imprese_offerenti",
+            "state": "num_imprese_offerenti",
+            "wanted": 1,
+            "bound": 1e6,
+        },
+        {"key": "cig", "measure": "importo_aggiudicazione", "shown": "num_imprese_offerenti"},
+    ),
+    "sal_in_ritardo": (
+        "rows_over",
+        {
+            "key": "cig",
+            "measure": "n_giorni_scostamento",
+            "shown": "importo_sal",
+            "state": "flag_ritardo",
+            "wanted": "IN RITARDO",
+            "bound": None,
+        },
+        {"key": "cig", "measure": "n_giorni_scostamento", "shown": "importo_sal"},
+    ),
 }
 
 
@@ -62,5 +96,12 @@ def query(spark: SparkSession, sql: str, table: DataFrame) -> DataFrame:
     return spark.sql(sql)
 
 
+def ask(spark: SparkSession, question: str, table: DataFrame, **values) -> DataFrame:
+    """One of `QUESTIONS` of a table; the columns and bounds are bound as parameters."""
+    table.createOrReplaceTempView("clean_input")
+    return spark.sql(QUESTIONS[question], args={"table": "clean_input", **values})
+
+
 def run_template(spark: SparkSession, name: str, table: DataFrame) -> DataFrame:
-    return query(spark, SQL_TEMPLATES[name], table)
+    question, values, names = SQL_TEMPLATES[name]
+    return ask(spark, question, table, **values).withColumnsRenamed(names)

@@ -7,9 +7,12 @@ opening it.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .versions import layout_of
 
@@ -96,3 +99,31 @@ def load_mart(
 
 def load_mart_all_years(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def bucketed_name(path: str) -> str:
+    """The name a bucketed table of a path has in the session's catalog."""
+    return "bucketed_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """A table of one row per key, in `buckets` files by the hash of the key and sorted by it:
+    joins by the key of tables with equally many buckets exchange and sort nothing.
+
+    One row per key, so no bucket is hot: a key of many rows is aggregated before."""
+    name = bucketed_name(path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    # Dealt by the hash the buckets have, so that each of them is one sorted file.
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """A bucketed table that another session wrote."""
+    name, columns = bucketed_name(path), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)

@@ -170,3 +170,44 @@ def test_firm_profiles(frame):
     assert sorted(rows) == ["1", "2", "4"]
     assert (rows["1"].n_aggiudicazioni, rows["1"].n_gare_partecipate, rows["1"].ruolo_prevalente) == (2, 1, "aggiudicatario")
     assert rows["2"].ruolo_prevalente == "subappaltante" and rows["1"].totale_attivita == 2
+
+
+def test_stored_lots_are_joined_without_an_exchange(spark, tmp_path):
+    """Tables of one row per lot in equally many buckets; one lot has most of the rows of the
+    clean tables, but not of these."""
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from tenderlake.plans import cross
+    from tenderlake.sources import layers
+
+    lot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string"))
+    days = F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 300).cast("int"))
+    rows = spark.range(2000).select(
+        lot.alias("cig"), F.col("id").alias("id_aggiudicazione"), F.lit(10.0).alias("importo_aggiudicazione"),
+        *[days.alias(c) for c in ("data_aggiudicazione_definitiva", "data_stipula_contratto", "data_inizio_effettiva",
+                                  "data_termine_contrattuale", "data_effettiva_ultimazione", "data_sospensione",
+                                  "data_ripresa", "data_cert_collaudo")],
+    )
+    per_cig = rows.groupBy("cig").agg(
+        F.lit(2020).alias("anno"), F.lit("R").alias("regione"), F.lit("S").alias("settore"), F.lit("CF").alias("cf_sa"),
+        F.lit("SA").alias("sa"), F.lit(1.0).alias("importo_lotto"),
+    )
+    lots = cross.lots_of(per_cig, *[rows] * 6)
+    stored = {n: layers.write_bucketed(df, str(tmp_path / n), "cig", 5) for n, df in lots.items()}
+    for mart in (cross.execution_of_lots, cross.deviations_of_lots, cross.acceptance_of_lots):
+        assert sorted(map(repr, mart(stored).collect())) == sorted(map(repr, mart(lots).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mart in (cross.execution_of_lots, cross.deviations_of_lots, cross.acceptance_of_lots):
+            plan = mart(stored)._jdf.queryExecution().executedPlan().toString()
+            below = plan[plan.index("SortMergeJoin") :]
+            assert "Exchange" not in below and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Another session finds the table by its path.
+    schema = stored["ended"].schema
+    spark.sql(f"DROP TABLE {layers.bucketed_name(str(tmp_path / 'ended'))}")
+    again = layers.read_bucketed(spark, str(tmp_path / "ended"), schema, "cig", 5)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, lots["ended"].collect()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import statistics
 
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
 from tenderlake.operators.joins import not_in
-from tenderlake.operators.slices import falling_steps, group_median, group_medians, slices_for
+from tenderlake.operators.radix import group_median, group_medians
+from tenderlake.operators.slices import falling_steps, slices_for
 from tenderlake.plans import questions as Q
 
 
-@pytest.mark.parametrize("slices", [1, 4, 16])
-def test_group_median_with_one_hot_group(spark, slices):
+def test_group_median_with_one_hot_group(spark):
     rnd = random.Random(1)
     rows = [(rnd.choice(["hot"] * 6 + ["a", "b", None]), rnd.choice([None, rnd.random() * 100, 7.0])) for _ in range(4000)]
     rows += [("single", 3.0), ("pair", 1.0), ("pair", 2.0), ("empty", None)]
@@ -24,12 +25,41 @@ def test_group_median_with_one_hot_group(spark, slices):
     for k, v in rows:
         if v is not None:
             expected.setdefault(k, []).append(v)
-    got = {r.k: r.m for r in group_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m", slices).collect()}
+    got = {r.k: r.m for r in group_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m").collect()}
     assert got.keys() == expected.keys()
     for k, values in expected.items():
         assert abs(got[k] - statistics.median(values)) < 1e-12
 
 
+def test_group_median_of_all_kinds_of_values(spark):
+    """Neighbours in the last bit, powers of two, signs, tiny and huge values, infinities."""
+    rnd = random.Random(7)
+    up, down = float("inf"), float("-inf")
+
+    def value():
+        base = rnd.choice([1.0, 2.0 ** rnd.randrange(-1074, 1023), rnd.gauss(0, 1e6), 3.3, 0.0, rnd.random() * 1e-300])
+        return rnd.choice([1, -1]) * rnd.choice([base, math.nextafter(base, up), math.nextafter(base, down)])
+
+    rows = [(g, value()) for g in range(40) for _ in range(rnd.randrange(1, 60))]
+    rows += [("i", up), ("i", down), ("i", 1.0), ("j", up), ("j", up), ("close", 1.0), ("close", math.nextafter(1.0, 2))]
+    rows = [(str(g), v) for g, v in rows]
+    df = spark.createDataFrame(rows * 2 + rows[:50], "k string, v double")
+    expected: dict = {}
+    for k, v in rows * 2 + rows[:50]:
+        expected.setdefault(k, []).append(v)
+    got = {r.k: r.m for r in group_median(df, ["k"], "v", "m").collect()}
+    for k, values in expected.items():
+        low, high = statistics.median_low(values), statistics.median_high(values)
+        want = low + (high - low) * 0.5
+        assert got[k] == want or (math.isnan(got[k]) and math.isnan(want)), k
+
+
+def test_group_median_sorts_nothing_as_a_whole(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+    plan = group_median(df, ["k"], "v", "m")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan.lower()
+
+
 def test_group_median_of_copies(spark):
     df = spark.range(1000).select(F.lit("x").alias("k"), F.when(F.col("id") < 501, 1.0).otherwise(2.0).alias("v"))
     assert group_median(df, ["k"], "v", "m").first().m == 1.0

@@ -8,7 +8,8 @@ from tenderlake.functions import scalars as S
 from tenderlake.operators import keys as K
 from tenderlake.operators import reshape as R
 from tenderlake.operators.joins import attach, not_in
-from tenderlake.operators.slices import falling_steps, group_median
+from tenderlake.operators.radix import group_median
+from tenderlake.operators.slices import falling_steps
 from tenderlake.plans import cross, deltas, tenders
 from tenderlake.plans import questions as Q
 from tenderlake.plans.clean import PREVALENTE
