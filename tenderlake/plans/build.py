@@ -14,11 +14,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import search
 from ..operators.keys import ORDER, SOURCE
 from ..sources import versions
 from ..sources.delimited import is_tolerant, read_delimited, read_delimited_by_header
 from ..sources.layers import table_path, write_bucketed, write_table
-from . import authorities, awards, cross, deltas, execution, finance, quality, tenders
+from . import authorities, awards, cross, deltas, execution, finance, quality, questions, tenders
 from .clean import CLEAN, COMPETING, classify_series, latest_statements
 
 # Feeds with line breaks inside quoted fields.
@@ -136,7 +137,7 @@ def _staged(clean: DataFrame, dataset: str, root: str, part, check: bool, today)
     """The clean rows written aside, and their rules."""
     path, rules = table_path(root, "clean", dataset), quality.CLEAN_RULES[dataset]
     counted = quality.measures(clean, rules, today, newest=True) if check else None
-    staged = versions.stage(clean, path, part, counted)
+    staged = versions.stage(clean, path, part, counted, ["cig"] if "cig" in clean.columns else None)
     if check:
         report = quality.audit(
             staged.rows, dataset, rules, YEAR.get(dataset), today, path=path, newest=True,
@@ -158,6 +159,12 @@ def _publish(
         marts[name] = _staged_mart(rows, name, table_path(root, "mart", dataset, name),
                                    quality.MART_RULES[dataset].get(name) if check else None, today)
     versions.publish(spark, path, staged, replaced)
+    if "cig" in clean.columns:
+        versions.replace(questions.spellings(clean), table_path(root, "index", dataset, "spellings"))
+    if dataset == "bandi_gara":
+        search.write_index(
+            clean, "denominazione_amministrazione_appaltante", table_path(root, "index", dataset, "authorities")
+        )
     for name, mart in marts.items():
         versions.publish(spark, table_path(root, "mart", dataset, name), mart)
     return {"clean": clean} | {name: mart.rows for name, mart in marts.items()}
@@ -170,6 +177,21 @@ def _staged_mart(rows: DataFrame, name: str, path: str, rules, today) -> version
     return staged
 
 
+def lookup(spark: SparkSession, root: str, datasets: list[str], cigs: list[str]) -> dict[str, DataFrame]:
+    """Rows of the given lots, in any letter case, in the published clean tables."""
+    tables = {d: read_table(spark, root, "clean", d) for d in datasets}
+    spelled = {d: read_table(spark, root, "index", d, "spellings") for d in tables if "cig" in tables[d].columns}
+    return questions.lookup_published(tables, cigs, spelled)
+
+
+def find_authority(spark: SparkSession, root: str, fragment: str, limit: int = 50) -> DataFrame:
+    """Largest lots of the authorities whose name contains the text, from the published tables."""
+    return questions.search_authority_indexed(
+        spark, read_table(spark, root, "clean", "bandi_gara"),
+        table_path(root, "index", "bandi_gara", "authorities"), fragment, limit,
+    )
+
+
 def add_files(
     spark: SparkSession,
     dataset: str,

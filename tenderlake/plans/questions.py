@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.scalars import billions, pct, rounded
 from ..operators.joins import attach, keep_matching
+from ..operators.bitmaps import distinct_bitmaps, distinct_counts, numbered
+from ..operators.search import names_with, rows_named
 from ..operators.reshape import cumulative_share, keep_top_groups, pivot_filled, top_n
 from .cross import LATE
 from .tenders import AMOUNT, AWARDED, active_trusted, n_rows, n_where, sum_where
@@ -15,16 +19,33 @@ from .tenders import AMOUNT, AWARDED, active_trusted, n_rows, n_where, sum_where
 # --- overview ---------------------------------------------------------------
 
 
+_COUNTED = {
+    "cig": "n_cig",
+    "cf_amministrazione_appaltante": "n_stazioni_appaltanti",
+    "oggetto_principale_contratto": "n_settori",
+}
+_CELL = ["anno", "settore", "regione"]
+
+
+def _in_cells(tenders: DataFrame) -> DataFrame:
+    rows = active_trusted(tenders).where(
+        F.col("oggetto_principale_contratto").isNotNull() & F.col("sezione_regionale").isNotNull()
+    )
+    return rows.withColumns(
+        {
+            "anno": F.col("anno_pubblicazione"),
+            "settore": F.col("oggetto_principale_contratto"),
+            "regione": F.col("sezione_regionale"),
+        }
+    )
+
+
 def yearly_overview(tenders: DataFrame) -> DataFrame:
     """Yearly key figures. Distinct counts come from the tenders, they do not add up over cells."""
     pnrr, awarded = F.col("flag_pnrr"), F.col("esito") == AWARDED
     return (
-        active_trusted(tenders)
-        .where(
-            F.col("oggetto_principale_contratto").isNotNull()
-            & F.col("sezione_regionale").isNotNull()
-        )
-        .groupBy(F.col("anno_pubblicazione").alias("anno"))
+        _in_cells(tenders)
+        .groupBy("anno")
         .agg(
             F.count_distinct("cig").alias("n_cig"),
             n_rows().alias("n_lotti"),
@@ -40,6 +61,44 @@ def yearly_overview(tenders: DataFrame) -> DataFrame:
     )
 
 
+def overview_cells(tenders: DataFrame) -> DataFrame:
+    """What adds up of the key figures, per year, sector and region: a stored mart."""
+    pnrr, awarded, amount = F.col("flag_pnrr"), F.col("esito") == AWARDED, F.col(AMOUNT)
+
+    def total(condition):
+        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0.0))
+
+    return _in_cells(tenders).groupBy(*_CELL).agg(
+        n_rows().alias("n_lotti"),
+        F.sum(amount).alias("importo_totale"),
+        n_where(pnrr).alias("n_pnrr"),
+        total(pnrr).alias("importo_pnrr"),
+        n_where(awarded).alias("n_aggiudicati"),
+        total(awarded).alias("importo_aggiudicati"),
+    )
+
+
+def overview_values(tenders: DataFrame) -> DataFrame:
+    """The dictionary of the counted values; to be stored before `overview_bitmaps`."""
+    return numbered(_in_cells(tenders), _COUNTED)
+
+
+def overview_bitmaps(tenders: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """What does not add up, per year, sector and region, as bitmaps that do."""
+    return distinct_bitmaps(_in_cells(tenders), _CELL, _COUNTED, dictionary)
+
+
+def overview_by(cells: DataFrame, bitmaps: DataFrame, keys: list[str]) -> DataFrame:
+    """The key figures of any grouping of the cells; the tenders are not read again."""
+    money = ["importo_totale", "importo_pnrr", "importo_aggiudicati"]
+    rows = ["n_lotti", "n_pnrr", "n_aggiudicati"]
+    sums = cells.groupBy(*keys).agg(
+        *[rounded(F.sum(c)).alias(c) for c in money], *[F.sum(c).alias(c) for c in rows]
+    )
+    counts = distinct_counts(bitmaps, keys, list(_COUNTED.values()))
+    return attach(sums, counts, keys).orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+
+
 # --- execution --------------------------------------------------------------
 
 
@@ -298,16 +357,43 @@ def lookup_cigs(tables: dict[str, DataFrame], cigs: list[str] | DataFrame) -> di
     return {name: df.where(stored.isin(wanted)) for name, df in having.items()}
 
 
+def spellings(table: DataFrame) -> DataFrame:
+    """lot, cig: the stored spellings of lots that are not the capital one. Few tables have
+    any; stored beside the table, they let a lookup ask the files for exact values."""
+    lot = F.upper(F.trim("cig"))
+    return table.where(F.col("cig") != lot).select(lot.alias("lot"), "cig").distinct()
+
+
+def lookup_published(
+    tables: dict[str, DataFrame], cigs: list[str], spelled: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """`lookup_cigs` by the values as they are stored, so that the filter reaches the scan:
+    files and row groups without the lots are passed over, by their bounds and by the Bloom
+    filters that tables published with `bloom=["cig"]` carry."""
+    wanted = sorted({c.strip().upper() for c in cigs})
+    found = {}
+    for name, df in tables.items():
+        if "cig" not in df.columns:
+            continue
+        values = list(wanted)
+        if spelled and name in spelled:
+            others = spelled[name].where(F.col("lot").isin(wanted)).select("cig")
+            values += [r["cig"] for r in others.collect()]
+        found[name] = df.where(F.col("cig").isin(values))
+    return found
+
+
 def lookup_counts(tables: dict[str, DataFrame], cigs: list[str] | DataFrame) -> DataFrame:
     """In which tables the lots appear, and with how many rows."""
-    found = [
+    return counted_rows(lookup_cigs(tables, cigs))
+
+
+def counted_rows(found: dict[str, DataFrame]) -> DataFrame:
+    counts = [
         df.groupBy("cig").agg(n_rows().alias("n_righe")).select(F.lit(name).alias("tabella"), "cig", "n_righe")
-        for name, df in lookup_cigs(tables, cigs).items()
+        for name, df in found.items()
     ]
-    result = found[0]
-    for more in found[1:]:
-        result = result.unionByName(more)
-    return result
+    return reduce(DataFrame.unionByName, counts)
 
 
 _LOT_CARD = [
@@ -330,6 +416,16 @@ def search_authority(tenders: DataFrame, fragment: str, limit: int = 50) -> Data
     return _lot_cards(tenders.where(S.contains_ci(name, fragment.strip())), limit)
 
 
+def search_authority_indexed(
+    spark: SparkSession, tenders: DataFrame, index: str, fragment: str, limit: int = 50
+) -> DataFrame:
+    """`search_authority` through an index of the authorities' names (`search.write_index`):
+    the fragment is looked for in names that have its letters, not in every tender."""
+    name = "denominazione_amministrazione_appaltante"
+    names = names_with(spark, index, fragment.strip())
+    return _lot_cards(rows_named(tenders, name, names), limit)
+
+
 def search_profiles(profiles: DataFrame, fragment: str) -> DataFrame:
     return profiles.where(S.contains_ci("denominazione_sa", fragment.strip()))
 

@@ -92,13 +92,15 @@ def stage(
     path: str,
     part: Column | str | None = None,
     measures: dict[str, Column] | None = None,
+    bloom: list[str] | None = None,
 ) -> Staged:
     """Write `df` aside. With `part`, a column, every value of it is a part of its own that
     later commits can replace (rows without one make the part "none"). Rows are rebalanced
     first, so a task writes one part and files reach the advisory size; a part with most of
     the rows is split over many tasks.
 
-    `measures` are aggregates of the rows, taken while they are written.
+    `measures` are aggregates of the rows, taken while they are written. The files carry a
+    Bloom filter per row group of each column in `bloom`, for lookups of single values.
     """
     spark, folder = df.sparkSession, uuid.uuid4().hex
     target = f"{path}/data/{folder}"
@@ -113,6 +115,9 @@ def stage(
         # an earlier stage is done again.
         rows = rows.observe(seen, *[value.alias(name) for name, value in measures.items()])
     writer = rows.write.partitionBy(PART) if part is not None else rows.write
+    for column in bloom or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer = writer.option(f"parquet.bloom.filter.adaptive.enabled#{column}", "true")
     writer.parquet(target)
     written = spark.read.schema(rows.schema).parquet(target)
     parts = ()

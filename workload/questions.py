@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tenderlake.plans import cross, execution, tenders
+from tenderlake.operators import search
 from tenderlake.plans import questions as Q
-from tenderlake.sources import catalog
+from tenderlake.session import scratch_path
+from tenderlake.sources import catalog, versions
 
 from .cross import COMPETITIVITA, CONTRATTO, ESECUZIONE, IMPRESE, RITARDI
 from .registry import query
 
 _TRUSTED = "stato = 'ATTIVO' AND NOT flag_importo_sospetto"
 
-@query(
-    "yearly_overview",
-    f"""
+_OVERVIEW = f"""
     SELECT anno_pubblicazione AS anno, count(DISTINCT cig) AS n_cig, count(*) AS n_lotti,
            round(sum(importo_lotto), 0) AS importo_totale,
            count(DISTINCT cf_amministrazione_appaltante) AS n_stazioni_appaltanti,
@@ -26,11 +26,40 @@ _TRUSTED = "stato = 'ATTIVO' AND NOT flag_importo_sospetto"
                AS importo_aggiudicati,
            count(DISTINCT oggetto_principale_contratto) AS n_settori
     FROM {{bandi}} WHERE {_TRUSTED} AND oggetto_principale_contratto IS NOT NULL
-      AND sezione_regionale IS NOT NULL GROUP BY 1""",
-)
+      AND sezione_regionale IS NOT NULL GROUP BY 1"""
+
+
+@query("yearly_overview", _OVERVIEW)
 def yearly_overview(t):
     return Q.yearly_overview(t.bandi)
 
+
+def _stored(t, name: str, rows):
+    return versions.replace(rows, scratch_path(t.spark, name))
+
+
+def _overview_mart(t):
+    values = _stored(t, "overview_values", Q.overview_values(t.bandi))
+    return (
+        _stored(t, "overview_cells", Q.overview_cells(t.bandi)),
+        _stored(t, "overview_bitmaps", Q.overview_bitmaps(t.bandi, values)),
+    )
+
+
+@query("yearly_overview_from_bitmaps", _OVERVIEW)
+def yearly_overview_from_bitmaps(t):
+    """The same figures from the stored cells alone."""
+    return Q.overview_by(*_overview_mart(t), ["anno"])
+
+
+@query(
+    "region_overview_from_bitmaps",
+    _OVERVIEW.replace("anno_pubblicazione AS anno", "sezione_regionale AS regione"),
+)
+def region_overview_from_bitmaps(t):
+    """Another grouping of the same cells."""
+    return Q.overview_by(*_overview_mart(t), ["regione"])
+
 @query(
     "execution_funnel",
     """
@@ -308,17 +337,26 @@ def lookup_lots(t):
     tables = {name: getattr(t, table) for name, table in _LOOKUP.items()} | {"region": t.region}
     return Q.lookup_counts(tables, t.bandi.where("flag_importo_sospetto").select("cig").distinct())
 
-@query(
-    "lookup_one_lot",
-    " UNION ALL BY NAME ".join(
-        f"SELECT '{name}' AS tabella, cig, count(*) AS n_righe FROM {{{table}}} WHERE cig = '5979' GROUP BY cig"
-        for name, table in _LOOKUP.items()
-    ),
+_ONE_LOT = " UNION ALL BY NAME ".join(
+    f"SELECT '{name}' AS tabella, cig, count(*) AS n_righe FROM {{{table}}} WHERE cig = '5979' GROUP BY cig"
+    for name, table in _LOOKUP.items()
 )
+
+@query("lookup_one_lot", _ONE_LOT)
 def lookup_one_lot(t):
     tables = {name: getattr(t, table) for name, table in _LOOKUP.items()}
     return Q.lookup_counts(tables, [" 5979 "])
 
+@query("lookup_one_lot_published", _ONE_LOT)
+def lookup_one_lot_published(t):
+    """From published tables: the scans get the stored values as a filter."""
+    tables, spelled = {}, {}
+    for name, table in _LOOKUP.items():
+        rows = getattr(t, table)
+        tables[name] = versions.replace(rows, scratch_path(t.spark, name), bloom=["cig"])
+        spelled[name] = _stored(t, f"{name}_spellings", Q.spellings(tables[name]))
+    return Q.counted_rows(Q.lookup_published(tables, [" 5979 "], spelled))
+
 def _lookup_rows(name: str, table: str) -> None:
     @query(
         f"lookup_lots_{name}",
@@ -340,19 +378,38 @@ def lookup_in_any_case(t):
     lots = t.bandi.select(F.concat(F.lit("Lot"), "cig").alias("cig"), "importo_lotto", "stato")
     return Q.lookup_cigs({"bandi": lots}, ["lot5979", " LOT7", "Lot33 "])["bandi"]
 
+@query(
+    "lookup_in_any_case_published",
+    """
+    SELECT CASE WHEN cig = '7' THEN 'LOT' ELSE 'Lot' END || cig AS cig, importo_lotto, stato FROM {bandi}
+    WHERE cig IN ('5979', '7', '33')""",
+)
+def lookup_in_any_case_published(t):
+    written = F.when(F.col("cig") == "7", F.concat(F.lit("LOT"), "cig")).otherwise(F.concat(F.lit("Lot"), "cig"))
+    lots = t.bandi.select(written.alias("cig"), "importo_lotto", "stato")
+    lots = versions.replace(lots, scratch_path(t.spark, "lots"), bloom=["cig"])
+    spelled = _stored(t, "spellings", Q.spellings(lots))
+    return Q.lookup_published({"bandi": lots}, ["lot5979", " LOT7", "Lot33 "], {"bandi": spelled})["bandi"]
+
 _CARD = """
     SELECT DISTINCT cig, denominazione_amministrazione_appaltante AS sa, oggetto_gara, importo_lotto,
            anno_pubblicazione AS anno FROM {bandi}"""
 
-@query(
-    "search_authority",
-    f"""
+_SEARCH = f"""
     {_CARD} WHERE upper(denominazione_amministrazione_appaltante) LIKE '%MER#00000000%'
-    ORDER BY importo_lotto DESC, cig LIMIT 50""",
-)
+    ORDER BY importo_lotto DESC, cig LIMIT 50"""
+
+@query("search_authority", _SEARCH)
 def search_authority(t):
     return Q.search_authority(t.bandi, " mer#00000000 ")
 
+@query("search_authority_indexed", _SEARCH)
+def search_authority_indexed(t):
+    """Through the postings of the authorities' names."""
+    index = scratch_path(t.spark, "authorities")
+    search.write_index(t.bandi, "denominazione_amministrazione_appaltante", index)
+    return Q.search_authority_indexed(t.spark, t.bandi, index, " mer#00000000 ")
+
 @query(
     "search_profiles",
     f"""
