@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import released, stored
 
 DIM = 64
 CLUSTERS = 8
@@ -111,6 +111,7 @@ def _new_centroids(kept: DataFrame, near: Neighbours) -> np.ndarray:
     """Componentwise floor of the mean of each centroid's vectors; empty centroids stay."""
     k, dim = near.centroids.shape
 
+    @released
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, count = np.zeros((k, dim), np.int64), np.zeros(k, np.int64)
         for batch in batches:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +65,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def released(fn):
+    """A function over batches that, at the end of a task, gives the memory it no longer needs
+    back to the system: Spark keeps Python workers for later tasks, and several wait beside
+    those at work."""
+
+    @wraps(fn)
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def let_go(spark: SparkSession) -> None:
     """Have Spark's cleaner remove the shuffle files of frames that nothing refers to any
     more: it waits for the driver's garbage collector, which a busy driver seldom runs."""

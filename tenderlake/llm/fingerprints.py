@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003 * 911, 998_244_353 * 2 + 1)
 SPAN = 16
@@ -230,6 +232,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     a single row is its own successor; an empty table gives no rows.
     """
 
+    @released
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: tuple | None = None  # slice, doc_id, text of the last own row
         ready: list[tuple] = []

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, by_size, discard, let_go, maybe_among, stored, whole_row
+from .common import WORD, by_size, discard, let_go, maybe_among, released, stored, whole_row
 from .components import connected
 from .shingles import shingle_hashes, shingle_sets
 
@@ -72,6 +72,7 @@ def slot_counts(docs: DataFrame) -> np.ndarray:
     its slot at any size of the input. The table's size is fixed.
     """
 
+    @released
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
@@ -105,6 +106,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     rarity = np.floor(np.log2(1 + counts) * 1000).astype(np.int64)
     shared = docs.sparkSession.sparkContext.broadcast(rarity)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, seen = shared.value, set()
         for batch in batches:
@@ -157,6 +159,7 @@ def verified(pairs: DataFrame, docs: DataFrame, hashes: DataFrame) -> DataFrame:
     shingle under each of the further orders.
     """
 
+    @released
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             place = list(enumerate(batch["text"]))
@@ -167,6 +170,7 @@ def verified(pairs: DataFrame, docs: DataFrame, hashes: DataFrame) -> DataFrame:
                     shingles=[s.tobytes() for s in found]
                 )
 
+    @released
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = np.zeros(len(batch), bool)

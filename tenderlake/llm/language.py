@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, fold, stored, whole_row
+from .common import by_size, fold, released, stored, whole_row
 
 UNDETERMINED = "und"
 WINDOW = 1500
@@ -190,6 +190,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @released
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import released, stored
 
 TABLES = 10
 PROBES = 8
@@ -139,6 +139,7 @@ def nearest(
 def _packed(vec):
     """The doubles of a vector as bytes, so that Python takes them without a copy each."""
 
+    @released
     def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield batch.map(lambda v: np.asarray(v, np.float64).tobytes())
@@ -152,6 +153,7 @@ def _search(distinct, asking, dim, n, k, tables, probes, seed) -> DataFrame:
     # One more hash makes buckets of 2 * second parts: probe as many parts as that asks for.
     probes = probes if not second else max(probes, 2 * isqrt(n))
 
+    @released
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
@@ -168,6 +170,7 @@ def _search(distinct, asking, dim, n, k, tables, probes, seed) -> DataFrame:
                     }
                 )
 
+    @released
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):

@@ -26,13 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_size, stored
+from .common import by_size, released, stored
 
 LENGTH = 2048
 GROUP = 8192
 END = 0
-CACHE = 150_000
-CHUNK = 2_000_000
+CACHE = 400_000
+CHUNK = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -135,6 +135,7 @@ def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     """The pieces of every row of `docs` (doc_id, text): doc_id, piece, start, length,
     ids_crc32. The id `END` ends each document; a null text is empty."""
 
+    @released
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = ids_of(path)
         for batch in batches:

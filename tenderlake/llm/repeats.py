@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.operators.joins import attach, drop_matching, keep_matching
 
-from .common import stored
+from .common import released, stored
 
 SPAN = 400
 ANCHOR = 64
@@ -142,6 +142,7 @@ def piece_rows(texts: DataFrame, span: int, anchor: int) -> DataFrame:
     """The pieces of every text of at least `span` bytes: th, first window, windows, place of
     the anchor, hash of the anchor (`key`) and of the piece (`d`)."""
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, column = batch.column(0), batch.column(1).cast(pa.large_binary())
@@ -244,6 +245,7 @@ def _blocks(contents: DataFrame, block: int, span: int, anchor: int) -> DataFram
     first window in the piece), and the block's own key, d, n, wins, off, bytes."""
     width = span - anchor + 1
 
+    @released
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []

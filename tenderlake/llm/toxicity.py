@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import among, by_size, fold, maybe_among, stored, whole_row
+from .common import among, by_size, fold, maybe_among, released, stored, whole_row
 
 # Symbols of the character model: 0 is a word's edge, the last one any other letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(i) for i in range(0xDF, 0x100) if i != 0xF7)
@@ -84,6 +84,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     are left. Null and empty texts add nothing.
     """
 
+    @released
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, total = symbol_table(), np.zeros(SIZE**3, np.int64)
         for batch in batches:
@@ -247,9 +248,11 @@ def copy_mark(text: str, key: str, among):
         at = words.index(top[0])
         return " ".join([*top, *words[max(0, at - 2) : at + 3]])
 
-    def marks(texts: pd.Series, mixed: pd.Series) -> pd.Series:
-        wanted = among.test(mixed)
-        return pd.Series([mark(t) if w else None for t, w in zip(texts, wanted, strict=True)], dtype=object)
+    @released
+    def marks(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, mixed in batches:
+            wanted = among.test(mixed)
+            yield pd.Series([mark(t) if w else None for t, w in zip(texts, wanted, strict=True)], dtype=object)
 
     return F.pandas_udf(marks, "string")(F.col(text), F.xxhash64(key))
 
@@ -257,6 +260,7 @@ def copy_mark(text: str, key: str, among):
 def word_sets(texts: DataFrame, lm) -> DataFrame:
     """toxic, words: the distinct words of each text (text, toxic), disguises undone."""
 
+    @released
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = lm.value
         # Most tokens are their own only word and need no entry.
@@ -323,6 +327,7 @@ class Presence:
 def gram_presence(words: DataFrame) -> DataFrame:
     """gram, toxic_n, clean_n: in how many texts (toxic, words) a gram is present."""
 
+    @released
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = Presence()
         for batch in batches:
@@ -454,6 +459,7 @@ def strength(values: Iterable[float]) -> tuple[float, int]:
 def evidence_of_words(words: DataFrame, odds) -> DataFrame:
     """toxic, strongest, telling of texts given by their words."""
 
+    @released
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         value = Memo(Odds(odds.value).of_word)
         for batch in batches:
@@ -469,6 +475,7 @@ def evidence(docs: DataFrame, lm, odds) -> DataFrame:
     """`docs` (with a column text) plus strongest and telling: the largest log-odds of a
     restored word, and the number of distinct words that carry any."""
 
+    @released
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model, known = lm.value, Odds(odds.value)
         # Tokens seen before, and the words of the few that tell anything.

@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from tenderlake.session import scratch_path
 
-from .common import discard, stored
+from .common import discard, released, stored
 
 MAGIC = "WARC/1.0\r\n"
 STEP = len(MAGIC)
@@ -156,6 +156,7 @@ def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int, int,
             idx += 1
 
 
+@released
 def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pieces of each split: place and successor relative to the split's first piece, and
     where the chain from the piece leaves the split (null: it ends in no record)."""
@@ -269,6 +270,7 @@ def _put_together(spark, path, found, cut) -> DataFrame:
     own = own.withColumn("stretch", F.floor(F.col("p") / STRETCH)).join(owners, ["file", "stretch"])
     own = own.where("p >= at and p < until").select("file", "block", "idx", "at", "p")
 
+    @released
     def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, idx = None, 0
         for batch in batches:
