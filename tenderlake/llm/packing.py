@@ -162,7 +162,7 @@ def best_fit(
     tokens: int = LENGTH,
     documents: int = LENGTH,
     attention: int = LENGTH**2,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0),
     rule: str = "norm",
 ) -> tuple[np.ndarray, np.ndarray]:
     """Sequence and offset of each piece; pieces are given longest first.
@@ -213,14 +213,15 @@ def pack(
     tokens: int = LENGTH,
     documents: int | None = None,
     attention: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0),
     rule: str = "norm",
     group: int = GROUP,
 ) -> DataFrame:
     """`pieces` (a stored table with columns doc_id and length) plus sequence_id and offset.
 
-    Without limits of their own, documents and attention cost are bounded by what `tokens`
-    allows anyway. Pieces are dealt to groups by a hash of their row, so no key can fill a
+    Tokens, documents and attention cost weigh alike in the choice of a sequence. Without
+    limits of their own, documents and attention cost are bounded by what `tokens`
+    allows anyway. Pieces of equal length come in the order of the stored table. Pieces are dealt to groups by a hash of their row, so no key can fill a
     group; each group is packed by one task in bounded memory.
     """
     documents = documents or tokens

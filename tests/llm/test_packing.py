@@ -60,6 +60,39 @@ def test_every_constraint_holds(lengths, documents, rule):
         assert at <= 60 and len(own) <= documents and sum(n * n for _, n in own) <= 5600
 
 
+def plainly(lengths, full, weights, rule):
+    """Vector best fit over all sequences there are, one by one."""
+    left, out = [], []
+    for n in lengths:
+        need, best = (n, 1, n * n), None
+        for k, have in enumerate(left):
+            if all(h >= d for h, d in zip(have, need)):
+                if rule == "dot":
+                    worth = sum(w * h * d / f**2 for w, h, d, f in zip(weights, have, need, full))
+                else:
+                    worth = -sum(w * (h - d) ** 2 / f**2 for w, h, d, f in zip(weights, have, need, full))
+                if best is None or worth > best[0] + 1e-12:
+                    best = (worth, k)
+        if best is None:
+            left.append(list(full))
+            best = (0, len(left) - 1)
+        k = best[1]
+        out.append((k, full[0] - left[k][0]))
+        left[k] = [h - d for h, d in zip(left[k], need)]
+    return out
+
+
+@pytest.mark.parametrize("rule", ["dot", "norm"])
+@pytest.mark.parametrize("weights", [(1, 0, 0), (1, 1, 1), (1, 0.5, 2)])
+@pytest.mark.parametrize("documents,attention", [(60, 3600), (3, 2000), (60, 1700)])
+def test_best_fit_equals_the_plain_one(rule, weights, documents, attention):
+    rng = np.random.default_rng(documents + attention)
+    lengths = -np.sort(-rng.integers(1, 41, 150))
+    sequence, offset = packing.best_fit(lengths, 60, documents, attention, weights, rule)
+    want = plainly(lengths.tolist(), (60, documents, attention), weights, rule)
+    assert list(zip(sequence.tolist(), offset.tolist())) == want
+
+
 def test_best_fit_is_near_the_bound():
     rng = np.random.default_rng(1)
     lengths = -np.sort(-np.minimum(2048, rng.lognormal(6, 1, 4000).astype(np.int64) + 1))
