@@ -153,23 +153,32 @@ def fit(
     n_landmarks: int = 160,
     longest: int = 20_000,
     ridge: float = 1e-4,
+    most: int = 30_000,
 ) -> Model | None:
     """Model from a bounded sample of the rows of `docs` (text, lang, all to be learned from).
 
-    Texts of at most `longest` characters are hashed into `per_language` slots per language;
-    the least hash of each slot is taken. So the driver gets `per_language` texts of each
-    language at most, and no task has more to hold than that. None if there is no row with a
-    language and a letter.
+    Texts are hashed into slots per language, `per_language` or as many as keep the whole
+    sample at `most`; the least hash of each slot is taken. So the driver gets `most` texts,
+    or one of each language if there are more of these, and no task has more to hold than
+    that. Of a text longer than `longest` characters so many are learned from; predictions
+    read all of it. Beyond `most` languages, those with the most texts are learned. None if
+    there is no row with a language and a letter.
     """
-    texts = docs.where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= longest)
-    ).select("text", "lang", F.xxhash64("text").alias("h"))
-    slot = F.pmod(F.col("h"), F.lit(per_language))
+    texts = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text").alias("h")
+    )
+    languages = texts.groupBy("lang").agg(F.count("*").alias("n"))
+    named = languages.count()
+    if named > most:
+        kept = languages.orderBy(F.desc("n"), "lang").limit(most).select("lang")
+        texts = texts.join(stored(kept, "languages"), "lang", "left_semi")
+    slot = F.pmod(F.col("h"), F.lit(max(1, min(per_language, most // max(named, 1)))))
     least = texts.groupBy("lang", slot.alias("slot")).agg(F.min("h").alias("h")).drop("slot")
+    # At most `most` rows.
     rows = (
         texts.join(F.broadcast(stored(least, "language-sample")), ["lang", "h"])
         .groupBy("lang", "h")
-        .agg(F.min("text").alias("text"))
+        .agg(F.min(F.substring("text", 1, longest)).alias("text"))
         .orderBy("lang", "h")
         .collect()
     )
@@ -224,8 +233,11 @@ def languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.2) -> DataFrame:
-    """The rows of `docs` whose language is told with a score of `least` or more."""
+    """The rows of `docs` whose language is told with a score of `least` or more. Without a
+    row to learn a language from no language can be told, and no row is rejected."""
     model = fit(learnable(docs.select("doc_id", "text", "lang")))
+    if model is None:
+        return docs
     told = identify(docs.select(whole_row(docs), "text"), model)
     told = told.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
     return told.select("row.*")

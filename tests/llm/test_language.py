@@ -64,3 +64,53 @@ def test_stage_keeps_clean_rows_and_columns(llm, documents):
     kept = language.keep_identified(docs)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == set(range(40))
+
+
+def grams(text):
+    """The 1-, 2- and 3-grams of a text, every run of other characters read as one space."""
+    folded = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    folded = " " + " ".join(folded.split()) + " "
+    return {folded[i : i + n] for n in (1, 2, 3) for i in range(len(folded) - n + 1)}
+
+
+def test_scores_against_a_plain_kernel_machine():
+    """Kernels by sets, the ridge regression in the landmarks' span in its plain form."""
+    train = [(prose(x, i, 25), x) for x in WORDS for i in range(12)]
+    texts, labels = [t for t, _ in train], [x for _, x in train]
+    model = language.solve(texts, labels, 8, 1e-3)
+    own = [grams(t) for t in texts]
+    chosen = [i for k in sorted(WORDS) for i in np.array([j for j, x in enumerate(labels) if x == k])[
+        np.linspace(0, 11, 4).astype(int)]]
+    # The model knows the landmarks' n-grams only.
+    known = set().union(*[own[i] for i in chosen])
+    own = [g & known for g in own]
+
+    def kernel(a, b):
+        return np.array([[len(x & y) / np.sqrt(len(x) * len(y)) for y in b] for x in a])
+
+    marks = [own[i] for i in chosen]
+    c, w = kernel(own, marks), kernel(marks, marks)
+    y = np.array([[float(x == k) for k in sorted(WORDS)] for x in labels])
+    weights = np.linalg.solve(c.T @ c + 1e-3 * len(own) * w + 1e-9 * np.eye(len(w)), c.T @ y)
+    asked = [prose(x, 100 + i, 25) for x in WORDS for i in range(5)] + ["zwölf dolor größe amet"]
+    want = kernel([grams(t) & known for t in asked], marks) @ weights
+    langs, scores = model.predict(asked)
+    assert langs == [sorted(WORDS)[k] for k in want.argmax(1)]
+    assert np.allclose(scores, np.clip(want.max(1), 0, 1), atol=5e-3)
+
+
+def test_many_labels_and_long_texts_only(llm, documents):
+    """The sample is bounded whatever the number of labels; a language of long texts is learned."""
+    rows = [(i, prose("aa", i), f"x{i}", "s") for i in range(60)]
+    rows += [(100 + i, prose("bb", i, 6000), "bb", "s") for i in range(12)]
+    docs = documents(rows)
+    model = language.fit(docs.select("text", "lang"), most=20)
+    assert len(model.langs) == 20 and "bb" in model.langs
+    assert model.predict([prose("bb", 500)])[0] == ["bb"]
+    assert len(language.fit(docs.select("text", "lang"), longest=500).langs) == 61
+
+
+def test_stage_without_labels_rejects_nothing(llm, documents):
+    docs = documents([(i, t, None, "s") for i, t in enumerate(["plain text", None, "", "12", "mehr text"])])
+    kept = language.keep_identified(docs)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()))
