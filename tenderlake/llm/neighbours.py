@@ -7,6 +7,12 @@ one axis per table leaves too many vectors in a bucket, a second rotation over f
 added to the hash, so buckets stay small as the input grows. Candidates are ranked by their
 exact Euclidean distance in double precision.
 
+How many buckets a query probes is fitted, not set: a bounded sample of queries is compared
+with every vector, and the probes are as many as find the wanted share of their true
+neighbours. Vectors in clusters need few; vectors without any structure need a large part
+of all buckets, at any size. A query that finds fewer vectors than it asks for is set
+against all of them.
+
 Equal vectors are indexed once. Of each only the smallest ids can be among the nearest, so
 a vector that a third of all rows hold costs no more than another.
 """
@@ -25,9 +31,12 @@ from pyspark.sql.window import Window
 from .common import released, stored
 
 TABLES = 10
-PROBES = 8
 BUCKET = 1024
-GROUP = 16_384
+# Vectors and queries of a group.
+GROUP, QUERIES = 16_384, 8192
+# Queries the number of probes is fitted on, the share of their neighbours that must be
+# found, and the least number of probes.
+SAMPLE, WANTED, PROBES = 64, 0.97, 8
 
 
 class Rotations:
@@ -100,7 +109,7 @@ def nearest(
     every: int = 100,
     k: int = 10,
     tables: int = TABLES,
-    probes: int = PROBES,
+    probes: int | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (Euclidean distance) of each query's `k`
@@ -109,7 +118,8 @@ def nearest(
     Queries are the rows whose id is divisible by `every`, candidates all rows but the
     query's own. Rows whose id or vector is null, or whose vector is zero or holds a null or
     non-finite component, take no part; vectors of different lengths are never compared.
-    Rows that repeat an id count once, with the smallest vector of the id.
+    Rows that repeat an id count once, with the smallest vector of the id. Without `probes`
+    their number is fitted on `SAMPLE` queries.
     """
     rows = usable(vectors, id_column, vector_column)
     rows = rows.groupBy("id").agg(F.min("vec").alias("vec"))
@@ -147,11 +157,60 @@ def _packed(vec):
     return F.pandas_udf(pack, "binary")(vec)
 
 
+def _nearness(turned: Rotations, x: np.ndarray, table: int) -> tuple[np.ndarray, int]:
+    """Nearness of each vector to every bucket of a table, and the parts of an axis."""
+    first, rest = turned.axes(x, table)
+    if rest is None:
+        return first, 1
+    return (first[:, :, None] + rest[:, None]).reshape(len(x), -1), rest.shape[1]
+
+
+def fitted_probes(queries: DataFrame, packed: DataFrame, codes: DataFrame, turned: Rotations, k: int) -> int:
+    """Buckets to probe in each table, so that of the `k` true neighbours of `SAMPLE` queries
+    the share `WANTED` is found in one table at least."""
+    rows = queries.orderBy(F.xxhash64("gid"), "gid").limit(SAMPLE).collect()
+    if not rows:
+        return PROBES
+    asked, own = matrix(r["vec"] for r in rows), np.array([r["gid"] for r in rows])
+
+    @released
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, gid = matrix(batch["vec"]), batch["gid"].to_numpy()
+            far = np.stack([((x - q) ** 2).sum(1) for q in asked])
+            far[gid[None] == own[:, None]] = np.inf
+            take = min(k, len(gid))
+            best = np.argpartition(far, take - 1, 1)[:, :take]
+            yield pd.DataFrame(
+                {
+                    "q": np.repeat(np.arange(len(asked)), take),
+                    "gid": gid[best].ravel(),
+                    "far": np.take_along_axis(far, best, 1).ravel(),
+                }
+            )
+
+    found = packed.mapInPandas(near, "q int, gid long, far double").where(F.col("far") < float("inf"))
+    order = Window.partitionBy("q").orderBy("far", "gid")
+    found = found.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k)
+    # At most SAMPLE * k * tables rows.
+    places = codes.join(F.broadcast(found.select("q", "gid")), "gid").toPandas()
+    if not len(places):
+        return PROBES
+    x, ranks = directions(asked), np.empty(len(places), np.int64)
+    for t, rows_ in places.groupby("t").indices.items():
+        nearness, width = _nearness(turned, x, int(t))
+        q, h, part = (places[c].to_numpy()[rows_] for c in ("q", "h", "part"))
+        bucket = h.astype(np.int64) * width + part
+        ranks[rows_] = (nearness[q] > nearness[q, bucket][:, None]).sum(1)
+    best = places.assign(rank=ranks).groupby(["q", "gid"])["rank"].min().to_numpy()
+    return max(PROBES, int(np.quantile(best, WANTED, method="higher")) + 1)
+
+
 def _search(distinct, asking, dim, n, k, tables, probes, seed) -> DataFrame:
     second = second_axes(n, dim)
     turned = Rotations(dim, second, tables, seed)
-    # One more hash makes buckets of 2 * second parts: probe as many parts as that asks for.
-    probes = probes if not second else max(probes, 2 * isqrt(n))
 
     @released
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,11 +236,9 @@ def _search(distinct, asking, dim, n, k, tables, probes, seed) -> DataFrame:
                 continue
             x = directions(matrix(batch["vec"]))
             for t in range(tables):
-                first, rest = turned.axes(x, t)
-                near = first if rest is None else (first[:, :, None] + rest[:, None]).reshape(len(x), -1)
+                near, width = _nearness(turned, x, t)
                 take = min(probes, near.shape[1])
                 best = np.argpartition(-near, take - 1, 1)[:, :take]
-                width = 1 if rest is None else rest.shape[1]
                 yield pd.DataFrame(
                     {
                         "gid": np.repeat(batch["gid"].to_numpy(), take),
@@ -194,20 +251,10 @@ def _search(distinct, asking, dim, n, k, tables, probes, seed) -> DataFrame:
     packed = stored(distinct.select("gid", _packed(F.col("vec")).alias("vec")), "packed")
     codes = stored(packed.mapInPandas(hashed, "gid long, t int, h int, part int"), "codes")
     queries = packed.join(asking.select("gid").distinct(), "gid", "left_semi")
+    if probes is None:
+        probes = fitted_probes(stored(queries, "asked"), packed, codes, turned, k)
     asks = queries.mapInPandas(probed, "gid long, t int, h int, part int")
     asks = asks.groupBy("gid", "t", "h").agg(F.collect_list("part").alias("parts"))
-    # Large buckets are dealt to several groups by the vector's id: groups stay bounded,
-    # whatever share of the vectors one axis attracts. At most tables * 2 * size rows.
-    shares = codes.groupBy("t", "h").agg(
-        F.ceil(F.count("*") / GROUP).cast("int").alias("shares")
-    )
-    index = codes.join(shares, ["t", "h"]).withColumn(
-        "share", F.pmod(F.xxhash64("gid"), F.col("shares")).cast("int")
-    )
-    index = index.join(packed, "gid").select("t", "h", "share", "gid", "part", "vec")
-    spread = F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
-    asks = asks.join(shares, ["t", "h"]).select("t", "h", "gid", "parts", spread)
-    asks = asks.join(packed, "gid").select("t", "h", "share", "gid", "parts", "vec")
 
     def rank(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -236,14 +283,48 @@ def _search(distinct, asking, dim, n, k, tables, probes, seed) -> DataFrame:
             )
         return pd.concat(out)
 
-    keys = ["t", "h", "share"]
-    found = (
-        index.groupBy(*keys)
-        .cogroup(asks.groupBy(*keys))
-        .applyInPandas(rank, "query long, gid long, score double")
-        .groupBy("query", "gid")
-        .agg(F.min("score").alias("score"))
-    )
+    keys = ["t", "h", "share", "turn"]
+
+    def compared(codes, asks):
+        # Large buckets are dealt to several groups by the vector's id, and many queries of
+        # a bucket to several turns: groups stay bounded, whatever share of the vectors or
+        # the queries one axis attracts. At most tables * 2 * size rows.
+        asks = stored(asks, "asks")
+        size = codes.groupBy("t", "h").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("shares"))
+        crowd = asks.groupBy("t", "h").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("turns"))
+        dealt = stored(size.join(crowd, ["t", "h"]), "buckets")
+        spread = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        own = lambda c: F.pmod(F.xxhash64("gid"), F.col(c)).cast("int")
+        index = codes.join(dealt, ["t", "h"]).withColumn("share", own("shares"))
+        index = index.select("t", "h", "share", "gid", "part", spread("turns").alias("turn"))
+        index = index.join(packed, "gid").select(*keys, "gid", "part", "vec")
+        asks = asks.join(dealt, ["t", "h"]).withColumn("turn", own("turns"))
+        asks = asks.select("t", "h", "turn", "gid", "parts", spread("shares").alias("share"))
+        # Columns of its own: both sides come from the same tables.
+        asks = asks.join(packed, "gid").select(*[F.col(c).alias(c) for c in (*keys, "gid", "parts", "vec")])
+        return (
+            index.groupBy(*keys)
+            .cogroup(asks.groupBy(*keys))
+            .applyInPandas(rank, "query long, gid long, score double")
+            .groupBy("query", "gid")
+            .agg(F.min("score").alias("score"))
+        )
+
+    found = stored(compared(codes, asks), "found")
+    # Queries that met too few vectors: all buckets of one table hold every vector once.
+    least = min(k + 1, n)
+    met = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    short = queries.select("gid").join(met, F.col("gid") == F.col("query"), "left_anti")
+    short = stored(short, "short")
+    if not short.isEmpty():
+        width = 2 * second if second else 1
+        every = F.array(*[F.lit(p) for p in range(width)])
+        all_of = short.select(
+            "gid", F.lit(0).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(2 * turned.size - 1))).alias("h"),
+            every.alias("parts"),
+        )
+        more = compared(codes.where("t = 0"), all_of)
+        found = found.unionByName(more).groupBy("query", "gid").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query").orderBy("score", "gid")
     found = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1)
     members = found.join(distinct.select("gid", "ids"), "gid").select(

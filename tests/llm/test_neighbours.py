@@ -66,6 +66,34 @@ def test_second_rotation(llm, clustered, monkeypatch):
     assert hits / sum(map(len, want.values())) >= 0.9
 
 
+def test_crowded_buckets_and_queries_without_candidates(llm, clustered, monkeypatch):
+    """Queries dealt to turns; with one probe many find too few and see all vectors."""
+    monkeypatch.setattr(neighbours, "QUERIES", 3)
+    monkeypatch.setattr(neighbours, "GROUP", 50)
+    apart = [(i, (1000.0 * np.eye(16)[i % 16] * (1 + i)).tolist()) for i in range(10_000, 10_040)]
+    rows = clustered[:300] + apart
+    got = answers(neighbours.nearest(frame(llm, rows), every=4, k=40, tables=1, probes=1))
+    want = brute(rows, 4, 40)
+    assert got.keys() == want.keys() and all(len(near) == 40 for near in got.values())
+    far = [q for q in want if q >= 10_000]
+    assert {q: [j for _, j in got[q]] for q in far} == {q: [j for _, j in want[q]] for q in far}
+
+
+def test_probes_follow_the_data(llm, clustered, monkeypatch):
+    """Vectors without structure need more probes than vectors in clusters, for the same recall."""
+    seen = []
+    plain = neighbours.fitted_probes
+    monkeypatch.setattr(neighbours, "fitted_probes", lambda *a: seen.append(plain(*a)) or seen[-1])
+    rng = np.random.default_rng(9)
+    loose = [(i, rng.normal(size=48).tolist()) for i in range(1500)]
+    tight = [(i, (rng.normal(size=48) * 0.01 + 5 * np.eye(48)[i % 48]).tolist()) for i in range(1500)]
+    for rows in (loose, tight):
+        got, want = answers(neighbours.nearest(frame(llm, rows), every=10)), brute(rows, 10, 10)
+        hits = sum(len({j for _, j in got[q]} & {j for _, j in want[q]}) for q in want)
+        assert hits / sum(map(len, want.values())) >= 0.9
+    assert seen[0] > seen[1]
+
+
 def test_hot_vectors_ties_and_bad_rows(llm, monkeypatch):
     """All probes: the search is exact, whatever the groups are dealt into."""
     monkeypatch.setattr(neighbours, "GROUP", 40)
