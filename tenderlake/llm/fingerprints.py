@@ -27,7 +27,8 @@ BASES = (1_000_003 * 911, 998_244_353 * 2 + 1)
 SPAN = 16
 KEPT = 64
 CHUNK = 400_000
-ROWS = 4096
+# Rows of a slice, and the most slices there are: what names them stays small at any size.
+ROWS, SLICES = 4096, 20_000
 
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -182,13 +183,15 @@ def with_successors(docs: DataFrame, rows_per_slice: int = ROWS) -> DataFrame:
 
     Ids are cut into ranges by approximate quantiles; the head of a range goes to the one
     before it as well (`beyond`), and the head of the first to the last. So texts are
-    exchanged once and no range is sorted by more than one task.
+    exchanged once, each range to a task of its own. There are `SLICES` ranges at most, so
+    cuts and heads are bounded; beyond that ranges grow with the rows, and tasks sort them
+    on disk.
     """
     n = docs.count()
-    parts = max(1, -(-n // rows_per_slice))
+    parts = max(1, min(-(-n // rows_per_slice), SLICES))
     shares = [k / parts for k in range(1, parts)]
     cuts = [] if not shares else docs.select(
-        F.percentile_approx("doc_id", shares, 100 * parts).alias("q")
+        F.percentile_approx("doc_id", shares, max(10_000, 20 * parts)).alias("q")
     ).first()["q"]
     cuts = np.array(sorted(set(cuts or [])), np.int64)
 
@@ -205,7 +208,7 @@ def with_successors(docs: DataFrame, rows_per_slice: int = ROWS) -> DataFrame:
     rows = rows.withColumn(
         "slice", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(ranged)
     )
-    # One row per slice: about n / rows_per_slice small rows.
+    # One row per slice: SLICES + 2 at most.
     heads = rows.groupBy("slice").agg(F.max("doc_id").alias("head")).orderBy("slice").collect()
     before = {h["slice"]: heads[k - 1]["slice"] for k, h in enumerate(heads)}
     copies = docs.sparkSession.createDataFrame(
@@ -219,7 +222,9 @@ def with_successors(docs: DataFrame, rows_per_slice: int = ROWS) -> DataFrame:
     order = ["slice", "beyond", F.desc_nulls_last("doc_id"), "text"]
     own = rows.select("slice", F.lit(False).alias("beyond"), "doc_id", "text")
     beyond = firsts.select(F.col("goes_to").alias("slice"), F.lit(True).alias("beyond"), "doc_id", "text")
-    return own.unionByName(beyond).repartition(parts, "slice").sortWithinPartitions(*order)
+    # Slices are numbers from 0 on: each is a partition, none holds two.
+    dealt = own.unionByName(beyond).repartitionById(len(cuts) + 2, "slice")
+    return dealt.sortWithinPartitions(*order)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
