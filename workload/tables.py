@@ -1,8 +1,8 @@
 """Procurement tables derived from the given ones.
 
 Each text runs on Spark and on the comparison engine alike, so both sides start
-from the same rows. Amounts are whole numbers: their sums do not depend on the
-order of addition. `raw_*` tables hold dirty text with the file each row came
+from the same rows. Amounts have cents, in quarters: such sums are exact in binary, so they
+do not depend on the order of addition. `raw_*` tables hold dirty text with the file each row came
 from; the others have the clean layout.
 """
 
@@ -31,6 +31,10 @@ _FILE_OF_LINE = """
 _SHIP = "CAST(l_shipdate AS DATE)"
 _CIG = "CAST(l_orderkey AS STRING)"
 _AWARD = "CAST(l_linenumber AS BIGINT)"
+# Cents of an order's and of a line's amount: 0, 25, 50 or 75.
+_ORDER_CENTS = "CAST(o_orderkey % 4 AS DOUBLE) / 4"
+_LINE_CENTS = "CAST((l_orderkey + l_linenumber) % 4 AS DOUBLE) / 4"
+_EVENT_CENTS = "CAST(event_id % 4 AS DOUBLE) / 4"
 
 _PLACES = """
     SELECT c_custkey, c_name, c_mktsegment, c_acctbal, n_nationkey, n_name,
@@ -54,7 +58,7 @@ DERIVED = {
     "bandi": f"""
         SELECT CAST(o_orderkey AS STRING) AS cig,
                'OGGETTO ' || o_orderstatus AS oggetto_gara,
-               round(o_totalprice) * 2100 AS importo_lotto,
+               round(o_totalprice) * 2100 + {_ORDER_CENTS} AS importo_lotto,
                coalesce(round(o_totalprice) * 2100 >= 1e9
                         OR (c_acctbal > 9500 AND o_orderpriority = '5-LOW'), false)
                    AS flag_importo_sospetto,
@@ -98,7 +102,7 @@ DERIVED = {
                {_SHIP} + 10 AS data_comunicazione_esito,
                CASE WHEN l_linestatus = 'O' THEN 'AGGIUDICATA' ELSE 'DESERTA' END AS esito,
                'CRITERIO ' || l_returnflag AS criterio_aggiudicazione,
-               CASE WHEN l_quantity < 2 THEN 0 ELSE round(l_extendedprice) * 30 END
+               CASE WHEN l_quantity < 2 THEN 0 ELSE round(l_extendedprice) * 30 + {_LINE_CENTS} END
                    AS importo_aggiudicazione,
                CASE WHEN l_tax = 0 THEN NULL ELSE round(l_discount * 100) END
                    AS ribasso_aggiudicazione,
@@ -209,8 +213,8 @@ DERIVED = {
                CASE WHEN l_quantity > 25 THEN {_SHIP} + 60 + CAST(l_quantity AS INT) END
                    AS data_cert_collaudo,
                CASE WHEN l_tax > 0.02 THEN 'POSITIVO' END AS esito_collaudo,
-               CASE WHEN l_quantity > 10 THEN round(l_extendedprice) END AS riserve_avanzate,
-               round(l_extendedprice / 10) AS importo_contenz_risolto
+               CASE WHEN l_quantity > 10 THEN round(l_extendedprice) + {_LINE_CENTS} END AS riserve_avanzate,
+               round(l_extendedprice / 10) + {_LINE_CENTS} AS importo_contenz_risolto
         FROM {{lineitem}} WHERE l_returnflag = 'R'""",
     "sospensioni": f"""
         SELECT {_CIG} AS cig, {_AWARD} AS id_aggiudicazione,
@@ -277,8 +281,8 @@ DERIVED = {
                CASE WHEN l_tax = 0 THEN NULL ELSE CAST(l_quantity AS INT) END
                    AS n_giorni_scostamento,
                CASE WHEN l_quantity = 1 THEN NULL ELSE {_SHIP} END AS data_emissione_sal,
-               round(l_extendedprice) * 50 AS importo_sal,
-               CASE WHEN l_returnflag = 'N' THEN 0 ELSE round(l_extendedprice) * 50 END
+               round(l_extendedprice) * 50 + {_LINE_CENTS} AS importo_sal,
+               CASE WHEN l_returnflag = 'N' THEN 0 ELSE round(l_extendedprice) * 50 + {_LINE_CENTS} END
                    AS importo_quota,
                CASE l_returnflag WHEN 'A' THEN 'anomala' WHEN 'N' THEN 'monotona'
                     ELSE 'singola' END AS tipo_serie
@@ -325,23 +329,23 @@ DERIVED = {
                CASE WHEN event_type = 'error' THEN '001-delta.csv' ELSE '000-full.csv' END
                    AS __source_file
         FROM {events}""",
-    "quadro": """
+    "quadro": f"""
         SELECT CAST(user_id AS STRING) AS cig, CAST(floor(day(ts) / 2) AS BIGINT) AS id_aggiudicazione,
                CASE WHEN event_type IN ('purchase', 'signup') THEN NULL ELSE CAST(ts AS DATE) END
                    AS data,
                CASE event_type WHEN 'purchase' THEN 'BASE_ASTA' WHEN 'signup' THEN 'CONSUNTIVO'
                     ELSE 'VARIANTE' END AS descrizione_evento,
                'D' || CAST(event_id AS STRING) AS dettaglio_evento,
-               CASE WHEN event_id % 2 = 0 THEN NULL ELSE round(value * 100) * 300000 END
+               CASE WHEN event_id % 2 = 0 THEN NULL ELSE round(value * 100) * 300000 + {_EVENT_CENTS} END
                    AS importo_lavori,
-               CASE WHEN event_id % 2 = 1 THEN NULL ELSE round(value * 100) * 300000 END
+               CASE WHEN event_id % 2 = 1 THEN NULL ELSE round(value * 100) * 300000 + {_EVENT_CENTS} END
                    AS importo_servizi,
                CAST(NULL AS DOUBLE) AS importo_forniture,
                CASE WHEN value > 20 THEN round(value) END AS somme_a_disposizione
-        FROM {events}""",
+        FROM {{events}}""",
     "contratti": f"""
         SELECT {_CIG} AS cig, {_AWARD} AS id_aggiudicazione,
-               sum(round(l_extendedprice)) * 100000 AS importo_base,
+               sum(round(l_extendedprice)) * 100000 + 0.25 AS importo_base,
                sum(round(l_extendedprice) * (40000 + l_quantity * 3500)) AS importo_finale,
                max(l_linestatus) = 'O' AS ha_consuntivo,
                sum(round(l_extendedprice)) * 100000 >= 1e10 AS flag_base_sospetta
@@ -368,6 +372,6 @@ DERIVED = {
                     WHEN 'NO' THEN 'fondi_bilancio_sa' WHEN 'NF' THEN 'entrate_vincolate_ue'
                     WHEN 'AO' THEN 'mutuo' WHEN 'AF' THEN 'entrate_vincolate_statali'
                     WHEN 'RO' THEN 'capitali_privati' ELSE 'altro' END AS fonte,
-               round(l_extendedprice) * 60000 AS importo
+               round(l_extendedprice) * 60000 + {_LINE_CENTS} AS importo
         FROM {{lineitem}} WHERE l_quantity > 10""",
 }
