@@ -36,7 +36,7 @@ BUCKET = 1024
 GROUP, QUERIES = 16_384, 8192
 # Queries the number of probes is fitted on, the share of their neighbours that must be
 # found, and the least number of probes.
-SAMPLE, WANTED, PROBES = 64, 0.97, 8
+SAMPLE, WANTED, PROBES = 64, 0.97, 2
 
 
 class Rotations:
