@@ -117,7 +117,8 @@ _IDS: dict[str, Ids] = {}
 
 
 def ids_of(path: str) -> Ids:
-    """The tokenizer of a file; a Python worker keeps it for its later tasks."""
+    """The tokenizer of a file; a Python worker keeps it for its later tasks, what it
+    remembers of their texts for one."""
     if path not in _IDS:
         _IDS[path] = Ids(path)
         gc.set_threshold(200_000, 50, 50)  # the memory holds no cycles; searching it is waste
@@ -138,18 +139,23 @@ def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     @released
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = ids_of(path)
-        for batch in batches:
-            rows = list(zip(batch["doc_id"], batch["text"], strict=True))
-            for part in by_size(rows, lambda r: len(r[1] or ""), CHUNK):
-                out = []
-                for (doc, _), ids in zip(part, known.of([t or "" for _, t in part]), strict=True):
-                    ids += END.to_bytes(4, "little")
-                    for k, start in enumerate(range(0, len(ids), 4 * length)):
-                        piece = ids[start : start + 4 * length]
-                        out.append((doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)))
-                yield pd.DataFrame(
-                    out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]
-                )
+        known.known = Memory()
+        try:
+            for batch in batches:
+                yield from cut_rows(known, batch)
+        finally:
+            known.known = Memory()
+
+    def cut_rows(known: Ids, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rows = list(zip(batch["doc_id"], batch["text"], strict=True))
+        for part in by_size(rows, lambda r: len(r[1] or ""), CHUNK):
+            out = []
+            for (doc, _), ids in zip(part, known.of([t or "" for _, t in part]), strict=True):
+                ids += END.to_bytes(4, "little")
+                for k, start in enumerate(range(0, len(ids), 4 * length)):
+                    piece = ids[start : start + 4 * length]
+                    out.append((doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)))
+            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     # Ids go through Python as text: pandas would turn long ids beside nulls into floats.
     plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text"))
