@@ -39,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents in their sequences."""
     prepare(spark)
-    return packing.pack_documents(docs, vocabulary())
+    return packing.pack_documents(docs, vocabulary(), remember=False)
 
 
 STAGES = [

@@ -31,8 +31,8 @@ from .common import by_size, released, stored
 LENGTH = 2048
 GROUP = 8192
 END = 0
-CACHE = 400_000
-CHUNK = 1_000_000
+CACHE = 600_000
+CHUNK = 2_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -117,8 +117,7 @@ _IDS: dict[str, Ids] = {}
 
 
 def ids_of(path: str) -> Ids:
-    """The tokenizer of a file; a Python worker keeps it for its later tasks, what it
-    remembers of their texts for one."""
+    """The tokenizer of a file; a Python worker keeps it for its later tasks."""
     if path not in _IDS:
         _IDS[path] = Ids(path)
         gc.set_threshold(200_000, 50, 50)  # the memory holds no cycles; searching it is waste
@@ -132,19 +131,20 @@ def is_simple(text: str) -> bool:
     return not SIMPLE.search(text) and "<|" not in text and is_normalized("NFC", text)
 
 
-def cut(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
+def cut(docs: DataFrame, path: str, length: int = LENGTH, remember: bool = True) -> DataFrame:
     """The pieces of every row of `docs` (doc_id, text): doc_id, piece, start, length,
-    ids_crc32. The id `END` ends each document; a null text is empty."""
+    ids_crc32. The id `END` ends each document; a null text is empty. With `remember` a Python
+    worker keeps what it knows of ids for its later tasks, else for one."""
 
     @released
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = ids_of(path)
-        known.known = Memory()
         try:
             for batch in batches:
                 yield from cut_rows(known, batch)
         finally:
-            known.known = Memory()
+            if not remember:
+                known.known = Memory()
 
     def cut_rows(known: Ids, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         rows = list(zip(batch["doc_id"], batch["text"], strict=True))
@@ -253,10 +253,10 @@ def pack(
     return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def pack_documents(docs: DataFrame, path: str, **limits) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, remember: bool = True, **limits) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of `docs`.
 
     Repeated rows give repeated pieces; a null id stays null; an empty table gives no rows.
     """
-    pieces = stored(cut(docs, path, limits.get("tokens", LENGTH)), "pieces")
+    pieces = stored(cut(docs, path, limits.get("tokens", LENGTH), remember), "pieces")
     return pack(pieces, **limits)
