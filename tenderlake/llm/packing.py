@@ -16,7 +16,6 @@ import gc
 import os
 import re
 import zlib
-from collections import ChainMap
 from collections.abc import Iterator
 from itertools import chain
 from unicodedata import is_normalized
@@ -43,14 +42,18 @@ SPLIT = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾
 
 
 class Memory(dict):
-    """Ids of stretches; `fresh` holds those of the present call that memory has no room for."""
+    """Ids of stretches. For one that is not held, `fresh` has a place that the present call
+    fills when it has read all its texts."""
 
     def __init__(self):
         super().__init__()
-        self.fresh: dict[str, bytes] = {}
+        self.fresh: dict[str, bytearray] = {}
 
-    def __missing__(self, stretch: str) -> bytes:
-        return self.fresh[stretch]
+    def __missing__(self, stretch: str) -> bytearray:
+        place = self.fresh.get(stretch)
+        if place is None:
+            place = self.fresh[stretch] = bytearray()
+        return place
 
 
 class Ids:
@@ -89,28 +92,26 @@ class Ids:
         known = self.known
         new = [p for p in set(chain.from_iterable(split)) if p not in known]
         out = self._ids_of_pieces(new)
-        lookup = ChainMap(out, known)
         for x, parts in zip(stretches, split, strict=True):
             if len(parts) != 1:
-                out[x] = b"".join([lookup[p] for p in parts])
+                out[x] = b"".join([out[p] if p in out else known[p] for p in parts])
         if len(known) < CACHE:
             known.update(out)
         return out
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each, the lowest first."""
-        split = [t.lower().split() if is_simple(t) else None for t in texts]
         known = self.known
-        every = set(chain.from_iterable(s for s in split if s))
-        known.fresh = self._learn([x for x in every if x not in known])
-        rest = [t for t, s in zip(texts, split, strict=True) if s is None]
+        known.fresh = fresh = {}
+        # One search per stretch; the stretches of a text go as soon as they are looked up.
+        found = [list(map(known.__getitem__, t.lower().split())) if is_simple(t) else None for t in texts]
+        if fresh:
+            learned = self._learn(list(fresh))
+            for stretch, place in fresh.items():
+                place += learned[stretch]
+        rest = [t for t, f in zip(texts, found, strict=True) if f is None]
         whole = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
-        return [
-            np.array(next(whole).ids, "<u4").tobytes()
-            if s is None
-            else b"".join(map(known.__getitem__, s))
-            for s in split
-        ]
+        return [np.array(next(whole).ids, "<u4").tobytes() if f is None else b"".join(f) for f in found]
 
 
 _IDS: dict[str, Ids] = {}

@@ -137,3 +137,26 @@ def test_groups_lose_one_sequence_each(llm, documents):
     total = sum(i % 900 + 1 for i in range(300))
     assert -(-total // 2048) <= whole <= -(-total // 2048) + 1
     assert dealt.select("sequence_id").distinct().count() <= whole + 5
+
+
+def test_a_stretch_is_looked_up_once(tokenizer, monkeypatch):
+    """Looking stretches up costs most of the time when memory holds many."""
+    looked = []
+
+    class Counted(packing.Memory):
+        def __getitem__(self, stretch):
+            looked.append(stretch)
+            return super().__getitem__(stretch)
+
+        def __contains__(self, stretch):
+            looked.append(stretch)
+            return super().__contains__(stretch)
+
+    texts = ["one two three two one", "one\ttwo three", ""]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    ids, known = packing.Ids(PATH), Counted()
+    ids.of(texts)
+    known.update(ids.known)
+    ids.known = known
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids.of(texts)] == want
+    assert len(looked) == 8
