@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_string
-from ..operators.joins import attach
+from ..operators.joins import attach, drop_matching
 from ..operators.keys import ORDER, SOURCE
 from ..sources import versions
 
 BUCKET = "__bucket"
 BUCKETS = 256
+# Up to so many buckets are written without an exchange: each task has a file of each.
+FEW = 16
 ROOM = 1 << 32
 LOT = "cig"
 
@@ -81,23 +83,35 @@ def _known(spark: SparkSession, path: str) -> list[tuple[str, int, bool]]:
     return sorted(tuple(r) for r in versions.read_version(spark, f"{path}/names").collect())
 
 
-def add(text: DataFrame, path: str, names: list[str], buckets: int = BUCKETS) -> Change:
-    """The live rows after `text`, the rows of the files `names`, in the buckets it touches.
+def _one_file(
+    spark: SparkSession, path: str, fresh: DataFrame, place: int
+) -> tuple[list[str], DataFrame]:
+    """The buckets one file touches, and their live rows.
 
-    Nothing is published: `keep` does that, after the caller has checked what follows from
-    the rows. A file that was added before is an error; one whose adding was broken off may
-    come again. A lot is the published key, spelling included; rows without one are a lot of
-    their own.
+    Rows are exchanged where they may go only: those of older files against the lots of the
+    file, those of the file against lots that have newer rows, if there are any.
     """
-    spark = text.sparkSession
-    known = _known(spark, path)
-    again = sorted(set(names) & {name for name, _, done in known if done})
-    if again:
-        raise ValueError(f"already part of the feed: {', '.join(again)}")
-    places = orders(names, {name: place for name, place, _ in known})
-    own = {name: places[name] for name in names}
-    fresh = ordered(text, own).withColumn(BUCKET, bucket_of(F.col(LOT), buckets))
-    fresh = versions.stage(fresh, f"{path}/arrived").rows
+    lots = fresh.select(BUCKET, LOT).distinct()
+    named = [r[0] for r in lots.select(BUCKET).distinct().collect()]
+    held = versions.read_version(spark, path, parts=named)
+    newer = held.where(F.col(ORDER) > place).select(LOT).distinct()
+    late = not newer.isEmpty()
+    ahead = drop_matching(lots, newer, [LOT]) if late else lots
+    ahead = versions.stage(ahead, f"{path}/lots").rows
+    touched = sorted(r[0] for r in ahead.select(BUCKET).distinct().collect())
+    old = versions.read_version(spark, path, parts=touched)
+    older = drop_matching(old.where(F.col(ORDER) < place), ahead, [LOT])
+    own = fresh.where(F.col(BUCKET).isin(touched))
+    own = drop_matching(own, newer, [LOT]) if late else own
+    if late:
+        older = older.unionByName(old.where(F.col(ORDER) > place))
+    return touched, older.unionByName(own, allowMissingColumns=True)
+
+
+def _several_files(
+    spark: SparkSession, path: str, fresh: DataFrame, places: list[int]
+) -> tuple[list[str], DataFrame]:
+    """The buckets several files touch, and their live rows."""
     newest = fresh.groupBy(BUCKET, LOT).agg(F.max(ORDER).alias("__newest"))
     if not started(spark, path):
         touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
@@ -110,14 +124,45 @@ def add(text: DataFrame, path: str, names: list[str], buckets: int = BUCKETS) ->
         before = before.groupBy(LOT).agg(F.max(ORDER).alias("__held"))
         ahead = attach(newest, before, [LOT]).where("__held IS NULL OR __held <= __newest")
         touched = sorted(r[0] for r in ahead.select(BUCKET).distinct().collect())
-        old = versions.read_version(spark, path, parts=touched).where(~F.col(ORDER).isin(list(own.values())))
+        old = versions.read_version(spark, path, parts=touched).where(~F.col(ORDER).isin(places))
         rows = old.unionByName(fresh.where(F.col(BUCKET).isin(touched)), allowMissingColumns=True)
-    if not touched:
-        return Change(None, [], None, sorted(own.items()), known)
     span = rows.groupBy(LOT).agg(F.min(ORDER).alias("__oldest"), F.max(ORDER).alias("__newest"))
     span = span.where("__oldest < __newest").drop("__oldest")
     rows = attach(rows, span, [LOT]).where(F.col("__newest").isNull() | (F.col(ORDER) == F.col("__newest")))
-    staged = versions.stage(rows.drop("__newest", BUCKET), path, bucket_of(F.col(LOT), buckets))
+    return touched, rows.drop("__newest")
+
+
+def add(text: DataFrame, path: str, names: list[str], buckets: int = BUCKETS) -> Change:
+    """The live rows after `text`, the rows of the files `names`, in the buckets it touches.
+
+    Nothing is published: `keep` does that, after the caller has checked what follows from
+    the rows. A file that was added before is an error; one whose adding was broken off may
+    come again. A lot is the published key, spelling included; rows without one are a lot of
+    their own.
+    """
+    spark = text.sparkSession
+    known = _known(spark, path)
+    again = sorted(set(names) & {name for name, _, done in known if done})
+    if again:
+        raise ValueError(f"already part of the feed: {', '.join(again)}")
+    places = orders(names, {name: place for name, place, _ in known})
+    own = {name: places[name] for name in names}
+    fresh = ordered(text, own)
+    if len(own) == 1 and not started(spark, path):
+        # One file replaces nothing of its own: its rows go to their buckets as they come.
+        staged = versions.stage(fresh, path, bucket_of(F.col(LOT), buckets), rebalanced=buckets > FEW)
+        if not staged.parts:
+            return Change(None, [], None, sorted(own.items()), known)
+        return Change(staged.rows, list(staged.parts), staged, sorted(own.items()), known)
+    fresh = versions.stage(fresh.withColumn(BUCKET, bucket_of(F.col(LOT), buckets)), f"{path}/arrived").rows
+    if len(own) == 1 and started(spark, path):
+        touched, rows = _one_file(spark, path, fresh, *own.values())
+    else:
+        touched, rows = _several_files(spark, path, fresh, list(own.values()))
+    if not touched:
+        return Change(None, [], None, sorted(own.items()), known)
+    part = bucket_of(F.col(LOT), buckets)
+    staged = versions.stage(rows.drop(BUCKET), path, part, rebalanced=len(touched) > FEW)
     return Change(staged.rows, touched, staged, sorted(own.items()), known)
 
 

@@ -93,11 +93,13 @@ def stage(
     part: Column | str | None = None,
     measures: dict[str, Column] | None = None,
     bloom: list[str] | None = None,
+    rebalanced: bool = True,
 ) -> Staged:
     """Write `df` aside. With `part`, a column, every value of it is a part of its own that
     later commits can replace (rows without one make the part "none"). Rows are rebalanced
     first, so a task writes one part and files reach the advisory size; a part with most of
-    the rows is split over many tasks.
+    the rows is split over many tasks. When parts are few, rows need not be `rebalanced`: every
+    task then writes a file of each part it has rows of, and nothing is exchanged.
 
     `measures` are aggregates of the rows, taken while they are written. The files carry a
     Bloom filter per row group of each column in `bloom`, for lookups of single values.
@@ -108,7 +110,8 @@ def stage(
     if part is not None:
         part = F.col(part) if isinstance(part, str) else part
         named = F.coalesce(part.cast("string"), F.lit("none"))
-        rows = df.withColumn(PART, named).hint("rebalance", PART)
+        rows = df.withColumn(PART, named)
+        rows = rows.hint("rebalance", PART) if rebalanced else rows
     seen = Observation(folder) if measures else None
     if seen:
         # Behind the rebalance, in the tasks that write: each counts once, however often

@@ -136,3 +136,32 @@ def test_feed_of_files(spark, tmp_path):
         assert rows_of(build.read_table(spark, out, "mart", "aggiudicazioni", name), "*") == rows_of(whole[name], "*")
     with pytest.raises(ValueError, match="lot by lot"):
         build.add_files(spark, "cup", files, out)
+
+
+def test_rows_are_exchanged_where_they_may_go_only(spark, tmp_path):
+    """A first file goes to its buckets as it comes; a newest one meets the older rows only."""
+    path = str(tmp_path / "live")
+    first = deltas.add(text(spark, [("A", 1, "00"), ("B", 2, "00"), (None, 3, "00")]), path, ["00"], buckets=4)
+    assert not (tmp_path / "live/arrived").exists()
+    deltas.keep(spark, path, first)
+    newest = deltas.add(text(spark, [("A", 4, "02"), (None, 5, "02")]), path, ["02"], buckets=4)
+    assert len(newest.staged.parts) == len(newest.buckets)
+    deltas.keep(spark, path, newest)
+    between = deltas.add(text(spark, [("A", 6, "01"), ("B", 7, "01"), ("C", 8, "01")]), path, ["01"], buckets=4)
+    deltas.keep(spark, path, between)
+    want = [("A", 4), ("B", 7), ("C", 8), (None, 5)]
+    assert rows_of(deltas.live(spark, path), "cig", "v") == sorted(map(repr, want))
+    assert deltas.add(text(spark, []), path, ["03"], buckets=4).staged is None
+
+
+def test_few_parts_are_written_without_an_exchange(spark, tmp_path, monkeypatch):
+    asked = []
+    stage = V.stage
+    monkeypatch.setattr(V, "stage", lambda *a, **b: asked.append(b.get("rebalanced")) or stage(*a, **b))
+    for name, buckets in (("few", 8), ("many", 64)):
+        path = str(tmp_path / name)
+        deltas.add(text(spark, [(f"L{i}", i, "00") for i in range(300)]), path, ["00"], buckets=buckets)
+    assert asked == [True if n > deltas.FEW else False for n in (8, 64)]
+    rows = spark.range(40).selectExpr("id", "cast(id % 2 AS string) AS y").repartition(3)
+    few = V.stage(rows, str(tmp_path / "t"), "y", rebalanced=False)
+    assert few.parts == ("0", "1") and few.rows.count() == 40
