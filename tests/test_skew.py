@@ -76,3 +76,14 @@ def test_series_split_the_hot_key(small_limits, rows):
         F.sum("importo_quota").alias("q"), F.max("importo_sal").alias("m"), F.min("tipo_serie").alias("t")
     ).first()
     assert hot.q == hot.m and hot.t == "anomala"
+
+
+def test_a_task_reads_little_of_wide_tables(spark):
+    """What a task reads grows many times over when its columns are typed and sorted."""
+    from tenderlake.session import tune
+
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    for name in names:
+        spark.conf.set(name, "128m")
+    tune(spark)
+    assert [spark.conf.get(name) for name in names] == ["16m", "32m"]
